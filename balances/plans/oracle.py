@@ -140,3 +140,149 @@ SELECT customer_id, {r('liquid_cv', 'liquid_cv')}, liquid_cv_insufficient FROM c
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+# --------------------------------------------------------------------------
+# customers, estimator and the gold feature mart
+# --------------------------------------------------------------------------
+CUST = """cust_raw AS (
+  SELECT CAST(c.c_custkey AS BIGINT) AS customer_id, c.c_name AS name, r.r_name AS age_group,
+         CASE WHEN c.c_acctbal < -900 THEN NULL WHEN c.c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+         c.c_mktsegment AS segment,
+         CASE WHEN c.c_acctbal < 6500 THEN NULL WHEN c.c_acctbal < 8200 THEN 'RENTED' ELSE 'OWNED' END AS housing,
+         CASE WHEN c.c_acctbal >= 0 THEN c.c_acctbal END AS income,
+         CASE WHEN c.c_acctbal >= 0 THEN c.c_acctbal * (c.c_nationkey + 1) / CAST(20 AS DOUBLE) END AS expenses,
+         CASE WHEN c.c_acctbal >= 500 THEN c.c_acctbal * CAST(10 AS DOUBLE) END AS assets,
+         CASE WHEN c.c_acctbal >= 500 THEN c.c_acctbal * (c.c_nationkey % 7) END AS liabilities
+  FROM customer c
+  LEFT JOIN (SELECT n.n_nationkey, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) r
+    ON c.c_nationkey = r.n_nationkey),
+cust AS (
+  SELECT customer_id, name, age_group, gender, segment, housing, income, expenses, assets, liabilities,
+         assets - liabilities AS equity,
+         (income IS NULL OR expenses IS NULL OR assets IS NULL OR liabilities IS NULL
+          OR assets - liabilities IS NULL) AS no_financial_any,
+         (income IS NULL AND expenses IS NULL AND assets IS NULL AND liabilities IS NULL
+          AND assets - liabilities IS NULL) AS no_financial_all,
+         income - expenses AS savings_capacity
+  FROM cust_raw
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY name) = 1)"""
+
+EST = """est AS (
+  SELECT CAST(user_id AS BIGINT) AS customer_id, sum(value) AS income_estimate
+  FROM events GROUP BY 1)"""
+
+
+def _pivot_cte() -> str:
+    cols = []
+    for p in S.product_slugs:
+        for c in ("balance_snapshot", "snapshot_date", "balance_mean_6m", "n_obs_window",
+                  "trend_6m", "holding"):
+            cols.append(f"max({c}) FILTER (WHERE product = '{p}') AS {p}_{c}")
+    return "piv AS (SELECT customer_id,\n  " + ",\n  ".join(cols) + "\n  FROM snap GROUP BY customer_id)"
+
+
+def _sum0(cols):
+    return "(" + " + ".join(f"coalesce({c}, 0.0)" for c in cols) + ")"
+
+
+def _cnt_pos(cols):
+    return "(" + " + ".join(f"CAST(coalesce({c}, 0.0) > 0 AS INTEGER)" for c in cols) + ")"
+
+
+def _sdiv(n, d, pos=False):
+    cond = f"({d}) > 0" if pos else f"({d}) <> 0"
+    return f"CASE WHEN {cond} THEN CAST({n} AS DOUBLE) / ({d}) END"
+
+
+def _feat_cte() -> str:
+    P = S.product_slugs
+    prod_cols = []
+    for p in P:
+        prod_cols += [
+            f"coalesce(piv.{p}_balance_snapshot, 0.0) AS {p}_balance_snapshot",
+            f"piv.{p}_snapshot_date AS {p}_snapshot_date",
+            f"CASE WHEN piv.{p}_holding IS NULL THEN 0.0 ELSE piv.{p}_balance_mean_6m END AS {p}_balance_mean_6m",
+            f"CASE WHEN piv.{p}_holding IS NULL THEN 0.0 ELSE piv.{p}_trend_6m END AS {p}_trend_6m",
+            f"CAST(coalesce(piv.{p}_n_obs_window, 0) AS INTEGER) AS {p}_n_obs_window",
+            f"CAST(coalesce(piv.{p}_holding, 0) AS INTEGER) AS {p}_holding",
+        ]
+    wide = ("wide AS (SELECT cust.*, " + ", ".join(prod_cols) +
+            ", est.income_estimate, (est.customer_id IS NOT NULL) AS has_income_estimate,"
+            " cv.liquid_cv, cv.liquid_cv_insufficient AS cv_insuff, first_rec.first_month"
+            " FROM cust LEFT JOIN piv USING (customer_id) LEFT JOIN est USING (customer_id)"
+            " LEFT JOIN cv USING (customer_id) LEFT JOIN first_rec USING (customer_id))")
+    label = " OR ".join(f"{p}_balance_snapshot > 0" for p in S.label_products)
+    recent = " OR ".join(
+        f"coalesce({p}_balance_snapshot > 0 AND date_diff('day', {p}_snapshot_date, cut_date) <= "
+        f"{S.recent_label_days}, false)" for p in S.label_products)
+    nl_dates = ", ".join(f"{p}_snapshot_date" for p in S.non_label_products)
+    snaps = lambda ps: [f"{p}_balance_snapshot" for p in ps]
+    liquid = _sum0(snaps(S.liquid_products))
+    hist = "(" + " + ".join(f"{p}_holding" for p in P) + ") > 0"
+    fin_all_null = " AND ".join(f"{c} IS NULL" for c in S.financial_cols)
+    rel = ",\n    ".join(
+        f"{_sdiv(f'{p}_trend_6m', f'{p}_balance_mean_6m', True)} AS {p}_relative_trend_6m" for p in P)
+    no_signal = f"CAST(NOT ({hist}) AND NOT has_income_estimate AND coalesce(no_financial_all, false) AS INTEGER)"
+    feat = f"""feat AS (SELECT customer_id, name, age_group, gender, segment,
+    income, expenses, assets, liabilities, equity, savings_capacity,
+    CAST(no_financial_any AS INTEGER) AS no_financial_any, CAST(no_financial_all AS INTEGER) AS no_financial_all,
+    {", ".join(c for p in P for c in (f"{p}_balance_snapshot", f"{p}_snapshot_date", f"{p}_balance_mean_6m",
+                                        f"{p}_trend_6m", f"{p}_n_obs_window", f"{p}_holding"))},
+    income_estimate, liquid_cv,
+    CAST(has_income_estimate AS INTEGER) AS has_income_estimate,
+    CAST({label} AS INTEGER) AS adoption_label,
+    CAST(date_diff('day', greatest({nl_dates}), cut_date) AS INTEGER) AS days_since_last_data,
+    CAST(greatest({nl_dates}) IS NULL AS INTEGER) AS no_recent_data,
+    CAST({recent} AS INTEGER) AS adoption_label_recent,
+    {_sum0(snaps(S.invest_non_label_products))} AS invested_non_label_balance,
+    {_cnt_pos(snaps(S.invest_non_label_products))} AS n_invest_non_label,
+    CAST({hist} AS INTEGER) AS has_product_history,
+    {no_signal} AS no_signal,
+    1 - {no_signal} AS trainable,
+    {_sdiv('expenses', 'income')} AS expense_income_ratio,
+    {_sdiv('savings_capacity', 'income')} AS savings_income_pct,
+    {_sdiv('liabilities', 'assets')} AS liability_asset_ratio,
+    {_sdiv('equity', 'income * 12')} AS equity_per_income,
+    income - income_estimate AS income_gap,
+    {_sdiv('income - income_estimate', 'income')} AS income_gap_pct,
+    {liquid} AS liquid_balance_total,
+    {_cnt_pos(snaps(P))} AS n_products_total,
+    {_cnt_pos(snaps(S.non_label_products))} AS n_products_non_label,
+    {_sdiv(liquid, 'equity')} AS liquidity_equity_ratio,
+    {rel},
+    CAST(housing IS NOT NULL AS INTEGER) AS has_housing_data,
+    coalesce(housing, '{S.missing_label}') AS housing,
+    CAST({fin_all_null} AS INTEGER) AS missing_financial,
+    CAST(income_estimate IS NULL AS INTEGER) AS missing_estimator,
+    CAST(housing IS NULL AS INTEGER) AS missing_housing,
+    CAST(coalesce(cv_insuff, 1) AS INTEGER) AS liquid_cv_insufficient,
+    CAST((year(cut_date) * 12 + month(cut_date)) - (year(first_month) * 12 + month(first_month)) AS INTEGER)
+      AS tenure_months
+  FROM wide, params)"""
+    return _pivot_cte() + ",\n" + wide + ",\n" + feat
+
+
+FEAT_CTES = (BAL, CUT, SNAP, MONTHLY, PANEL, CV, FIRST, CUST, EST, _feat_cte())
+
+
+def feat_with(*extra: str) -> str:
+    return with_(*FEAT_CTES, *extra)
+
+
+def select_rounded(table: str, columns: list[tuple[str, str]]) -> str:
+    """SELECT with round() on the double columns: columns = [(name, kind)]."""
+    parts = [r(n, n) if k == "d" else n for n, k in columns]
+    return f"SELECT {', '.join(parts)} FROM {table}"
+
+
+FEAT_DOUBLES = (["income", "expenses", "assets", "liabilities", "equity", "savings_capacity",
+                 "income_estimate", "liquid_cv", "invested_non_label_balance",
+                 "expense_income_ratio", "savings_income_pct", "liability_asset_ratio",
+                 "equity_per_income", "income_gap", "income_gap_pct", "liquid_balance_total",
+                 "liquidity_equity_ratio"]
+                + [f"{p}_{c}" for p in S.product_slugs
+                   for c in ("balance_snapshot", "balance_mean_6m", "trend_6m", "relative_trend_6m")])
+
+SQL["customer_features"] = feat_with() + "SELECT * REPLACE (" + ", ".join(
+    f"round({c}, 6) AS {c}" for c in FEAT_DOUBLES) + ") FROM feat"

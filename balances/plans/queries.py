@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import asof, panel
+from balances.operators import asof, features, panel
+from balances.sources import tables
 from balances.plans.common import balances, cut, rounded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,5 +86,22 @@ def q_liquid_cv(spark, d):
     return rounded(panel.liquid_cv(panel_frame(spark, d), cut(spark, d)))
 
 
+def customers_frame(spark, d):
+    return features.clean_customers(tables.raw_customers(spark, d))
+
+
+def features_frame(spark, d, lift=None):
+    c = cut(spark, d)
+    recs = balances(spark, d)
+    return features.customer_features(
+        customers_frame(spark, d), recs, tables.income_estimates(spark, d),
+        panel.liquid_cv(panel.monthly_panel(recs, c), c), panel.first_record(recs), c, lift)
+
+
+@query("customer_features")
+def q_customer_features(spark, d):
+    return rounded(features_frame(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
