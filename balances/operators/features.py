@@ -21,15 +21,18 @@ from balances.operators import asof, panel
 S = SETTINGS
 
 
-def dedupe_first(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Keep one row per key — the first by ``order_col`` (explicit order
-    instead of row order). ``min_by`` aggregates partially map-side, so a key
-    with millions of duplicates never lands whole on one task."""
-    others = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(
-        F.min_by(F.struct(*others), F.struct(F.col(order_col), *[F.col(c) for c in others]))
-        .alias("_r"))
-    return picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in others])
+def dedupe_first(df: DataFrame, keys, order_cols) -> DataFrame:
+    """Keep one row per key — the first by ``order_cols`` then the other
+    columns (an explicit total order instead of row order). ``min_by``
+    aggregates partially map-side, so a key with millions of duplicates never
+    lands whole on one task."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    others = [c for c in df.columns if c not in keys]
+    order = order_cols + [c for c in others if c not in order_cols]
+    picked = df.groupBy(*keys).agg(
+        F.min_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("_r"))
+    return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
 def clean_customers(raw: DataFrame, key: str = "customer_id", order_col: str = "name") -> DataFrame:

@@ -286,3 +286,151 @@ FEAT_DOUBLES = (["income", "expenses", "assets", "liabilities", "equity", "savin
 
 SQL["customer_features"] = feat_with() + "SELECT * REPLACE (" + ", ".join(
     f"round({c}, 6) AS {c}" for c in FEAT_DOUBLES) + ") FROM feat"
+
+
+# --------------------------------------------------------------------------
+# gold-layer profiles, levels, star schema, data quality
+# --------------------------------------------------------------------------
+POP = "CASE WHEN has_product_history = 1 THEN 'with_history' ELSE 'without_history' END"
+
+SQL["missing_flags"] = feat_with() + """
+SELECT customer_id, housing, has_housing_data, missing_financial, missing_estimator, missing_housing
+FROM feat"""
+
+SQL["segment_rates"] = feat_with() + """,
+long AS (
+  SELECT 'age_group' AS variable, CAST(age_group AS VARCHAR) AS category, adoption_label FROM feat
+  UNION ALL SELECT 'gender', CAST(gender AS VARCHAR), adoption_label FROM feat
+  UNION ALL SELECT 'segment', CAST(segment AS VARCHAR), adoption_label FROM feat
+  UNION ALL SELECT 'housing', CAST(housing AS VARCHAR), adoption_label FROM feat)
+SELECT variable, category, CAST(count(*) AS BIGINT) AS n, round(avg(adoption_label), 6) AS rate
+FROM long GROUP BY variable, category"""
+
+SQL["label_means"] = feat_with() + "SELECT adoption_label, " + ", ".join(
+    f"round(avg({c}), 6) AS mean_{c}" for c in
+    [f"{p}_balance_snapshot" for p in S.product_slugs] + ["savings_capacity"]) + \
+    " FROM feat GROUP BY adoption_label"
+
+_MEDIAN_COLS = ["income", "savings_capacity", "liquid_balance_total"]
+SQL["label_medians"] = feat_with() + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, adoption_label, CAST({c} AS DOUBLE) AS value FROM feat"
+    for c in _MEDIAN_COLS) + """)
+SELECT variable, adoption_label, round(quantile_cont(value, 0.5), 6) AS median
+FROM long WHERE value IS NOT NULL GROUP BY variable, adoption_label"""
+
+_RAW_CUST_COLS = ["customer_id", "name", "age_group", "gender", "segment", "housing",
+                  "income", "expenses", "assets", "liabilities", "equity"]
+SQL["null_profile"] = with_(CUST) + ",\nc AS (SELECT *, assets - liabilities AS equity FROM cust_raw)\n" + \
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, "
+        f"CAST(count(*) AS BIGINT) AS n_rows FROM c" for c in _RAW_CUST_COLS)
+
+_DESCRIBE_COLS = ["income", "savings_capacity", "liquid_balance_total", "invested_non_label_balance"]
+SQL["describe_profile"] = feat_with() + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat" for c in _DESCRIBE_COLS) + """)
+SELECT variable, CAST(count(value) AS BIGINT) AS count, round(avg(value), 6) AS mean,
+       round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max,
+       round(quantile_cont(value, 0.01), 6) AS q01, round(quantile_cont(value, 0.25), 6) AS q25,
+       round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75,
+       round(quantile_cont(value, 0.99), 6) AS q99
+FROM long GROUP BY variable"""
+
+LEVELS = f"""lv AS (
+  SELECT customer_id, {POP} AS population, liquid_balance_total AS value FROM feat),
+lvr AS (
+  SELECT customer_id, population, value,
+         CAST(row_number() OVER (PARTITION BY population ORDER BY value, customer_id) AS BIGINT) AS rn,
+         CAST(count(*) OVER (PARTITION BY population) AS BIGINT) AS n
+  FROM lv WHERE value IS NOT NULL),
+levels AS (
+  SELECT *, CASE WHEN rn * 4 <= n THEN 'D' WHEN rn * 4 <= n * 2 THEN 'C'
+                 WHEN rn * 4 <= n * 3 THEN 'B' ELSE 'A' END AS level,
+         CAST(rn AS DOUBLE) / n AS pct_rank
+  FROM lvr)"""
+
+SQL["priority_levels"] = feat_with(LEVELS) + """
+SELECT customer_id, population, round(value, 6) AS value, level, rn, n FROM levels"""
+
+SQL["percentile_in_group"] = feat_with(LEVELS) + """
+SELECT customer_id, population, round(pct_rank, 6) AS pct_rank FROM levels"""
+
+_LI_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_LI_ORDER = ["l_shipdate"] + [c for c in _LI_COLS if c != "l_shipdate"]
+SQL["dedupe_first"] = "SELECT l_orderkey, l_linenumber, " + ", ".join(_LI_COLS) + \
+    " FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY " + \
+    ", ".join(f"{c} NULLS FIRST" for c in _LI_ORDER) + ") = 1"
+
+SQL["duplicates"] = with_(CUST) + """
+SELECT 'lineitem' AS table_name, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS n_keys,
+       CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS n_duplicates,
+       CASE WHEN count(*) = count(DISTINCT (l_orderkey, l_linenumber)) THEN 'OK' ELSE 'FAIL' END AS status
+FROM lineitem
+UNION ALL
+SELECT 'customers', CAST(count(*) AS BIGINT), CAST(count(DISTINCT customer_id) AS BIGINT),
+       CAST(count(*) - count(DISTINCT customer_id) AS BIGINT),
+       CASE WHEN count(*) = count(DISTINCT customer_id) THEN 'OK' ELSE 'FAIL' END
+FROM cust_raw"""
+
+SQL["grain_check"] = with_(BAL) + """
+SELECT 'balances' AS table_name, 'customer_id,product,obs_date' AS grain,
+       CAST(count(*) - count(DISTINCT (customer_id, product, obs_date)) AS BIGINT) AS n_duplicates,
+       CASE WHEN count(*) = count(DISTINCT (customer_id, product, obs_date)) THEN 'OK' ELSE 'FAIL' END AS status
+FROM bal
+UNION ALL
+SELECT 'balances', 'customer_id,product,row_key',
+       CAST(count(*) - count(DISTINCT (customer_id, product, row_key)) AS BIGINT),
+       CASE WHEN count(*) = count(DISTINCT (customer_id, product, row_key)) THEN 'OK' ELSE 'FAIL' END
+FROM bal
+UNION ALL
+SELECT 'balances', 'customer_id,product,valuation_date', CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR)"""
+
+SQL["orphans"] = with_(BAL, CUST) + """
+SELECT CAST(count(*) AS BIGINT) AS n_orphans FROM (
+  SELECT DISTINCT customer_id FROM bal
+  EXCEPT SELECT DISTINCT customer_id FROM cust_raw) t"""
+
+SQL["non_ascii"] = " UNION ALL ".join(
+    f"SELECT 'documents' AS table_name, '{c}' AS \"column\", CAST(count(*) AS BIGINT) AS n_rows, "
+    f"CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct FROM documents "
+    f"WHERE regexp_matches({c}, '[^\\x00-\\x7F]')" for c in ("text", "lang", "source"))
+
+STAR = """dim_product AS (
+  SELECT product, CAST(row_number() OVER (ORDER BY product) AS INTEGER) AS product_id
+  FROM (SELECT DISTINCT product FROM panel WHERE product IS NOT NULL) t),
+dim_time AS (
+  SELECT date, CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS date_id,
+         year(date) AS year, month(date) AS month, quarter(date) AS quarter
+  FROM (SELECT DISTINCT month AS date FROM panel WHERE month IS NOT NULL) t),
+fact AS (
+  SELECT p.customer_id, dp.product_id, dt.date_id, p.month, p.balance_month
+  FROM panel p LEFT JOIN dim_product dp USING (product) LEFT JOIN dim_time dt ON p.month = dt.date)"""
+
+PANEL_CTES = (BAL, CUT, MONTHLY, PANEL)
+SQL["dim_product"] = with_(*PANEL_CTES, STAR) + "SELECT product, product_id FROM dim_product"
+SQL["dim_time"] = with_(*PANEL_CTES, STAR) + \
+    "SELECT date, date_id, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, " \
+    "CAST(quarter AS INTEGER) AS quarter FROM dim_time"
+SQL["star_fact"] = with_(*PANEL_CTES, STAR) + """
+SELECT customer_id, product_id, date_id, month, round(balance_month, 6) AS balance_month FROM fact"""
+
+SQL["constraint_report"] = feat_with(STAR) + """
+SELECT 'dim_customer' AS table_name, 'primary_key' AS "constraint", 'customer_id' AS columns,
+       CAST(count(*) - count(DISTINCT customer_id) AS BIGINT) AS violations FROM feat
+UNION ALL SELECT 'dim_customer', 'pk_not_null', 'customer_id', CAST(count(*) FILTER (WHERE customer_id IS NULL) AS BIGINT) FROM feat
+UNION ALL SELECT 'dim_product', 'primary_key', 'product_id', CAST(count(*) - count(DISTINCT product_id) AS BIGINT) FROM dim_product
+UNION ALL SELECT 'dim_product', 'pk_not_null', 'product_id', CAST(count(*) FILTER (WHERE product_id IS NULL) AS BIGINT) FROM dim_product
+UNION ALL SELECT 'dim_time', 'primary_key', 'date_id', CAST(count(*) - count(DISTINCT date_id) AS BIGINT) FROM dim_time
+UNION ALL SELECT 'dim_time', 'pk_not_null', 'date_id', CAST(count(*) FILTER (WHERE date_id IS NULL) AS BIGINT) FROM dim_time
+UNION ALL SELECT 'fact_monthly', 'primary_key', 'customer_id,product_id,date_id',
+       CAST(count(*) - count(DISTINCT (customer_id, product_id, date_id)) AS BIGINT) FROM fact
+UNION ALL SELECT 'fact_monthly', 'pk_not_null', 'customer_id,product_id,date_id',
+       CAST(count(*) FILTER (WHERE customer_id IS NULL OR product_id IS NULL OR date_id IS NULL) AS BIGINT) FROM fact
+UNION ALL SELECT 'fact_monthly', 'not_null', 'month', CAST(count(*) FILTER (WHERE month IS NULL) AS BIGINT) FROM fact
+UNION ALL SELECT 'fact_monthly', 'foreign_key:dim_customer', 'customer_id', CAST(count(*) AS BIGINT) FROM (
+  SELECT DISTINCT customer_id FROM fact WHERE customer_id IS NOT NULL EXCEPT SELECT customer_id FROM feat) a
+UNION ALL SELECT 'fact_monthly', 'foreign_key:dim_product', 'product_id', CAST(count(*) AS BIGINT) FROM (
+  SELECT DISTINCT product_id FROM fact WHERE product_id IS NOT NULL EXCEPT SELECT product_id FROM dim_product) b
+UNION ALL SELECT 'fact_monthly', 'foreign_key:dim_time', 'date_id', CAST(count(*) AS BIGINT) FROM (
+  SELECT DISTINCT date_id FROM fact WHERE date_id IS NOT NULL EXCEPT SELECT date_id FROM dim_time) c"""

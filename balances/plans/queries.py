@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import asof, features, panel
+from balances.operators import asof, features, panel, profile, quality, rank, star
 from balances.sources import tables
 from balances.plans.common import balances, cut, rounded
 
@@ -103,5 +103,144 @@ def q_customer_features(spark, d):
     return rounded(features_frame(spark, d))
 
 
+S = SETTINGS
+POP_WITH, POP_WITHOUT = "with_history", "without_history"
+CAT_COLS = ["age_group", "gender", "segment", "housing"]
+MEDIAN_COLS = ["income", "savings_capacity", "liquid_balance_total"]
+DESCRIBE_COLS = ["income", "savings_capacity", "liquid_balance_total", "invested_non_label_balance"]
+
+
+def population(c="has_product_history"):
+    """PF13: population split by product history."""
+    return F.when(F.col(c) == 1, F.lit(POP_WITH)).otherwise(F.lit(POP_WITHOUT))
+
+
+@query("missing_flags")
+def q_missing_flags(spark, d):
+    f = features_frame(spark, d)
+    return f.select("customer_id", "housing", "has_housing_data", "missing_financial",
+                    "missing_estimator", "missing_housing")
+
+
+@query("segment_rates")
+def q_segment_rates(spark, d):
+    f = features_frame(spark, d)
+    return rounded(profile.rate_by_category(f, CAT_COLS, "adoption_label")
+                   .withColumn("n", F.col("n").cast("long")))
+
+
+@query("label_means")
+def q_label_means(spark, d):
+    f = features_frame(spark, d)
+    cols = [f"{p}_balance_snapshot" for p in S.product_slugs] + ["savings_capacity"]
+    return rounded(profile.means_by(f, "adoption_label", cols))
+
+
+@query("label_medians")
+def q_label_medians(spark, d):
+    f = features_frame(spark, d)
+    return rounded(profile.medians_by(f, "adoption_label", MEDIAN_COLS))
+
+
+@query("null_profile")
+def q_null_profile(spark, d):
+    return profile.null_profile(tables.raw_customers(spark, d))
+
+
+@query("describe_profile")
+def q_describe_profile(spark, d):
+    f = features_frame(spark, d)
+    return rounded(profile.describe_profile(f, DESCRIBE_COLS)
+                   .withColumn("count", F.col("count").cast("long")))
+
+
+def levels_frame(spark, d):
+    f = features_frame(spark, d).select(
+        "customer_id", population().alias("population"),
+        F.col("liquid_balance_total").alias("value"))
+    return rank.priority_levels(f, "value", ["population"])
+
+
+@query("priority_levels")
+def q_priority_levels(spark, d):
+    return rounded(levels_frame(spark, d).select("customer_id", "population", "value", "level",
+                                                 "rn", "n"))
+
+
+@query("percentile_in_group")
+def q_percentile_in_group(spark, d):
+    return rounded(levels_frame(spark, d).select("customer_id", "population", "pct_rank"))
+
+
+LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
+LINEITEM_ORDER = ["l_shipdate"]
+
+
+@query("dedupe_first")
+def q_dedupe_first(spark, d):
+    li = tables.read_table(spark, d, "lineitem")
+    return features.dedupe_first(li, LINEITEM_KEYS, LINEITEM_ORDER)
+
+
+@query("duplicates")
+def q_duplicates(spark, d):
+    li = tables.read_table(spark, d, "lineitem", LINEITEM_KEYS)
+    cu = tables.raw_customers(spark, d)
+    return (quality.duplicate_keys(li, LINEITEM_KEYS, "lineitem")
+            .unionByName(quality.duplicate_keys(cu, ["customer_id"], "customers")))
+
+
+@query("grain_check")
+def q_grain_check(spark, d):
+    b = balances(spark, d)
+    return (quality.grain_check(b, ["customer_id", "product", "obs_date"], "balances")
+            .unionByName(quality.grain_check(b, ["customer_id", "product", "row_key"], "balances"))
+            .unionByName(quality.grain_check(b, ["customer_id", "product", "valuation_date"],
+                                             "balances")))
+
+
+@query("orphans")
+def q_orphans(spark, d):
+    return quality.orphans(balances(spark, d), tables.raw_customers(spark, d), "customer_id")
+
+
+@query("non_ascii")
+def q_non_ascii(spark, d):
+    docs = tables.read_table(spark, d, "documents", ["text", "lang", "source"])
+    return quality.non_ascii_values(docs, ["text", "lang", "source"], "documents")
+
+
+def star_frames(spark, d):
+    return star.star_schema(features_frame(spark, d), panel_frame(spark, d))
+
+
+@query("dim_product")
+def q_dim_product(spark, d):
+    return star.dim_product(panel_frame(spark, d))
+
+
+@query("dim_time")
+def q_dim_time(spark, d):
+    return star.dim_time(panel_frame(spark, d))
+
+
+@query("star_fact")
+def q_star_fact(spark, d):
+    return rounded(star_frames(spark, d)["fact_monthly"])
+
+
+STAR_PKS = {"dim_customer": ["customer_id"], "dim_product": ["product_id"],
+            "dim_time": ["date_id"], "fact_monthly": ["customer_id", "product_id", "date_id"]}
+STAR_NOT_NULL = {"fact_monthly": ["month"]}
+STAR_FKS = [("fact_monthly", "customer_id", "dim_customer", "customer_id"),
+            ("fact_monthly", "product_id", "dim_product", "product_id"),
+            ("fact_monthly", "date_id", "dim_time", "date_id")]
+
+
+@query("constraint_report")
+def q_constraint_report(spark, d):
+    return quality.constraint_report(star_frames(spark, d), STAR_PKS, STAR_NOT_NULL, STAR_FKS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
