@@ -122,6 +122,23 @@ def commercial_block(std, mean, has_history) -> Column:
             .otherwise(F.lit("riesgo_retiro")))
 
 
+TIEBREAK_BITS = 40
+
+
+def latest_order_key(date_col, tiebreak_col=None) -> Column:
+    """Fixed-width ordering key for "latest record" picks: unix_date << 40 |
+    tiebreak. A long keeps ``max_by`` in a hash aggregate (a struct ordering
+    forces a sort-based aggregate, i.e. a map-side sort of every row). A
+    tie-break outside [0, 2^40) fails the job instead of mis-ordering."""
+    day = F.unix_date(col(date_col)).cast("long")
+    if tiebreak_col is None:
+        return day
+    tb = col(tiebreak_col).cast("long")
+    ok = (tb >= 0) & (tb < F.lit(1 << TIEBREAK_BITS))
+    return F.when(ok | tb.isNull(), F.shiftleft(day, TIEBREAK_BITS) + F.coalesce(tb, F.lit(0)))\
+        .otherwise(F.raise_error(F.lit("tie-break key outside [0, 2^40)")).cast("long"))
+
+
 def r6(c, digits: int = 6) -> Column:
     """Round doubles for order-insensitive comparison."""
     return F.round(col(c).cast("double"), digits)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.functions.columns import safe_divide
+from balances.functions.columns import latest_order_key, safe_divide
 
 
 def global_cut_frame(records: DataFrame, source_col: str = "source",
@@ -53,8 +53,7 @@ def cut_report(records: DataFrame, cut: dt.date, keys=("customer_id", "product")
 
 
 def _latest_key(date_col, tiebreak_col, value_col):
-    order = F.struct(F.col(date_col), F.col(tiebreak_col)) if tiebreak_col else F.col(date_col)
-    return F.when(F.col(value_col).isNotNull(), order)
+    return F.when(F.col(value_col).isNotNull(), latest_order_key(date_col, tiebreak_col))
 
 
 def snapshot_aggs(cut: dt.date, date_col="obs_date", value_col="balance",

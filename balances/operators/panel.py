@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.functions.columns import month_index, safe_divide
+from balances.functions.columns import latest_order_key, month_index, safe_divide
 
 
 def month_start(c) -> F.Column:
@@ -27,7 +27,7 @@ def month_start(c) -> F.Column:
 def month_last(records: DataFrame, keys=("customer_id", "product"), date_col="obs_date",
                value_col="balance", tiebreak_col="row_key") -> DataFrame:
     """Last non-null value per (group, month); observed = 1."""
-    order = F.struct(F.col(date_col), F.col(tiebreak_col)) if tiebreak_col else F.col(date_col)
+    order = latest_order_key(date_col, tiebreak_col)
     return (records
             .groupBy(*keys, month_start(date_col).alias("month"))
             .agg(F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(), order))

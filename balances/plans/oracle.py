@@ -434,3 +434,198 @@ UNION ALL SELECT 'fact_monthly', 'foreign_key:dim_product', 'product_id', CAST(c
   SELECT DISTINCT product_id FROM fact WHERE product_id IS NOT NULL EXCEPT SELECT product_id FROM dim_product) b
 UNION ALL SELECT 'fact_monthly', 'foreign_key:dim_time', 'date_id', CAST(count(*) AS BIGINT) FROM (
   SELECT DISTINCT date_id FROM fact WHERE date_id IS NOT NULL EXCEPT SELECT date_id FROM dim_time) c"""
+
+
+# --------------------------------------------------------------------------
+# statistics battery
+# --------------------------------------------------------------------------
+NUM_VARS = ["income", "expenses", "savings_capacity", "liquid_balance_total",
+            "invested_non_label_balance", "savings_balance_snapshot", "checking_balance_snapshot",
+            "term_deposit_balance_snapshot", "trust_fund_balance_snapshot",
+            "expense_income_ratio", "tenure_months", "days_since_last_data",
+            "n_products_non_label", "liquid_cv"]
+CAT_VARS = ["age_group", "gender", "segment", "housing"]
+DEC = "[" + ", ".join(repr(i / S.n_bins) for i in range(S.n_bins + 1)) + "]"
+
+NUM_LONG = "nl AS (" + " UNION ALL ".join(
+    f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat"
+    for c in NUM_VARS) + ")"
+
+NUM_BINS = f"""pv AS (SELECT variable, value, count(*) AS c FROM nl WHERE value IS NOT NULL GROUP BY 1, 2),
+vstats AS (SELECT variable, count(*) AS nunique, arg_max(value, {{'c': c, 'v': -value}}) AS mode
+           FROM pv GROUP BY variable),
+vedges AS (SELECT variable, list_sort(list_distinct(quantile_cont(value, {DEC}))) AS edges
+           FROM nl WHERE value IS NOT NULL GROUP BY variable),
+vinfo0 AS (SELECT s.variable, s.nunique, s.mode, e.edges FROM vstats s LEFT JOIN vedges e USING (variable)),
+vrest AS (SELECT nl.variable, list_sort(list_distinct(quantile_cont(nl.value, {DEC}))) AS edges_rest
+          FROM nl JOIN vinfo0 i USING (variable)
+          WHERE nl.value IS NOT NULL AND i.nunique > {S.n_bins} AND len(i.edges) < 3 AND nl.value <> i.mode
+          GROUP BY nl.variable),
+vinfo AS (SELECT i.variable, i.mode,
+                 CASE WHEN i.nunique <= {S.n_bins} THEN 'value' WHEN len(i.edges) >= 3 THEN 'quantile'
+                      ELSE 'mode' END AS kind,
+                 CASE WHEN i.nunique <= {S.n_bins} THEN NULL WHEN len(i.edges) >= 3 THEN i.edges
+                      ELSE r.edges_rest END AS e
+          FROM vinfo0 i LEFT JOIN vrest r USING (variable)),
+nb0 AS (SELECT nl.*, vinfo.kind, vinfo.mode, vinfo.e,
+               len(list_filter(vinfo.e[2:len(vinfo.e) - 1], lambda x: x < nl.value)) AS idx
+        FROM nl LEFT JOIN vinfo USING (variable)),
+nbin AS (SELECT customer_id, y, variable, value,
+           CASE WHEN value IS NULL THEN 'missing'
+                WHEN kind = 'mode' AND value = mode THEN 'mode'
+                WHEN kind = 'value' OR (kind = 'mode' AND len(e) < 2) THEN 'value'
+                ELSE 'quantile' END AS bin_kind,
+           CASE WHEN value IS NULL THEN NULL
+                WHEN (kind = 'mode' AND value = mode) OR kind = 'value' OR (kind = 'mode' AND len(e) < 2) THEN value
+                ELSE e[idx + 1] END AS bin_lo,
+           CASE WHEN value IS NULL THEN NULL
+                WHEN (kind = 'mode' AND value = mode) OR kind = 'value' OR (kind = 'mode' AND len(e) < 2) THEN value
+                ELSE e[idx + 2] END AS bin_hi
+         FROM nb0)"""
+
+
+def _woe_sql(src: str, bin_cols: str, name: str) -> str:
+    return f"""{name}_g AS (SELECT variable, {bin_cols}, count(*) AS n, CAST(sum(y) AS BIGINT) AS events
+              FROM {src} GROUP BY variable, {bin_cols}),
+{name}_t AS (SELECT *, n - events AS non_events,
+                sum(events) OVER (PARTITION BY variable) AS te,
+                sum(n - events) OVER (PARTITION BY variable) AS tne,
+                count(*) OVER (PARTITION BY variable) AS k FROM {name}_g),
+{name} AS (SELECT variable, {bin_cols}, CAST(n AS BIGINT) AS n, events,
+              ln(((non_events + {S.woe_eps}) / (tne + {S.woe_eps} * k)) / ((events + {S.woe_eps}) / (te + {S.woe_eps} * k))) AS woe,
+              ((non_events + {S.woe_eps}) / (tne + {S.woe_eps} * k) - (events + {S.woe_eps}) / (te + {S.woe_eps} * k))
+                * ln(((non_events + {S.woe_eps}) / (tne + {S.woe_eps} * k)) / ((events + {S.woe_eps}) / (te + {S.woe_eps} * k))) AS iv_bin
+           FROM {name}_t)"""
+
+
+CAT_LONG = "cl AS (" + " UNION ALL ".join(
+    f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '{S.missing_label}') AS bin FROM feat"
+    for c in CAT_VARS) + ")"
+
+WOE_NUM = _woe_sql("nbin", "bin_kind, bin_lo, bin_hi", "woe_num")
+WOE_CAT = _woe_sql("cl", "bin", "woe_cat")
+
+SQL["woe_iv_numeric"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM) + """
+SELECT variable, bin_kind, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, n, events,
+       round(woe, 6) AS woe, round(iv_bin, 6) AS iv_bin FROM woe_num"""
+
+SQL["woe_iv_categorical"] = feat_with(CAT_LONG, WOE_CAT) + """
+SELECT variable, bin, n, events, round(woe, 6) AS woe, round(iv_bin, 6) AS iv_bin FROM woe_cat"""
+
+_IVC = "CASE " + " ".join(f"WHEN iv < {c} THEN '{lab}'" for c, lab in S.iv_cuts) + " ELSE 'strong' END"
+SQL["iv_class"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG, WOE_CAT) + f""",
+ivs AS (SELECT variable, sum(iv_bin) AS iv FROM (
+          SELECT variable, iv_bin FROM woe_num UNION ALL SELECT variable, iv_bin FROM woe_cat) u
+        GROUP BY variable)
+SELECT variable, round(iv, 6) AS iv, {_IVC} AS iv_class FROM ivs"""
+
+MW = """mwr AS (SELECT variable, value, y,
+              (rank() OVER w + (count(*) OVER (PARTITION BY variable, value)) - 1 + rank() OVER w) / 2.0 AS mid_rank
+            FROM nl WHERE value IS NOT NULL WINDOW w AS (PARTITION BY variable ORDER BY value)),
+ties AS (SELECT variable, sum(power(t, 3) - t) AS tie_term FROM (
+           SELECT variable, value, count(*) AS t FROM nl WHERE value IS NOT NULL GROUP BY 1, 2) x GROUP BY 1),
+mwg AS (SELECT variable, sum(mid_rank * y) AS r1, CAST(sum(y) AS BIGINT) AS n1, count(*) AS n
+        FROM mwr GROUP BY variable),
+mw AS (SELECT g.variable, g.n1 AS n_event, CAST(g.n - g.n1 AS BIGINT) AS n_non_event,
+              CASE WHEN g.n1 > 0 AND g.n - g.n1 > 0 THEN g.r1 - g.n1 * (g.n1 + 1) / 2.0 END AS u,
+              CASE WHEN g.n1 > 0 AND g.n - g.n1 > 0 THEN
+                (greatest(g.r1 - g.n1 * (g.n1 + 1) / 2.0, g.n1 * (g.n - g.n1) - (g.r1 - g.n1 * (g.n1 + 1) / 2.0))
+                 - g.n1 * (g.n - g.n1) / 2.0 - 0.5)
+                / sqrt(g.n1 * (g.n - g.n1) / 12.0 * ((g.n + 1) - t.tie_term / (g.n * (g.n - 1)))) END AS z
+       FROM mwg g JOIN ties t USING (variable)),
+med AS (SELECT variable,
+               quantile_cont(value, 0.5) FILTER (WHERE y = 1) AS median_event,
+               quantile_cont(value, 0.5) FILTER (WHERE y = 0) AS median_non_event
+        FROM nl WHERE value IS NOT NULL GROUP BY variable)"""
+
+SQL["mann_whitney_u"] = feat_with(NUM_LONG, MW) + """
+SELECT variable, n_event, n_non_event, round(u, 6) AS u, round(z, 6) AS z,
+       round(median_event, 6) AS median_event, round(median_non_event, 6) AS median_non_event
+FROM mw LEFT JOIN med USING (variable)"""
+
+SQL["one_vs_rest_rank"] = feat_with() + f""",
+o AS (SELECT customer_id, coalesce(CAST(segment AS VARCHAR), '{S.missing_label}') AS grp,
+             CAST(liquid_balance_total AS DOUBLE) AS value FROM feat WHERE liquid_balance_total IS NOT NULL),
+orr AS (SELECT grp, value, (2 * rank() OVER (ORDER BY value) + count(*) OVER (PARTITION BY value) - 1) / 2.0 AS mid_rank FROM o),
+tie AS (SELECT sum(power(t, 3) - t) AS tie_term, sum(t) AS n_all FROM (SELECT value, count(*) AS t FROM o GROUP BY value) x),
+pg AS (SELECT grp, count(*) AS n, avg(value) AS mean, sum(mid_rank) AS r_g FROM orr GROUP BY grp)
+SELECT grp AS "group", CAST(n AS BIGINT) AS n, round(mean, 6) AS mean,
+       round(CASE WHEN n_all - n > 0 THEN r_g - n * (n + 1) / 2.0 END, 6) AS u,
+       round(CASE WHEN n_all - n > 0 THEN
+         (greatest(r_g - n * (n + 1) / 2.0, n * (n_all - n) - (r_g - n * (n + 1) / 2.0)) - n * (n_all - n) / 2.0 - 0.5)
+         / sqrt(n * (n_all - n) / 12.0 * ((n_all + 1) - tie_term / (n_all * (n_all - 1)))) END, 6) AS z
+FROM pg, tie"""
+
+_CHI_VARS = CAT_VARS + ["has_housing_data", "missing_estimator"]
+SQL["chi2_cramer"] = feat_with() + ",\nck AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '{S.missing_label}') AS category, adoption_label AS y FROM feat"
+    for c in _CHI_VARS) + """),
+per AS (SELECT variable, category, count(*) AS n_i, sum(y) AS e_i FROM ck GROUP BY 1, 2),
+per2 AS (SELECT *, sum(n_i) OVER (PARTITION BY variable) AS nn, sum(e_i) OVER (PARTITION BY variable) AS ee,
+                count(*) OVER (PARTITION BY variable) AS r FROM per),
+per3 AS (SELECT *, (CASE WHEN ee > 0 THEN 1 ELSE 0 END) + (CASE WHEN nn - ee > 0 THEN 1 ELSE 0 END) AS c,
+                n_i * ee / nn AS x1, n_i * (nn - ee) / nn AS x0 FROM per2),
+per4 AS (SELECT *, (r - 1) * (c - 1) AS dof,
+                CASE WHEN (r - 1) * (c - 1) = 1 THEN 0.5 ELSE 0.0 END AS yt FROM per3),
+cells AS (SELECT variable, nn, r, c, dof,
+                 (CASE WHEN x1 > 0 THEN power(greatest(abs(e_i - x1) - yt, 0.0), 2) / x1 ELSE 0.0 END)
+               + (CASE WHEN x0 > 0 THEN power(greatest(abs((n_i - e_i) - x0) - yt, 0.0), 2) / x0 ELSE 0.0 END) AS cell
+          FROM per4),
+g AS (SELECT variable, sum(cell) AS chi2, first(dof) AS dof, first(nn) AS n, first(r) AS r, first(c) AS c
+      FROM cells GROUP BY variable)
+SELECT variable,
+       round(CASE WHEN r >= 2 AND c >= 2 THEN chi2 END, 6) AS chi2,
+       CAST(CASE WHEN r >= 2 AND c >= 2 THEN dof ELSE 0 END AS INTEGER) AS dof,
+       round(CASE WHEN r >= 2 AND c >= 2 AND least(r, c) - 1 > 0 THEN sqrt(chi2 / (n * (least(r, c) - 1))) END, 6) AS cramers_v,
+       CAST(n AS BIGINT) AS n
+FROM g"""
+
+SQL["bh_fdr"] = """WITH x AS (SELECT l_orderkey, l_linenumber, l_discount * 10 AS p FROM lineitem),
+rk AS (SELECT *, row_number() OVER (ORDER BY p, l_orderkey) AS rn, count(*) OVER () AS n FROM x),
+q AS (SELECT *, min(p * n / rn) OVER (ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS qq FROM rk)
+SELECT l_orderkey, l_linenumber, round(p, 6) AS p, round(least(qq, 1.0), 6) AS q_value,
+       CAST(least(qq, 1.0) <= 0.05 AS INTEGER) AS reject FROM q"""
+
+_VA, _VB, _VC = "income", "expense_income_ratio", "liquid_balance_total"
+
+
+def _vif(r1, r2, r3):
+    r2j = f"((power({r1}, 2) + power({r2}, 2) - 2 * {r1} * {r2} * {r3}) / (1 - power({r3}, 2)))"
+    return f"round(CASE WHEN {r2j} >= 1 - 1e-12 THEN CAST('inf' AS DOUBLE) ELSE 1 / (1 - {r2j}) END, 6)"
+
+
+SQL["vif"] = feat_with() + f""",
+rr AS (SELECT corr({_VA}, {_VB}) AS rab, corr({_VA}, {_VC}) AS rac, corr({_VB}, {_VC}) AS rbc FROM feat
+       WHERE {_VA} IS NOT NULL AND {_VB} IS NOT NULL AND {_VC} IS NOT NULL)
+SELECT '{_VA}' AS variable, {_vif('rab', 'rac', 'rbc')} AS vif FROM rr
+UNION ALL SELECT '{_VB}', {_vif('rab', 'rbc', 'rac')} FROM rr
+UNION ALL SELECT '{_VC}', {_vif('rac', 'rbc', 'rab')} FROM rr"""
+
+SQL["conditional_lift"] = feat_with() + """,
+g AS (SELECT count(*) FILTER (WHERE missing_estimator = 1) AS n_a,
+             count(*) FILTER (WHERE missing_estimator = 1 AND missing_housing = 1) AS n_ab,
+             count(*) FILTER (WHERE missing_estimator <> 1) AS n_not_a,
+             count(*) FILTER (WHERE missing_estimator <> 1 AND missing_housing = 1) AS n_not_a_b FROM feat)
+SELECT CAST(n_a AS BIGINT) AS n_a, CAST(n_ab AS BIGINT) AS n_ab, CAST(n_not_a AS BIGINT) AS n_not_a,
+       CAST(n_not_a_b AS BIGINT) AS n_not_a_b,
+       round(CASE WHEN n_a = 0 OR n_not_a = 0 THEN NULL
+                  WHEN n_not_a_b = 0 THEN CASE WHEN n_ab = 0 THEN 0.0 ELSE CAST('inf' AS DOUBLE) END
+                  ELSE (CAST(n_ab AS DOUBLE) / n_a) / (CAST(n_not_a_b AS DOUBLE) / n_not_a) END, 6) AS lift
+FROM g"""
+
+SQL["auc_exact"] = feat_with() + """,
+a AS (SELECT segment, adoption_label AS y, CAST(liquid_balance_total AS DOUBLE) AS value FROM feat
+      WHERE liquid_balance_total IS NOT NULL),
+ar AS (SELECT segment, y, (2 * rank() OVER (PARTITION BY segment ORDER BY value)
+                           + count(*) OVER (PARTITION BY segment, value) - 1) / 2.0 AS mid_rank FROM a),
+g AS (SELECT segment, sum(mid_rank * y) AS r1, sum(y) AS n1, count(*) AS n FROM ar GROUP BY segment)
+SELECT segment, CAST(n1 AS BIGINT) AS n_pos, CAST(n - n1 AS BIGINT) AS n_neg,
+       round(CASE WHEN n1 > 0 AND n - n1 > 0 THEN (r1 - n1 * (n1 + 1) / 2.0) / (n1 * (n - n1)) END, 6) AS auc
+FROM g"""
+
+SQL["spearman"] = feat_with() + """,
+b AS (SELECT customer_id, liquid_balance_total AS a1, invested_non_label_balance AS b1 FROM feat
+      WHERE liquid_balance_total IS NOT NULL AND invested_non_label_balance IS NOT NULL),
+rr AS (SELECT (2 * rank() OVER (ORDER BY a1) + count(*) OVER (PARTITION BY a1) - 1) / 2.0 AS ra,
+              (2 * rank() OVER (ORDER BY b1) + count(*) OVER (PARTITION BY b1) - 1) / 2.0 AS rb FROM b)
+SELECT round(corr(ra, rb), 6) AS spearman, CAST(count(*) AS BIGINT) AS n FROM rr"""

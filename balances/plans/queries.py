@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import asof, features, panel, profile, quality, rank, star
+from balances.operators import asof, features, panel, profile, quality, rank, star, stats
 from balances.sources import tables
 from balances.plans.common import balances, cut, rounded
+from balances.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -98,6 +99,12 @@ def features_frame(spark, d, lift=None):
         panel.liquid_cv(panel.monthly_panel(recs, c), c), panel.first_record(recs), c, lift)
 
 
+def features_ckpt(spark, d):
+    """The feature mart materialised once (reliable checkpoint) for queries
+    that read it in several passes (statistics, ranking)."""
+    return cut_lineage(features_frame(spark, d))
+
+
 @query("customer_features")
 def q_customer_features(spark, d):
     return rounded(features_frame(spark, d))
@@ -242,5 +249,94 @@ def q_constraint_report(spark, d):
     return quality.constraint_report(star_frames(spark, d), STAR_PKS, STAR_NOT_NULL, STAR_FKS)
 
 
+# ---------------------------------------------------------------- statistics
+NUM_VARS = ["income", "expenses", "savings_capacity", "liquid_balance_total",
+            "invested_non_label_balance", "savings_balance_snapshot", "checking_balance_snapshot",
+            "term_deposit_balance_snapshot", "trust_fund_balance_snapshot",
+            "expense_income_ratio", "tenure_months", "days_since_last_data",
+            "n_products_non_label", "liquid_cv"]
+LABEL = "adoption_label"
+
+
+@query("woe_iv_numeric")
+def q_woe_iv_numeric(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL))
+
+
+@query("woe_iv_categorical")
+def q_woe_iv_categorical(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL))
+
+
+def iv_frame(spark, d):
+    f = features_ckpt(spark, d)
+    w = stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL).select("variable", "iv_bin").unionByName(
+        stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL).select("variable", "iv_bin"))
+    return stats.iv_summary(w)
+
+
+@query("iv_class")
+def q_iv_class(spark, d):
+    return rounded(iv_frame(spark, d))
+
+
+@query("mann_whitney_u")
+def q_mann_whitney_u(spark, d):
+    f = features_ckpt(spark, d)
+    long = stats.to_long(f, "customer_id", NUM_VARS, LABEL)
+    return rounded(stats.mann_whitney(long, "customer_id")
+                   .join(stats.group_medians(long, "customer_id"), "variable", "left"))
+
+
+@query("one_vs_rest_rank")
+def q_one_vs_rest(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.one_vs_rest(f, "customer_id", "segment", "liquid_balance_total"))
+
+
+@query("chi2_cramer")
+def q_chi2_cramer(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.chi2_cramer(f, CAT_COLS + ["has_housing_data", "missing_estimator"], LABEL))
+
+
+@query("bh_fdr")
+def q_bh_fdr(spark, d):
+    li = tables.read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_discount"])
+    x = li.select("l_orderkey", "l_linenumber", (F.col("l_discount") * 10).alias("p"))
+    return rounded(stats.benjamini_hochberg(x, "p", "l_orderkey").select(
+        "l_orderkey", "l_linenumber", "p", "q_value", "reject"))
+
+
+VIF_COLS = ["income", "expense_income_ratio", "liquid_balance_total"]
+
+
+@query("vif")
+def q_vif(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.correlation_3(f, *VIF_COLS))
+
+
+@query("conditional_lift")
+def q_conditional_lift(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.conditional_lift(f, "missing_estimator", "missing_housing"))
+
+
+@query("auc_exact")
+def q_auc_exact(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.auc_exact(f, "customer_id", "liquid_balance_total", LABEL, ["segment"]))
+
+
+@query("spearman")
+def q_spearman(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(stats.spearman(f, "customer_id", "liquid_balance_total",
+                                  "invested_non_label_balance"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
