@@ -90,7 +90,8 @@ def with_(*ctes: str) -> str:
 
 
 def r(expr: str, alias: str, digits: int = 6) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits}) AS {alias}"
+    # "+ 0.0" turns a rounded negative zero into 0.0 (Spark's round never yields -0.0)
+    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0 AS {alias}"
 
 
 SQL: dict[str, str] = {}
@@ -629,3 +630,268 @@ b AS (SELECT customer_id, liquid_balance_total AS a1, invested_non_label_balance
 rr AS (SELECT (2 * rank() OVER (ORDER BY a1) + count(*) OVER (PARTITION BY a1) - 1) / 2.0 AS ra,
               (2 * rank() OVER (ORDER BY b1) + count(*) OVER (PARTITION BY b1) - 1) / 2.0 AS rb FROM b)
 SELECT round(corr(ra, rb), 6) AS spearman, CAST(count(*) AS BIGINT) AS n FROM rr"""
+
+
+# --------------------------------------------------------------------------
+# amounts, score fact, sizing, audit
+# --------------------------------------------------------------------------
+_APP, _CONS = list(S.label_products), list(S.invest_non_label_products)
+_COMPS = {"app": _APP, "conservative": _CONS}
+_SCEN = ("conservative", "base", "optimistic")
+_MI = lambda c: f"(year({c}) * 12 + month({c}))"
+
+
+def _growth(start, end, months):
+    return f"CASE WHEN ({months}) > 0 THEN (({end}) - ({start})) * CAST(12 AS DOUBLE) / CAST({months} AS DOUBLE) END"
+
+
+COMP = f"""comp0 AS (
+  SELECT customer_id, month,
+         coalesce(sum(balance_month) FILTER (WHERE product IN {_in(_APP)}), 0.0) AS app,
+         coalesce(sum(balance_month) FILTER (WHERE product IN {_in(_CONS)}), 0.0) AS conservative
+  FROM panel WHERE product IN {_in(_APP + _CONS)} GROUP BY customer_id, month),
+comp AS (SELECT *, app + conservative AS invested FROM comp0),
+hist AS (SELECT customer_id FROM comp GROUP BY customer_id HAVING max(invested) > 0),
+comp_h AS (SELECT * FROM comp WHERE customer_id IN (SELECT customer_id FROM hist)),
+split AS (SELECT CAST(count(*) AS BIGINT) AS n_months,
+                 max(month) FILTER (WHERE r = {S.backtest_months}) AS valid_start
+          FROM (SELECT month, row_number() OVER (ORDER BY month DESC) AS r
+                FROM (SELECT DISTINCT month FROM comp_h) m) x)"""
+
+
+def _window_cte(name, where):
+    cols = ", ".join(f"arg_min({c}, month) AS {c}_start0, arg_max({c}, month) AS {c}_end0" for c in _COMPS)
+    growth = ", ".join(
+        f"coalesce({c}_start0, 0.0) AS {c}_start, coalesce({c}_end0, 0.0) AS {c}_end, "
+        f"{_growth(f'coalesce({c}_start0, 0.0)', f'coalesce({c}_end0, 0.0)', 'months')} AS {c}_growth"
+        for c in _COMPS)
+    return f"""{name}0 AS (SELECT customer_id, min(month) AS month_first, max(month) AS month_last, {cols}
+           FROM comp_h, split WHERE {where} GROUP BY customer_id),
+{name} AS (SELECT customer_id, month_first, month_last, months, {growth}
+          FROM (SELECT *, CAST({_MI('month_last')} - {_MI('month_first')} AS INTEGER) AS months FROM {name}0) z)"""
+
+
+BT = _window_cte("tw", "month < valid_start") + ",\n" + _window_cte("fw", "true") + f""",
+vw AS (SELECT customer_id, {", ".join(f"arg_min({c}, month) AS {c}_first, arg_max({c}, month) AS {c}_last" for c in _COMPS)}
+       FROM comp_h, split WHERE month >= valid_start GROUP BY customer_id),
+nv AS (SELECT greatest(count(DISTINCT month) - 1, 1) AS denom FROM comp_h, split WHERE month >= valid_start),
+bt AS ({" UNION ALL ".join(
+    f"SELECT customer_id, '{c}' AS component, {_growth(f'{c}_first', f'{c}_last', 'denom')} AS real, "
+    f"tw.{c}_growth AS pred, ({_growth(f'{c}_first', f'{c}_last', 'denom')}) - tw.{c}_growth AS error "
+    f"FROM tw JOIN vw USING (customer_id), nv WHERE tw.{c}_growth IS NOT NULL" for c in _COMPS)}),
+scen AS (SELECT component, coalesce(quantile_cont(error, 0.1), 0.0) AS err_lo,
+                coalesce(quantile_cont(error, 0.5), 0.0) AS err_median,
+                coalesce(quantile_cont(error, 0.9), 0.0) AS err_hi
+         FROM bt WHERE error IS NOT NULL AND NOT isnan(error) GROUP BY component),
+amounts0 AS (SELECT fw.customer_id, {", ".join(
+    f"coalesce(fw.{c}_growth + s_{c}.err_lo, 0.0) AS amount_{c}_12m_conservative, "
+    f"coalesce(fw.{c}_growth + s_{c}.err_median, 0.0) AS amount_{c}_12m_base, "
+    f"coalesce(fw.{c}_growth + s_{c}.err_hi, 0.0) AS amount_{c}_12m_optimistic" for c in _COMPS)}
+    FROM fw {" ".join(f"LEFT JOIN (SELECT * FROM scen WHERE component = '{c}') s_{c} ON true" for c in _COMPS)}),
+amounts AS (SELECT *, {", ".join(
+    f"{' + '.join(f'amount_{c}_12m_{s}' for c in _COMPS)} AS amount_{s}_12m" for s in _SCEN)} FROM amounts0)"""
+
+_AMOUNT_COLS = [f"amount_{c}_12m_{s}" for c in _COMPS for s in _SCEN] + [f"amount_{s}_12m" for s in _SCEN]
+
+FACT = f"""sc AS (SELECT customer_id, pct_rank AS score FROM levels),
+f1 AS (SELECT f.customer_id, sc.score,
+              CASE WHEN f.has_product_history = 1 THEN 'A' ELSE 'B' END AS model_used,
+              f.has_product_history, f.trainable,
+              CASE WHEN f.has_product_history = 1 THEN 'with_history' ELSE 'without_history' END AS population,
+              f.savings_capacity * 12 AS annual_savings_capacity,
+              CASE WHEN f.has_product_history = 1 THEN sc.score
+                   WHEN f.savings_capacity * 12 IS NOT NULL THEN f.savings_capacity * 12 * sc.score
+                   ELSE sc.score END AS reference_value,
+              CASE WHEN f.has_product_history = 1 THEN 'propensity_score'
+                   WHEN f.savings_capacity * 12 IS NOT NULL THEN 'proxy_annual_savings_capacity_x_similarity_score'
+                   ELSE 'proxy_unavailable_fallback_similarity_score' END AS reference_type,
+              f.segment, f.age_group, f.gender
+       FROM feat f LEFT JOIN sc USING (customer_id)),
+f2a AS (SELECT f1.*, {", ".join(f"CASE WHEN h.customer_id IS NOT NULL THEN a.{c} END AS {c}" for c in _AMOUNT_COLS)},
+               CAST(h.customer_id IS NOT NULL AS INTEGER) AS has_investment_history
+        FROM f1 LEFT JOIN amounts a USING (customer_id) LEFT JOIN hist h ON f1.customer_id = h.customer_id),
+f2b AS (SELECT * EXCLUDE (reference_value, reference_type),
+               score * amount_base_12m AS expected_value_12m,
+               CASE WHEN population = 'with_history' THEN coalesce(score * amount_base_12m, score)
+                    ELSE reference_value END AS reference_value,
+               CASE WHEN population = 'with_history' AND score * amount_base_12m IS NOT NULL
+                      THEN 'expected_value_score_x_amount_12m'
+                    WHEN population = 'with_history' THEN 'propensity_score'
+                    ELSE reference_type END AS reference_type
+        FROM f2a),
+f2r AS (SELECT *, row_number() OVER (PARTITION BY population ORDER BY reference_value, customer_id) AS rn,
+               count(*) OVER (PARTITION BY population) AS nn
+        FROM f2b WHERE reference_value IS NOT NULL),
+fact AS (SELECT * EXCLUDE (rn, nn),
+                CASE WHEN rn * 4 <= nn THEN 'D' WHEN rn * 4 <= nn * 2 THEN 'C'
+                     WHEN rn * 4 <= nn * 3 THEN 'B' ELSE 'A' END AS level FROM f2r
+         UNION ALL SELECT *, CAST(NULL AS VARCHAR) FROM f2b WHERE reference_value IS NULL)"""
+
+AMT_CTES = (BAL, CUT, MONTHLY, PANEL, COMP, BT)
+
+
+def fact_with(*extra):
+    return feat_with(LEVELS, COMP, BT, FACT, *extra)
+
+
+def _rsel(cols, doubles, table):
+    return "SELECT " + ", ".join(r(c, c) if c in doubles else c for c in cols) + f" FROM {table}"
+
+
+SQL["component_pivot"] = with_(BAL, CUT, MONTHLY, PANEL, COMP) + \
+    "SELECT customer_id, month, round(app, 6) AS app, round(conservative, 6) AS conservative, " \
+    "round(invested, 6) AS invested FROM comp"
+
+SQL["semi_history"] = with_(BAL, CUT, MONTHLY, PANEL, COMP, CUST) + """
+SELECT c.customer_id, CAST(h.customer_id IS NOT NULL AS INTEGER) AS has_investment_history
+FROM cust c LEFT JOIN hist h ON c.customer_id = h.customer_id"""
+
+_WT_COLS = ["customer_id", "month_first", "month_last", "months"] + \
+    [f"{c}_{k}" for c in _COMPS for k in ("start", "end", "growth")]
+SQL["annualised_growth"] = with_(*AMT_CTES) + _rsel(
+    _WT_COLS, {c for c in _WT_COLS if c.endswith(("start", "end", "growth"))}, "fw")
+
+SQL["temporal_split"] = with_(BAL, CUT, MONTHLY, PANEL, COMP) + "SELECT n_months, valid_start FROM split"
+
+SQL["backtest"] = with_(*AMT_CTES) + _rsel(
+    ["customer_id", "component", "real", "pred", "error"], {"real", "pred", "error"}, "bt")
+
+SQL["mae_mape"] = with_(*AMT_CTES) + """
+SELECT component, round(avg(abs(real - pred)), 6) AS mae,
+       round(avg(CASE WHEN abs(real) > 1.0 THEN abs((real - pred) / abs(real)) END), 6) AS ape_mean,
+       CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) FILTER (WHERE abs(real) > 1.0) AS BIGINT) AS n_ape,
+       round(quantile_cont(CASE WHEN abs(real) > 1.0 THEN abs((real - pred) / abs(real)) END, 0.5), 6) AS ape_median_ratio
+FROM bt WHERE real IS NOT NULL AND pred IS NOT NULL AND NOT isnan(real) AND NOT isnan(pred)
+GROUP BY component"""
+
+SQL["error_scenarios"] = with_(*AMT_CTES) + """,
+ev AS (SELECT component, avg(CAST(error < 0 AS DOUBLE)) AS pct_negative FROM bt WHERE error IS NOT NULL GROUP BY component),
+md AS (SELECT component, arg_max(error, {'c': c, 'e': -error}) AS modal_error, max(c) / sum(c) AS modal_mass
+       FROM (SELECT component, error, count(*) AS c FROM bt WHERE error IS NOT NULL GROUP BY 1, 2) x GROUP BY component)
+SELECT s.component, round(err_lo, 6) AS err_lo, round(err_median, 6) AS err_median, round(err_hi, 6) AS err_hi,
+       round(pct_negative, 6) AS pct_negative, round(modal_error, 6) AS modal_error, round(modal_mass, 6) AS modal_mass
+FROM scen s LEFT JOIN ev USING (component) LEFT JOIN md USING (component)"""
+
+SQL["amount_scenarios"] = with_(*AMT_CTES) + _rsel(["customer_id"] + _AMOUNT_COLS, set(_AMOUNT_COLS), "amounts")
+
+_SCORE_COLS = ["customer_id", "score", "model_used", "has_product_history", "trainable",
+               "population", "annual_savings_capacity", "reference_value", "reference_type",
+               "level", "has_investment_history", "expected_value_12m", "amount_base_12m",
+               "amount_conservative_12m", "amount_optimistic_12m"]
+SQL["score_fact"] = fact_with() + _rsel(
+    _SCORE_COLS, {"score", "annual_savings_capacity", "reference_value", "expected_value_12m",
+                  "amount_base_12m", "amount_conservative_12m", "amount_optimistic_12m"}, "fact")
+
+SQL["gross_net_flows"] = fact_with() + """
+SELECT CAST(count(*) FILTER (WHERE amount_base_12m > 0) AS BIGINT) AS n_inflow,
+       round(coalesce(sum(CASE WHEN amount_base_12m IS NOT NULL THEN greatest(amount_base_12m, 0.0) END), 0.0), 6) AS gross_inflow_12m,
+       CAST(count(*) FILTER (WHERE amount_base_12m < 0) AS BIGINT) AS n_outflow,
+       round(coalesce(sum(CASE WHEN amount_base_12m IS NOT NULL THEN least(amount_base_12m, 0.0) END), 0.0), 6) AS gross_outflow_12m,
+       round(coalesce(sum(CASE WHEN amount_base_12m IS NOT NULL THEN greatest(amount_base_12m, 0.0) END), 0.0)
+             + coalesce(sum(CASE WHEN amount_base_12m IS NOT NULL THEN least(amount_base_12m, 0.0) END), 0.0), 6) AS net_12m
+FROM fact WHERE has_investment_history = 1"""
+
+DISP = """disp AS (SELECT level, CAST(count(amount_base_12m) AS BIGINT) AS n,
+                 coalesce(sum(amount_base_12m), 0.0) AS total, avg(amount_base_12m) AS mean,
+                 stddev_samp(amount_base_12m) AS std, CAST(count(DISTINCT amount_base_12m) AS BIGINT) AS n_distinct
+          FROM fact WHERE has_investment_history = 1 GROUP BY level),
+blk AS (SELECT fact.*, CASE WHEN has_investment_history <> 1 THEN 'no_estimable_amount'
+                            WHEN disp.std < 1.0 THEN 'no_signal'
+                            WHEN disp.mean > 0 THEN 'growth' ELSE 'withdrawal_risk' END AS commercial_block,
+               CASE WHEN amount_base_12m IS NOT NULL THEN greatest(amount_base_12m, 0.0) END AS gross_inflow,
+               CASE WHEN amount_base_12m IS NOT NULL THEN least(amount_base_12m, 0.0) END AS gross_outflow
+        FROM fact LEFT JOIN disp ON fact.level IS NOT DISTINCT FROM disp.level)"""
+
+SQL["level_dispersion"] = fact_with(DISP) + _rsel(
+    ["level", "n", "total", "mean", "std", "n_distinct"], {"total", "mean", "std"}, "disp")
+
+SQL["commercial_block"] = fact_with(DISP) + """
+SELECT commercial_block, CAST(count(*) AS BIGINT) AS n_customers,
+       round(coalesce(sum(amount_base_12m), 0.0), 6) AS amount_base,
+       round(coalesce(sum(amount_app_12m_base), 0.0), 6) AS amount_app_base,
+       round(coalesce(sum(amount_conservative_12m_base), 0.0), 6) AS amount_conservative_products_base
+FROM blk GROUP BY commercial_block"""
+
+SQL["sizing"] = fact_with(DISP) + """
+SELECT level, commercial_block, population, segment, CAST(count(*) AS BIGINT) AS n_customers,
+       round(coalesce(sum(amount_conservative_12m), 0.0), 6) AS amount_conservative,
+       round(coalesce(sum(amount_base_12m), 0.0), 6) AS amount_base,
+       round(coalesce(sum(amount_optimistic_12m), 0.0), 6) AS amount_optimistic,
+       round(coalesce(sum(gross_inflow), 0.0), 6) AS gross_inflow,
+       round(coalesce(sum(gross_outflow), 0.0), 6) AS gross_outflow,
+       round(coalesce(sum(amount_app_12m_base), 0.0), 6) AS amount_app_base,
+       round(coalesce(sum(amount_conservative_12m_base), 0.0), 6) AS amount_conservative_products_base,
+       round(avg(score), 6) AS score_mean
+FROM blk GROUP BY level, commercial_block, population, segment"""
+
+SUMMARY = """summ AS (SELECT CAST(count(*) AS BIGINT) AS n_customers,
+  CAST(count(*) FILTER (WHERE level IN ('A', 'B')) AS BIGINT) AS n_prioritised_a_b,
+  CAST(count(*) FILTER (WHERE level = 'A') AS BIGINT) AS n_level_a,
+  CAST(count(*) FILTER (WHERE level = 'A' AND population = 'with_history') AS BIGINT) AS n_level_a_with_history,
+  CAST(count(*) FILTER (WHERE level = 'A' AND population = 'without_history') AS BIGINT) AS n_level_a_without_history,
+  coalesce(sum(amount_base_12m) FILTER (WHERE has_investment_history = 1 AND amount_base_12m > 0), 0.0) AS gross_inflow_12m,
+  CAST(count(*) FILTER (WHERE has_investment_history = 1 AND amount_base_12m > 0) AS BIGINT) AS n_inflow,
+  coalesce(sum(amount_base_12m) FILTER (WHERE has_investment_history = 1 AND amount_base_12m < 0), 0.0) AS gross_outflow_12m,
+  CAST(count(*) FILTER (WHERE has_investment_history = 1 AND amount_base_12m < 0) AS BIGINT) AS n_outflow,
+  coalesce(sum(amount_conservative_12m) FILTER (WHERE has_investment_history = 1), 0.0) AS opportunity_conservative_12m,
+  coalesce(sum(amount_base_12m) FILTER (WHERE has_investment_history = 1), 0.0) AS opportunity_base_12m,
+  coalesce(sum(amount_optimistic_12m) FILTER (WHERE has_investment_history = 1), 0.0) AS opportunity_optimistic_12m,
+  CAST(count(*) FILTER (WHERE has_investment_history = 1 AND amount_base_12m IS NOT NULL) AS BIGINT) AS n_with_amount,
+  avg(amount_optimistic_12m - amount_conservative_12m) FILTER (WHERE has_investment_history = 1) AS mean_customer_width
+FROM fact)"""
+
+_SUMM_D = ["gross_inflow_12m", "gross_outflow_12m", "opportunity_conservative_12m", "opportunity_base_12m",
+           "opportunity_optimistic_12m", "mean_customer_width", "net_12m"]
+SQL["executive_summary"] = fact_with(SUMMARY) + ",\nsumm2 AS (SELECT *, gross_inflow_12m + gross_outflow_12m AS net_12m FROM summ)\n" + _rsel(
+    ["n_customers", "n_prioritised_a_b", "n_level_a", "n_level_a_with_history", "n_level_a_without_history",
+     "gross_inflow_12m", "n_inflow", "gross_outflow_12m", "n_outflow", "opportunity_conservative_12m",
+     "opportunity_base_12m", "opportunity_optimistic_12m", "n_with_amount", "mean_customer_width", "net_12m"],
+    set(_SUMM_D), "summ2")
+
+SQL["band_widths"] = fact_with(SUMMARY) + """
+SELECT round(opportunity_optimistic_12m - opportunity_conservative_12m, 6) AS aggregate_width,
+       round(mean_customer_width, 6) AS mean_customer_width,
+       round(CASE WHEN mean_customer_width <> 0 THEN (opportunity_optimistic_12m - opportunity_conservative_12m) / mean_customer_width END, 6) AS width_scale_factor,
+       round(sqrt(CAST(n_with_amount AS DOUBLE)), 6) AS sqrt_n,
+       round(CASE WHEN opportunity_base_12m <> 0 THEN (opportunity_optimistic_12m - opportunity_conservative_12m) / abs(opportunity_base_12m) END, 6) AS relative_width_perfect_correlation,
+       round(CASE WHEN opportunity_base_12m <> 0 THEN (opportunity_optimistic_12m - opportunity_conservative_12m) / abs(opportunity_base_12m) END / sqrt(CAST(n_with_amount AS DOUBLE)), 6) AS relative_width_independence
+FROM summ"""
+
+SQL["capture_scenarios"] = fact_with(SUMMARY) + ",\nrates(scenario, capture_rate) AS (VALUES " + ", ".join(
+    f"('{n}', CAST({v} AS DOUBLE))" for n, v in S.capture_rates) + """)
+SELECT scenario, round(capture_rate, 6) AS capture_rate, round(gross_inflow_12m * capture_rate, 6) AS opportunity_12m
+FROM summ, rates"""
+
+SQL["component_split"] = fact_with() + """
+SELECT round(coalesce(sum(amount_app_12m_base), 0.0), 6) AS app_base,
+       round(coalesce(sum(amount_conservative_12m_base), 0.0), 6) AS conservative_products_base
+FROM fact WHERE has_investment_history = 1"""
+
+_AUD = ["age_group", "gender", "segment"]
+SEL = "sel AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS attribute, coalesce(CAST({a} AS VARCHAR), '{S.missing_label}') AS \"group\", level FROM fact"
+    for a in _AUD) + """),
+rates AS (SELECT attribute, "group", CAST(count(*) AS BIGINT) AS n,
+                 CAST(count(*) FILTER (WHERE level = 'A') AS BIGINT) AS n_selected,
+                 CAST(count(*) FILTER (WHERE level = 'A') AS DOUBLE) / count(*) AS selection_rate
+          FROM sel GROUP BY attribute, "group"),
+di AS (SELECT attribute, min(selection_rate) AS min_rate, max(selection_rate) AS max_rate,
+              CASE WHEN max(selection_rate) > 0 THEN min(selection_rate) / max(selection_rate) END AS impact_ratio
+       FROM rates GROUP BY attribute),
+di2 AS (SELECT di.*, CAST(coalesce(impact_ratio >= 0.8, false) AS INTEGER) AS passes_80_rule,
+               (SELECT min("group") FROM rates r WHERE r.attribute = di.attribute AND r.selection_rate = di.min_rate) AS worst_group,
+               (SELECT min("group") FROM rates r WHERE r.attribute = di.attribute AND r.selection_rate = di.max_rate) AS best_group
+        FROM di)"""
+
+SQL["selection_rate"] = fact_with(SEL) + """
+SELECT attribute, "group", n, n_selected, round(selection_rate, 6) AS selection_rate FROM rates"""
+
+SQL["disparate_impact"] = fact_with(SEL) + """
+SELECT attribute, round(min_rate, 6) AS min_rate, round(max_rate, 6) AS max_rate,
+       round(impact_ratio, 6) AS impact_ratio, passes_80_rule, worst_group, best_group FROM di2"""
+
+SQL["fairness_fact"] = fact_with(SEL) + """
+SELECT r.attribute, r."group", r.n, r.n_selected, round(r.selection_rate, 6) AS selection_rate,
+       round(d.impact_ratio, 6) AS impact_ratio, d.passes_80_rule
+FROM rates r LEFT JOIN di2 d USING (attribute)"""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import asof, features, panel, profile, quality, rank, star, stats
+from balances.operators import (amount, asof, audit, features, panel, profile, quality, rank,
+                                scoring, sizing, star, stats)
 from balances.sources import tables
 from balances.plans.common import balances, cut, rounded
 from balances.session import cut_lineage
@@ -338,5 +339,173 @@ def q_spearman(spark, d):
                                   "invested_non_label_balance"))
 
 
+# ---------------------------------------------------------------- amounts & scoring
+def score_input(spark, d):
+    """Stand-in score for the oracle-checked chain: percentile of the liquid
+    balance within the population (the GBT path is ``propensity_scores``)."""
+    f = features_ckpt(spark, d)
+    lv = rank.priority_levels(f.select("customer_id", population().alias("population"),
+                                       F.col("liquid_balance_total").alias("value")),
+                              "value", ["population"])
+    return f, lv.select("customer_id", F.col("pct_rank").alias("score"))
+
+
+def component_frames(spark, d):
+    comp = amount.component_panel(panel_frame(spark, d))
+    comp_h = cut_lineage(amount.with_history(comp))
+    return comp, comp_h
+
+
+def amount_frames(spark, d):
+    comp, comp_h = component_frames(spark, d)
+    valid_start = amount.split_month(comp_h).first()["valid_start"]
+    bt = cut_lineage(amount.backtest(comp_h, valid_start))
+    scen = amount.scenarios_by_component(bt)
+    full = amount.window_targets(comp_h)
+    amounts = amount.amount_scenarios(full, scen)
+    return {"comp": comp, "comp_h": comp_h, "valid_start": valid_start, "bt": bt,
+            "scen": scen, "full": full, "amounts": amounts}
+
+
+def fact_frame(spark, d):
+    f, scores = score_input(spark, d)
+    fact1 = scoring.score_fact(f, scores)
+    a = amount_frames(spark, d)
+    fact2 = scoring.with_amounts(fact1, a["amounts"], amount.history_ids(a["comp"]))
+    attrs = f.select("customer_id", "segment", "age_group", "gender")
+    return cut_lineage(fact2.join(attrs, "customer_id", "left"))
+
+
+@query("component_pivot")
+def q_component_pivot(spark, d):
+    return rounded(amount.component_panel(panel_frame(spark, d)))
+
+
+@query("semi_history")
+def q_semi_history(spark, d):
+    comp = amount.component_panel(panel_frame(spark, d))
+    h = amount.history_ids(comp).select("customer_id", F.lit(1).alias("_h"))
+    f = customers_frame(spark, d).select("customer_id")
+    return f.join(h, "customer_id", "left").select(
+        "customer_id", F.col("_h").isNotNull().cast("int").alias("has_investment_history"))
+
+
+@query("annualised_growth")
+def q_annualised_growth(spark, d):
+    _, comp_h = component_frames(spark, d)
+    return rounded(amount.window_targets(comp_h))
+
+
+@query("temporal_split")
+def q_temporal_split(spark, d):
+    _, comp_h = component_frames(spark, d)
+    return amount.split_month(comp_h).withColumn("n_months", F.col("n_months").cast("long"))
+
+
+@query("backtest")
+def q_backtest(spark, d):
+    return rounded(amount_frames(spark, d)["bt"])
+
+
+@query("mae_mape")
+def q_mae_mape(spark, d):
+    bt = amount_frames(spark, d)["bt"]
+    parts = [stats.mae_mape(bt.where(F.col("component") == c), "real", "pred")
+             .withColumn("component", F.lit(c)) for c in amount.COMPONENTS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out)
+
+
+@query("error_scenarios")
+def q_error_scenarios(spark, d):
+    a = amount_frames(spark, d)
+    return rounded(a["scen"].join(amount.error_evidence(a["bt"]), "component", "left"))
+
+
+@query("amount_scenarios")
+def q_amount_scenarios(spark, d):
+    return rounded(amount_frames(spark, d)["amounts"])
+
+
+SCORE_COLS = ["customer_id", "score", "model_used", "has_product_history", "trainable",
+              "population", "annual_savings_capacity", "reference_value", "reference_type",
+              "level", "has_investment_history", "expected_value_12m", "amount_base_12m",
+              "amount_conservative_12m", "amount_optimistic_12m"]
+
+
+@query("score_fact")
+def q_score_fact(spark, d):
+    return rounded(fact_frame(spark, d).select(*SCORE_COLS))
+
+
+def blocks_frame(spark, d):
+    return sizing.commercial_blocks(fact_frame(spark, d))
+
+
+@query("gross_net_flows")
+def q_gross_net_flows(spark, d):
+    return rounded(sizing.gross_net_flows(fact_frame(spark, d)))
+
+
+@query("level_dispersion")
+def q_level_dispersion(spark, d):
+    return rounded(sizing.level_dispersion(fact_frame(spark, d)))
+
+
+@query("commercial_block")
+def q_commercial_block(spark, d):
+    b = blocks_frame(spark, d)
+    return rounded(b.groupBy("commercial_block").agg(
+        F.count(F.lit(1)).cast("long").alias("n_customers"),
+        profile.sum0("amount_base_12m").alias("amount_base"),
+        profile.sum0("amount_app_12m_base").alias("amount_app_base"),
+        profile.sum0("amount_conservative_12m_base").alias("amount_conservative_products_base")))
+
+
+@query("sizing")
+def q_sizing(spark, d):
+    return rounded(sizing.sizing_cube(blocks_frame(spark, d)))
+
+
+@query("executive_summary")
+def q_executive_summary(spark, d):
+    return rounded(sizing.executive_summary(fact_frame(spark, d)))
+
+
+@query("band_widths")
+def q_band_widths(spark, d):
+    return rounded(sizing.band_widths(sizing.executive_summary(fact_frame(spark, d))))
+
+
+@query("capture_scenarios")
+def q_capture_scenarios(spark, d):
+    return rounded(sizing.capture_scenarios(sizing.executive_summary(fact_frame(spark, d))))
+
+
+@query("component_split")
+def q_component_split(spark, d):
+    return rounded(sizing.component_split(fact_frame(spark, d)))
+
+
+AUDIT_ATTRS = ["age_group", "gender", "segment"]
+
+
+@query("selection_rate")
+def q_selection_rate(spark, d):
+    return rounded(audit.selection_rates(fact_frame(spark, d), AUDIT_ATTRS))
+
+
+@query("disparate_impact")
+def q_disparate_impact(spark, d):
+    return rounded(audit.disparate_impact(audit.selection_rates(fact_frame(spark, d), AUDIT_ATTRS)))
+
+
+@query("fairness_fact")
+def q_fairness_fact(spark, d):
+    return rounded(audit.fairness_fact(fact_frame(spark, d), AUDIT_ATTRS))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
