@@ -705,7 +705,7 @@ f1 AS (SELECT f.customer_id, sc.score,
               CASE WHEN f.has_product_history = 1 THEN 'propensity_score'
                    WHEN f.savings_capacity * 12 IS NOT NULL THEN 'proxy_annual_savings_capacity_x_similarity_score'
                    ELSE 'proxy_unavailable_fallback_similarity_score' END AS reference_type,
-              f.segment, f.age_group, f.gender
+              f.segment, f.age_group, f.gender, f.adoption_label
        FROM feat f LEFT JOIN sc USING (customer_id)),
 f2a AS (SELECT f1.*, {", ".join(f"CASE WHEN h.customer_id IS NOT NULL THEN a.{c} END AS {c}" for c in _AMOUNT_COLS)},
                CAST(h.customer_id IS NOT NULL AS INTEGER) AS has_investment_history
@@ -895,3 +895,234 @@ SQL["fairness_fact"] = fact_with(SEL) + """
 SELECT r.attribute, r."group", r.n, r.n_selected, round(r.selection_rate, 6) AS selection_rate,
        round(d.impact_ratio, 6) AS impact_ratio, d.passes_80_rule
 FROM rates r LEFT JOIN di2 d USING (attribute)"""
+
+
+# --------------------------------------------------------------------------
+# marts and reports
+# --------------------------------------------------------------------------
+_PCTS = (0.01, 0.05, 0.10, 0.20)
+CURVE = """tc AS (SELECT customer_id, score, adoption_label AS y FROM fact
+               WHERE population = 'with_history' AND score IS NOT NULL),
+tcr AS (SELECT *, row_number() OVER (ORDER BY score DESC, customer_id DESC) AS rn, count(*) OVER () AS n FROM tc),
+pcts(p) AS (VALUES """ + ", ".join(f"(CAST({p} AS DOUBLE))" for p in _PCTS) + """),
+curve0 AS (SELECT p AS top_pct, CAST(greatest(1, ceil(n * p)) AS BIGINT) AS n_contacted,
+                  CAST(count(*) FILTER (WHERE rn <= greatest(1, ceil(n * p)) AND y = 1) AS BIGINT) AS hits,
+                  sum(y) AS positives, n
+           FROM tcr, pcts GROUP BY p, n),
+curve AS (SELECT top_pct, n_contacted, hits, CAST(hits AS DOUBLE) / n_contacted AS precision,
+                 CASE WHEN positives > 0 THEN CAST(hits AS DOUBLE) / positives END AS recall,
+                 CASE WHEN positives > 0 THEN (CAST(hits AS DOUBLE) / n_contacted) / (CAST(positives AS DOUBLE) / n) END AS lift
+          FROM curve0)"""
+
+SQL["targeting_curve"] = fact_with(CURVE) + """
+SELECT round(top_pct, 6) AS top_pct, n_contacted, hits, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(lift, 6) AS lift FROM curve"""
+
+SQL["curve_long"] = fact_with(CURVE) + """
+SELECT round(top_pct, 6) AS top_pct, 'precision' AS metric, round(precision, 6) AS value FROM curve
+UNION ALL SELECT round(top_pct, 6), 'recall', round(recall, 6) FROM curve"""
+
+SQL["contact_list"] = fact_with() + """,
+sel AS (SELECT * FROM fact WHERE level IN ('A') AND reference_value IS NOT NULL),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY population ORDER BY reference_value, customer_id) AS DOUBLE)
+                     / count(*) OVER (PARTITION BY population) AS percentile_in_group FROM sel)
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, population, level, round(percentile_in_group, 6) AS percentile_in_group,
+       segment, age_group, round(score, 6) AS score, model_used, round(amount_base_12m, 6) AS amount_base_12m,
+       round(expected_value_12m, 6) AS expected_value_12m
+FROM ranked ORDER BY percentile_in_group DESC, customer_id ASC LIMIT 100"""
+
+FACETS = """fc AS (SELECT population, level, segment, CAST(count(*) AS BIGINT) AS n,
+                 CAST(sum(has_investment_history) AS BIGINT) AS n_with_investment,
+                 coalesce(sum(CASE WHEN amount_base_12m IS NOT NULL THEN greatest(amount_base_12m, 0.0) END), 0.0) AS gross_inflow
+          FROM fact GROUP BY population, level, segment)"""
+
+SQL["facet_counts"] = fact_with(FACETS) + """
+SELECT population, level, segment, n, n_with_investment, round(gross_inflow, 6) AS gross_inflow FROM fc"""
+
+SQL["facet_total"] = fact_with(FACETS) + """
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n, round(coalesce(sum(gross_inflow), 0.0), 6) AS gross_inflow
+FROM fc WHERE population IN ('with_history') AND level IN ('A', 'B')"""
+
+SQL["facet_values"] = fact_with() + """
+SELECT DISTINCT 'population' AS facet, CAST(population AS VARCHAR) AS value FROM fact WHERE population IS NOT NULL
+UNION ALL SELECT DISTINCT 'level', CAST(level AS VARCHAR) FROM fact WHERE level IS NOT NULL
+UNION ALL SELECT DISTINCT 'segment', CAST(segment AS VARCHAR) FROM fact WHERE segment IS NOT NULL"""
+
+SQL["population_strategies"] = fact_with() + """
+SELECT population, CAST(count(*) AS BIGINT) AS n, CAST(sum(has_investment_history) AS BIGINT) AS n_with_investment,
+       CAST(CASE WHEN population = 'without_history' THEN count(*) ELSE 0 END AS BIGINT) AS strategy_acquisition,
+       CAST(CASE WHEN population = 'with_history' THEN count(*) - sum(has_investment_history) ELSE 0 END AS BIGINT) AS strategy_activation,
+       CAST(sum(has_investment_history) AS BIGINT) AS strategy_growth
+FROM fact GROUP BY population"""
+
+SQL["tie_mass"] = fact_with() + """,
+pv AS (SELECT population, reference_value, count(*) AS c, count(DISTINCT level) AS n_levels,
+              max(CAST(level = 'A' AS INTEGER)) AS in_a, max(CAST(level = 'B' AS INTEGER)) AS in_b
+       FROM fact WHERE reference_value IS NOT NULL GROUP BY population, reference_value),
+g AS (SELECT population, CAST(sum(c) AS BIGINT) AS n_customers,
+             arg_max(reference_value, {'c': c, 'v': -reference_value}) AS modal_value,
+             CAST(max(c) AS BIGINT) AS n_at_modal,
+             CAST(count(*) FILTER (WHERE n_levels > 1) AS BIGINT) AS n_values_multilevel,
+             CAST(count(*) FILTER (WHERE in_a = 1 AND in_b = 1) AS BIGINT) AS n_values_border_ab,
+             CAST(coalesce(sum(c) FILTER (WHERE in_a = 1 AND in_b = 1), 0) AS BIGINT) AS n_customers_border_ab
+      FROM pv GROUP BY population)
+SELECT population, n_customers, round(modal_value, 6) AS modal_value, n_at_modal, n_values_multilevel,
+       n_values_border_ab, n_customers_border_ab,
+       round(CAST(n_at_modal AS DOUBLE) / n_customers, 6) AS pct_at_modal,
+       round(CAST(n_customers_border_ab AS DOUBLE) / n_customers, 6) AS pct_customers_border_ab
+FROM g"""
+
+_ORD = "CASE {c} WHEN 'D' THEN 0 WHEN 'C' THEN 1 WHEN 'B' THEN 2 WHEN 'A' THEN 3 END"
+SQL["level_shift"] = fact_with() + f""",
+f1r AS (SELECT customer_id, row_number() OVER (PARTITION BY population ORDER BY reference_value, customer_id) AS rn,
+               count(*) OVER (PARTITION BY population) AS nn FROM f1 WHERE reference_value IS NOT NULL),
+f1l AS (SELECT customer_id, CASE WHEN rn * 4 <= nn THEN 'D' WHEN rn * 4 <= nn * 2 THEN 'C'
+                                 WHEN rn * 4 <= nn * 3 THEN 'B' ELSE 'A' END AS la FROM f1r),
+d AS (SELECT abs(({_ORD.format(c='la')}) - ({_ORD.format(c='fact.level')})) AS distance
+      FROM f1l JOIN fact USING (customer_id)),
+d2 AS (SELECT distance FROM d WHERE distance IS NOT NULL),
+bins(distance) AS (VALUES (0), (1), (2), (3)),
+h AS (SELECT b.distance, CAST(count(d2.distance) AS BIGINT) AS n FROM bins b LEFT JOIN d2 ON b.distance = d2.distance
+      GROUP BY b.distance)
+SELECT CAST(distance AS INTEGER) AS distance, n,
+       round(CAST(sum(CASE WHEN distance >= 2 THEN n ELSE 0 END) OVER () AS DOUBLE) / sum(n) OVER (), 6)
+         AS share_distance_2_plus
+FROM h"""
+
+SQL["stratified_rates"] = feat_with() + """,
+blk AS (SELECT 'all' AS stratum, has_income_estimate, CAST(count(*) AS BIGINT) AS n,
+               CAST(sum(adoption_label) AS BIGINT) AS positives FROM feat GROUP BY has_income_estimate
+        UNION ALL
+        SELECT 'has_product_history', has_income_estimate, CAST(count(*) AS BIGINT),
+               CAST(sum(adoption_label) AS BIGINT) FROM feat WHERE has_product_history = 1
+        GROUP BY has_income_estimate),
+r AS (SELECT *, CAST(positives AS DOUBLE) / n AS rate FROM blk)
+SELECT stratum, has_income_estimate, n, positives, round(rate, 6) AS rate,
+       round(max(CASE WHEN has_income_estimate = 1 THEN rate END) OVER (PARTITION BY stratum)
+             - max(CASE WHEN has_income_estimate = 0 THEN rate END) OVER (PARTITION BY stratum), 6) AS rate_difference
+FROM r"""
+
+SQL["plausibility"] = feat_with() + """
+SELECT 'savings_capacity' AS variable, CAST(count(savings_capacity) AS BIGINT) AS n,
+       CAST(count(*) FILTER (WHERE savings_capacity > 10000.0) AS BIGINT) AS n_above,
+       round(quantile_cont(savings_capacity, 0.0), 6) AS p000, round(quantile_cont(savings_capacity, 0.01), 6) AS p001,
+       round(quantile_cont(savings_capacity, 0.25), 6) AS p025, round(quantile_cont(savings_capacity, 0.5), 6) AS p050,
+       round(quantile_cont(savings_capacity, 0.75), 6) AS p075, round(quantile_cont(savings_capacity, 0.99), 6) AS p099,
+       round(quantile_cont(savings_capacity, 1.0), 6) AS p100
+FROM feat"""
+
+FEATURE_COLUMNS = (
+    ["customer_id", "name", "age_group", "gender", "segment", "income", "expenses", "assets",
+     "liabilities", "equity", "savings_capacity"]
+    + [f"{p}_{c}" for p in S.product_slugs for c in ("balance_snapshot", "snapshot_date", "balance_mean_6m",
+                                                      "trend_6m", "n_obs_window", "holding")]
+    + ["income_estimate", "liquid_cv", "no_financial_any", "no_financial_all", "has_income_estimate",
+       "adoption_label", "days_since_last_data", "no_recent_data", "adoption_label_recent",
+       "invested_non_label_balance", "n_invest_non_label", "has_product_history", "no_signal", "trainable",
+       "expense_income_ratio", "savings_income_pct", "liability_asset_ratio", "equity_per_income",
+       "income_gap", "income_gap_pct", "liquid_balance_total", "n_products_total", "n_products_non_label",
+       "liquidity_equity_ratio"]
+    + [f"{p}_relative_trend_6m" for p in S.product_slugs]
+    + ["has_housing_data", "housing", "missing_financial", "missing_estimator", "missing_housing",
+       "liquid_cv_insufficient", "tenure_months"])
+
+
+def _roles_values():
+    from balances.operators.marts import column_roles
+    return ", ".join(f"('{c}', '{r}')" for c, r in column_roles(FEATURE_COLUMNS))
+
+
+IVS = """ivs AS (SELECT variable, sum(iv_bin) AS iv FROM (
+          SELECT variable, iv_bin FROM woe_num UNION ALL SELECT variable, iv_bin FROM woe_cat) u
+        GROUP BY variable)"""
+
+SQL["table_profile"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG, WOE_CAT, IVS) + f""",
+roles(variable, role) AS (VALUES {_roles_values()}),
+nulls AS ({" UNION ALL ".join(f"SELECT '{c}' AS variable, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null FROM feat" for c in FEATURE_COLUMNS)})
+SELECT roles.variable, role, n_null, round(iv, 6) AS iv,
+       CASE WHEN ivs.iv IS NULL THEN NULL ELSE {_IVC.replace('iv <', 'ivs.iv <')} END AS iv_class
+FROM roles JOIN nulls USING (variable) LEFT JOIN ivs ON roles.variable = ivs.variable"""
+
+CAT_LONG2 = "cl AS (" + " UNION ALL ".join(
+    f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '{S.missing_label}') AS bin FROM feat"
+    for c in CAT_VARS + ["has_housing_data"]) + ")"
+
+SQL["decision_rules"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG2, WOE_CAT, IVS) + f""",
+hd AS (SELECT CASE WHEN max(iv) FILTER (WHERE variable = 'housing') >= {S.iv_min} THEN 'keep_category'
+                   WHEN max(iv) FILTER (WHERE variable = 'has_housing_data') >= {S.iv_min} THEN 'keep_flag'
+                   ELSE 'drop' END AS housing_decision FROM ivs)
+SELECT variable, round(iv, 6) AS iv, {_IVC} AS iv_class,
+       CASE WHEN variable IN ('gender') THEN 'exclude_protected'
+            WHEN variable = 'housing' THEN housing_decision
+            WHEN iv IS NULL THEN 'review'
+            WHEN iv < {S.iv_min} THEN 'exclude_low_iv' ELSE 'include' END AS decision
+FROM ivs, hd"""
+
+
+def _auc_sql(label_expr, name):
+    return f"""{name}_a AS (SELECT {label_expr} AS y, CAST(liquid_balance_total AS DOUBLE) AS value FROM feat
+                WHERE liquid_balance_total IS NOT NULL),
+{name}_r AS (SELECT y, (2 * rank() OVER (ORDER BY value) + count(*) OVER (PARTITION BY value) - 1) / 2.0 AS mr FROM {name}_a),
+{name} AS (SELECT CASE WHEN sum(y) > 0 AND count(*) - sum(y) > 0
+                   THEN (sum(mr * y) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) END AS auc
+           FROM {name}_r)"""
+
+
+def _band(lo, hi):
+    return f"CASE WHEN auc < {lo} THEN 'low' WHEN auc <= {hi} THEN 'moderate' ELSE 'high' END"
+
+
+SQL["auc_bands"] = feat_with(_auc_sql("missing_estimator", "pat"),
+                             _auc_sql("CAST(coalesce(gender, '') = 'F' AS INTEGER)", "prx")) + f"""
+SELECT 'missing_estimator_pattern' AS rule, round(auc, 6) AS auc, {_band(S.auc_pattern_weak, S.auc_pattern_informative)} AS band FROM pat
+UNION ALL
+SELECT 'gender_proxy', round(auc, 6), {_band(S.auc_proxy_moderate, S.auc_proxy_substantial)} FROM prx"""
+
+_IMP_VARS = NUM_VARS + ["has_income_estimate", "n_products_total"]
+IMP_LONG = "nl AS (" + " UNION ALL ".join(
+    f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat"
+    for c in _IMP_VARS) + ")"
+NUM_LONG_IV = NUM_LONG.replace("nl AS (", "nliv AS (", 1)
+NUM_BINS_IV = NUM_BINS.replace("FROM nl ", "FROM nliv ").replace("FROM nl\n", "FROM nliv\n") \
+    .replace("nl.", "nliv.").replace("JOIN nl ", "JOIN nliv ")
+
+SQL["importance_iv_join"] = feat_with(IMP_LONG, MW, NUM_LONG_IV, NUM_BINS_IV, WOE_NUM, CAT_LONG, WOE_CAT, IVS) + """
+SELECT coalesce(i.variable, ivs.variable) AS variable,
+       round(abs(i.u / (i.n_event * i.n_non_event) - 0.5), 6) AS importance,
+       round(ivs.iv, 6) AS iv,
+       CASE WHEN ivs.iv IS NULL THEN NULL ELSE """ + _IVC.replace("iv <", "ivs.iv <") + """ END AS iv_class
+FROM mw i FULL OUTER JOIN ivs ON i.variable = ivs.variable"""
+
+SQL["evidence_topk"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM) + f""",
+ev AS (SELECT b.customer_id, b.variable, b.value, b.bin_kind, b.bin_lo, b.bin_hi, w.woe, abs(w.woe) AS strength,
+              CASE WHEN w.woe IS NULL OR abs(w.woe) < {S.evidence_neutral_woe} THEN 'neutral'
+                   WHEN w.woe > 0 THEN 'against' ELSE 'in_favour' END AS direction, w.n AS n_in_bin
+       FROM nbin b JOIN woe_num w ON b.variable = w.variable AND b.bin_kind IS NOT DISTINCT FROM w.bin_kind
+            AND b.bin_lo IS NOT DISTINCT FROM w.bin_lo AND b.bin_hi IS NOT DISTINCT FROM w.bin_hi),
+evr AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY strength DESC, variable) AS rank FROM ev)
+SELECT customer_id, CAST(rank AS INTEGER) AS rank, variable, round(value, 6) AS value, bin_kind,
+       round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, round(woe, 6) AS woe, round(strength, 6) AS strength,
+       direction, n_in_bin
+FROM evr WHERE rank <= 3"""
+
+SQL["psi_drift"] = with_(BAL, CUT, MONTHLY, PANEL) + f""",
+base AS (SELECT product, balance_month AS v FROM panel, params
+         WHERE month = CAST(cut_month - INTERVAL 12 MONTH AS DATE) AND balance_month IS NOT NULL),
+cur AS (SELECT product, balance_month AS v FROM panel, params WHERE month = cut_month AND balance_month IS NOT NULL),
+edges AS (SELECT product, list_sort(list_distinct(quantile_cont(v, {DEC}))) AS e FROM base GROUP BY product),
+bb AS (SELECT product, len(list_filter(e[2:len(e) - 1], lambda x: x < v)) AS bin, count(*) AS n_base
+       FROM base JOIN edges USING (product) GROUP BY 1, 2),
+bc AS (SELECT product, len(list_filter(e[2:len(e) - 1], lambda x: x < v)) AS bin, count(*) AS n_current
+       FROM cur JOIN edges USING (product) GROUP BY 1, 2),
+j AS (SELECT coalesce(bb.product, bc.product) AS product, coalesce(bb.bin, bc.bin) AS bin,
+             coalesce(n_base, 0) AS n_base, coalesce(n_current, 0) AS n_current
+      FROM bb FULL OUTER JOIN bc ON bb.product = bc.product AND bb.bin = bc.bin),
+t AS (SELECT product, (n_current + 0.5) / (sum(n_current) OVER (PARTITION BY product) + 0.5 * count(*) OVER (PARTITION BY product)) AS p,
+             (n_base + 0.5) / (sum(n_base) OVER (PARTITION BY product) + 0.5 * count(*) OVER (PARTITION BY product)) AS q
+      FROM j)
+SELECT product, round(sum((p - q) * ln(p / q)), 6) AS psi, CAST(count(*) AS BIGINT) AS n_bins FROM t GROUP BY product"""
+
+SQL["training_population"] = feat_with() + "SELECT customer_id FROM feat WHERE trainable = 1"
+
+SQL["customer_lookup"] = feat_with() + "SELECT * REPLACE (" + ", ".join(
+    f"round({c}, 6) AS {c}" for c in FEAT_DOUBLES) + ") FROM feat WHERE customer_id = CAST('7' AS BIGINT)"

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import (amount, asof, audit, features, panel, profile, quality, rank,
-                                scoring, sizing, star, stats)
+from balances.operators import (amount, asof, audit, features, marts, panel, profile, quality,
+                                rank, scoring, sizing, star, stats)
 from balances.sources import tables
 from balances.plans.common import balances, cut, rounded
 from balances.session import cut_lineage
@@ -372,7 +373,7 @@ def fact_frame(spark, d):
     fact1 = scoring.score_fact(f, scores)
     a = amount_frames(spark, d)
     fact2 = scoring.with_amounts(fact1, a["amounts"], amount.history_ids(a["comp"]))
-    attrs = f.select("customer_id", "segment", "age_group", "gender")
+    attrs = f.select("customer_id", "segment", "age_group", "gender", "adoption_label")
     return cut_lineage(fact2.join(attrs, "customer_id", "left"))
 
 
@@ -507,5 +508,165 @@ def q_fairness_fact(spark, d):
     return rounded(audit.fairness_fact(fact_frame(spark, d), AUDIT_ATTRS))
 
 
+# ---------------------------------------------------------------- marts & reports
+@query("targeting_curve")
+def q_targeting_curve(spark, d):
+    f = fact_frame(spark, d).where(F.col("population") == POP_WITH)
+    return rounded(marts.targeting_curve(f, "score", "adoption_label"))
+
+
+@query("curve_long")
+def q_curve_long(spark, d):
+    f = fact_frame(spark, d).where(F.col("population") == POP_WITH)
+    return rounded(marts.curve_long(marts.targeting_curve(f, "score", "adoption_label")))
+
+
+CONTACT_N = 100
+
+
+@query("contact_list")
+def q_contact_list(spark, d):
+    return rounded(marts.contact_list(fact_frame(spark, d), CONTACT_N, levels=("A",)))
+
+
+@query("facet_counts")
+def q_facet_counts(spark, d):
+    return rounded(marts.facet_counts(fact_frame(spark, d)))
+
+
+@query("facet_total")
+def q_facet_total(spark, d):
+    counts = marts.facet_counts(fact_frame(spark, d))
+    return rounded(marts.facet_total(counts, populations=[POP_WITH], levels=["A", "B"]))
+
+
+@query("facet_values")
+def q_facet_values(spark, d):
+    return marts.facet_values(fact_frame(spark, d))
+
+
+@query("population_strategies")
+def q_population_strategies(spark, d):
+    return marts.population_strategies(fact_frame(spark, d))
+
+
+@query("tie_mass")
+def q_tie_mass(spark, d):
+    return rounded(marts.tie_mass(fact_frame(spark, d)))
+
+
+@query("level_shift")
+def q_level_shift(spark, d):
+    f, scores = score_input(spark, d)
+    first = scoring.score_fact(f, scores)
+    return rounded(marts.level_shift(first, fact_frame(spark, d)))
+
+
+@query("stratified_rates")
+def q_stratified_rates(spark, d):
+    f = features_frame(spark, d)
+    return rounded(marts.stratified_rates(f, "has_income_estimate", LABEL, "has_product_history"))
+
+
+PLAUSIBILITY_THRESHOLD = 10000.0
+
+
+@query("plausibility")
+def q_plausibility(spark, d):
+    return rounded(marts.plausibility(features_ckpt(spark, d), "savings_capacity",
+                                      PLAUSIBILITY_THRESHOLD))
+
+
+@query("table_profile")
+def q_table_profile(spark, d):
+    f = features_ckpt(spark, d)
+    return rounded(marts.table_profile(f, iv_frame_from(f)))
+
+
+def iv_frame_from(f, extra_cat=()):
+    w = stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL).select("variable", "iv_bin").unionByName(
+        stats.woe_categorical(f, "customer_id", CAT_COLS + list(extra_cat), LABEL)
+        .select("variable", "iv_bin"))
+    return stats.iv_summary(w)
+
+
+@query("decision_rules")
+def q_decision_rules(spark, d):
+    f = features_ckpt(spark, d)
+    iv = iv_frame_from(f, ["has_housing_data"])
+    w = Window.partitionBy()  # one row per variable
+    iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
+    iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
+    out = iv.withColumn("housing_decision", marts.housing_rule(iv_cat, iv_flag))
+    out = out.withColumn("decision", marts.inclusion_rule(
+        F.col("variable"), F.col("iv"), housing_decision=F.col("housing_decision")))
+    return rounded(out.select("variable", "iv", "iv_class", "decision"))
+
+
+@query("auc_bands")
+def q_auc_bands(spark, d):
+    f = features_ckpt(spark, d).withColumn(
+        "is_female", (F.coalesce(F.col("gender"), F.lit("")) == "F").cast("int"))
+    a = stats.auc_exact(f, "customer_id", "liquid_balance_total", "missing_estimator") \
+        .select(F.lit("missing_estimator_pattern").alias("rule"), "auc")
+    b = stats.auc_exact(f, "customer_id", "liquid_balance_total", "is_female") \
+        .select(F.lit("gender_proxy").alias("rule"), "auc")
+    r1 = a.withColumn("band", marts.auc_band("auc", S.auc_pattern_weak, S.auc_pattern_informative))
+    r4 = b.withColumn("band", marts.auc_band("auc", S.auc_proxy_moderate, S.auc_proxy_substantial))
+    return rounded(r1.unionByName(r4))
+
+
+IMPORTANCE_VARS = NUM_VARS + ["has_income_estimate", "n_products_total"]
+
+
+@query("importance_iv_join")
+def q_importance_iv_join(spark, d):
+    f = features_ckpt(spark, d)
+    mw = stats.mann_whitney(stats.to_long(f, "customer_id", IMPORTANCE_VARS, LABEL), "customer_id")
+    imp = mw.select("variable", F.abs(F.col("u") / (F.col("n_event") * F.col("n_non_event")) - 0.5)
+                    .alias("importance"))
+    return rounded(marts.importance_iv(imp, iv_frame_from(f)))
+
+
+EVIDENCE_K = 3
+
+
+@query("evidence_topk")
+def q_evidence_topk(spark, d):
+    f = features_ckpt(spark, d)
+    long = stats.to_long(f, "customer_id", NUM_VARS, LABEL)
+    binned = cut_lineage(stats.assign_numeric_bins(long, stats.numeric_bin_edges(long, "customer_id")))
+    woe = stats.woe_table(binned, ["bin_kind", "bin_lo", "bin_hi"])
+    ev = marts.evidence_topk(binned, woe, ["bin_kind", "bin_lo", "bin_hi"], EVIDENCE_K)
+    return rounded(ev.select("customer_id", "rank", "variable", "value", "bin_kind", "bin_lo",
+                             "bin_hi", "woe", "strength", "direction", "n_in_bin"))
+
+
+PSI_LAG_MONTHS = 12
+
+
+@query("psi_drift")
+def q_psi_drift(spark, d):
+    p = panel_frame(spark, d)
+    c = F.trunc(F.lit(cut(spark, d)).cast("date"), "month")
+    cur = p.where(F.col("month") == c)
+    base = p.where(F.col("month") == F.add_months(c, -PSI_LAG_MONTHS))
+    return rounded(marts.psi(base, cur, "product", "balance_month", "customer_id"))
+
+
+@query("training_population")
+def q_training_population(spark, d):
+    return features_frame(spark, d).where(F.col("trainable") == 1).select("customer_id")
+
+
+LOOKUP_ID = 7
+
+
+@query("customer_lookup")
+def q_customer_lookup(spark, d):
+    f = features_frame(spark, d)
+    return rounded(f.where(F.col("customer_id") == F.lit(str(LOOKUP_ID)).cast("long")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
