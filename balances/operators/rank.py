@@ -59,7 +59,8 @@ def distributed_row_number(df: DataFrame, group_cols, order_cols, descending: bo
                    wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .withColumn(n, F.sum("_cnt").over(wg))
                .drop("_cnt"))
-    offsets = cut_lineage(offsets)
+    # the offsets table has at most #partitions + #groups rows; its size is
+    # checked before it is broadcast (many small groups -> shuffle join)
     if offsets.count() <= OFFSETS_BROADCAST_MAX_ROWS:
         offsets = F.broadcast(offsets)
     # null-safe on the group keys: a NULL population is a group of its own

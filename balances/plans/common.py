@@ -24,6 +24,20 @@ def cut(spark: SparkSession, d: str):
     return _CUT_CACHE[key]
 
 
+_LAYERS: dict = {}
+
+
+def layer(spark: SparkSession, d: str, name: str, build):
+    """A materialised pipeline layer (silver panel, gold features, score
+    fact, ...), built once per (Spark application, data dir) — the layered
+    batch of the reference, with reliable checkpoints instead of SQLite files.
+    Downstream queries read the layer instead of recomputing its lineage."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _LAYERS:
+        _LAYERS[key] = build()
+    return _LAYERS[key]
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (order-insensitive value comparison)."""
     cols = []

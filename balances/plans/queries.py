@@ -12,7 +12,7 @@ from balances.config import SETTINGS
 from balances.operators import (amount, asof, audit, features, marts, panel, profile, quality,
                                 rank, scoring, sizing, star, stats)
 from balances.sources import tables
-from balances.plans.common import balances, cut, rounded
+from balances.plans.common import balances, cut, layer, rounded
 from balances.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,11 @@ def panel_frame(spark, d):
     return panel.monthly_panel(balances(spark, d), cut(spark, d))
 
 
+def panel_layer(spark, d):
+    """Silver monthly panel, materialised once."""
+    return layer(spark, d, "panel", lambda: cut_lineage(panel_frame(spark, d)))
+
+
 @query("monthly_panel")
 def q_monthly_panel(spark, d):
     return rounded(panel_frame(spark, d))
@@ -86,25 +91,27 @@ def q_tenure_months(spark, d):
 
 @query("liquid_cv")
 def q_liquid_cv(spark, d):
-    return rounded(panel.liquid_cv(panel_frame(spark, d), cut(spark, d)))
+    return rounded(panel.liquid_cv(panel_layer(spark, d), cut(spark, d)))
 
 
 def customers_frame(spark, d):
     return features.clean_customers(tables.raw_customers(spark, d))
 
 
-def features_frame(spark, d, lift=None):
+def features_frame(spark, d, lift=None, panel_df=None):
     c = cut(spark, d)
     recs = balances(spark, d)
+    p = panel_df if panel_df is not None else panel.monthly_panel(recs, c)
     return features.customer_features(
         customers_frame(spark, d), recs, tables.income_estimates(spark, d),
-        panel.liquid_cv(panel.monthly_panel(recs, c), c), panel.first_record(recs), c, lift)
+        panel.liquid_cv(p, c), panel.first_record(recs), c, lift)
 
 
 def features_ckpt(spark, d):
-    """The feature mart materialised once (reliable checkpoint) for queries
-    that read it in several passes (statistics, ranking)."""
-    return cut_lineage(features_frame(spark, d))
+    """Gold feature mart materialised once (reliable checkpoint); downstream
+    queries read it instead of recomputing it."""
+    return layer(spark, d, "features",
+                 lambda: cut_lineage(features_frame(spark, d, panel_df=panel_layer(spark, d))))
 
 
 @query("customer_features")
@@ -126,28 +133,28 @@ def population(c="has_product_history"):
 
 @query("missing_flags")
 def q_missing_flags(spark, d):
-    f = features_frame(spark, d)
+    f = features_ckpt(spark, d)
     return f.select("customer_id", "housing", "has_housing_data", "missing_financial",
                     "missing_estimator", "missing_housing")
 
 
 @query("segment_rates")
 def q_segment_rates(spark, d):
-    f = features_frame(spark, d)
+    f = features_ckpt(spark, d)
     return rounded(profile.rate_by_category(f, CAT_COLS, "adoption_label")
                    .withColumn("n", F.col("n").cast("long")))
 
 
 @query("label_means")
 def q_label_means(spark, d):
-    f = features_frame(spark, d)
+    f = features_ckpt(spark, d)
     cols = [f"{p}_balance_snapshot" for p in S.product_slugs] + ["savings_capacity"]
     return rounded(profile.means_by(f, "adoption_label", cols))
 
 
 @query("label_medians")
 def q_label_medians(spark, d):
-    f = features_frame(spark, d)
+    f = features_ckpt(spark, d)
     return rounded(profile.medians_by(f, "adoption_label", MEDIAN_COLS))
 
 
@@ -158,13 +165,13 @@ def q_null_profile(spark, d):
 
 @query("describe_profile")
 def q_describe_profile(spark, d):
-    f = features_frame(spark, d)
+    f = features_ckpt(spark, d)
     return rounded(profile.describe_profile(f, DESCRIBE_COLS)
                    .withColumn("count", F.col("count").cast("long")))
 
 
 def levels_frame(spark, d):
-    f = features_frame(spark, d).select(
+    f = features_ckpt(spark, d).select(
         "customer_id", population().alias("population"),
         F.col("liquid_balance_total").alias("value"))
     return rank.priority_levels(f, "value", ["population"])
@@ -220,17 +227,17 @@ def q_non_ascii(spark, d):
 
 
 def star_frames(spark, d):
-    return star.star_schema(features_frame(spark, d), panel_frame(spark, d))
+    return star.star_schema(features_ckpt(spark, d), panel_layer(spark, d))
 
 
 @query("dim_product")
 def q_dim_product(spark, d):
-    return star.dim_product(panel_frame(spark, d))
+    return star.dim_product(panel_layer(spark, d))
 
 
 @query("dim_time")
 def q_dim_time(spark, d):
-    return star.dim_time(panel_frame(spark, d))
+    return star.dim_time(panel_layer(spark, d))
 
 
 @query("star_fact")
@@ -352,12 +359,16 @@ def score_input(spark, d):
 
 
 def component_frames(spark, d):
-    comp = amount.component_panel(panel_frame(spark, d))
+    comp = amount.component_panel(panel_layer(spark, d))
     comp_h = cut_lineage(amount.with_history(comp))
     return comp, comp_h
 
 
 def amount_frames(spark, d):
+    return layer(spark, d, "amounts", lambda: _amount_frames(spark, d))
+
+
+def _amount_frames(spark, d):
     comp, comp_h = component_frames(spark, d)
     valid_start = amount.split_month(comp_h).first()["valid_start"]
     bt = cut_lineage(amount.backtest(comp_h, valid_start))
@@ -369,6 +380,10 @@ def amount_frames(spark, d):
 
 
 def fact_frame(spark, d):
+    return layer(spark, d, "fact", lambda: _fact_frame(spark, d))
+
+
+def _fact_frame(spark, d):
     f, scores = score_input(spark, d)
     fact1 = scoring.score_fact(f, scores)
     a = amount_frames(spark, d)
@@ -379,12 +394,12 @@ def fact_frame(spark, d):
 
 @query("component_pivot")
 def q_component_pivot(spark, d):
-    return rounded(amount.component_panel(panel_frame(spark, d)))
+    return rounded(amount.component_panel(panel_layer(spark, d)))
 
 
 @query("semi_history")
 def q_semi_history(spark, d):
-    comp = amount.component_panel(panel_frame(spark, d))
+    comp = amount.component_panel(panel_layer(spark, d))
     h = amount.history_ids(comp).select("customer_id", F.lit(1).alias("_h"))
     f = customers_frame(spark, d).select("customer_id")
     return f.join(h, "customer_id", "left").select(
@@ -564,7 +579,7 @@ def q_level_shift(spark, d):
 
 @query("stratified_rates")
 def q_stratified_rates(spark, d):
-    f = features_frame(spark, d)
+    f = features_ckpt(spark, d)
     return rounded(marts.stratified_rates(f, "has_income_estimate", LABEL, "has_product_history"))
 
 
@@ -647,7 +662,7 @@ PSI_LAG_MONTHS = 12
 
 @query("psi_drift")
 def q_psi_drift(spark, d):
-    p = panel_frame(spark, d)
+    p = panel_layer(spark, d)
     c = F.trunc(F.lit(cut(spark, d)).cast("date"), "month")
     cur = p.where(F.col("month") == c)
     base = p.where(F.col("month") == F.add_months(c, -PSI_LAG_MONTHS))
@@ -656,7 +671,7 @@ def q_psi_drift(spark, d):
 
 @query("training_population")
 def q_training_population(spark, d):
-    return features_frame(spark, d).where(F.col("trainable") == 1).select("customer_id")
+    return features_ckpt(spark, d).where(F.col("trainable") == 1).select("customer_id")
 
 
 LOOKUP_ID = 7
@@ -664,7 +679,7 @@ LOOKUP_ID = 7
 
 @query("customer_lookup")
 def q_customer_lookup(spark, d):
-    f = features_frame(spark, d)
+    f = features_ckpt(spark, d)
     return rounded(f.where(F.col("customer_id") == F.lit(str(LOOKUP_ID)).cast("long")))
 
 

@@ -22,7 +22,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("BALANCES_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("BALANCES_DRIVER_MEMORY", "6g"))
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
     )
     spark = builder.getOrCreate()
