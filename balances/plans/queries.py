@@ -9,8 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import (amount, asof, audit, features, marts, panel, profile, quality,
-                                rank, scoring, sizing, star, stats)
+from balances.operators import (amount, asof, audit, features, marts, models, panel, profile,
+                                quality, rank, scoring, sizing, star, stats)
 from balances.sources import tables
 from balances.plans.common import balances, cut, layer, rounded
 from balances.session import cut_lineage
@@ -683,5 +683,106 @@ def q_customer_lookup(spark, d):
     return rounded(f.where(F.col("customer_id") == F.lit(str(LOOKUP_ID)).cast("long")))
 
 
+# ---------------------------------------------------------------- models (rows-only)
+def propensity_layer(spark, d):
+    """Models A/B fitted once per application (a trained model has
+    no SQL oracle: these queries are checked on rows only)."""
+    def build():
+        f = features_ckpt(spark, d)
+        res = models.propensity(f)
+        res["scores"] = cut_lineage(res["scores"])
+        return res
+    return layer(spark, d, "propensity", build)
+
+
+@query("propensity_scores")
+def q_propensity_scores(spark, d):
+    res = propensity_layer(spark, d)
+    models.assert_all_scored(features_ckpt(spark, d), res["scores"])
+    return rounded(res["scores"])
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, d):
+    res = propensity_layer(spark, d)
+    cols_b = res["cols"]["B"]
+    return rounded(models.permutation_importance(res["models"]["B"], res["test"], cols_b, LABEL,
+                                                 cols_b, repeats=5))
+
+
+@query("missing_pattern_model")
+def q_missing_pattern_model(spark, d):
+    f = features_ckpt(spark, d)
+    taut = ["income_estimate", "has_income_estimate", "income_gap", "income_gap_pct"]
+    auc = models.auxiliary_auc(f, "missing_estimator", taut)
+    df = spark.createDataFrame([("missing_estimator_pattern", auc)], "rule string, auc double")
+    return rounded(df.withColumn("band", marts.auc_band("auc", S.auc_pattern_weak,
+                                                        S.auc_pattern_informative)))
+
+
+@query("gender_proxy_model")
+def q_gender_proxy_model(spark, d):
+    f = features_ckpt(spark, d)
+    mode = f.agg(F.mode("gender", deterministic=True).alias("mode"))  # A14, few levels
+    target = f.crossJoin(F.broadcast(mode)).withColumn(  # 1-row frame
+        "is_modal_gender", (F.coalesce(F.col("gender"), F.lit("")) == F.col("mode")).cast("int")).drop("mode")
+    auc = models.auxiliary_auc(target, "is_modal_gender")
+    df = spark.createDataFrame([("gender_proxy", auc)], "rule string, auc double")
+    return rounded(df.withColumn("band", marts.auc_band("auc", S.auc_proxy_moderate,
+                                                        S.auc_proxy_substantial)))
+
+
+@query("amount_forecast")
+def q_amount_forecast(spark, d):
+    """GBT regressors per component (features: end balance, months,
+    trend, capacity set B), backtested on the validation months, scenarios
+    from the error percentiles, totals per customer."""
+    a = amount_frames(spark, d)
+    f = features_ckpt(spark, d)
+    cols_b = models.feature_set_b(f)
+    comp_h, vs = a["comp_h"], a["valid_start"]
+    train_t = amount.window_targets(comp_h.where(F.col("month") < F.lit(vs)))
+    full_t = a["full"]
+    bt_real = a["bt"].select("customer_id", "component", "real")
+    fb = f.select("customer_id", *cols_b)
+    preds, errs = {}, []
+    for c in amount.COMPONENTS:
+        def design(t):
+            return t.select("customer_id", F.col(f"{c}_end").alias("invested_now"), "months",
+                            amount.trend_feature(f"{c}_start", f"{c}_end", "months").alias("trend"),
+                            F.col(f"{c}_growth").alias("target")).join(fb, "customer_id", "left")
+        cols = ["invested_now", "months", "trend"] + cols_b
+        tr = design(train_t)
+        m = models.fit_regressor(tr.where(F.col("target").isNotNull()), cols, "target")
+        p_tr = models.predict(m, tr, cols).select("customer_id", "pred")
+        errs.append(bt_real.where(F.col("component") == c).join(p_tr, "customer_id")
+                    .select("customer_id", F.lit(c).alias("component"),
+                            (F.col("real") - F.col("pred")).alias("error")))
+        preds[c] = models.predict(m, design(full_t), cols).select("customer_id", F.col("pred").alias(f"{c}_growth"))
+    bt = errs[0].unionByName(errs[1])
+    scen = amount.scenarios_by_component(bt)
+    full_pred = preds["app"].join(preds["conservative"], "customer_id", "full")
+    return rounded(amount.amount_scenarios(full_pred, scen))
+
+
+@query("label_sensitivity")
+def q_label_sensitivity(spark, d):
+    """Model A retrained on the recent label; AUC, Spearman rho between
+    the two score vectors, level-distance histogram (F15)."""
+    f = features_ckpt(spark, d)
+    main = propensity_layer(spark, d)
+    recent = models.propensity(f, "adoption_label_recent")
+    s1 = main["scores"].select("customer_id", F.col("score").alias("s_main"))
+    s2 = recent["scores"].select("customer_id", F.col("score").alias("s_recent"))
+    both = s1.join(s2, "customer_id")
+    rho = stats.spearman(both, "customer_id", "s_main", "s_recent").withColumnRenamed("n", "n_spearman")
+    pop = f.select("customer_id", population().alias("population"))
+    lv1 = rank.priority_levels(both.join(pop, "customer_id"), "s_main", ["population"])
+    lv2 = rank.priority_levels(both.join(pop, "customer_id"), "s_recent", ["population"])
+    hist = marts.level_shift(lv1, lv2)
+    meta = spark.createDataFrame([(float(recent["metrics"]["auc_a"] or 0.0),)], "auc_recent double")
+    return rounded(hist.crossJoin(F.broadcast(rho)).crossJoin(F.broadcast(meta)))  # 1-row frames
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
