@@ -1126,3 +1126,76 @@ SQL["training_population"] = feat_with() + "SELECT customer_id FROM feat WHERE t
 
 SQL["customer_lookup"] = feat_with() + "SELECT * REPLACE (" + ", ".join(
     f"round({c}, 6) AS {c}" for c in FEAT_DOUBLES) + ") FROM feat WHERE customer_id = CAST('7' AS BIGINT)"
+
+
+# --------------------------------------------------------------------------
+# further reports
+# --------------------------------------------------------------------------
+SQL["level_crosstab"] = fact_with() + """
+SELECT 'population' AS row_variable, population AS row_value, level, CAST(count(*) AS BIGINT) AS n
+FROM fact GROUP BY population, level
+UNION ALL
+SELECT 'segment', segment, level, CAST(count(*) AS BIGINT) FROM fact GROUP BY segment, level"""
+
+DECISIONS = f"""hd AS (SELECT CASE WHEN max(iv) FILTER (WHERE variable = 'housing') >= {S.iv_min} THEN 'keep_category'
+                   WHEN max(iv) FILTER (WHERE variable = 'has_housing_data') >= {S.iv_min} THEN 'keep_flag'
+                   ELSE 'drop' END AS housing_decision FROM ivs),
+dec AS (SELECT variable, iv,
+       CASE WHEN variable IN ('gender') THEN 'exclude_protected'
+            WHEN variable = 'housing' THEN housing_decision
+            WHEN iv IS NULL THEN 'review'
+            WHEN iv < {S.iv_min} THEN 'exclude_low_iv' ELSE 'include' END AS decision
+FROM ivs, hd)"""
+
+SQL["decision_counts"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG2, WOE_CAT, IVS, DECISIONS) + """
+SELECT decision, CAST(count(*) AS BIGINT) AS n FROM dec GROUP BY decision"""
+
+_OV = ["missing_estimator", "missing_housing", "missing_financial"]
+SQL["missing_overlap"] = feat_with() + "SELECT CAST(count(*) AS BIGINT) AS n, " + ", ".join(
+    [f"CAST(count(*) FILTER (WHERE {a} = 1) AS BIGINT) AS n_{a}" + "".join(
+        f", CAST(count(*) FILTER (WHERE {a} = 1 AND {b} = 1) AS BIGINT) AS n_{a}_and_{b}" for b in _OV[i + 1:])
+     for i, a in enumerate(_OV)]) + " FROM feat"
+
+SQL["id_check"] = with_(CUST) + """
+SELECT CAST(count(*) FILTER (WHERE NOT regexp_matches(CAST(customer_id AS VARCHAR), '^-?\\d{1,20}$')) AS BIGINT) AS n_bad_ids,
+       CAST(count(*) AS BIGINT) AS n_ids FROM cust_raw"""
+
+SQL["importance_top"] = feat_with(IMP_LONG, MW) + """
+SELECT variable, round(abs(u / (n_event * n_non_event) - 0.5), 6) AS importance FROM mw
+ORDER BY abs(u / (n_event * n_non_event) - 0.5) DESC NULLS LAST, variable LIMIT 12"""
+
+SQL["facet_reconciliation"] = fact_with(FACETS) + """,
+again AS (SELECT population, level, segment, count(*) AS n2,
+                 coalesce(sum(CASE WHEN amount_base_12m IS NOT NULL THEN greatest(amount_base_12m, 0.0) END), 0.0) AS g2
+          FROM fact GROUP BY population, level, segment),
+j AS (SELECT * FROM fc FULL OUTER JOIN again
+        ON fc.population IS NOT DISTINCT FROM again.population AND fc.level IS NOT DISTINCT FROM again.level
+       AND fc.segment IS NOT DISTINCT FROM again.segment)
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_pre, CAST(coalesce(sum(n2), 0) AS BIGINT) AS n_recomputed,
+       CAST(count(*) FILTER (WHERE n IS NULL OR n2 IS NULL OR n <> n2 OR abs(gross_inflow - g2) > 1e-6) AS BIGINT)
+         AS n_mismatched_cells
+FROM j"""
+
+SQL["woe_retained"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG2, WOE_CAT, IVS, DECISIONS) + """
+SELECT variable, bin_kind, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, CAST(NULL AS VARCHAR) AS bin,
+       n, events, round(woe, 6) AS woe
+FROM woe_num WHERE variable IN (SELECT variable FROM dec WHERE decision = 'include')
+UNION ALL
+SELECT variable, 'category', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), bin, n, events, round(woe, 6)
+FROM woe_cat WHERE variable IN ('age_group', 'gender', 'segment', 'housing')
+  AND variable IN (SELECT variable FROM dec WHERE decision = 'include')"""
+
+SQL["segment_median_impute"] = feat_with() + """,
+med AS (SELECT segment, quantile_cont(income, 0.5) AS m FROM feat WHERE income IS NOT NULL GROUP BY segment)
+SELECT customer_id, feat.segment, round(coalesce(income, med.m), 6) AS income_imputed,
+       CAST(income IS NULL AS INTEGER) AS imputed
+FROM feat LEFT JOIN med ON feat.segment IS NOT DISTINCT FROM med.segment"""
+
+_CB = ["income", "savings_capacity", "liquid_balance_total"]
+CB_LONG = "nl AS (" + " UNION ALL ".join(
+    f"SELECT customer_id, has_housing_data AS y, '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat"
+    for c in _CB) + ")"
+SQL["capture_bias"] = feat_with(CB_LONG, MW) + """
+SELECT variable, n_event, n_non_event, round(u, 6) AS u, round(z, 6) AS z,
+       round(median_event, 6) AS median_event, round(median_non_event, 6) AS median_non_event
+FROM mw LEFT JOIN med USING (variable)"""

@@ -683,7 +683,159 @@ def q_customer_lookup(spark, d):
     return rounded(f.where(F.col("customer_id") == F.lit(str(LOOKUP_ID)).cast("long")))
 
 
+# ---------------------------------------------------------------- more reports
+@query("level_crosstab")
+def q_level_crosstab(spark, d):
+    """Population x level and segment x level counts (long form)."""
+    f = fact_frame(spark, d)
+    a = profile.crosstab_counts(f, "population", "level").select(
+        F.lit("population").alias("row_variable"), F.col("population").alias("row_value"), "level", "n")
+    b = profile.crosstab_counts(f, "segment", "level").select(
+        F.lit("segment").alias("row_variable"), F.col("segment").alias("row_value"), "level", "n")
+    return a.unionByName(b).withColumn("n", F.col("n").cast("long"))
+
+
+def decisions_frame(spark, d):
+    f = features_ckpt(spark, d)
+    iv = iv_frame_from(f, ["has_housing_data"])
+    w = Window.partitionBy()  # one row per variable
+    iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
+    iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
+    out = iv.withColumn("housing_decision", marts.housing_rule(iv_cat, iv_flag))
+    return out.withColumn("decision", marts.inclusion_rule(
+        F.col("variable"), F.col("iv"), housing_decision=F.col("housing_decision")))
+
+
+@query("decision_counts")
+def q_decision_counts(spark, d):
+    """Variables per inclusion decision."""
+    return decisions_frame(spark, d).groupBy("decision").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+@query("missing_overlap")
+def q_missing_overlap(spark, d):
+    """Overlaps of the missing-block id sets as flags on one row per id."""
+    o = profile.flag_overlap(features_ckpt(spark, d),
+                             ["missing_estimator", "missing_housing", "missing_financial"])
+    return o.select(*[F.col(c).cast("long").alias(c) for c in o.columns])
+
+
+@query("id_check")
+def q_id_check(spark, d):
+    """F16: customer ids rendered as text are plain integers."""
+    return quality.id_text_check(tables.raw_customers(spark, d), "customer_id")
+
+
+@query("importance_top")
+def q_importance_top(spark, d):
+    """L3: the 12 most important variables (a top-k report)."""
+    f = features_ckpt(spark, d)
+    mw = stats.mann_whitney(stats.to_long(f, "customer_id", IMPORTANCE_VARS, LABEL), "customer_id")
+    imp = mw.select("variable", F.abs(F.col("u") / (F.col("n_event") * F.col("n_non_event")) - 0.5)
+                    .alias("importance"))
+    return rounded(imp.orderBy(F.col("importance").desc_nulls_last(), "variable").limit(12))
+
+
+@query("facet_reconciliation")
+def q_facet_reconciliation(spark, d):
+    """DQ9: the pre-aggregated facet counts against a recomputation, full
+    join on the null-safe facet keys; one row of totals and mismatches."""
+    fact = fact_frame(spark, d)
+    pre = marts.facet_counts(fact)
+    again = fact.groupBy("population", "level", "segment").agg(
+        F.count(F.lit(1)).alias("n2"),
+        profile.sum0(F.when(F.col("amount_base_12m").isNotNull(),
+                            F.greatest(F.col("amount_base_12m"), F.lit(0.0)))).alias("g2"))
+    keys = ["population", "level", "segment"]
+    cond = None
+    for k in keys:
+        c = pre[k].eqNullSafe(again[k])
+        cond = c if cond is None else cond & c
+    j = pre.join(again, cond, "full")
+    bad = (F.col("n").isNull() | F.col("n2").isNull() | (F.col("n") != F.col("n2"))
+           | (F.abs(F.col("gross_inflow") - F.col("g2")) > 1e-6))
+    return j.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_pre"),
+                 F.coalesce(F.sum("n2"), F.lit(0)).cast("long").alias("n_recomputed"),
+                 F.count_if(bad).cast("long").alias("n_mismatched_cells"))
+
+
+@query("woe_retained")
+def q_woe_retained(spark, d):
+    """MT9: WoE per bin for the variables the inclusion rule retains."""
+    f = features_ckpt(spark, d)
+    keep = decisions_frame(spark, d).where(F.col("decision") == "include").select("variable")
+    num = stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL).withColumn("bin", F.lit(None).cast("string"))
+    cat = (stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL)
+           .withColumn("bin_kind", F.lit("category"))
+           .withColumn("bin_lo", F.lit(None).cast("double")).withColumn("bin_hi", F.lit(None).cast("double")))
+    w = num.unionByName(cat).join(F.broadcast(keep), "variable", "left_semi")  # keep: one row per variable
+    return rounded(w.select("variable", "bin_kind", "bin_lo", "bin_hi", "bin", "n", "events", "woe"))
+
+
+IMPUTE_COL = "income"
+
+
+@query("segment_median_impute")
+def q_segment_median_impute(spark, d):
+    """Impute by the segment median (exact, distributed) — the median
+    table has one row per segment and is broadcast."""
+    f = features_ckpt(spark, d)
+    med = profile.medians_by(f, "segment", [IMPUTE_COL]).select("segment", F.col("median").alias("_m"))
+    j = f.select("customer_id", "segment", IMPUTE_COL).join(F.broadcast(med), "segment", "left")
+    return rounded(j.select("customer_id", "segment",
+                            F.coalesce(F.col(IMPUTE_COL), F.col("_m")).alias(f"{IMPUTE_COL}_imputed"),
+                            F.col(IMPUTE_COL).isNull().cast("int").alias("imputed")))
+
+
+CAPTURE_BIAS_VARS = ["income", "savings_capacity", "liquid_balance_total"]
+
+
+@query("capture_bias")
+def q_capture_bias(spark, d):
+    """ST22: medians and Mann-Whitney of three variables, with vs without
+    housing data."""
+    f = features_ckpt(spark, d)
+    long = stats.to_long(f, "customer_id", CAPTURE_BIAS_VARS, "has_housing_data")
+    return rounded(stats.mann_whitney(long, "customer_id")
+                   .join(stats.group_medians(long, "customer_id"), "variable", "left"))
+
+
 # ---------------------------------------------------------------- models (rows-only)
+@query("validation_table")
+def q_validation_table(spark, d):
+    """ST10 (rows-only: p-values need erfc / the gamma function): one row per
+    variable — IV + class, Mann-Whitney z (numeric) or chi-square
+    (categorical) with p-value, BH q-value over all p together, VIF and its
+    alert for numeric variables with > 50 % non-null (ST9)."""
+    f = features_ckpt(spark, d)
+    iv = iv_frame_from(f)
+    mw = stats.mann_whitney(stats.to_long(f, "customer_id", NUM_VARS, LABEL), "customer_id") \
+        .select("variable", F.lit("mann_whitney").alias("test"), F.col("z").alias("statistic"),
+                stats.p_from_z("z").alias("p_value"))
+    ch = stats.chi2_cramer(f, CAT_COLS, LABEL).select(
+        "variable", F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"),
+        stats.p_from_chi2("chi2", "dof").alias("p_value"))
+    tests = cut_lineage(mw.unionByName(ch).where(F.col("p_value").isNotNull()))
+    bh = stats.benjamini_hochberg(tests, "p_value", "variable").select("variable", "q_value", "reject")
+    nn = profile.null_profile(f.select(*NUM_VARS))
+    cand = [r["column"] for r in nn.where(F.col("n_null") < F.col("n_rows") * 0.5).collect()]
+    cand = [c for c in cand if not c.startswith("missing_")]
+    vif = spark.createDataFrame(stats.vif_general(f, cand)) if len(cand) > 1 else \
+        spark.createDataFrame([], "variable string, vif double")
+    out = (iv.join(tests, "variable", "left").join(bh, "variable", "left").join(vif, "variable", "left")
+           .withColumn("vif_alert", (F.col("vif") > S.vif_alert).cast("int")))
+    return rounded(out)
+
+
+@query("vif_all")
+def q_vif_all(spark, d):
+    """ST8/ST9 for every eligible numeric variable (k x k inverse: rows-only)."""
+    f = features_ckpt(spark, d)
+    return rounded(spark.createDataFrame(stats.vif_general(f, VIF_CANDIDATES)))
+
+
+VIF_CANDIDATES = ["income", "expenses", "savings_capacity", "liquid_balance_total",
+                  "invested_non_label_balance", "expense_income_ratio", "tenure_months"]
 def propensity_layer(spark, d):
     """Models A/B fitted once per application (a trained model has
     no SQL oracle: these queries are checked on rows only)."""

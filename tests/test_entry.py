@@ -33,7 +33,8 @@ def test_every_query_has_oracle_or_is_rows_only():
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
     assert rows_only <= {"propensity_scores", "permutation_importance", "amount_forecast",
-                         "missing_pattern_model", "gender_proxy_model", "label_sensitivity"}
+                         "missing_pattern_model", "gender_proxy_model", "label_sensitivity",
+                         "validation_table", "vif_all"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
