@@ -2,7 +2,9 @@
 
 Plan shape of ``monthly_panel``: one partial+final aggregation to
 (group, month) — hot groups are collapsed map-side to at most one row per
-month — then one window over (group) ordered by month. Each observed month
+month — then one re-key of those monthly rows by customer, which the window
+over (group) ordered by month and the per-customer aggregations downstream
+(CV, gold joins) all reuse without another exchange. Each observed month
 emits itself plus the months until the next observation (LOCF by
 ``sequence``), so no grid join and no second window are needed; a group's
 window holds at most one row per month, so it is bounded by the calendar, not
@@ -52,7 +54,11 @@ def monthly_panel(records: DataFrame, cut: dt.date | None = None,
         raise ValueError("monthly_panel needs the global cut or an explicit max_month")
     monthly = month_last(records, keys, date_col, value_col, tiebreak_col)
     mmax = F.trunc(F.lit(max_month).cast("date"), "month")
-    monthly = monthly.where(F.col("month") <= mmax)
+    # re-key the (already map-side collapsed) monthly rows by the entity: the
+    # window below and the per-customer aggregations downstream (CV, gold
+    # joins) then reuse this partitioning instead of shuffling again; a hot
+    # entity brings at most products x months rows here, never its raw rows
+    monthly = monthly.where(F.col("month") <= mmax).repartition(keys[0])
     w = Window.partitionBy(*keys).orderBy("month")
     carried = (monthly
                .withColumn("_next", F.lead("month").over(w))
