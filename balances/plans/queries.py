@@ -116,7 +116,8 @@ def features_ckpt(spark, d):
 
 @query("customer_features")
 def q_customer_features(spark, d):
-    return rounded(features_frame(spark, d))
+    """Flagship: the gold feature mart (builds and materialises the layer)."""
+    return rounded(features_ckpt(spark, d))
 
 
 S = SETTINGS
@@ -385,7 +386,7 @@ def fact_frame(spark, d):
 
 def _fact_frame(spark, d):
     f, scores = score_input(spark, d)
-    fact1 = scoring.score_fact(f, scores)
+    fact1 = scoring.score_fact(f, scores, with_levels=False)
     a = amount_frames(spark, d)
     fact2 = scoring.with_amounts(fact1, a["amounts"], amount.history_ids(a["comp"]))
     attrs = f.select("customer_id", "segment", "age_group", "gender", "adoption_label")
