@@ -316,3 +316,37 @@ def table_profile(df: DataFrame, iv: DataFrame | None = None) -> DataFrame:
 
 def window_rank_small(df, group_cols, order_cols):
     return window_row_number(df, group_cols, order_cols)
+
+
+# ---------------------------------------------------------------- MT3 / MT5 / DQ10
+def serving_table(fact: DataFrame) -> DataFrame:
+    """MT3: score fact joined to the customer attributes, id as text, and the
+    percentile inside the population computed over the WHOLE base (the web
+    mart's mode; the dashboard's filtered mode is ``contact_list``)."""
+    r = distributed_row_number(fact.where(F.col("reference_value").isNotNull()),
+                               ["population"], ["reference_value", "customer_id"])
+    return r.select(F.col("customer_id").cast("string").alias("customer_id"), "population", "level",
+                    (F.col("rn") / F.col("n")).alias("percentile_in_group"), "segment", "age_group",
+                    "score", "model_used", "amount_base_12m", "expected_value_12m",
+                    "has_investment_history")
+
+
+def key_value(summary: DataFrame) -> DataFrame:
+    """MT5: a one-row summary stacked to (key, value) rows."""
+    cols = summary.columns
+    return summary.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "key", "value")
+
+
+def figure_regression(actual: DataFrame, expected: dict, tolerance: dict | None = None) -> DataFrame:
+    """DQ10: compare (key, value) figures with published ones; relative
+    tolerance per key (default exact); status OK / FAIL / MISSING."""
+    spark = actual.sparkSession
+    tol = tolerance or {}
+    exp = spark.createDataFrame([(k, float(v), float(tol.get(k, 0.0))) for k, v in expected.items()],
+                                "key string, expected double, tolerance double")
+    j = exp.join(actual, "key", "left")
+    rel = F.abs(F.col("value") - F.col("expected")) / F.greatest(F.abs(F.col("expected")), F.lit(1e-12))
+    status = (F.when(F.col("value").isNull(), F.lit("MISSING"))
+              .when(rel <= F.col("tolerance"), F.lit("OK")).otherwise(F.lit("FAIL")))
+    return j.select("key", "expected", "value", "tolerance", status.alias("status"))

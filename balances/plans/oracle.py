@@ -1199,3 +1199,18 @@ SQL["capture_bias"] = feat_with(CB_LONG, MW) + """
 SELECT variable, n_event, n_non_event, round(u, 6) AS u, round(z, 6) AS z,
        round(median_event, 6) AS median_event, round(median_non_event, 6) AS median_non_event
 FROM mw LEFT JOIN med USING (variable)"""
+
+SQL["customer_serving"] = fact_with() + """,
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY population ORDER BY reference_value, customer_id) AS DOUBLE)
+                     / count(*) OVER (PARTITION BY population) AS percentile_in_group
+           FROM fact WHERE reference_value IS NOT NULL)
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, population, level, round(percentile_in_group, 6) AS percentile_in_group,
+       segment, age_group, round(score, 6) AS score, model_used, round(amount_base_12m, 6) AS amount_base_12m,
+       round(expected_value_12m, 6) AS expected_value_12m, has_investment_history
+FROM ranked"""
+
+_KV = ["n_customers", "n_prioritised_a_b", "n_level_a", "n_level_a_with_history", "n_level_a_without_history",
+       "gross_inflow_12m", "n_inflow", "gross_outflow_12m", "n_outflow", "opportunity_conservative_12m",
+       "opportunity_base_12m", "opportunity_optimistic_12m", "n_with_amount", "mean_customer_width", "net_12m"]
+SQL["summary_kv"] = fact_with(SUMMARY) + ",\nsumm2 AS (SELECT *, gross_inflow_12m + gross_outflow_12m AS net_12m FROM summ)\n" + \
+    " UNION ALL ".join(f"SELECT '{k}' AS key, round(CAST({k} AS DOUBLE), 6) AS value FROM summ2" for k in _KV)

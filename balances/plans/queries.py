@@ -801,6 +801,18 @@ def q_capture_bias(spark, d):
                    .join(stats.group_medians(long, "customer_id"), "variable", "left"))
 
 
+@query("customer_serving")
+def q_customer_serving(spark, d):
+    """MT3: the serving table (whole-base percentile)."""
+    return rounded(marts.serving_table(fact_frame(spark, d)))
+
+
+@query("summary_kv")
+def q_summary_kv(spark, d):
+    """MT5: executive summary as key/value rows."""
+    return rounded(marts.key_value(sizing.executive_summary(fact_frame(spark, d))))
+
+
 # ---------------------------------------------------------------- models (rows-only)
 @query("validation_table")
 def q_validation_table(spark, d):

@@ -104,3 +104,15 @@ def test_rules(spark):
     assert [r[0] for r in a.select(marts.auc_band("auc", 0.6, 0.7)).collect()] == ["low", "moderate", "high"]
     with pytest.raises(Exception):
         spark.createDataFrame([(1.5,)], "auc double").select(marts.auc_band("auc", 0.6, 0.7)).collect()
+
+
+def test_figure_regression(spark):
+    actual = spark.createDataFrame([("a", 100.0), ("b", 10.5)], "key string, value double")
+    out = {r.key: r.status for r in marts.figure_regression(
+        actual, {"a": 100.0, "b": 10.0, "c": 1.0}, {"b": 0.01}).collect()}
+    assert out == {"a": "OK", "b": "FAIL", "c": "MISSING"}
+
+
+def test_key_value(spark):
+    s = spark.createDataFrame([(3, 1.5)], "n long, x double")
+    assert {r.key: r.value for r in marts.key_value(s).collect()} == {"n": 3.0, "x": 1.5}
