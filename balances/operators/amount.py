@@ -126,10 +126,11 @@ def amount_scenarios(full_targets: DataFrame, scen: DataFrame,
     totals scenario by scenario (absent component -> 0.0). ``scen`` has one
     row per component, so it is broadcast (bounded by the component count)."""
     rows = None
+    sc = F.broadcast(scen)  # one row per component
     for c in components:
-        sc = F.broadcast(scen.where(F.col("component") == c).drop("component"))
-        # scalar attach: ``sc`` has exactly one row
-        part = full_targets.select("customer_id", F.col(f"{c}_growth").alias("_pred")).crossJoin(sc)
+        part = (full_targets.select("customer_id", F.lit(c).alias("component"),
+                                    F.col(f"{c}_growth").alias("_pred"))
+                .join(sc, "component", "left"))
         part = part.select(
             "customer_id",
             (F.col("_pred") + F.col("err_lo")).alias(f"amount_{c}_12m_conservative"),

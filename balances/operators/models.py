@@ -181,8 +181,8 @@ def permutation_importance(model: PipelineModel, test: DataFrame, cols, label_co
     long = reduce(DataFrame.unionByName, parts)
     scored = score(model, long, cols)
     aucs = auc_exact(scored, "customer_id", "score", label_col, ["variable", "repeat"])
-    base_auc = aucs.where(F.col("variable") == "__baseline__").select(F.col("auc").alias("_base"))
-    drops = aucs.where(F.col("variable") != "__baseline__").crossJoin(F.broadcast(base_auc))  # 1 row
+    base_auc = aucs.where(F.col("variable") == "__baseline__").first()["auc"]  # one scalar
+    drops = aucs.where(F.col("variable") != "__baseline__").withColumn("_base", F.lit(base_auc))
     return drops.groupBy("variable").agg(
         F.avg(F.col("_base") - F.col("auc")).alias("importance_mean"),
         F.stddev_pop(F.col("_base") - F.col("auc")).alias("importance_std"))

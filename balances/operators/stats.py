@@ -182,12 +182,12 @@ def one_vs_rest(df: DataFrame, id_col: str, group_col: str, score_col: str) -> D
     per_value = ranked.groupBy("value").agg(((F.min("rn") + F.max("rn")) / 2.0).alias("mid_rank"),
                                             F.count(F.lit(1)).alias("t"))
     tie = per_value.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tie_term"),
-                        F.sum("t").alias("n_all"))
+                        F.sum("t").alias("n_all")).withColumn("variable", F.lit(score_col))
     ranked = ranked.join(per_value.select("value", "mid_rank"), "value")
-    per_group = ranked.groupBy("grp").agg(
+    per_group = ranked.groupBy("variable", "grp").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
         F.sum("mid_rank").alias("r_g"))
-    j = per_group.crossJoin(F.broadcast(tie))  # scalar attach: ``tie`` has exactly one row
+    j = per_group.join(F.broadcast(tie), "variable")  # tie: one row per score variable
     ng, n = F.col("n"), F.col("n_all")
     nr = n - ng
     u = F.col("r_g") - ng * (ng + 1) / 2.0
@@ -371,22 +371,26 @@ def conditional_lift(df: DataFrame, a: str, b: str) -> DataFrame:
                     lift.alias("lift"))
 
 
-def mae_mape(df: DataFrame, real: str, pred: str, eps: float = 1.0) -> DataFrame:
+def mae_mape(df: DataFrame, real: str, pred: str, eps: float = 1.0, group_cols=()) -> DataFrame:
     """ST14: MAE over finite pairs; APE over |real| > eps: mean and median as
-    ratios (not percentages); n and n_ape."""
+    ratios (not percentages); n and n_ape. Per group when ``group_cols`` is
+    given (all groups in one job; the medians join back on the group key)."""
+    gc = list(group_cols) or ["_g"]
     ok = df.where(F.col(real).isNotNull() & F.col(pred).isNotNull()
                   & ~F.isnan(real) & ~F.isnan(pred))
+    if not group_cols:
+        ok = ok.withColumn("_g", F.lit(1))
     ape = F.abs((F.col(real) - F.col(pred)) / F.abs(F.col(real)))
     valid = F.abs(F.col(real)) > eps
     g = ok.withColumn("_ape", F.when(valid, ape)).withColumn("_id", F.monotonically_increasing_id())
-    base = g.agg(F.avg(F.abs(F.col(real) - F.col(pred))).alias("mae"),
-                 F.avg("_ape").alias("ape_mean"),
-                 F.count(F.lit(1)).cast("long").alias("n"),
-                 F.count("_ape").cast("long").alias("n_ape"))
-    med = exact_quantiles(g.select(F.lit(1).alias("_g"), F.col("_ape").alias("value"), "_id"),
-                          ["_g"], "value", [0.5], id_col="_id")
-    # scalar attach: both sides have exactly one row
-    return base.crossJoin(F.broadcast(med.select(F.col("value").alias("ape_median_ratio"))))
+    base = g.groupBy(*gc).agg(F.avg(F.abs(F.col(real) - F.col(pred))).alias("mae"),
+                              F.avg("_ape").alias("ape_mean"),
+                              F.count(F.lit(1)).cast("long").alias("n"),
+                              F.count("_ape").cast("long").alias("n_ape"))
+    med = exact_quantiles(g.select(*gc, F.col("_ape").alias("value"), "_id"),
+                          gc, "value", [0.5], id_col="_id")
+    out = base.join(med.select(*gc, F.col("value").alias("ape_median_ratio")), gc, "left")
+    return out.drop("_g") if not group_cols else out
 
 
 def error_scenarios(errors: DataFrame, err_col: str, id_col: str,

@@ -427,12 +427,7 @@ def q_backtest(spark, d):
 @query("mae_mape")
 def q_mae_mape(spark, d):
     bt = amount_frames(spark, d)["bt"]
-    parts = [stats.mae_mape(bt.where(F.col("component") == c), "real", "pred")
-             .withColumn("component", F.lit(c)) for c in amount.COMPONENTS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return rounded(out)
+    return rounded(stats.mae_mape(bt, "real", "pred", group_cols=["component"]))
 
 
 @query("error_scenarios")
@@ -888,9 +883,9 @@ def q_missing_pattern_model(spark, d):
 @query("gender_proxy_model")
 def q_gender_proxy_model(spark, d):
     f = features_ckpt(spark, d)
-    mode = f.agg(F.mode("gender", deterministic=True).alias("mode"))  # A14, few levels
-    target = f.crossJoin(F.broadcast(mode)).withColumn(  # 1-row frame
-        "is_modal_gender", (F.coalesce(F.col("gender"), F.lit("")) == F.col("mode")).cast("int")).drop("mode")
+    mode = f.agg(F.mode("gender", deterministic=True).alias("mode")).first()["mode"]  # A14: one scalar
+    target = f.withColumn("is_modal_gender",
+                          (F.coalesce(F.col("gender"), F.lit("")) == F.lit(mode)).cast("int"))
     auc = models.auxiliary_auc(target, "is_modal_gender")
     df = spark.createDataFrame([("gender_proxy", auc)], "rule string, auc double")
     return rounded(df.withColumn("band", marts.auc_band("auc", S.auc_proxy_moderate,
@@ -945,8 +940,10 @@ def q_label_sensitivity(spark, d):
     lv1 = rank.priority_levels(both.join(pop, "customer_id"), "s_main", ["population"])
     lv2 = rank.priority_levels(both.join(pop, "customer_id"), "s_recent", ["population"])
     hist = marts.level_shift(lv1, lv2)
-    meta = spark.createDataFrame([(float(recent["metrics"]["auc_a"] or 0.0),)], "auc_recent double")
-    return rounded(hist.crossJoin(F.broadcast(rho)).crossJoin(F.broadcast(meta)))  # 1-row frames
+    r = rho.first()  # one row: rho and its n
+    return rounded(hist.withColumn("spearman", F.lit(r["spearman"]))
+                   .withColumn("n_spearman", F.lit(r["n_spearman"]))
+                   .withColumn("auc_recent", F.lit(recent["metrics"]["auc_a"]).cast("double")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
