@@ -183,10 +183,13 @@ def one_vs_rest(df: DataFrame, id_col: str, group_col: str, score_col: str) -> D
                                             F.count(F.lit(1)).alias("t"))
     tie = per_value.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tie_term"),
                         F.sum("t").alias("n_all")).withColumn("variable", F.lit(score_col))
-    ranked = ranked.join(per_value.select("value", "mid_rank"), "value")
-    per_group = ranked.groupBy("variable", "grp").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
-        F.sum("mid_rank").alias("r_g"))
+    # R_g = sum over values of mid_rank(v) * count(g, v): both sides are
+    # aggregated by value first, so a tied (hot) score value is one row here
+    per_gv = ranked.groupBy("variable", "grp", "value").agg(F.count(F.lit(1)).alias("c"))
+    per_gv = per_gv.join(per_value.select("value", "mid_rank"), "value")
+    per_group = per_gv.groupBy("variable", "grp").agg(
+        F.sum("c").alias("n"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("mean"),
+        F.sum(F.col("mid_rank") * F.col("c")).alias("r_g"))
     j = per_group.join(F.broadcast(tie), "variable")  # tie: one row per score variable
     ng, n = F.col("n"), F.col("n_all")
     nr = n - ng
