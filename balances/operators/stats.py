@@ -397,18 +397,25 @@ def mae_mape(df: DataFrame, real: str, pred: str, eps: float = 1.0, group_cols=(
 
 
 def error_scenarios(errors: DataFrame, err_col: str, id_col: str,
-                    p_lo: float = 10, p_hi: float = 90) -> DataFrame:
-    """ST15: (p_lo, median, p_hi) linear percentiles of the backtest error; one
-    row. Empty -> zeros. Applied to predictions by a 1-row broadcast join."""
-    finite = errors.where(F.col(err_col).isNotNull() & ~F.isnan(err_col)).select(
-        F.lit(1).alias("_g"), F.col(err_col).alias("value"), id_col)
-    q = exact_quantiles(finite, ["_g"], "value", [p_lo / 100, 0.5, p_hi / 100], id_col=id_col)
-    row = q.groupBy().agg(
+                    p_lo: float = 10, p_hi: float = 90, group_cols=()) -> DataFrame:
+    """ST15: (p_lo, median, p_hi) linear percentiles of the backtest error;
+    one row (per group when ``group_cols``). Empty -> zeros. Applied to
+    predictions by a keyed broadcast join (one row per group)."""
+    gc = list(group_cols) or ["_g"]
+    finite = errors.where(F.col(err_col).isNotNull() & ~F.isnan(err_col))
+    if not group_cols:
+        finite = finite.withColumn("_g", F.lit(1))
+    finite = finite.select(*gc, F.col(err_col).alias("value"), id_col)
+    q = exact_quantiles(finite, gc, "value", [p_lo / 100, 0.5, p_hi / 100], id_col=id_col)
+    row = q.groupBy(*gc).agg(
         F.max(F.when(F.col("p") == p_lo / 100, F.col("value"))).alias("err_lo"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("err_median"),
         F.max(F.when(F.col("p") == p_hi / 100, F.col("value"))).alias("err_hi"))
-    return row.select(*[F.coalesce(F.col(c), F.lit(0.0)).alias(c)
-                        for c in ("err_lo", "err_median", "err_hi")])
+    if not group_cols:
+        # a one-row answer even when there is no error at all
+        row = errors.sparkSession.range(1).select(F.lit(1).alias("_g")).join(row, "_g", "left").drop("_g")
+    return row.select(*list(group_cols), *[F.coalesce(F.col(c), F.lit(0.0)).alias(c)
+                                           for c in ("err_lo", "err_median", "err_hi")])
 
 
 # ---------------------------------------------------------------- p-values

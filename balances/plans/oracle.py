@@ -679,10 +679,12 @@ bt AS ({" UNION ALL ".join(
     f"SELECT customer_id, '{c}' AS component, {_growth(f'{c}_first', f'{c}_last', 'denom')} AS real, "
     f"tw.{c}_growth AS pred, ({_growth(f'{c}_first', f'{c}_last', 'denom')}) - tw.{c}_growth AS error "
     f"FROM tw JOIN vw USING (customer_id), nv WHERE tw.{c}_growth IS NOT NULL" for c in _COMPS)}),
-scen AS (SELECT component, coalesce(quantile_cont(error, 0.1), 0.0) AS err_lo,
-                coalesce(quantile_cont(error, 0.5), 0.0) AS err_median,
-                coalesce(quantile_cont(error, 0.9), 0.0) AS err_hi
-         FROM bt WHERE error IS NOT NULL AND NOT isnan(error) GROUP BY component),
+scen AS (SELECT c.component, coalesce(quantile_cont(b.error, 0.1), 0.0) AS err_lo,
+                coalesce(quantile_cont(b.error, 0.5), 0.0) AS err_median,
+                coalesce(quantile_cont(b.error, 0.9), 0.0) AS err_hi
+         FROM (VALUES {", ".join(f"('{c}')" for c in _COMPS)}) c(component)
+         LEFT JOIN (SELECT * FROM bt WHERE error IS NOT NULL AND NOT isnan(error)) b ON b.component = c.component
+         GROUP BY c.component),
 amounts0 AS (SELECT fw.customer_id, {", ".join(
     f"coalesce(fw.{c}_growth + s_{c}.err_lo, 0.0) AS amount_{c}_12m_conservative, "
     f"coalesce(fw.{c}_growth + s_{c}.err_median, 0.0) AS amount_{c}_12m_base, "
