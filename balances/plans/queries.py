@@ -13,7 +13,7 @@ from balances.operators import (amount, asof, audit, features, marts, models, pa
                                 quality, rank, scoring, sizing, star, stats)
 from balances.sources import tables
 from balances.plans.common import balances, cut, layer, rounded
-from balances.session import cut_lineage
+from balances.session import broadcast_checked, cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -777,7 +777,7 @@ def q_segment_median_impute(spark, d):
     table has one row per segment and is broadcast."""
     f = features_ckpt(spark, d)
     med = profile.medians_by(f, "segment", [IMPUTE_COL]).select("segment", F.col("median").alias("_m"))
-    j = f.select("customer_id", "segment", IMPUTE_COL).join(F.broadcast(med), "segment", "left")
+    j = f.select("customer_id", "segment", IMPUTE_COL).join(broadcast_checked(med), "segment", "left")
     return rounded(j.select("customer_id", "segment",
                             F.coalesce(F.col(IMPUTE_COL), F.col("_m")).alias(f"{IMPUTE_COL}_imputed"),
                             F.col(IMPUTE_COL).isNull().cast("int").alias("imputed")))

@@ -50,3 +50,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never localCheckpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast only after the row count is checked (one small job); above
+    the bound the frame is returned as is and the planner shuffles."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
