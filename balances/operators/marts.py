@@ -30,13 +30,15 @@ def targeting_curve(df: DataFrame, score_col: str, label_col: str, id_col: str =
         k = F.greatest(F.lit(1), F.ceil(F.col("n") * p))
         aggs.append(F.count_if((F.col("rn") <= k) & (F.col("_y") == 1)).alias(f"hits_{i}"))
     g = ranked.agg(*aggs)
-    rows = [g.select(F.lit(float(p)).alias("top_pct"),
-                     F.greatest(F.lit(1), F.ceil(F.col("n") * p)).cast("long").alias("n_contacted"),
-                     F.col(f"hits_{i}").cast("long").alias("hits"),
-                     F.col("positives").cast("long").alias("positives"),
-                     F.col("n").cast("long").alias("n"))
-            for i, p in enumerate(pcts)]
-    c = reduce(DataFrame.unionByName, rows)
+    # one aggregate row -> one output row per pct (inline of an array of
+    # structs: the aggregate is planned once, not once per pct)
+    structs = [F.struct(F.lit(float(p)).alias("top_pct"),
+                        F.greatest(F.lit(1), F.ceil(F.col("n") * p)).cast("long").alias("n_contacted"),
+                        F.col(f"hits_{i}").cast("long").alias("hits"),
+                        F.col("positives").cast("long").alias("positives"),
+                        F.col("n").cast("long").alias("n"))
+               for i, p in enumerate(pcts)]
+    c = g.select(F.inline(F.array(*structs)))
     precision = F.col("hits") / F.col("n_contacted")
     return c.select("top_pct", "n_contacted", "hits", precision.alias("precision"),
                     F.when(F.col("positives") > 0, F.col("hits") / F.col("positives")).alias("recall"),
