@@ -103,25 +103,6 @@ def annualised_growth(start, end, months) -> Column:
     return F.when(m > 0, (col(end) - col(start)) * 12.0 / m)
 
 
-def reference_value(score, capacity_annual, has_history) -> Column:
-    """F11 (first form): score times annualised capacity where capacity > 0,
-    else the score itself; returns struct(value, kind)."""
-    s, cap = col(score), col(capacity_annual)
-    use_cap = (cap > 0) & cap.isNotNull()
-    return F.struct(
-        F.when(use_cap, s * cap).otherwise(s).alias("value"),
-        F.when(use_cap, F.lit("score_x_capacity")).otherwise(F.lit("score")).alias("kind"),
-    )
-
-
-def commercial_block(std, mean, has_history) -> Column:
-    """sin_senal / crecimiento / riesgo_retiro / sin_monto_estimable."""
-    return (F.when(~col(has_history), F.lit("sin_monto_estimable"))
-            .when(col(std) < SETTINGS.flat_std_threshold, F.lit("sin_senal"))
-            .when(col(mean) > 0, F.lit("crecimiento"))
-            .otherwise(F.lit("riesgo_retiro")))
-
-
 TIEBREAK_BITS = 40
 
 
