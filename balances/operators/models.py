@@ -146,6 +146,20 @@ def propensity(features: DataFrame, label_col: str = "adoption_label") -> dict:
             "test": test}
 
 
+def retrain_model_a(features: DataFrame, label_col: str) -> dict:
+    """M15 helper: model A alone, retrained on another label (same split rule,
+    same feature set A); scores the with-history population only."""
+    base = features.where(F.col("trainable") == 1)
+    split = stratified_split(base, label_col)
+    train, test = split.where(F.col("is_test") == 0), split.where(F.col("is_test") == 1)
+    cols_a = feature_set_a(features)
+    model_a = fit_classifier(train, cols_a, label_col)
+    auc = guarded_auc(score(model_a, test, cols_a), label_col)
+    hist = features.where(F.col("has_product_history") == 1)
+    return {"model": model_a, "auc": auc,
+            "scores": score(model_a, hist, cols_a).select("customer_id", "score")}
+
+
 def assert_all_scored(features: DataFrame, scores: DataFrame) -> None:
     """M10 DQ: one non-null score per customer."""
     g = features.select("customer_id").join(scores, "customer_id", "left").agg(

@@ -931,8 +931,8 @@ def q_label_sensitivity(spark, d):
     the two score vectors, level-distance histogram (F15)."""
     f = features_ckpt(spark, d)
     main = propensity_layer(spark, d)
-    recent = models.propensity(f, "adoption_label_recent")
-    s1 = main["scores"].select("customer_id", F.col("score").alias("s_main"))
+    recent = models.retrain_model_a(f, "adoption_label_recent")  # model A only, as in the reference
+    s1 = main["scores"].where(F.col("model_used") == "A").select("customer_id", F.col("score").alias("s_main"))
     s2 = recent["scores"].select("customer_id", F.col("score").alias("s_recent"))
     both = s1.join(s2, "customer_id")
     rho = stats.spearman(both, "customer_id", "s_main", "s_recent").withColumnRenamed("n", "n_spearman")
@@ -943,7 +943,7 @@ def q_label_sensitivity(spark, d):
     r = rho.first()  # one row: rho and its n
     return rounded(hist.withColumn("spearman", F.lit(r["spearman"]))
                    .withColumn("n_spearman", F.lit(r["n_spearman"]))
-                   .withColumn("auc_recent", F.lit(recent["metrics"]["auc_a"]).cast("double")))
+                   .withColumn("auc_recent", F.lit(recent["auc"]).cast("double")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
