@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from balances.config import SETTINGS
 from balances.functions.columns import iv_class
 from balances.operators.rank import distributed_row_number, exact_quantiles
-from balances.session import cut_lineage
+from balances.session import broadcast_checked, cut_lineage
 
 S = SETTINGS
 DECILES = [i / S.n_bins for i in range(S.n_bins + 1)]
@@ -228,7 +228,10 @@ def spearman(df: DataFrame, id_col: str, a: str, b: str) -> DataFrame:
         long = both.select(id_col, F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"))
         mr = mid_ranks(long, id_col)
         rk = distributed_row_number(long, ["variable"], ["value", id_col])
-        return rk.join(mr.select("variable", "value", "mid_rank"), ["variable", "value"]).select(
+        # one row per distinct value: broadcast after a size check, so a
+        # heavily tied value never becomes a hot shuffle key on the big side
+        per_value = broadcast_checked(mr.select("variable", "value", "mid_rank"), 1_000_000)
+        return rk.join(per_value, ["variable", "value"]).select(
             id_col, F.col("mid_rank").alias(f"r_{c}"))
 
     j = ranks(a).join(ranks(b), id_col)
