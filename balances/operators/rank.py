@@ -116,8 +116,14 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs, id_col: st
         order = [value_col, "_uid"]
     rankf = distributed_row_number if distributed else window_row_number
     ranked = rankf(valid.select(*group_cols, *order), group_cols, order)
+    # keep only the rows that are one of the wanted order statistics (at most
+    # 2 x len(probs) per group) BEFORE expanding per probability: no blow-up
+    # of the full input
+    nn = F.col("n") - 1
+    targets = F.array(*[x for p in probs for x in (F.floor(nn * float(p)) + 1, F.ceil(nn * float(p)) + 1)])
+    few = ranked.where(F.array_contains(targets, F.col("rn")))
     ps = F.array(*[F.lit(float(p)) for p in probs])
-    with_p = ranked.select(*group_cols, value_col, "rn", "n", F.explode(ps).alias("p"))
+    with_p = few.select(*group_cols, value_col, "rn", "n", F.explode(ps).alias("p"))
     h = (F.col("n") - 1) * F.col("p")
     lo, hi = F.floor(h) + 1, F.ceil(h) + 1
     picked = with_p.where((F.col("rn") == lo) | (F.col("rn") == hi))
