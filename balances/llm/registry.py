@@ -1,12 +1,14 @@
 """Queries of this package by name, and the SQL of those SQL can express."""
 from __future__ import annotations
 
-from balances.llm import quotient_dedup, word_tokens
+from balances.llm import chunk_bpe, quotient_dedup, token_records, word_tokens
 
 
 def queries() -> dict:
     return {
+        "op2_bpe_round_trip": chunk_bpe.op2_bpe_round_trip,
         "op3_token_counts": word_tokens.op3_token_counts,
+        "op4_token_records": token_records.op4_token_records,
         "op6_exact_dedup": quotient_dedup.op6_exact_dedup,
     }
 
