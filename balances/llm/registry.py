@@ -1,7 +1,7 @@
 """Queries of this package by name, and the SQL of those SQL can express."""
 from __future__ import annotations
 
-from balances.llm import chunk_bpe, langid, quotient_dedup, token_records, toxicity, word_tokens
+from balances.llm import chunk_bpe, hyperminhash, langid, quotient_dedup, token_records, toxicity, word_tokens
 
 
 def queries() -> dict:
@@ -9,6 +9,7 @@ def queries() -> dict:
         "op2_bpe_round_trip": chunk_bpe.op2_bpe_round_trip,
         "op3_token_counts": word_tokens.op3_token_counts,
         "op4_token_records": token_records.op4_token_records,
+        "op5_near_duplicates": hyperminhash.op5_near_duplicates,
         "op6_exact_dedup": quotient_dedup.op6_exact_dedup,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_language_id": langid.op8_language_id,
