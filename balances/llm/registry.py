@@ -1,7 +1,7 @@
 """Queries of this package by name, and the SQL of those SQL can express."""
 from __future__ import annotations
 
-from balances.llm import chunk_bpe, hyperminhash, langid, quotient_dedup, token_records, toxicity, word_tokens
+from balances.llm import chunk_bpe, decontaminate, hyperminhash, langid, quotient_dedup, token_records, toxicity, word_tokens
 
 
 def queries() -> dict:
@@ -13,8 +13,9 @@ def queries() -> dict:
         "op6_exact_dedup": quotient_dedup.op6_exact_dedup,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_language_id": langid.op8_language_id,
+        "op9_decontaminate": decontaminate.op9_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": quotient_dedup.SQL}
+    return {"op6_exact_dedup": quotient_dedup.SQL, "op9_decontaminate": decontaminate.SQL}
