@@ -66,3 +66,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+#: Ids that may go to every task at once (8 MB); beyond it both sides shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is among ``ids`` (one column). The ids
+    are written once and broadcast only while their counted number is small.
+    Rows without an id stay."""
+    gone = written(ids.toDF("_gone_id").where("_gone_id IS NOT NULL").distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")

@@ -229,6 +229,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a language
+    predicted with a score of at least ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m = shared.value
+        for b in batches:
+            got = [m.predict(t) for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array([lang != "und" and score >= least for lang, score in got], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
 

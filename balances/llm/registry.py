@@ -1,11 +1,23 @@
 """Queries of this package by name, and the SQL of those SQL can express."""
 from __future__ import annotations
 
-from balances.llm import chunk_bpe, decontaminate, hyperminhash, langid, quotient_dedup, token_records, toxicity, word_tokens
+from balances.llm import (
+    chunk_bpe,
+    decontaminate,
+    hyperminhash,
+    langid,
+    line_dedup,
+    main_text,
+    quotient_dedup,
+    token_records,
+    toxicity,
+    word_tokens,
+)
 
 
 def queries() -> dict:
     return {
+        "op1_main_text": main_text.op1_main_text,
         "op2_bpe_round_trip": chunk_bpe.op2_bpe_round_trip,
         "op3_token_counts": word_tokens.op3_token_counts,
         "op4_token_records": token_records.op4_token_records,
@@ -14,6 +26,7 @@ def queries() -> dict:
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_language_id": langid.op8_language_id,
         "op9_decontaminate": decontaminate.op9_decontaminate,
+        "op10_line_dedup": line_dedup.op10_line_dedup,
     }
 
 
