@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balances.llm.common import table
+from balances.llm.common import table, written
 
 #: Word positions that a seed hashes.
 MASKS = ((0, 1, 3, 6, 7), (0, 1, 4, 6, 7))
@@ -44,58 +44,75 @@ def words(col: str):
                     lambda w: w != "")
 
 
-def _seeds(hashes, n, masks, span):
-    """Array of (mask, seed) structs by position, for texts of ``n`` words."""
-    def at(i):
-        return [F.xxhash64(F.lit(k), *[F.element_at(hashes, i + p) for p in mask])
-                for k, mask in masks]
-    return F.when(n >= span, F.transform(F.sequence(F.lit(1), n - (span - 1)), lambda i: F.array(*at(i)))
-                  ).otherwise(F.array().cast("array<array<bigint>>"))
+#: All of an item's first words, for items shorter than a mask.
+FIRST = tuple(range(MIN_WORDS))
 
 
-def benchmark_seeds(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """seed, item_id, place (word position), item (words)."""
+def _seeds(hashes, n, mask, kind: int):
+    """One seed per position of a text of ``n`` words (an array of longs)."""
+    span = mask[-1] + 1
+    return F.when(n >= span, F.transform(
+        F.sequence(F.lit(1), n - (span - 1)),
+        lambda i: F.xxhash64(F.lit(kind), *[F.element_at(hashes, i + p) for p in mask])
+    )).otherwise(F.array().cast("array<bigint>"))
+
+
+def benchmark_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """item_id, key (of the words), item (words), n."""
     rows = items.select(F.col(id_col).alias("item_id"), words(text_col).alias("item"))
-    rows = rows.withColumn("n", F.size("item")).where(F.col("n") >= MIN_WORDS)
-    hashes = F.transform("item", lambda w: F.xxhash64(w))
-    whole = [(k, m) for k, m in enumerate(MASKS)]
-    short = [(len(MASKS), tuple(range(MIN_WORDS)))]
-    long = rows.where(F.col("n") >= SPAN).withColumn("seeds", _seeds(hashes, F.col("n"), whole, SPAN))
-    few = rows.where(F.col("n") < SPAN).withColumn("seeds", _seeds(hashes, F.lit(MIN_WORDS), short, MIN_WORDS))
-    out = long.unionByName(few).select("item_id", "item", F.posexplode("seeds").alias("place", "seeds"))
-    return out.select(F.explode("seeds").alias("seed"), "item_id", "place", "item")
+    rows = rows.select("item_id", F.md5(F.concat_ws(" ", "item")).alias("key"), "item", F.size("item").alias("n"))
+    return written(rows.where(F.col("n") >= MIN_WORDS).distinct(), "items")
+
+
+def benchmark_seeds(items: DataFrame) -> DataFrame:
+    """seed, item_id, key, n, place (word position of the seed)."""
+    rows = items.withColumn("hashes", F.transform("item", lambda w: F.xxhash64(w)))
+    n, out = F.col("n"), None
+    for kind, mask in enumerate((*MASKS, FIRST)):
+        seeds = _seeds(F.col("hashes"), n, mask, kind)
+        if mask is FIRST:
+            seeds = F.when(n < SPAN, F.slice(seeds, 1, 1)).otherwise(F.array().cast("array<bigint>"))
+        part = rows.withColumn("seeds", seeds).select(
+            "item_id", "key", "n", F.posexplode("seeds").alias("place", "seed"))
+        out = part if out is None else out.union(part)
+    return out
 
 
 def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, matched, window) of every verified overlap."""
-    bench = benchmark_seeds(items, item_id, item_text)
-    sizes = bench.agg(F.count(F.lit(1)).alias("seeds"), F.min(F.size("item")).alias("least")).head()
-    bench_side = F.broadcast(bench) if sizes["seeds"] <= BROADCAST_SEEDS else bench
-    masks, span = [(k, m) for k, m in enumerate(MASKS)], SPAN
+    bench_items = benchmark_items(items, item_id, item_text)
+    bench = benchmark_seeds(bench_items)
+    sizes = bench.agg(F.count(F.lit(1)).alias("seeds"), F.min("n").alias("least")).head()
+    bench = F.broadcast(bench) if sizes["seeds"] <= BROADCAST_SEEDS else bench
+    masks = [*enumerate(MASKS)]
+    if sizes["least"] is not None and sizes["least"] < SPAN:  # some items are shorter than a mask
+        masks.append((len(MASKS), FIRST))
+
     rows = docs.select(F.col(id_col).alias("doc_id"), words(text_col).alias("words"))
     rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     n = F.size("words")
-    seeds = F.flatten(_with_place(_seeds(F.col("hashes"), n, masks, span)))
-    if sizes["least"] is not None and sizes["least"] < SPAN:  # some items are shorter than a mask
-        first = _seeds(F.col("hashes"), n, [(len(MASKS), tuple(range(MIN_WORDS)))], MIN_WORDS)
-        seeds = F.concat(seeds, F.flatten(_with_place(first)))
-    # the seeds are a column of their own: unnesting them stays inside generated code, where a
-    # row is only built once it has met a benchmark seed
-    rows = rows.withColumn("seeds", seeds).select("doc_id", "words", "seeds")
-    hits = rows.select("doc_id", "words", F.inline("seeds").alias("at", "seed")).join(bench_side, "seed")
+    rows = rows.select("doc_id", "words", F.concat(*[
+        _seeds(F.col("hashes"), n, mask, kind) for kind, mask in masks]).alias("seeds"))
+    # Unnesting a column of plain longs and meeting the benchmark stay inside generated code: a row
+    # with its words is only built for a hit. The outer form keeps the optimizer from adding a
+    # filter that would compute the seeds twice; its null rows meet nothing.
+    hits = rows.select("doc_id", "words", F.posexplode_outer("seeds").alias("at", "seed")).join(bench, "seed")
+    at = _position(F.col("at"), n, [mask[-1] + 1 for _, mask in masks])
     # the item's word k stands beside the document's word shift + k (0-based)
-    shift = F.col("at") - F.col("place")
+    shift = at - F.col("place")
     begin = F.greatest(shift, F.lit(0))
     skipped = begin - shift  # words of the item before the document's first
-    length = F.least(F.size("words") - begin, F.size("item") - skipped)
     aligned = hits.select(
-        "doc_id", "item_id", shift.alias("shift"), F.size("item").alias("n_item"),
-        F.slice("words", begin + 1, length).alias("mine"),
-        F.slice("item", skipped + 1, length).alias("theirs")).distinct()
-    same = F.zip_with("mine", "theirs", lambda a, b: (a == b).cast("int"))
-    window = F.least(F.lit(WINDOW), F.col("n_item"))
-    best = aligned.select("doc_id", "item_id", window.alias("window"), same.alias("same"))
+        "doc_id", "item_id", "key", shift.alias("shift"), skipped.alias("skipped"),
+        F.slice("words", begin + 1, F.least(n - begin, F.col("n") - skipped)).alias("mine")).distinct()
+    # written, so that the comparison is not pushed into the join above
+    aligned = written(aligned, "aligned")
+    aligned = aligned.join(bench_items.withColumnRenamed("item_id", "_item").withColumnRenamed("key", "_key"),
+                           (F.col("key") == F.col("_key")) & F.col("item_id").eqNullSafe(F.col("_item")))
+    theirs = F.slice("item", F.col("skipped") + 1, F.size("mine"))
+    same = F.zip_with("mine", theirs, lambda a, b: (a == b).cast("int"))
+    best = aligned.select("doc_id", "item_id", F.least(F.lit(WINDOW), F.col("n")).alias("window"), same.alias("same"))
     best = best.where(F.size("same") >= F.col("window"))
     sums = F.transform(F.sequence(F.lit(1), F.size("same") - F.col("window") + 1),
                        lambda i: F.aggregate(F.slice("same", i, F.col("window")), F.lit(0), lambda x, y: x + y))
@@ -105,10 +122,17 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
         F.max("matched").cast("long").alias("matched"), F.max("window").cast("long").alias("window"))
 
 
-def _with_place(seeds):
-    """[[seed, ...] by position] -> [[(at, seed), ...]] with 0-based positions."""
-    return F.transform(seeds, lambda pair, i: F.transform(
-        pair, lambda s: F.struct(i.alias("at"), s.alias("seed"))))
+def _position(at, n, spans):
+    """Word position of the ``at``-th seed, where the seeds of several masks
+    follow each other, ``n - span + 1`` of each."""
+    before, out = F.lit(0), None
+    for span in spans:
+        count = F.greatest(n - (span - 1), F.lit(0))
+        own = at - before
+        fits = own < count
+        out = F.when(fits, own) if out is None else out.when(fits, own)
+        before = before + count
+    return out
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
