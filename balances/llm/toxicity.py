@@ -38,7 +38,7 @@ from balances.llm.common import table, text_or_empty
 from balances.llm.langid import held_out
 
 #: Bounds of the labelled sample.
-TOXIC_ROWS, CLEAN_ROWS = 3000, 6000
+TOXIC_ROWS, CLEAN_ROWS = 2000, 4000
 #: A word counts if this share of the toxic sample has it (three rows at least).
 MIN_SUPPORT, MIN_ROWS, MIN_LIFT = 0.03, 3, 5.0
 #: Letters of a word's beginning, and the counts that make it a feature.
@@ -267,7 +267,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> list:
     share = F.when(F.col("toxic") == 1, TOXIC_ROWS / max(1, counts.get(1, 0))).otherwise(
         CLEAN_ROWS / max(1, counts.get(0, 0)))
     texts = docs.where(~held_out(folds=3, fold=1)).select("doc_id", text_or_empty().alias("text"))
-    rows = texts.join(marks.where(u < share), "doc_id").select("text", "toxic").distinct()
+    # the sample's ids are few by construction: they go to the texts, not the texts to them
+    rows = texts.join(F.broadcast(marks.where(u < share)), "doc_id").select("text", "toxic").distinct()
     return rows.toArrow().to_pylist()
 
 
@@ -283,20 +284,21 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _marks(bags: list[set], y: np.ndarray) -> list[str]:
+def _marks(texts: list[str], y: np.ndarray) -> tuple[list[str], list[set]]:
     """Features that a fair share of toxic rows has and clean rows lack, the
-    best first; of features that begin alike, one is left out when another
-    covers most of its toxic rows."""
+    best first, and those each text has; of features that begin alike, one is
+    left out when another covers most of its toxic rows. Only counts, and of
+    each text only the candidates, are held at a time."""
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    pos, neg = Counter(), Counter()
-    for bag, t in zip(bags, y):
+    pos, neg, least = Counter(), Counter(), max(MIN_ROWS, MIN_SUPPORT * n1)
+    for text, t in zip(texts, y):
         if t:
-            pos.update(bag)
-    least = max(MIN_ROWS, MIN_SUPPORT * n1)
+            pos.update(features(text))
     pos = Counter({f: c for f, c in pos.items() if c >= least})
+    bags = [features(text) & pos.keys() for text in texts]
     for bag, t in zip(bags, y):
         if not t:
-            neg.update(bag & pos.keys())
+            neg.update(bag)
     lift = {f: (c / n1) / ((neg[f] + 0.5) / n0) for f, c in pos.items()}
     gain = {f: c * math.log(lift[f]) - neg[f] for f, c in pos.items() if lift[f] >= MIN_LIFT}
     ranked = sorted(gain, key=lambda f: (-gain[f], "*" in f, -len(f), f))
@@ -311,7 +313,8 @@ def _marks(bags: list[set], y: np.ndarray) -> list[str]:
         covered = set().union(*(rows[g] for g in alike)) if alike else set()
         if len(rows[f] & covered) < 0.8 * len(rows[f]):
             kept.append(f)
-    return kept
+    chosen = set(kept)
+    return kept, [bag & chosen for bag in bags]
 
 
 def _logistic(bags: list[set], y: np.ndarray, names: list[str]):
@@ -352,10 +355,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.5
         return Scorer(Restorer(corpus, {}), {}, math.log((share + 1e-6) / (1 - share + 1e-6)))
-    plain = [features(spaced(r["text"].lower())) for r in sample]
-    restorer = Restorer(corpus, {f.partition("*")[0].strip(): 1.0 for f in _marks(plain, y)})
-    bags = [features(spaced(restorer.restore(r["text"]))) for r in sample]
-    weights, bias = _logistic(bags, y, _marks(bags, y))
+    marks, _ = _marks([spaced(r["text"].lower()) for r in sample], y)
+    restorer = Restorer(corpus, {f.partition("*")[0].strip(): 1.0 for f in marks})
+    marks, bags = _marks([spaced(restorer.restore(r["text"])) for r in sample], y)
+    weights, bias = _logistic(bags, y, marks)
     return Scorer(restorer, weights, bias)
 
 
