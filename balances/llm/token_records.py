@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balances.llm.bpe_words import WordEncoder, slices
+from balances.llm.bpe_words import BatchEncoder, slices
 from balances.llm.common import new_path, table, text_or_empty
 
 END_ID = 2
@@ -84,11 +84,11 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri) if ":" in uri else (fs.LocalFileSystem(), uri)
 
 
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str) -> BatchEncoder:
     if path not in _encoders:
-        e = WordEncoder(path)
+        e = BatchEncoder(path)
         if e.library.get_vocab_size() <= 1 << 16:
-            e = WordEncoder(path, "<u2")
+            e = BatchEncoder(path, "<u2")
         _encoders[path] = e
     return _encoders[path]
 

@@ -37,7 +37,7 @@ def test_chunk_joins_are_exact(mean):
 
 
 def test_word_memo_is_exact_and_bounded():
-    lib, coder = Tokenizer.from_file(BYTE), bpe_words.WordEncoder(BYTE, "<u2", memo_words=200)
+    lib, coder = Tokenizer.from_file(BYTE), bpe_words.BatchEncoder(BYTE, "<u2", table_words=300)
     texts = noise(5, 300) + ["trailing ", " leading", "two  spaces", "line \n break", "word\n word"]
     for i in range(0, len(texts), 20):
         got = coder.encode_many(texts[i:i + 20])
