@@ -33,10 +33,6 @@ def all_null(cols) -> Column:
     return reduce(and_, [col(c).isNull() for c in cols])
 
 
-def missing_as_category(c, label: str = SETTINGS.missing_label) -> Column:
-    """NULL becomes its own level."""
-    return F.coalesce(col(c).cast("string"), F.lit(label))
-
 
 def clip_lower0(c) -> Column:
     """PF10: clip(lower=0) keeping NULL as NULL (greatest() would skip it)."""
@@ -103,23 +99,14 @@ def annualised_growth(start, end, months) -> Column:
     return F.when(m > 0, (col(end) - col(start)) * 12.0 / m)
 
 
-TIEBREAK_BITS = 40
-
-
 def latest_order_key(date_col, tiebreak_col=None) -> Column:
-    """Fixed-width ordering key for "latest record" picks: unix_date << 40 |
-    tiebreak. A long keeps ``max_by`` in a hash aggregate (a struct ordering
-    forces a sort-based aggregate, i.e. a map-side sort of every row). A
-    tie-break outside [0, 2^40) fails the job instead of mis-ordering."""
+    """Fixed-width ordering key for "latest record" picks: the day, then the
+    tie-break, in one number: unix_date * 2^64 + tie-break, as decimal(38). Any
+    long may break ties (a missing one counts as 0). Decimals are mutable in a
+    row's buffer, so ``max_by`` stays a hash aggregate (a struct ordering forces
+    a sort-based one, i.e. a map-side sort of every row)."""
     day = F.unix_date(col(date_col)).cast("long")
     if tiebreak_col is None:
         return day
-    tb = col(tiebreak_col).cast("long")
-    ok = (tb >= 0) & (tb < F.lit(1 << TIEBREAK_BITS))
-    return F.when(ok | tb.isNull(), F.shiftleft(day, TIEBREAK_BITS) + F.coalesce(tb, F.lit(0)))\
-        .otherwise(F.raise_error(F.lit("tie-break key outside [0, 2^40)")).cast("long"))
-
-
-def r6(c, digits: int = 6) -> Column:
-    """Round doubles for order-insensitive comparison."""
-    return F.round(col(c).cast("double"), digits)
+    tb = F.coalesce(col(tiebreak_col).cast("long"), F.lit(0)).cast("decimal(20)")
+    return (day.cast("decimal(10)") * F.lit(str(1 << 64)).cast("decimal(20)") + tb).cast("decimal(38)")

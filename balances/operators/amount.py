@@ -121,22 +121,30 @@ def scenarios_by_component(bt: DataFrame, p_lo: float = 10, p_hi: float = 90) ->
 def amount_scenarios(full_targets: DataFrame, scen: DataFrame,
                      components=COMPONENTS) -> DataFrame:
     """Per customer and component pred + {lo, median, hi} error, then
-    totals scenario by scenario (absent component -> 0.0). ``scen`` has one
-    row per component, so it is broadcast (bounded by the component count)."""
+    totals scenario by scenario. A component without a row for the customer is
+    0.0; a growth that cannot be known (one month of history) stays NULL, and
+    so does the total. ``scen`` has one row per component, so it is broadcast
+    (bounded by the component count); scenarios out of order are refused."""
     rows = None
+    scen = scen.withColumn("err_lo", F.when(
+        F.col("err_lo") <= F.col("err_hi"), F.col("err_lo")).otherwise(
+        F.raise_error(F.lit("scenario errors out of order")).cast("double")))
     sc = F.broadcast(scen)  # one row per component
     for c in components:
         part = (full_targets.select("customer_id", F.lit(c).alias("component"),
                                     F.col(f"{c}_growth").alias("_pred"))
                 .join(sc, "component", "left"))
         part = part.select(
-            "customer_id",
+            "customer_id", F.lit(True).alias(f"_has_{c}"),
             (F.col("_pred") + F.col("err_lo")).alias(f"amount_{c}_12m_conservative"),
             (F.col("_pred") + F.col("err_median")).alias(f"amount_{c}_12m_base"),
             (F.col("_pred") + F.col("err_hi")).alias(f"amount_{c}_12m_optimistic"))
         rows = part if rows is None else rows.join(part, "customer_id", "full")
-    cols = [c for c in rows.columns if c != "customer_id"]
-    rows = rows.fillna(0.0, subset=cols)
+    for c in components:  # absent component -> 0, unknown growth -> NULL
+        for s in SCENARIOS:
+            name = f"amount_{c}_12m_{s}"
+            rows = rows.withColumn(name, F.when(F.col(f"_has_{c}").isNull(), F.lit(0.0)).otherwise(F.col(name)))
+    rows = rows.drop(*[f"_has_{c}" for c in components])
     for s in SCENARIOS:
         rows = rows.withColumn(f"amount_{s}_12m",
                                reduce(add, [F.col(f"amount_{c}_12m_{s}") for c in components]))

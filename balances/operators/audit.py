@@ -48,10 +48,3 @@ def fairness_fact(df: DataFrame, attrs, level_col: str = "level") -> DataFrame:
     rates = selection_rates(df, attrs, level_col)
     di = disparate_impact(rates).select("attribute", "impact_ratio", "passes_80_rule")
     return rates.join(F.broadcast(di), "attribute", "left")  # one row per attribute
-
-
-def group_share(df: DataFrame, group_col: str) -> DataFrame:
-    """Share of each group within the whole (small helper for reports)."""
-    w = Window.partitionBy()
-    g = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("share", F.col("n") / F.sum("n").over(w))

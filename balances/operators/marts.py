@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from balances.config import SETTINGS
 from balances.functions.columns import clip_lower0, level_ordinal
 from balances.operators.profile import sum0
-from balances.operators.rank import distributed_row_number, exact_quantiles, window_row_number
+from balances.operators import roles
+from balances.operators.rank import distributed_row_number, exact_quantiles
 
 S = SETTINGS
 TOP_PCTS = (0.01, 0.05, 0.10, 0.20)
@@ -277,48 +278,25 @@ def inclusion_rule(variable: F.Column, iv: F.Column, protected=("gender",),
             .when(iv < S.iv_min, F.lit("exclude_low_iv")).otherwise(F.lit("include")))
 
 
-def column_roles(columns, label_cols=("adoption_label", "adoption_label_recent"),
-                 label_products=S.label_products, protected=("gender",),
-                 set_b=("income", "expenses", "assets", "liabilities", "equity", "savings_capacity",
-                        "expense_income_ratio", "savings_income_pct", "liability_asset_ratio",
-                        "equity_per_income")) -> list[tuple[str, str]]:
+def column_roles(columns) -> list[tuple[str, str]]:
     """column role from the schema (driver-side on the column list)."""
-    roles = []
-    for c in columns:
-        if c == "customer_id":
-            r = "id"
-        elif c in label_cols or any(c.startswith(f"{p}_") for p in label_products) \
-                or c in ("n_products_total",):
-            r = "leak"
-        elif c in protected:
-            r = "excluded"
-        elif c in set_b:
-            r = "A+B"
-        elif c.endswith("_snapshot_date") or c in ("name",):
-            r = "intermediate"
-        else:
-            r = "A"
-        roles.append((c, r))
-    return roles
+    return [(c, roles.role(c)) for c in columns]
 
 
 def table_profile(df: DataFrame, iv: DataFrame | None = None) -> DataFrame:
     """DQ12: per column: NULL count, role, IV (left join) — the NULL
     counts come from ONE aggregation over all columns."""
     spark = df.sparkSession
-    roles = spark.createDataFrame(column_roles(df.columns), "variable string, role string")
+    named = spark.createDataFrame(column_roles(df.columns), "variable string, role string")
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     nulls = agg.unpivot([], df.columns, "variable", "n_null").select(
         "variable", F.col("n_null").cast("long"))
-    out = roles.join(nulls, "variable")
+    out = named.join(nulls, "variable")
     if iv is not None:
         out = out.join(iv.select("variable", "iv", "iv_class"), "variable", "left")
     return out
 
 
-def window_rank_small(df, group_cols, order_cols):
-    return window_row_number(df, group_cols, order_cols)
-
 
 # ---------------------------------------------------------------- MT3 / MT5 / DQ10
 def serving_table(fact: DataFrame) -> DataFrame:

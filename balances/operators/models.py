@@ -1,67 +1,45 @@
 """Model operators (M1-M17, DQ8, IO12) on pyspark.ml.
 
-* Feature sets A / B are derived from the schema (M1, M2) and checked by the
-  leak guard (DQ8) before and after encoding.
+* Feature sets A / B come from the column roles (M1, M2) and are checked by
+  the leak guard (DQ8) before encoding.
 * GBT rejects NaN, so every numeric feature gets a sentinel fill plus a
   missing-indicator column; categoricals use StringIndexer(keep) +
   OneHotEncoder(dropLast): the dropped slot is the invalid bucket, so NULL
   and unseen levels encode as all zeros (M3).
-* The 80/20 split is stratified by label and deterministic: a distributed
-  rank of a seeded hash inside each label (M4), not randomSplit.
+* The 80/20 split is stratified by label and deterministic: a seeded md5
+  bucket per label and id (M4), not randomSplit.
 * AUCs are exact (mid-rank U statistic, distributed) (M6).
 """
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators.rank import distributed_row_number
+from balances.operators import roles
 from balances.operators.stats import auc_exact
+from balances.session import materialise
 
 S = SETTINGS
-CATEGORICALS = ["segment", "age_group", "housing"]
 SENTINEL = -1.0e15
 
-# --- fixed values: leak guard (label products, outputs, identifiers) ---
-LEAK_PREFIXES = tuple(f"{p}_" for p in S.label_products)
-LEAK_NAMES = ("adoption_label", "adoption_label_recent", "n_products_total", "score", "level",
-              "reference_value", "expected_value_12m", "customer_id", "name", "trainable",
-              "no_signal")
-EXCLUDED = ("gender",)
-SET_B = ("income", "expenses", "assets", "liabilities", "equity", "savings_capacity",
-         "expense_income_ratio", "savings_income_pct", "liability_asset_ratio", "equity_per_income",
-         "income_estimate", "has_income_estimate", "income_gap", "income_gap_pct")
-
-
-def leak_check(columns) -> None:
-    """DQ8: refuse a feature list that contains label-derived columns."""
-    bad = [c for c in columns if c in LEAK_NAMES or c.startswith(LEAK_PREFIXES)]
-    if bad:
-        raise ValueError(f"leak suspected, forbidden feature columns: {bad}")
-
-
 def feature_set_a(df: DataFrame) -> list[str]:
-    """M1: every column minus ids, outputs, protected attributes, label
-    products and raw dates."""
+    """M1: the predictors the roles admit, dates left out."""
     types = dict(df.dtypes)
-    cols = [c for c in df.columns
-            if c not in LEAK_NAMES and c not in EXCLUDED and not c.startswith(LEAK_PREFIXES)
-            and not c.endswith("_snapshot_date") and types[c] not in ("date", "timestamp", "timestamp_ntz")]
-    leak_check(cols)
-    return cols
+    return [c for c in roles.model_a(df.columns) if types[c] not in ("date", "timestamp", "timestamp_ntz")]
 
 
 def feature_set_b(df: DataFrame) -> list[str]:
     """M2: financial-capacity white list, in order, if present."""
-    cols = [c for c in SET_B if c in df.columns] + [c for c in CATEGORICALS if c in df.columns]
-    leak_check(cols)
-    return cols
+    return roles.model_b(df.columns)
 
 
 def encode(df: DataFrame, cols) -> tuple[DataFrame, list]:
@@ -81,19 +59,19 @@ def encode(df: DataFrame, cols) -> tuple[DataFrame, list]:
                                     stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCol=f"__{c}_idx", outputCol=f"__{c}_oh", dropLast=True))
         vec_inputs.append(f"__{c}_oh")
-    leak_check([v.strip("_").removesuffix("_na").removesuffix("_oh") for v in vec_inputs])
+    roles.leak_check(cols)
     stages.append(VectorAssembler(inputCols=vec_inputs, outputCol="features"))
     return out, stages
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str = "customer_id",
                      test_fraction: float = S.test_fraction, seed: int = S.seed) -> DataFrame:
-    """M4: deterministic stratified split: inside each label, rows ordered by a
-    seeded hash of the id; the first ``test_fraction`` are the test set."""
-    h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
-    r = distributed_row_number(h, [label_col], ["_h", id_col])
-    return r.withColumn("is_test", (F.col("rn") <= F.ceil(F.col("n") * test_fraction)).cast("int")) \
-        .drop("_h", "rn", "n")
+    """M4: deterministic 80/20 split by a seeded hash bucket per (label, id): no
+    shuffle, and any engine with md5 repeats it. Within each label the bucket
+    is uniform, so the shares agree up to sampling error."""
+    key = F.concat_ws(":", F.lit(seed), F.col(label_col).cast("string"), F.col(id_col).cast("string"))
+    bucket = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+    return df.withColumn("is_test", (bucket < F.lit(int(test_fraction * (1 << 32)))).cast("int"))
 
 
 def fit_classifier(train: DataFrame, cols, label_col: str, seed: int = S.seed,
@@ -169,49 +147,101 @@ def assert_all_scored(features: DataFrame, scores: DataFrame) -> None:
         raise ValueError(f"{r['n'] - r['n_scored']} customers without a score")
 
 
+def tree_arrays(model: PipelineModel) -> list[tuple]:
+    """The fitted trees as arrays (weight, feature, threshold, left, right,
+    value); a leaf has feature -1."""
+    gbt = model.stages[-1]
+    out = []
+    for weight, tree in zip(gbt.treeWeights, gbt.trees):
+        feature, threshold, left, right, value = [], [], [], [], []
+
+        def add(node) -> int:
+            at = len(feature)
+            inner = node.getClass().getSimpleName() == "InternalNode"
+            split = node.split() if inner else None
+            feature.append(split.featureIndex() if inner else -1)
+            # a one-hot slot is a binary nominal feature: its split names the values that go left
+            nominal = inner and split.getClass().getSimpleName() == "CategoricalSplit"
+            threshold.append(0.5 if nominal else split.threshold() if inner else 0.0)
+            value.append(node.prediction())
+            left.append(at)
+            right.append(at)
+            if inner:
+                left[at], right[at] = add(node.leftChild()), add(node.rightChild())
+                if nominal and 0.0 not in list(split.leftCategories()):
+                    left[at], right[at] = right[at], left[at]
+            return at
+
+        add(tree._call_java("rootNode"))
+        out.append((weight, *map(np.array, (feature, threshold, left, right, value))))
+    return out
+
+
+def tree_margin(tree: tuple, x: np.ndarray) -> np.ndarray:
+    """Weighted prediction of one tree for the rows of ``x``."""
+    weight, feature, threshold, left, right, value = tree
+    at = np.zeros(len(x), np.int64)
+    rows = np.arange(len(x))
+    while True:
+        f = feature[at]
+        open_ = f >= 0
+        if not open_.any():
+            return weight * value[at]
+        go_left = x[rows, np.maximum(f, 0)] <= threshold[at]
+        at = np.where(open_, np.where(go_left, left[at], right[at]), at)
+
+
 def permutation_importance(model: PipelineModel, test: DataFrame, cols, label_col: str,
-                           variables, repeats: int = 5, sample: int = 30000,
-                           seed: int = S.seed) -> DataFrame:
-    """M9: drop in AUC when one column is permuted, mean and std over repeats.
-
-    The test sample is capped (a sampling operator: the cap is the feature).
-    All (variable, repeat) permutations are built in ONE pass: the sample is
-    numbered once in seeded-hash order, every row is exploded to one copy per
-    (variable, repeat), and the permuted value comes from the row a seeded
-    rotation away (one join against the sample, broadcast: its size is the
-    cap). Then one transform and one grouped exact-AUC job."""
-    import zlib
-    smp = (test.withColumn("_h", F.xxhash64("customer_id", F.lit(seed)))
-           .orderBy("_h", "customer_id").limit(sample))
-    w = Window.orderBy("_h", "customer_id")  # bounded: the capped sample
-    base = smp.withColumn("_rn", F.row_number().over(w) - 1).drop("_h")
-    n = base.count()
-    types = dict(base.dtypes)
-    num = [v for v in variables if types[v] != "string"]
-    txt = [v for v in variables if types[v] == "string"]
-    nm = F.create_map(*[x for v in num for x in (F.lit(v), F.col(v).cast("double"))]) if num else F.lit(None)
-    sm = F.create_map(*[x for v in txt for x in (F.lit(v), F.col(v))]) if txt else F.lit(None)
-    partner = F.broadcast(base.select(F.col("_rn").alias("_prn"), nm.alias("_pnm"), sm.alias("_psm")))
-    combos = [("__baseline__", 0, 0)]
-    for v in variables:
-        for r in range(repeats):
-            shift = 1 + zlib.crc32(f"{seed}:{v}:{r}".encode()) % max(n - 1, 1)
-            combos.append((v, r, shift))
-    perms = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(r).alias("repeat"),
-                               F.lit(k).alias("_shift")) for v, r, k in combos])
-    long = base.select("*", F.inline(perms)).withColumn(
-        "_prn", (F.col("_rn") + F.col("_shift")) % F.lit(max(n, 1)))
-    j = long.join(partner, "_prn")
-    for v in num:
-        j = j.withColumn(v, F.when(F.col("variable") == v, F.col("_pnm")[v].cast(types[v]))
-                         .otherwise(F.col(v)))
-    for v in txt:
-        j = j.withColumn(v, F.when(F.col("variable") == v, F.col("_psm")[v]).otherwise(F.col(v)))
-    j = j.drop("_prn", "_rn", "_shift", "_pnm", "_psm")
-    scored = score(model, j, cols)
-    aucs = auc_exact(scored, "customer_id", "score", label_col, ["variable", "repeat"])
-    base_auc = aucs.where(F.col("variable") == "__baseline__").first()["auc"]  # one scalar
-    drops = aucs.where(F.col("variable") != "__baseline__").withColumn("_base", F.lit(base_auc))
+                           variables, repeats: int = 5, seed: int = S.seed) -> DataFrame:
+    """M9: drop in AUC when one column is permuted, mean and std over repeats,
+    on the whole test set.
+
+    Rows are dealt by a seeded hash, so each block a task reads is a random
+    part of the test set; a block permutes a variable's values among its rows
+    and scores them with the fitted trees, of which only those that read the
+    variable are walked again. What leaves a task is narrow (variable, repeat,
+    id, label, score), and one grouped job takes the exact AUCs of all."""
+    enc, _ = encode(test, cols)
+    ready = PipelineModel(model.stages[:-1]).transform(enc)
+    names = [a["name"] for kind in ready.schema["features"].metadata["ml_attr"]["attrs"].values()
+             for a in sorted(kind, key=lambda a: a["idx"])]
+    index = {a["name"]: a["idx"] for kind in ready.schema["features"].metadata["ml_attr"]["attrs"].values() for a in kind}
+    columns = {v: [index[n] for n in names if n in (f"__{v}", f"__{v}_na") or n.startswith(f"__{v}_oh")]
+               for v in variables}
+    trees = tree_arrays(model)
+    dealt = ready.select("customer_id", F.col(label_col).cast("int").alias("y"),
+                         vector_to_array("features").alias("x"))
+    parts = dealt.repartition(F.xxhash64("customer_id", F.lit(seed)))
+
+    def run(batches):
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            x = np.array(b.column("x").to_pylist(), float)
+            margins = [tree_margin(t, x) for t in trees]
+            base = np.sum(margins, axis=0)
+            ids, y = b.column("customer_id"), b.column("y")
+
+            def rows(variable, r, margin):
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([variable] * n), pa.array([r] * n, pa.int32()), ids, y,
+                     pa.array(1.0 / (1.0 + np.exp(-2.0 * margin)))],
+                    names=["variable", "repeat", "customer_id", "y", "score"])
+            yield rows("", 0, base)
+            for k, v in enumerate(variables):
+                touched = [i for i, t in enumerate(trees) if np.isin(t[1], columns[v]).any()]
+                for r in range(repeats):
+                    order = np.random.default_rng([seed, k, r, n]).permutation(n)
+                    moved = x.copy()
+                    moved[:, columns[v]] = x[order][:, columns[v]]
+                    yield rows(v, r, base + sum((tree_margin(trees[i], moved) - margins[i] for i in touched), np.zeros(n)))
+
+    scored = materialise(parts.mapInArrow(
+        run, "variable string, repeat int, customer_id long, y int, score double"), "permuted-scores")
+    aucs = auc_exact(scored, "customer_id", "score", "y", ["variable", "repeat"])
+    base_auc = aucs.where(F.col("variable") == "").first()["auc"]  # one scalar
+    drops = aucs.where(F.col("variable") != "").withColumn("_base", F.lit(base_auc))
     return drops.groupBy("variable").agg(
         F.avg(F.col("_base") - F.col("auc")).alias("importance_mean"),
         F.stddev_pop(F.col("_base") - F.col("auc")).alias("importance_std"))

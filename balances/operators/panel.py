@@ -124,14 +124,6 @@ def liquid_cv(panel: DataFrame, cut: dt.date, liquid=SETTINGS.liquid_products,
     )
 
 
-def observation_window(panel: DataFrame, key="customer_id") -> DataFrame:
-    """min/max month and months between per customer."""
-    return (panel.groupBy(key)
-            .agg(F.min("month").alias("month_first"), F.max("month").alias("month_last"))
-            .withColumn("months_between",
-                        (month_index(F.col("month_last")) - month_index(F.col("month_first")))
-                        .cast("int")))
-
 
 def temporal_split_month(panel: DataFrame, k: int = SETTINGS.backtest_months,
                          month_col="month") -> DataFrame:

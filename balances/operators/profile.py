@@ -64,28 +64,12 @@ def describe_profile(df: DataFrame, value_cols, distributed: bool = True) -> Dat
     return basic.join(wide, "variable", "left")
 
 
-def dispersion_by(df: DataFrame, group_col: str, value_col: str, id_col: str) -> DataFrame:
-    """Count, sum, mean, sample std, distinct ids per group."""
-    return df.groupBy(group_col).agg(
-        F.count(value_col).alias("n"), F.sum(value_col).alias("total"),
-        F.avg(value_col).alias("mean"), F.stddev_samp(value_col).alias("std"),
-        F.countDistinct(id_col).alias("n_distinct"))
-
 
 def crosstab_counts(df: DataFrame, row_col: str, col_col: str) -> DataFrame:
     """Long-form contingency counts (NULL kept as its own level)."""
     return df.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def mode_of(df: DataFrame, value_col: str, group_cols=()) -> DataFrame:
-    """Most frequent value (smallest on ties), its count and share."""
-    counts = df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(
-        F.count(F.lit(1)).alias("_c"))
-    return counts.groupBy(*group_cols).agg(
-        F.max_by(F.col(value_col), F.struct(F.col("_c"), -F.col(value_col))).alias("mode"),
-        F.max("_c").alias("mode_count"),
-        (F.max("_c") / F.sum("_c")).alias("mode_share"))
-
 
 def flag_overlap(df: DataFrame, flag_cols) -> DataFrame:
     """Intersections of id sets expressed as flags on one row per id."""
@@ -100,7 +84,3 @@ def flag_overlap(df: DataFrame, flag_cols) -> DataFrame:
 def sum0(c) -> F.Column:
     """pandas-style sum: all-NULL (or empty) sums to 0, not NULL."""
     return F.coalesce(F.sum(c), F.lit(0.0).cast(T.DoubleType()))
-
-
-def missing_label() -> str:
-    return SETTINGS.missing_label

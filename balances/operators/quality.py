@@ -12,19 +12,6 @@ from balances.functions.columns import has_non_ascii, id_text_ok
 OK, FAIL = "OK", "FAIL"
 
 
-def _row(spark, check: str, table: str, status, value) -> DataFrame:
-    return spark.createDataFrame(
-        [(check, table, status, value)],
-        "check string, table_name string, status string, value long")
-
-
-def null_counts(df: DataFrame, cols) -> DataFrame:
-    """DQ1: NULL count per key column (one aggregation)."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return agg.unpivot([], list(cols), "column", "n_null").select(
-        "column", F.col("n_null").cast("long"))
-
-
 def duplicate_keys(df: DataFrame, keys, table: str) -> DataFrame:
     """DQ2/DQ11: rows beyond the first per key = rows - distinct keys. One
     partial aggregation on the key, then a global sum."""
@@ -59,14 +46,17 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
 
 
 def non_ascii_values(df: DataFrame, cols, table: str) -> DataFrame:
-    """DQ5/F7: per column, rows and distinct values with a non-ASCII char."""
-    parts = []
-    for c in cols:
-        parts.append(df.where(has_non_ascii(c)).agg(
-            F.lit(table).alias("table_name"), F.lit(c).alias("column"),
-            F.count(F.lit(1)).cast("long").alias("n_rows"),
-            F.countDistinct(c).cast("long").alias("n_distinct")))
-    return reduce(DataFrame.unionByName, parts)
+    """DQ5/F7: per column, rows and distinct values with a non-ASCII char: one
+    scan for all columns, and what is shuffled of a value is its sha256."""
+    long = df.select(*[F.when(has_non_ascii(c), F.sha2(F.col(c), 256)).alias(c) for c in cols]).unpivot(
+        [], list(cols), "column", "digest")
+    per_value = long.where(F.col("digest").isNotNull()).groupBy("column", "digest").agg(F.count(F.lit(1)).alias("n"))
+    found = per_value.groupBy("column").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(found, "column", "left").select(
+        F.lit(table).alias("table_name"), "column",
+        F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct"))
 
 
 def id_text_check(df: DataFrame, id_col: str) -> DataFrame:

@@ -135,19 +135,6 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs, id_col: st
                       (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias(value_col))
 
 
-def top_k(df: DataFrame, order_col: str, k: int, id_col: str = "customer_id",
-          descending: bool = True) -> DataFrame:
-    """L2: global top-k (TakeOrdered: each task keeps k rows, the driver merges
-    #partitions * k rows)."""
-    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
-    return df.orderBy(o, F.col(id_col).asc()).limit(k)
-
-
-def top_k_per_group(df: DataFrame, group_cols, order_col: str, k: int,
-                    id_col: str = "variable") -> DataFrame:
-    """Top-k rows per group (groups bounded in size, e.g. one per model)."""
-    w = Window.partitionBy(*group_cols).orderBy(F.col(order_col).desc(), F.col(id_col))
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def dense_keys(df: DataFrame, order_col: str, key: str) -> DataFrame:

@@ -325,9 +325,11 @@ def correlation_3(df: DataFrame, a: str, b: str, c: str) -> DataFrame:
 
 def vif_general(df: DataFrame, cols) -> pd.DataFrame:
     """ST8 for k columns: one aggregation gives the centred cross products
-    (k(k+1)/2 sums, computed around the column means for precision); the k x k
-    correlation matrix is inverted on the driver (k is the variable count).
-    VIF_j = diag(R^-1); singular / constant -> inf; n <= k -> NaN."""
+    (k(k+1)/2 sums, computed around the column means for precision). On the
+    driver, where k is the variable count, each column is regressed on the
+    others by least squares on the correlation matrix: VIF = 1 / (1 - R^2).
+    A constant column is inf and leaves the others as they are; a column that
+    others explain exactly is inf; n <= k -> NaN."""
     import numpy as np
     x = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     means = x.agg(*[F.avg(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n")).first()
@@ -344,19 +346,18 @@ def vif_general(df: DataFrame, cols) -> pd.DataFrame:
         for j in range(i, k):
             m[i, j] = m[j, i] = row[f"{i}_{j}"]
     d = np.sqrt(np.diag(m))
-    out = []
-    with np.errstate(all="ignore"):
-        corr = m / np.outer(d, d)
-        try:
-            inv = np.linalg.inv(corr)
-            vifs = [float(v) if np.isfinite(v) and v > 0 and d[i] > 0 else float("inf")
-                    for i, v in enumerate(np.diag(inv))]
-            if np.linalg.cond(corr) > 1e12:
-                vifs = [float("inf") if v > 1e12 else v for v in vifs]
-        except np.linalg.LinAlgError:
-            vifs = [float("inf")] * k
-    out = pd.DataFrame({"variable": list(cols), "vif": vifs})
-    return out
+    vifs = np.full(k, np.inf)  # a constant column explains and is explained by nothing
+    live = np.flatnonzero(d > 1e-9 * np.sqrt(n) * np.maximum(1.0, np.abs([means[c] for c in cols])))
+    corr = m[np.ix_(live, live)] / np.outer(d[live], d[live])
+    for at, i in enumerate(live):  # 1 - R^2 of each column on the others
+        rest = np.delete(np.arange(len(live)), at)
+        if not len(rest):
+            vifs[i] = 1.0
+            continue
+        beta = np.linalg.lstsq(corr[np.ix_(rest, rest)], corr[rest, at], rcond=1e-12)[0]
+        unexplained = 1.0 - float(corr[rest, at] @ beta)
+        vifs[i] = 1.0 / unexplained if unexplained > 1e-10 else np.inf
+    return pd.DataFrame({"variable": list(cols), "vif": [float(v) for v in vifs]})
 
 
 # ---------------------------------------------------------------- lift, errors

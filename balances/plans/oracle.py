@@ -146,18 +146,25 @@ def oracle_sql() -> dict[str, str]:
 # --------------------------------------------------------------------------
 # customers, estimator and the gold feature mart
 # --------------------------------------------------------------------------
-CUST = """cust_raw AS (
-  SELECT CAST(c.c_custkey AS BIGINT) AS customer_id, c.c_name AS name, r.r_name AS age_group,
-         CASE WHEN c.c_acctbal < -900 THEN NULL WHEN c.c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
-         c.c_mktsegment AS segment,
-         CASE WHEN c.c_acctbal < 6500 THEN NULL WHEN c.c_acctbal < 8200 THEN 'RENTED' ELSE 'OWNED' END AS housing,
-         CASE WHEN c.c_acctbal >= 0 THEN c.c_acctbal END AS income,
-         CASE WHEN c.c_acctbal >= 0 THEN c.c_acctbal * (c.c_nationkey + 1) / CAST(20 AS DOUBLE) END AS expenses,
-         CASE WHEN c.c_acctbal >= 500 THEN c.c_acctbal * CAST(10 AS DOUBLE) END AS assets,
-         CASE WHEN c.c_acctbal >= 500 THEN c.c_acctbal * (c.c_nationkey % 7) END AS liabilities
-  FROM customer c
+CUST = """party AS (
+  SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS bal,
+         c_mktsegment AS segment FROM customer
+  UNION ALL
+  SELECT CAST(-s_suppkey AS BIGINT), s_name, s_nationkey,
+         CASE WHEN s_acctbal >= 0 THEN floor(s_acctbal / 2500) * CAST(2500 AS DOUBLE) ELSE s_acctbal END, 'PARTNER'
+  FROM supplier),
+cust_raw AS (
+  SELECT c.id AS customer_id, c.name, r.r_name AS age_group,
+         CASE WHEN c.bal < -900 THEN NULL WHEN c.nation % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+         c.segment,
+         CASE WHEN c.bal < 6500 THEN NULL WHEN c.bal < 8200 THEN 'RENTED' ELSE 'OWNED' END AS housing,
+         CASE WHEN c.bal >= 0 THEN c.bal END AS income,
+         CASE WHEN c.bal >= 0 THEN c.bal * (c.nation + 1) / CAST(20 AS DOUBLE) END AS expenses,
+         CASE WHEN c.bal >= 500 THEN c.bal * CAST(10 AS DOUBLE) END AS assets,
+         CASE WHEN c.bal >= 500 THEN c.bal * (c.nation % 7) END AS liabilities
+  FROM party c
   LEFT JOIN (SELECT n.n_nationkey, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) r
-    ON c.c_nationkey = r.n_nationkey),
+    ON c.nation = r.n_nationkey),
 cust AS (
   SELECT customer_id, name, age_group, gender, segment, housing, income, expenses, assets, liabilities,
          assets - liabilities AS equity,
@@ -440,11 +447,49 @@ UNION ALL SELECT 'fact_monthly', 'foreign_key:dim_time', 'date_id', CAST(count(*
 # --------------------------------------------------------------------------
 # statistics battery
 # --------------------------------------------------------------------------
-NUM_VARS = ["income", "expenses", "savings_capacity", "liquid_balance_total",
-            "invested_non_label_balance", "savings_balance_snapshot", "checking_balance_snapshot",
-            "term_deposit_balance_snapshot", "trust_fund_balance_snapshot",
-            "expense_income_ratio", "tenure_months", "days_since_last_data",
-            "n_products_non_label", "liquid_cv"]
+FEATURE_COLUMNS = (
+    ["customer_id", "name", "age_group", "gender", "segment", "income", "expenses", "assets",
+     "liabilities", "equity", "savings_capacity"]
+    + [f"{p}_{c}" for p in S.product_slugs for c in ("balance_snapshot", "snapshot_date", "balance_mean_6m",
+                                                      "trend_6m", "n_obs_window", "holding")]
+    + ["income_estimate", "liquid_cv", "no_financial_any", "no_financial_all", "has_income_estimate",
+       "adoption_label", "days_since_last_data", "no_recent_data", "adoption_label_recent",
+       "invested_non_label_balance", "n_invest_non_label", "has_product_history", "no_signal", "trainable",
+       "expense_income_ratio", "savings_income_pct", "liability_asset_ratio", "equity_per_income",
+       "income_gap", "income_gap_pct", "liquid_balance_total", "n_products_total", "n_products_non_label",
+       "liquidity_equity_ratio"]
+    + [f"{p}_relative_trend_6m" for p in S.product_slugs]
+    + ["has_housing_data", "housing", "missing_financial", "missing_estimator", "missing_housing",
+       "liquid_cv_insufficient", "tenure_months"])
+
+
+#: Roles restated here, apart from the library: what each column may be used for.
+_ROLE_OF = {"customer_id": "id", "name": "id", "adoption_label": "leak", "adoption_label_recent": "leak",
+            "n_products_total": "leak", "gender": "excluded", "has_product_history": "flag", "no_signal": "flag",
+            "trainable": "flag", "no_recent_data": "flag"}
+_CAPACITY = {"income", "expenses", "assets", "liabilities", "equity", "savings_capacity", "income_estimate",
+             "has_income_estimate", "missing_estimator", "expense_income_ratio", "savings_income_pct",
+             "liability_asset_ratio", "equity_per_income", "income_gap", "income_gap_pct", "no_financial_any",
+             "age_group", "housing", "has_housing_data", "segment"}
+
+
+def _role(c):
+    if c in _ROLE_OF:
+        return _ROLE_OF[c]
+    if c.startswith("robo_advisor_"):
+        return "leak"
+    if c.endswith("_snapshot_date"):
+        return "intermediate"
+    return "A+B" if c in _CAPACITY else "A"
+
+
+def _roles_values():
+    return ", ".join(f"('{c}', '{_role(c)}')" for c in FEATURE_COLUMNS)
+
+
+#: Every numeric predictor of model A.
+NUM_VARS = [c for c in FEATURE_COLUMNS
+            if _role(c) in ("A", "A+B") and c not in ("age_group", "housing", "segment")]
 CAT_VARS = ["age_group", "gender", "segment", "housing"]
 DEC = "[" + ", ".join(repr(i / S.n_bins) for i in range(S.n_bins + 1)) + "]"
 
@@ -686,9 +731,9 @@ scen AS (SELECT c.component, coalesce(quantile_cont(b.error, 0.1), 0.0) AS err_l
          LEFT JOIN (SELECT * FROM bt WHERE error IS NOT NULL AND NOT isnan(error)) b ON b.component = c.component
          GROUP BY c.component),
 amounts0 AS (SELECT fw.customer_id, {", ".join(
-    f"coalesce(fw.{c}_growth + s_{c}.err_lo, 0.0) AS amount_{c}_12m_conservative, "
-    f"coalesce(fw.{c}_growth + s_{c}.err_median, 0.0) AS amount_{c}_12m_base, "
-    f"coalesce(fw.{c}_growth + s_{c}.err_hi, 0.0) AS amount_{c}_12m_optimistic" for c in _COMPS)}
+    f"fw.{c}_growth + s_{c}.err_lo AS amount_{c}_12m_conservative, "
+    f"fw.{c}_growth + s_{c}.err_median AS amount_{c}_12m_base, "
+    f"fw.{c}_growth + s_{c}.err_hi AS amount_{c}_12m_optimistic" for c in _COMPS)}
     FROM fw {" ".join(f"LEFT JOIN (SELECT * FROM scen WHERE component = '{c}') s_{c} ON true" for c in _COMPS)}),
 amounts AS (SELECT *, {", ".join(
     f"{' + '.join(f'amount_{c}_12m_{s}' for c in _COMPS)} AS amount_{s}_12m" for s in _SCEN)} FROM amounts0)"""
@@ -1013,27 +1058,6 @@ SELECT 'savings_capacity' AS variable, CAST(count(savings_capacity) AS BIGINT) A
        round(quantile_cont(savings_capacity, 1.0), 6) AS p100
 FROM feat"""
 
-FEATURE_COLUMNS = (
-    ["customer_id", "name", "age_group", "gender", "segment", "income", "expenses", "assets",
-     "liabilities", "equity", "savings_capacity"]
-    + [f"{p}_{c}" for p in S.product_slugs for c in ("balance_snapshot", "snapshot_date", "balance_mean_6m",
-                                                      "trend_6m", "n_obs_window", "holding")]
-    + ["income_estimate", "liquid_cv", "no_financial_any", "no_financial_all", "has_income_estimate",
-       "adoption_label", "days_since_last_data", "no_recent_data", "adoption_label_recent",
-       "invested_non_label_balance", "n_invest_non_label", "has_product_history", "no_signal", "trainable",
-       "expense_income_ratio", "savings_income_pct", "liability_asset_ratio", "equity_per_income",
-       "income_gap", "income_gap_pct", "liquid_balance_total", "n_products_total", "n_products_non_label",
-       "liquidity_equity_ratio"]
-    + [f"{p}_relative_trend_6m" for p in S.product_slugs]
-    + ["has_housing_data", "housing", "missing_financial", "missing_estimator", "missing_housing",
-       "liquid_cv_insufficient", "tenure_months"])
-
-
-def _roles_values():
-    from balances.operators.marts import column_roles
-    return ", ".join(f"('{c}', '{r}')" for c, r in column_roles(FEATURE_COLUMNS))
-
-
 IVS = """ivs AS (SELECT variable, sum(iv_bin) AS iv FROM (
           SELECT variable, iv_bin FROM woe_num UNION ALL SELECT variable, iv_bin FROM woe_cat) u
         GROUP BY variable)"""
@@ -1047,7 +1071,7 @@ FROM roles JOIN nulls USING (variable) LEFT JOIN ivs ON roles.variable = ivs.var
 
 CAT_LONG2 = "cl AS (" + " UNION ALL ".join(
     f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '{S.missing_label}') AS bin FROM feat"
-    for c in CAT_VARS + ["has_housing_data"]) + ")"
+    for c in CAT_VARS) + ")"
 
 SQL["decision_rules"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG2, WOE_CAT, IVS) + f""",
 hd AS (SELECT CASE WHEN max(iv) FILTER (WHERE variable = 'housing') >= {S.iv_min} THEN 'keep_category'
@@ -1061,9 +1085,9 @@ SELECT variable, round(iv, 6) AS iv, {_IVC} AS iv_class,
 FROM ivs, hd"""
 
 
-def _auc_sql(label_expr, name):
+def _auc_sql(label_expr, name, known="true"):
     return f"""{name}_a AS (SELECT {label_expr} AS y, CAST(liquid_balance_total AS DOUBLE) AS value FROM feat
-                WHERE liquid_balance_total IS NOT NULL),
+                WHERE liquid_balance_total IS NOT NULL AND {known}),
 {name}_r AS (SELECT y, (2 * rank() OVER (ORDER BY value) + count(*) OVER (PARTITION BY value) - 1) / 2.0 AS mr FROM {name}_a),
 {name} AS (SELECT CASE WHEN sum(y) > 0 AND count(*) - sum(y) > 0
                    THEN (sum(mr * y) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) END AS auc
@@ -1075,12 +1099,12 @@ def _band(lo, hi):
 
 
 SQL["auc_bands"] = feat_with(_auc_sql("missing_estimator", "pat"),
-                             _auc_sql("CAST(coalesce(gender, '') = 'F' AS INTEGER)", "prx")) + f"""
+                             _auc_sql("CAST(gender = 'F' AS INTEGER)", "prx", "gender IS NOT NULL")) + f"""
 SELECT 'missing_estimator_pattern' AS rule, round(auc, 6) AS auc, {_band(S.auc_pattern_weak, S.auc_pattern_informative)} AS band FROM pat
 UNION ALL
 SELECT 'gender_proxy', round(auc, 6), {_band(S.auc_proxy_moderate, S.auc_proxy_substantial)} FROM prx"""
 
-_IMP_VARS = NUM_VARS + ["has_income_estimate", "n_products_total"]
+_IMP_VARS = NUM_VARS
 IMP_LONG = "nl AS (" + " UNION ALL ".join(
     f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat"
     for c in _IMP_VARS) + ")"
@@ -1185,7 +1209,7 @@ FROM woe_num WHERE variable IN (SELECT variable FROM dec WHERE decision = 'inclu
 UNION ALL
 SELECT variable, 'category', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), bin, n, events, round(woe, 6)
 FROM woe_cat WHERE variable IN ('age_group', 'gender', 'segment', 'housing')
-  AND variable IN (SELECT variable FROM dec WHERE decision = 'include')"""
+  AND variable IN (SELECT variable FROM dec WHERE decision IN ('include', 'keep_category'))"""
 
 SQL["segment_median_impute"] = feat_with() + """,
 med AS (SELECT segment, quantile_cont(income, 0.5) AS m FROM feat WHERE income IS NOT NULL GROUP BY segment)

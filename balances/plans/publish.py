@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from balances.operators import marts, quality, sizing, star
+from balances.operators import marts, models, quality, sizing, star
 from balances.plans import queries as Q
 from balances.sources import sinks, tables
 
@@ -17,7 +17,8 @@ def publish(spark: SparkSession, sf_dir: str, out_root: str) -> dict[str, int]:
         "balances": lambda s: tables.balances(s, sf_dir),
         "customers": lambda s: tables.raw_customers(s, sf_dir),
         "income_estimates": lambda s: tables.income_estimates(s, sf_dir),
-    }, out_root)
+    }, out_root, expected=("balances", "customers", "income_estimates"))
+    sinks.completeness_gate(spark, {k: f"{out_root}/bronze/{k}" for k in counts})  # before any later layer
     panel = Q.panel_layer(spark, sf_dir)
     counts["silver/monthly_panel"] = sinks.write_table(
         panel, f"{out_root}/silver/monthly_panel", partition_by=["product"])
@@ -28,7 +29,13 @@ def publish(spark: SparkSession, sf_dir: str, out_root: str) -> dict[str, int]:
     counts["gold/customer_features"] = sinks.write_table(feats, f"{out_root}/gold/customer_features")
     for name in ("dim_customer", "dim_product", "dim_time", "fact_monthly"):
         counts[f"gold/{name}"] = sinks.write_table(schema[name], f"{out_root}/gold/{name}")
-    fact = Q.fact_frame(spark, sf_dir)
+    trained = Q.propensity_layer(spark, sf_dir)
+    fact = Q.trained_fact(spark, sf_dir)
+    models.save_models({f"propensity_{k.lower()}": m for k, m in trained["models"].items()}
+                       | Q.forecast_layer(spark, sf_dir)["models"], f"{out_root}/models")
+    sinks.write_artifact(Q.q_model_metrics(spark, sf_dir), f"{out_root}/models/_metrics")
+    sinks.log_decision(spark, f"{out_root}/decisions", "score_source", "trained",
+                       "score fact from fitted propensity and amount models", trained["metrics"])
     counts["gold/fact_score"] = sinks.write_table(fact, f"{out_root}/gold/fact_score")
     blocks = sizing.commercial_blocks(fact)
     exports = {
@@ -38,7 +45,6 @@ def publish(spark: SparkSession, sf_dir: str, out_root: str) -> dict[str, int]:
         "dim_customer": schema["dim_customer"],
         "fact_monthly": schema["fact_monthly"],
     }
-    sinks.completeness_gate({k: f"{out_root}/gold/{k}" for k in ("customer_features", "fact_score")})
     csv_counts = sinks.export_csv(exports, f"{out_root}/export")
     counts.update({f"export/{k}": v for k, v in csv_counts.items()})
     sinks.export_report(spark, counts, f"{out_root}/export/_report")

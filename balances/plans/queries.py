@@ -13,7 +13,7 @@ from balances.operators import (amount, asof, audit, features, marts, models, pa
                                 quality, rank, scoring, sizing, star, stats)
 from balances.sources import tables
 from balances.plans.common import balances, cut, layer, rounded
-from balances.session import broadcast_checked, cut_lineage
+from balances.session import broadcast_checked, cut_lineage, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,7 +69,7 @@ def panel_frame(spark, d):
 
 def panel_layer(spark, d):
     """Silver monthly panel, materialised once."""
-    return layer(spark, d, "panel", lambda: cut_lineage(panel_frame(spark, d)))
+    return layer(spark, d, "panel", lambda: materialise(panel_frame(spark, d), "panel"))
 
 
 @query("monthly_panel")
@@ -108,10 +108,10 @@ def features_frame(spark, d, lift=None, panel_df=None):
 
 
 def features_ckpt(spark, d):
-    """Gold feature mart materialised once (reliable checkpoint); downstream
-    queries read it instead of recomputing it."""
-    return layer(spark, d, "features",
-                 lambda: cut_lineage(features_frame(spark, d, panel_df=panel_layer(spark, d))))
+    """Gold feature mart, written once as Parquet sorted by customer; downstream
+    queries read the columns and row groups they need."""
+    return layer(spark, d, "features", lambda: materialise(
+        features_frame(spark, d, panel_df=panel_layer(spark, d)), "features", "customer_id"))
 
 
 @query("customer_features")
@@ -260,18 +260,19 @@ def q_constraint_report(spark, d):
 
 
 # ---------------------------------------------------------------- statistics
-NUM_VARS = ["income", "expenses", "savings_capacity", "liquid_balance_total",
-            "invested_non_label_balance", "savings_balance_snapshot", "checking_balance_snapshot",
-            "term_deposit_balance_snapshot", "trust_fund_balance_snapshot",
-            "expense_income_ratio", "tenure_months", "days_since_last_data",
-            "n_products_non_label", "liquid_cv"]
+def num_vars(f):
+    """Every numeric predictor of model A, from the schema."""
+    types = dict(f.dtypes)
+    return [c for c in models.feature_set_a(f) if types[c] != "string"]
+
+
 LABEL = "adoption_label"
 
 
 @query("woe_iv_numeric")
 def q_woe_iv_numeric(spark, d):
     f = features_ckpt(spark, d)
-    return rounded(stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL))
+    return rounded(stats.woe_numeric(f, "customer_id", num_vars(f), LABEL))
 
 
 @query("woe_iv_categorical")
@@ -282,7 +283,7 @@ def q_woe_iv_categorical(spark, d):
 
 def iv_frame(spark, d):
     f = features_ckpt(spark, d)
-    w = stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL).select("variable", "iv_bin").unionByName(
+    w = stats.woe_numeric(f, "customer_id", num_vars(f), LABEL).select("variable", "iv_bin").unionByName(
         stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL).select("variable", "iv_bin"))
     return stats.iv_summary(w)
 
@@ -295,7 +296,7 @@ def q_iv_class(spark, d):
 @query("mann_whitney_u")
 def q_mann_whitney_u(spark, d):
     f = features_ckpt(spark, d)
-    long = stats.to_long(f, "customer_id", NUM_VARS, LABEL)
+    long = stats.to_long(f, "customer_id", num_vars(f), LABEL)
     return rounded(stats.mann_whitney(long, "customer_id")
                    .join(stats.group_medians(long, "customer_id"), "variable", "left"))
 
@@ -360,9 +361,12 @@ def score_input(spark, d):
 
 
 def component_frames(spark, d):
-    comp = amount.component_panel(panel_layer(spark, d))
-    comp_h = cut_lineage(amount.with_history(comp))
-    return comp, comp_h
+    return layer(spark, d, "components", lambda: _component_frames(spark, d))
+
+
+def _component_frames(spark, d):
+    comp = materialise(amount.component_panel(panel_layer(spark, d)), "components")
+    return comp, materialise(amount.with_history(comp), "components-history")
 
 
 def amount_frames(spark, d):
@@ -372,7 +376,7 @@ def amount_frames(spark, d):
 def _amount_frames(spark, d):
     comp, comp_h = component_frames(spark, d)
     valid_start = amount.split_month(comp_h).first()["valid_start"]
-    bt = cut_lineage(amount.backtest(comp_h, valid_start))
+    bt = materialise(amount.backtest(comp_h, valid_start), "backtest")
     scen = amount.scenarios_by_component(bt)
     full = amount.window_targets(comp_h)
     amounts = amount.amount_scenarios(full, scen)
@@ -390,7 +394,7 @@ def _fact_frame(spark, d):
     a = amount_frames(spark, d)
     fact2 = scoring.with_amounts(fact1, a["amounts"], amount.history_ids(a["comp"]))
     attrs = f.select("customer_id", "segment", "age_group", "gender", "adoption_label")
-    return cut_lineage(fact2.join(attrs, "customer_id", "left"))
+    return materialise(fact2.join(attrs, "customer_id", "left"), "fact")
 
 
 @query("component_pivot")
@@ -595,7 +599,7 @@ def q_table_profile(spark, d):
 
 
 def iv_frame_from(f, extra_cat=()):
-    w = stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL).select("variable", "iv_bin").unionByName(
+    w = stats.woe_numeric(f, "customer_id", num_vars(f), LABEL).select("variable", "iv_bin").unionByName(
         stats.woe_categorical(f, "customer_id", CAT_COLS + list(extra_cat), LABEL)
         .select("variable", "iv_bin"))
     return stats.iv_summary(w)
@@ -604,7 +608,7 @@ def iv_frame_from(f, extra_cat=()):
 @query("decision_rules")
 def q_decision_rules(spark, d):
     f = features_ckpt(spark, d)
-    iv = iv_frame_from(f, ["has_housing_data"])
+    iv = iv_frame_from(f)
     w = Window.partitionBy()  # one row per variable
     iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
     iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
@@ -616,24 +620,21 @@ def q_decision_rules(spark, d):
 
 @query("auc_bands")
 def q_auc_bands(spark, d):
-    f = features_ckpt(spark, d).withColumn(
-        "is_female", (F.coalesce(F.col("gender"), F.lit("")) == "F").cast("int"))
+    f = features_ckpt(spark, d)
+    known = f.where(F.col("gender").isNotNull()).withColumn("is_female", (F.col("gender") == "F").cast("int"))
     a = stats.auc_exact(f, "customer_id", "liquid_balance_total", "missing_estimator") \
         .select(F.lit("missing_estimator_pattern").alias("rule"), "auc")
-    b = stats.auc_exact(f, "customer_id", "liquid_balance_total", "is_female") \
+    b = stats.auc_exact(known, "customer_id", "liquid_balance_total", "is_female") \
         .select(F.lit("gender_proxy").alias("rule"), "auc")
     r1 = a.withColumn("band", marts.auc_band("auc", S.auc_pattern_weak, S.auc_pattern_informative))
     r4 = b.withColumn("band", marts.auc_band("auc", S.auc_proxy_moderate, S.auc_proxy_substantial))
     return rounded(r1.unionByName(r4))
 
 
-IMPORTANCE_VARS = NUM_VARS + ["has_income_estimate", "n_products_total"]
-
-
 @query("importance_iv_join")
 def q_importance_iv_join(spark, d):
     f = features_ckpt(spark, d)
-    mw = stats.mann_whitney(stats.to_long(f, "customer_id", IMPORTANCE_VARS, LABEL), "customer_id")
+    mw = stats.mann_whitney(stats.to_long(f, "customer_id", num_vars(f), LABEL), "customer_id")
     imp = mw.select("variable", F.abs(F.col("u") / (F.col("n_event") * F.col("n_non_event")) - 0.5)
                     .alias("importance"))
     return rounded(marts.importance_iv(imp, iv_frame_from(f)))
@@ -645,7 +646,7 @@ EVIDENCE_K = 3
 @query("evidence_topk")
 def q_evidence_topk(spark, d):
     f = features_ckpt(spark, d)
-    long = stats.to_long(f, "customer_id", NUM_VARS, LABEL)
+    long = stats.to_long(f, "customer_id", num_vars(f), LABEL)
     binned = cut_lineage(stats.assign_numeric_bins(long, stats.numeric_bin_edges(long, "customer_id")))
     woe = stats.woe_table(binned, ["bin_kind", "bin_lo", "bin_hi"])
     ev = marts.evidence_topk(binned, woe, ["bin_kind", "bin_lo", "bin_hi"], EVIDENCE_K)
@@ -693,7 +694,7 @@ def q_level_crosstab(spark, d):
 
 def decisions_frame(spark, d):
     f = features_ckpt(spark, d)
-    iv = iv_frame_from(f, ["has_housing_data"])
+    iv = iv_frame_from(f)
     w = Window.partitionBy()  # one row per variable
     iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
     iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
@@ -726,7 +727,7 @@ def q_id_check(spark, d):
 def q_importance_top(spark, d):
     """L3: the 12 most important variables (a top-k report)."""
     f = features_ckpt(spark, d)
-    mw = stats.mann_whitney(stats.to_long(f, "customer_id", IMPORTANCE_VARS, LABEL), "customer_id")
+    mw = stats.mann_whitney(stats.to_long(f, "customer_id", num_vars(f), LABEL), "customer_id")
     imp = mw.select("variable", F.abs(F.col("u") / (F.col("n_event") * F.col("n_non_event")) - 0.5)
                     .alias("importance"))
     return rounded(imp.orderBy(F.col("importance").desc_nulls_last(), "variable").limit(12))
@@ -759,8 +760,9 @@ def q_facet_reconciliation(spark, d):
 def q_woe_retained(spark, d):
     """MT9: WoE per bin for the variables the inclusion rule retains."""
     f = features_ckpt(spark, d)
-    keep = decisions_frame(spark, d).where(F.col("decision") == "include").select("variable")
-    num = stats.woe_numeric(f, "customer_id", NUM_VARS, LABEL).withColumn("bin", F.lit(None).cast("string"))
+    keep = decisions_frame(spark, d).where(
+        F.col("decision").isin("include", "keep_category")).select("variable")
+    num = stats.woe_numeric(f, "customer_id", num_vars(f), LABEL).withColumn("bin", F.lit(None).cast("string"))
     cat = (stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL)
            .withColumn("bin_kind", F.lit("category"))
            .withColumn("bin_lo", F.lit(None).cast("double")).withColumn("bin_hi", F.lit(None).cast("double")))
@@ -809,6 +811,14 @@ def q_summary_kv(spark, d):
 
 
 # ---------------------------------------------------------------- models (rows-only)
+def vif_columns(f):
+    """ST9: numeric predictors that at least half of the customers have, the
+    missing-data flags left out (one row per variable reaches the driver)."""
+    nn = profile.null_profile(f.select(*num_vars(f)))
+    have = {r["column"] for r in nn.where(F.col("n_null") < F.col("n_rows") * 0.5).collect()}
+    return [c for c in num_vars(f) if c in have and not c.startswith("missing_")]
+
+
 @query("validation_table")
 def q_validation_table(spark, d):
     """ST10 (rows-only: p-values need erfc / the gamma function): one row per
@@ -817,7 +827,7 @@ def q_validation_table(spark, d):
     alert for numeric variables with > 50 % non-null (ST9)."""
     f = features_ckpt(spark, d)
     iv = iv_frame_from(f)
-    mw = stats.mann_whitney(stats.to_long(f, "customer_id", NUM_VARS, LABEL), "customer_id") \
+    mw = stats.mann_whitney(stats.to_long(f, "customer_id", num_vars(f), LABEL), "customer_id") \
         .select("variable", F.lit("mann_whitney").alias("test"), F.col("z").alias("statistic"),
                 stats.p_from_z("z").alias("p_value"))
     ch = stats.chi2_cramer(f, CAT_COLS, LABEL).select(
@@ -825,9 +835,7 @@ def q_validation_table(spark, d):
         stats.p_from_chi2("chi2", "dof").alias("p_value"))
     tests = cut_lineage(mw.unionByName(ch).where(F.col("p_value").isNotNull()))
     bh = stats.benjamini_hochberg(tests, "p_value", "variable").select("variable", "q_value", "reject")
-    nn = profile.null_profile(f.select(*NUM_VARS))
-    cand = [r["column"] for r in nn.where(F.col("n_null") < F.col("n_rows") * 0.5).collect()]
-    cand = [c for c in cand if not c.startswith("missing_")]
+    cand = vif_columns(f)
     vif = spark.createDataFrame(stats.vif_general(f, cand)) if len(cand) > 1 else \
         spark.createDataFrame([], "variable string, vif double")
     out = (iv.join(tests, "variable", "left").join(bh, "variable", "left").join(vif, "variable", "left")
@@ -839,18 +847,17 @@ def q_validation_table(spark, d):
 def q_vif_all(spark, d):
     """ST8/ST9 for every eligible numeric variable (k x k inverse: rows-only)."""
     f = features_ckpt(spark, d)
-    return rounded(spark.createDataFrame(stats.vif_general(f, VIF_CANDIDATES)))
+    return rounded(spark.createDataFrame(stats.vif_general(f, vif_columns(f))))
 
 
-VIF_CANDIDATES = ["income", "expenses", "savings_capacity", "liquid_balance_total",
-                  "invested_non_label_balance", "expense_income_ratio", "tenure_months"]
 def propensity_layer(spark, d):
     """Models A/B fitted once per application (a trained model has
     no SQL oracle: these queries are checked on rows only)."""
     def build():
         f = features_ckpt(spark, d)
         res = models.propensity(f)
-        res["scores"] = cut_lineage(res["scores"])
+        res["scores"] = materialise(res["scores"], "scores")
+        res["test"] = materialise(res["test"], "test")
         return res
     return layer(spark, d, "propensity", build)
 
@@ -865,9 +872,20 @@ def q_propensity_scores(spark, d):
 @query("permutation_importance")
 def q_permutation_importance(spark, d):
     res = propensity_layer(spark, d)
-    cols_b = res["cols"]["B"]
-    return rounded(models.permutation_importance(res["models"]["B"], res["test"], cols_b, LABEL,
-                                                 cols_b, repeats=5))
+    parts = [models.permutation_importance(res["models"][m], res["test"], res["cols"][m], LABEL, res["cols"][m])
+             .withColumn("model", F.lit(m)) for m in ("A", "B")]
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+@query("model_metrics")
+def q_model_metrics(spark, d):
+    """M6-M8: exact AUCs of A, B and A on customers with products, and the
+    training population, as one row."""
+    res = propensity_layer(spark, d)
+    base = features_ckpt(spark, d).where(F.col("trainable") == 1)
+    named = [F.lit(v).cast("double").alias(k) for k, v in sorted(res["metrics"].items())]
+    return rounded(base.agg(F.count(F.lit(1)).cast("long").alias("n_trainable"),
+                            F.avg(LABEL).alias("adoption_rate")).select("*", *named))
 
 
 @query("missing_pattern_model")
@@ -884,45 +902,66 @@ def q_missing_pattern_model(spark, d):
 def q_gender_proxy_model(spark, d):
     f = features_ckpt(spark, d)
     mode = f.agg(F.mode("gender", deterministic=True).alias("mode")).first()["mode"]  # A14: one scalar
-    target = f.withColumn("is_modal_gender",
-                          (F.coalesce(F.col("gender"), F.lit("")) == F.lit(mode)).cast("int"))
+    target = f.where(F.col("gender").isNotNull()).withColumn(
+        "is_modal_gender", (F.col("gender") == F.lit(mode)).cast("int"))
     auc = models.auxiliary_auc(target, "is_modal_gender")
     df = spark.createDataFrame([("gender_proxy", auc)], "rule string, auc double")
     return rounded(df.withColumn("band", marts.auc_band("auc", S.auc_proxy_moderate,
                                                         S.auc_proxy_substantial)))
 
 
-@query("amount_forecast")
-def q_amount_forecast(spark, d):
+def forecast_layer(spark, d):
     """GBT regressors per component (features: end balance, months,
     trend, capacity set B), backtested on the validation months, scenarios
-    from the error percentiles, totals per customer."""
+    from the error percentiles, totals per customer. Fitted once per run."""
+    return layer(spark, d, "forecast", lambda: _forecast(spark, d))
+
+
+def _forecast(spark, d):
     a = amount_frames(spark, d)
     f = features_ckpt(spark, d)
     cols_b = models.feature_set_b(f)
     comp_h, vs = a["comp_h"], a["valid_start"]
     train_t = amount.window_targets(comp_h.where(F.col("month") < F.lit(vs)))
-    full_t = a["full"]
     bt_real = a["bt"].select("customer_id", "component", "real")
     fb = f.select("customer_id", *cols_b)
-    preds, errs = {}, []
+    cols = ["invested_now", "months", "trend"] + cols_b
+    fitted, preds, errs = {}, {}, []
     for c in amount.COMPONENTS:
         def design(t):
             return t.select("customer_id", F.col(f"{c}_end").alias("invested_now"), "months",
                             amount.trend_feature(f"{c}_start", f"{c}_end", "months").alias("trend"),
                             F.col(f"{c}_growth").alias("target")).join(fb, "customer_id", "left")
-        cols = ["invested_now", "months", "trend"] + cols_b
         tr = design(train_t)
         m = models.fit_regressor(tr.where(F.col("target").isNotNull()), cols, "target")
         p_tr = models.predict(m, tr, cols).select("customer_id", "pred")
         errs.append(bt_real.where(F.col("component") == c).join(p_tr, "customer_id")
                     .select("customer_id", F.lit(c).alias("component"),
                             (F.col("real") - F.col("pred")).alias("error")))
-        preds[c] = models.predict(m, design(full_t), cols).select("customer_id", F.col("pred").alias(f"{c}_growth"))
-    bt = errs[0].unionByName(errs[1])
-    scen = amount.scenarios_by_component(bt)
+        preds[c] = models.predict(m, design(a["full"]), cols).select("customer_id", F.col("pred").alias(f"{c}_growth"))
+        fitted[f"amount_{c}"] = m
+    scen = amount.scenarios_by_component(errs[0].unionByName(errs[1]))
     full_pred = preds["app"].join(preds["conservative"], "customer_id", "full")
-    return rounded(amount.amount_scenarios(full_pred, scen))
+    return {"models": fitted, "amounts": materialise(amount.amount_scenarios(full_pred, scen), "forecast")}
+
+
+@query("amount_forecast")
+def q_amount_forecast(spark, d):
+    return rounded(forecast_layer(spark, d)["amounts"])
+
+
+def trained_fact(spark, d):
+    """The score fact that is published: trained propensity scores and trained
+    amounts. ``score_fact`` (the query) runs the same chain on the stand-ins
+    that SQL can repeat."""
+    f = features_ckpt(spark, d)
+    scores = propensity_layer(spark, d)["scores"]
+    models.assert_all_scored(f, scores)
+    fact1 = scoring.score_fact(f, scores.select("customer_id", "score"), with_levels=False)
+    a = amount_frames(spark, d)
+    fact2 = scoring.with_amounts(fact1, forecast_layer(spark, d)["amounts"], amount.history_ids(a["comp"]))
+    attrs = f.select("customer_id", "segment", "age_group", "gender", "adoption_label")
+    return materialise(fact2.join(attrs, "customer_id", "left"), "trained-fact")
 
 
 @query("label_sensitivity")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
@@ -32,8 +34,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder); only when
-    it is unset — local runs and tests — create a scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder). Where it is
+    unset, a local master gets a scratch folder; any other master is refused,
+    since executors would not see it."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -41,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="balances-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -52,6 +57,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise(df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
+    """Write a layer as a Parquet table in the shared folder and read it back,
+    so that what reads it prunes columns and pushes filters down."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    (df.sortWithinPartitions(sort_by) if sort_by else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast only after the row count is checked (one small job); above
     the bound the frame is returned as is and the planner shuffles."""

@@ -11,7 +11,9 @@ Adapter (fixed rules, mirrored one-to-one by the oracle SQL in
   o_orderkey (tie-break for records on the same day).
 * customers <- ``customer`` joined to ``nation`` and ``region`` (age_group =
   region name, segment = market segment, gender from the nation key, housing
-  and the financial block derived from the account balance with NULL bands).
+  and the financial block derived from the account balance with NULL bands),
+  and ``supplier`` as customers without history (id = -s_suppkey, segment
+  PARTNER, balance in bands of 2500).
 * income estimate <- ``events``: sum of event value per user (only part of
   the customers have one, like the estimator source).
 """
@@ -43,6 +45,10 @@ CUSTOMER_SCHEMA = T.StructType([
 ])
 
 
+#: Width of the bands a partner's balance is known in.
+PARTNER_BAND = 2500
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
     """IO1: parquet scan; projection and filters push down to the reader."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -73,28 +79,37 @@ def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer",
-                   ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    """Customers of the bank (``customer``) and, as customers without any
+    product history, its partners (``supplier``, ids below zero): these have no
+    balance records, amounts in bands, and with a negative balance no financial
+    data at all."""
     # nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions:
     # broadcasting them is bounded regardless of scale factor.
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     geo = F.broadcast(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
-    j = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
-    bal = F.col("c_acctbal")
+    bank = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    partners = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
+    bal = F.col("s_acctbal")
+    band = F.when(bal >= 0, F.floor(bal / PARTNER_BAND) * float(PARTNER_BAND)).otherwise(bal)
+    j = bank.select(
+        F.col("c_custkey").cast("long").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("bal"),
+        F.col("c_mktsegment").alias("segment")).unionAll(partners.select(
+            (-F.col("s_suppkey")).cast("long"), "s_name", "s_nationkey", band, F.lit("PARTNER")))
+    j = j.join(geo, j.nation == geo.n_nationkey, "left")
+    bal, nation = F.col("bal"), F.col("nation")
     assets = F.when(bal >= 500, bal * 10.0)
-    liabilities = F.when(bal >= 500, bal * (F.col("c_nationkey") % 7))
+    liabilities = F.when(bal >= 500, bal * (nation % 7))
     return j.select(
-        F.col("c_custkey").cast("long").alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.col("r_name").alias("age_group"),
+        F.col("id").alias("customer_id"), "name", F.col("r_name").alias("age_group"),
         F.when(bal < -900, F.lit(None).cast("string"))
-         .when(F.col("c_nationkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-        F.col("c_mktsegment").alias("segment"),
+         .when(nation % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
+        "segment",
         F.when(bal < 6500, F.lit(None).cast("string"))
          .when(bal < 8200, F.lit("RENTED")).otherwise(F.lit("OWNED")).alias("housing"),
         F.when(bal >= 0, bal).alias("income"),
-        F.when(bal >= 0, bal * (F.col("c_nationkey") + 1) / 20.0).alias("expenses"),
+        F.when(bal >= 0, bal * (nation + 1) / 20.0).alias("expenses"),
         assets.alias("assets"),
         liabilities.alias("liabilities"),
         (assets - liabilities).alias("equity"),

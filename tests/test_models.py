@@ -1,36 +1,54 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from balances.operators import models
+from balances.operators import marts, models, roles
 
 
-def test_leak_guard():
-    models.leak_check(["income", "segment"])
-    with pytest.raises(ValueError):
-        models.leak_check(["income", "robo_advisor_balance_snapshot"])
+FORBIDDEN = ["customer_id", "name", "gender", "adoption_label", "adoption_label_recent", "n_products_total",
+             "has_investment_history", "has_product_history", "no_signal", "trainable", "population", "no_recent_data",
+             "score", "level", "model_used", "reference_value", "reference_type", "expected_value_12m",
+             "annual_savings_capacity", "amount_base_12m", "amount_app_12m_optimistic",
+             "robo_advisor_balance_snapshot", "robo_advisor_relative_trend_6m", "savings_snapshot_date", "first_month"]
+
+
+@pytest.mark.parametrize("column", FORBIDDEN)
+def test_leak_guard(column):
+    assert roles.leak_check(["income", "segment"]) == ["income", "segment"]
     with pytest.raises(ValueError):
-        models.leak_check(["adoption_label"])
+        roles.leak_check(["income", column])
+    assert column not in roles.model_a(["income", column]) and column not in roles.model_b(["income", column])
 
 
-def test_feature_sets(spark):
+def test_feature_sets_and_dictionary_agree(spark):
     df = spark.createDataFrame(
-        [(1, "n", "F", 1.0, 2.0, "s", None, 0, 1, 1.0)],
+        [(1, "n", "F", 1.0, 2.0, "s", None, 0, 1, 1.0, 1, 0)],
         "customer_id long, name string, gender string, income double, robo_advisor_balance_snapshot double, "
-        "segment string, savings_snapshot_date date, adoption_label int, trainable int, tenure_months double")
-    a = models.feature_set_a(df)
-    assert a == ["income", "segment", "tenure_months"]
-    assert models.feature_set_b(df) == ["income", "segment"]
+        "segment string, savings_snapshot_date date, adoption_label int, trainable int, tenure_months double, "
+        "missing_estimator int, has_product_history int")
+    a, b = models.feature_set_a(df), models.feature_set_b(df)
+    assert a == ["income", "segment", "tenure_months", "missing_estimator"]
+    assert b == ["income", "missing_estimator", "segment"]
+    named = dict(marts.column_roles(df.columns))
+    assert {c for c, r in named.items() if r in ("A", "A+B")} == set(a)
+    assert {c for c, r in named.items() if r == "A+B"} == set(b)
+
+
+def test_model_b_is_complete():
+    assert {"missing_estimator", "no_financial_any", "has_housing_data", "incomplete_profile"} <= set(roles.SET_B)
 
 
-def test_stratified_split_exact(spark):
-    df = spark.createDataFrame([(i, 1 if i < 100 else 0) for i in range(1000)], "customer_id long, y int")
+def test_split_is_stratified_and_repeatable(spark):
+    df = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(20_000)], "customer_id long, y int")
     s = models.stratified_split(df, "y")
-    per = {r.y: (r.n, r.t) for r in s.groupBy("y").agg(F.count(F.lit(1)).alias("n"),
-                                                          F.sum("is_test").alias("t")).collect()}
-    assert per == {1: (100, 20), 0: (900, 180)}
-    again = models.stratified_split(df, "y")
-    assert {r.customer_id for r in s.where("is_test = 1").collect()} == \
-        {r.customer_id for r in again.where("is_test = 1").collect()}
+    for r in s.groupBy("y").agg(F.avg("is_test").alias("share")).collect():
+        assert abs(r.share - 0.2) < 0.025
+    test = {r.customer_id for r in s.where("is_test = 1").collect()}
+    again = {r.customer_id for r in models.stratified_split(df.repartition(9), "y").where("is_test = 1").collect()}
+    want = {i for i in range(20_000) if int(hashlib.md5(f"42:{int(i % 7 == 0)}:{i}".encode()).hexdigest()[:8], 16)
+            < int(0.2 * 2 ** 32)}
+    assert test == again == want
 
 
 def test_encoding_null_and_unseen_are_zero(spark):

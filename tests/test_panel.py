@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,48 +13,40 @@ def recs(spark, data):
     return spark.createDataFrame(data, "customer_id long, product string, obs_date date, balance double, row_key long")
 
 
-def test_forward_fill_never_interpolates(spark):
-    df = recs(spark, [(1, "p", D(2026, 1, 15), 100.0, 1), (1, "p", D(2026, 4, 10), 400.0, 2)])
-    out = panel.monthly_panel(df, max_month=D(2026, 4, 1)).orderBy("month").collect()
-    assert [r.balance_month for r in out] == [100, 100, 100, 400]
-    assert [r.observed for r in out] == [1, 0, 0, 1]
-
-
-def test_last_value_in_month(spark):
-    df = recs(spark, [(1, "p", D(2026, 1, 5), 100.0, 1), (1, "p", D(2026, 1, 28), 250.0, 2)])
-    out = panel.monthly_panel(df, max_month=D(2026, 1, 1)).collect()
-    assert len(out) == 1 and out[0].balance_month == 250
-
-
-def test_grid_from_group_start(spark):
-    df = recs(spark, [(1, "p", D(2026, 1, 3), 1.0, 1), (2, "p", D(2026, 3, 3), 1.0, 2)])
-    out = panel.monthly_panel(df, max_month=D(2026, 3, 1))
-    counts = {r.customer_id: r["count"] for r in out.groupBy("customer_id").count().collect()}
-    assert counts == {1: 3, 2: 1}
-
-
-def test_group_after_max_month_omitted(spark):
-    df = recs(spark, [(1, "p", D(2026, 1, 3), 1.0, 1), (2, "p", D(2026, 5, 3), 1.0, 2)])
-    out = panel.monthly_panel(df, max_month=D(2026, 3, 1))
-    assert {r.customer_id for r in out.collect()} == {1}
-    assert out.where(F.col("customer_id") == 1).count() == 3
-
-
-def test_group_starting_on_max_month_single_row(spark):
-    df = recs(spark, [(2, "p", D(2026, 3, 20), 1.0, 2)])
-    assert panel.monthly_panel(df, max_month=D(2026, 3, 1)).count() == 1
-
-
-def test_cut_by_day_before_bucketing(spark):
-    df = recs(spark, [(1, "p", D(2026, 1, 10), 100.0, 1), (1, "p", D(2026, 2, 1), 200.0, 2),
-                      (1, "p", D(2026, 2, 15), 999.0, 3)])
-    out = panel.monthly_panel(df, cut=D(2026, 2, 1)).orderBy("month").collect()
-    assert [r.balance_month for r in out] == [100, 200] and [r.observed for r in out] == [1, 1]
+def restated(rows, cut, last):
+    """(customer, product, month) -> (balance, observed) by the rules."""
+    month = lambda d: (d.year, d.month)
+    out = {}
+    for key in {r[:2] for r in rows}:
+        mine = sorted((r for r in rows if r[:2] == key and (cut is None or r[2] <= cut)), key=lambda r: (r[2], r[4]))
+        if not mine or month(mine[0][2]) > month(last):
+            continue
+        y, m = month(mine[0][2])
+        value = None
+        while (y, m) <= month(last):
+            here = [r for r in mine if month(r[2]) == (y, m)]
+            known = [r[3] for r in here if r[3] is not None]
+            value = known[-1] if known else value
+            out[(*key, D(y, m, 1))] = (value, int(bool(here)))
+            y, m = (y, m + 1) if m < 12 else (y + 1, 1)
+    return out
+
+
+@pytest.mark.parametrize("cut", [D(2022, 3, 31), D(2022, 7, 14), None])
+def test_panel_follows_the_rules(spark, cut):
+    rng = random.Random(11)
+    last = cut or D(2022, 5, 2)
+    rows = [(rng.randrange(30), rng.choice("ab"), D(2021, 6, 1) + dt.timedelta(rng.randrange(420)),
+             None if rng.random() < 0.1 else float(rng.randrange(1000)), k) for k in range(260)]
+    got = {(r.customer_id, r.product, r.month): (r.balance_month, r.observed)
+           for r in panel.monthly_panel(recs(spark, rows), cut=cut, max_month=last).collect()}
+    assert got == restated(rows, cut, last)
 
 
 def test_first_month(spark):
-    df = recs(spark, [(1, "p", D(2026, 3, 1), 1.0, 1), (1, "p", D(2025, 11, 20), 1.0, 2)])
-    assert panel.first_month(df).first().first_month == D(2025, 11, 1)
+    rows = [(c, "p", D(2020, 12, 9) + dt.timedelta(31 * k), 1.0, k) for c in (4, 8) for k in range(c, 0, -3)]
+    got = {r.customer_id: r.first_month for r in panel.first_month(recs(spark, rows)).collect()}
+    assert got == {c: min(r[2] for r in rows if r[0] == c).replace(day=1) for c in (4, 8)}
 
 
 def test_first_record_excludes_label_products(spark):
@@ -63,9 +56,10 @@ def test_first_record_excludes_label_products(spark):
     assert out == {1: D(2026, 3, 1)}
 
 
-def test_tenure_months(spark):
-    df = spark.createDataFrame([(D(2026, 1, 1),)], "first_month date")
-    assert df.select(panel.tenure_months(D(2026, 3, 1))).first()[0] == 2
+@pytest.mark.parametrize("first, cut, months", [(D(2019, 11, 1), D(2021, 2, 28), 15), (D(2021, 2, 1), D(2021, 2, 1), 0)])
+def test_tenure_months(spark, first, cut, months):
+    df = spark.createDataFrame([(first,)], "first_month date")
+    assert df.select(panel.tenure_months(cut)).first()[0] == months
 
 
 def _panel(spark, values, observed, start=D(2026, 1, 1)):
@@ -76,31 +70,34 @@ def _panel(spark, values, observed, start=D(2026, 1, 1)):
     return spark.createDataFrame(rows, "customer_id long, product string, month date, balance_month double, observed int")
 
 
+def variation(values):
+    mean = sum(values) / len(values)
+    return (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5 / mean
+
+
 def test_liquid_cv(spark):
-    p = _panel(spark, [100, 100, 200, 200, 300, 300], [1, 0, 1, 0, 1, 0])
-    r = panel.liquid_cv(p, D(2026, 6, 1)).first()
-    assert r.liquid_cv == pytest.approx(0.408248, abs=1e-6) and r.liquid_cv_insufficient == 0
+    values, seen = [40, 70, 70, 10, 25, 90], [1, 1, 0, 1, 0, 0]
+    r = panel.liquid_cv(_panel(spark, values, seen, start=D(2020, 9, 1)), D(2021, 2, 20)).first()
+    assert r.liquid_cv == pytest.approx(variation(values), abs=1e-6) and r.liquid_cv_insufficient == 0
 
 
-def test_liquid_cv_insufficient(spark):
-    p = _panel(spark, [100, 100, 200, 200, 300, 300], [1, 0, 0, 0, 1, 0])
-    r = panel.liquid_cv(p, D(2026, 6, 1)).first()
+def test_liquid_cv_needs_observed_months(spark):
+    r = panel.liquid_cv(_panel(spark, [5, 6, 7, 8], [1, 0, 0, 1]), D(2026, 4, 9)).first()
     assert r.liquid_cv is None and r.liquid_cv_insufficient == 1
 
 
 def test_liquid_cv_negative_mean(spark):
-    p = _panel(spark, [-50] * 6, [1] * 6)
-    r = panel.liquid_cv(p, D(2026, 6, 1)).first()
+    r = panel.liquid_cv(_panel(spark, [-7, -9, 4, -8], [1] * 4), D(2026, 4, 9)).first()
     assert r.liquid_cv is None and r.liquid_cv_insufficient == 0
 
 
-@pytest.mark.parametrize("cut", [D(2026, 6, 1), D(2026, 6, 17)])
-def test_liquid_cv_window_anchored_on_cut_month(spark, cut):
-    p = _panel(spark, [10, 20, 30, 40, 50, 60, 70, 80], [1] * 8, start=D(2025, 11, 1))
+@pytest.mark.parametrize("cut", [D(2023, 3, 1), D(2023, 3, 31)])
+def test_liquid_cv_reads_the_six_months_to_the_cut(spark, cut):
+    values = [900, 3, 14, 15, 92, 65, 35, 800]
+    p = _panel(spark, values, [1] * 8, start=D(2022, 9, 1))  # the window is October to March
     r = panel.liquid_cv(p, cut, min_observed=6).first()
-    assert r.liquid_cv == pytest.approx(0.310514, abs=1e-6)
-    r7 = panel.liquid_cv(p, cut, min_observed=7).first()
-    assert r7.liquid_cv is None and r7.liquid_cv_insufficient == 1
+    assert r.liquid_cv == pytest.approx(variation(values[1:7]), abs=1e-6)
+    assert panel.liquid_cv(p, cut, min_observed=7).first().liquid_cv is None
 
 
 def test_temporal_split(spark):

@@ -13,31 +13,30 @@ def levels(spark, values, pops=None, distributed=True):
             rank.priority_levels(df, "value", ["population"], distributed=distributed).collect()}
 
 
-def test_quartiles_of_100(spark):
-    lv = levels(spark, [float(i) for i in range(100)])
-    counts = {k: list(lv.values()).count(k) for k in "ABCD"}
-    assert counts == {"A": 25, "B": 25, "C": 25, "D": 25} and lv[99] == "A" and lv[0] == "D"
-
-
-def test_heavy_ties_keep_four_levels(spark):
-    lv = levels(spark, [0.0] * 80 + [0.5] * 10 + [0.9] * 10)
-    assert set(lv.values()) == {"A", "B", "C", "D"} and lv[99] == "A"
-
-
-def test_null_value_null_level(spark):
-    lv = levels(spark, [1.0, 2.0, None, 4.0])
-    assert lv[2] is None and lv[3] == "A"
-
-
-def test_per_population(spark):
-    lv = levels(spark, [1.0, 2.0, 3.0, 4.0, 100.0, 200.0, 300.0, 400.0], ["x"] * 4 + ["y"] * 4)
-    assert lv[3] == "A" and lv[4] == "D" and lv[7] == "A"
-
-
-def test_seven_values_not_ntile(spark):
-    lv = levels(spark, [float(i) for i in range(7)])
-    seq = [lv[i] for i in range(7)]
-    assert seq == ["D", "C", "C", "B", "B", "A", "A"]
+def by_rule(values, pops):
+    """The level each row must get: its 1-based rank (ties by id) times four,
+    over the size of its population, rounded up, names the quartile."""
+    out = {}
+    for pop in set(pops):
+        order = sorted((v, i) for i, (v, p) in enumerate(zip(values, pops)) if p == pop and v is not None)
+        for rank_, (_, i) in enumerate(order, 1):
+            out[i] = "DCBA"[-(-4 * rank_ // len(order)) - 1]
+    return {i: out.get(i) for i in range(len(values))}
+
+
+@pytest.mark.parametrize("n, distinct, pops, seed", [
+    (52, 52, 1, 0), (61, 61, 1, 1), (9, 9, 1, 2), (3, 3, 1, 3), (1, 1, 1, 4), (140, 3, 1, 5), (77, 1, 1, 6),
+    (90, 40, 4, 7), (33, 5, 2, 8)])
+def test_levels_follow_the_rule(spark, n, distinct, pops, seed):
+    rng = np.random.default_rng(seed)
+    values = [None if seed > 4 and rng.random() < 0.1 else float(rng.integers(0, distinct)) / 3 for _ in range(n)]
+    names = [f"pop{rng.integers(0, pops)}" for _ in range(n)]
+    assert levels(spark, values, names) == by_rule(values, names)
+
+
+def test_ties_spread_over_levels(spark):
+    lv = levels(spark, [3.5] * 48)
+    assert sorted(lv.values()) == sorted("ABCD" * 12)
 
 
 def test_distributed_equals_window(spark):

@@ -28,9 +28,13 @@ def test_write_table_schema_and_count(spark):
     with pytest.raises(ValueError):
         sinks.write_table(df.drop("x"), f"{root}/t2", schema=schema)
     with pytest.raises(FileNotFoundError):
-        sinks.completeness_gate({"nope": f"{root}/missing"})
+        sinks.completeness_gate(spark, {"nope": f"{root}/missing"})
+    sinks.completeness_gate(spark, {"t": f"file://{root}/t"})
+    sinks.export_report(spark, {"big": 40_000_000_000}, f"{root}/r")
+    assert "40000000000" in spark.read.json(f"{root}/r").first().counts
     with pytest.raises(ValueError):
-        sinks.export_report(spark, {"big": 40_000_000}, f"{root}/r")
+        sinks.ingest(spark, {"a": lambda s: df}, f"{root}/in", expected=["a", "b"])
+    assert sinks.ingest(spark, {"a": lambda s: df}, f"{root}/in", expected=["a"]) == {"a": 2}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
