@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from balances.config import SETTINGS
 from balances.operators.rank import exact_quantiles
 
 PROFILE_PROBS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
