@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balances.llm.common import dropped, table, text_or_empty, written
+from balances.llm.common import table, text_or_empty, written
 
 #: Bits of a fingerprint that name its run when filters are merged.
 QUOTIENT_BITS = 10

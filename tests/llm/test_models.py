@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from llm_helpers import AWKWARD, frame, prose
+from llm_helpers import AWKWARD, frame
 
 from balances.llm import html_blocks, langid, main_text, toxicity
 
