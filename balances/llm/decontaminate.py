@@ -114,7 +114,7 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     same = F.zip_with("mine", theirs, lambda a, b: (a == b).cast("int"))
     best = aligned.select("doc_id", "item_id", F.least(F.lit(WINDOW), F.col("n")).alias("window"), same.alias("same"))
     best = best.where(F.size("same") >= F.col("window"))
-    sums = F.transform(F.sequence(F.lit(1), F.size("same") - F.col("window") + 1),
+    sums = F.transform(F.sequence(F.lit(1), F.greatest(F.size("same") - F.col("window") + 1, F.lit(1))),
                        lambda i: F.aggregate(F.slice("same", i, F.col("window")), F.lit(0), lambda x, y: x + y))
     best = best.select("doc_id", "item_id", "window", F.array_max(sums).alias("matched"))
     best = best.where(F.col("matched") >= F.ceil(F.col("window") * F.lit(SHARE)))
