@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,12 +51,30 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return out
 
 
+def narrow(df: DataFrame, kind: str) -> DataFrame:
+    """``written`` for rows of a few ids: dealt anew to a sixteenth of the
+    shuffle partitions first, so that a loop leaves few files."""
+    few = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
+    return written(df.repartition(few), kind)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Keep a result that several plans read on the executors' disks. What a
+    lost executor held is computed again from its lineage, which stays short:
+    loops cut theirs with ``written``."""
+    df = df.persist(StorageLevel.DISK_ONLY)
+    df.count()
+    return df
+
+
 def dropped(*frames: DataFrame) -> None:
-    """Delete scratch tables that no later plan reads."""
+    """Release scratch tables that no later plan reads."""
     for df in frames:
         path = getattr(df, "scratch_path", None)
         if path:
             delete_path(df.sparkSession, path)
+        else:
+            df.unpersist()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from balances.llm.common import dropped, written
+from balances.llm.common import dropped, narrow
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,8 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     grow with the logarithm of a component's width; every round is written to
     the shared folder, and the loop ends when no label falls."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = written(both.where("a <> b").distinct(), "links")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m"))
+    both = narrow(both.where("a <> b").distinct(), "links")
+    labels = narrow(both.groupBy("a").agg(F.min("b").alias("m"))
                      .select(F.col("a").alias("id"), F.least("a", "m").alias("label")), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(
@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
                                               F.col("label").alias("old"))
         # the label of the label: any label is itself an end of some edge
         above = labels.select(F.col("id").alias("up"), F.col("label").alias("top"))
-        new = written(step.join(above, "up").select(
+        new = narrow(step.join(above, "up").select(
             "id", F.least("up", "top").alias("label"), (F.least("up", "top") < F.col("old")).alias("fell")), "labels")
         done = new.where("fell").isEmpty()
         dropped(labels)

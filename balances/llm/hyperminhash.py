@@ -8,16 +8,19 @@ make a band; documents that share a band are candidates.
 
 1. Documents with equal shingle sets form a class; its smallest id stands for
    it from here on, so copies never meet each other.
-2. Each band bucket names its smallest id as hub; the others pair with the hub
-   (one pair per member, however large the bucket).
+2. Each band bucket names its smallest id as hub; a member pairs with the
+   smallest of its hubs, and with its others only where that has not joined
+   them (a pair per member and bucket at most, however large the bucket).
 3. The registers estimate the Jaccard index of a pair, corrected for chance
    collisions; pairs that cannot reach the threshold go. The rest are verified
    on the full sets of word tuples.
-4. Buckets that still hold several components go on without their hub: blocks
-   of registers are compared in the tasks, first naming a spanning forest of
-   the likely links of each block, then, if components remain apart, every
-   likely pair not yet verified. So no candidate pair between two components
-   is left untested, and none inside a component needs a test.
+4. Buckets that still hold several components go on without their hub: their
+   members are compared in blocks inside the tasks, by registers and then by
+   sets of 32-bit hashes, so that pairs far below the threshold never become
+   rows. A block first names a spanning forest of its close pairs; if components
+   remain apart, it then names every close pair not yet verified. So no
+   candidate pair between two components is left untested, and none inside a
+   component needs a test.
 5. Union-find over the verified links gives the components.
 
 Defined results: null, empty or blank text -> no shingles, linked with nothing;
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.llm.bpe_words import slices
-from balances.llm.common import dropped, table, text_or_empty, written
+from balances.llm.common import BROADCAST_IDS, dropped, kept, narrow, table, text_or_empty
 from balances.llm.components import components
 
 WORDS = 5
@@ -49,6 +52,8 @@ ROWS, BANDS = 7, 36
 MARGIN = 5.0
 #: Documents of a bucket that one task compares with each other at a time.
 BLOCK = 1024
+#: Set elements that collisions of 32-bit hashes may hide or add in a pair.
+SLACK = 2
 #: Expected collisions of two independent registers, times 2^mantissa (fixed value).
 COLLISION = 0.1699
 SIGNATURE = "doc_id long, n long, hi long, lo long, registers binary, bands array<long>"
@@ -164,8 +169,16 @@ def likely(x, y, n, m, percent: int = PERCENT) -> np.ndarray:
     return (est >= t - slack) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
 
 
-def sign(batches):
+def _small(batches, rows: int = 256):
+    """Record batches of a few rows, so that a worker holds few texts at once."""
     for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+        pa.default_memory_pool().release_unused()
+
+
+def sign(batches):
+    for b in _small(batches):
         texts = b.column("text").to_pylist()
         for i, j in slices(texts, 400_000):
             sets = shingle_hashes(texts[i:j])
@@ -218,7 +231,7 @@ def verify(percent: int, words: int):
     rows of one hub follow each other."""
     def run(batches):
         last: dict = {}
-        for b in batches:
+        for b in _small(batches):
             ok = []
             for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist()):
                 for t in (x, y):
@@ -252,69 +265,72 @@ def _runs(batches):
         yield rest, np.array([0, len(rest)])
 
 
+def open_sets(batches):
+    """rep, n, registers and the set as sorted 32-bit hashes, for block tasks."""
+    for b in _small(batches):
+        texts = b.column("text").to_pylist()
+        for i, j in slices(texts, 400_000):
+            sets = shingle_hashes(texts[i:j])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rep")[i:j], pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([r.tobytes() for r in registers(sets)], pa.binary()),
+                 pa.array([np.unique((s >> _U(20)).astype(np.uint32)).tobytes() for s in sets], pa.binary())],
+                names=["rep", "n", "registers", "shingles"])
+
+
+def _close(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets of 32-bit hashes may reach the threshold, allowing for
+    a few collisions among the hashes."""
+    both = len(np.intersect1d(x, y, assume_unique=True)) + SLACK
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def block_pairs(percent: int, forest: bool):
-    """Likely pairs of different components within each block pair; with
-    ``forest``, of a block only a spanning forest of them, best first."""
+    """Close pairs of different components within each block pair. With
+    ``forest`` a found pair joins its components there and then, so a block
+    names fewer pairs than it has members."""
     def run(batches):
         for d, at in _runs(batches):
             reg = np.frombuffer(b"".join(d["registers"]), np.uint16).reshape(-1, BUCKETS)
-            n, comp, rep = d["n"].values, d["component"].values, d["rep"].values
+            sets = [np.frombuffer(v, np.uint32) for v in d["shingles"]]
+            n, comp, rep = d["n"].values, d["component"].values.copy(), d["rep"].values
             side, cross = d["side"].values, (d["i"] != d["j"]).values
             a_out, b_out = [], []
             for s, e in zip(at[:-1], at[1:]):
-                found = []
                 for x in range(s, e):
                     if cross[x] and side[x]:
                         continue
                     ys = np.arange(s, e)[side[s:e] == 1] if cross[x] else np.arange(x + 1, e)
                     ys = ys[comp[ys] != comp[x]]
-                    if len(ys):
-                        xs = np.full(len(ys), x)
-                        ok = likely(reg[xs], reg[ys], n[xs], n[ys], percent)
-                        if ok.any():
-                            est = estimate(reg[xs[ok]], reg[ys[ok]], n[xs[ok]], n[ys[ok]])[0]
-                            found += zip(-est, xs[ok].tolist(), ys[ok].tolist())
-                if forest and len(found) > 1:
-                    found = _forest(sorted(found), comp)
-                for _, x, y in found:
-                    a_out.append(min(rep[x], rep[y]))
-                    b_out.append(max(rep[x], rep[y]))
+                    if not len(ys):
+                        continue
+                    xs = np.full(len(ys), x)
+                    for y in ys[likely(reg[xs], reg[ys], n[xs], n[ys], percent)]:
+                        if comp[x] != comp[y] and _close(sets[x], sets[y], percent):
+                            a_out.append(min(rep[x], rep[y]))
+                            b_out.append(max(rep[x], rep[y]))
+                            if forest:
+                                part = comp[s:e]
+                                part[part == comp[y]] = comp[x]
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())],
                                              names=["a", "b"])
     return run
 
 
-def _forest(found: list, comp) -> list:
-    up: dict = {}
-
-    def top(c):
-        while up.get(c, c) != c:
-            c = up[c]
-        return c
-
-    out = []
-    for f in found:
-        x, y = top(comp[f[1]]), top(comp[f[2]])
-        if x != y:
-            up[x] = y
-            out.append(f)
-    return out
-
-
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    signed = written(rows.mapInArrow(sign, SIGNATURE), "signatures")
+    signed = kept(rows.mapInArrow(sign, SIGNATURE))
     linkable = signed.where("n > 0 AND doc_id IS NOT NULL")
-    classes = written(linkable.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = narrow(linkable.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
     # one signature per class, by its smallest id
     reps = linkable.join(classes, ["n", "hi", "lo"]).where("doc_id = rep").select(
         "rep", "n", "registers", "bands").dropDuplicates(["rep", "n"])
-    reps = written(reps, "representatives")
+    reps = kept(reps)
     member = reps.select("rep", F.explode("bands").alias("key"))
     buckets = member.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub"))
-    shared = written(member.join(buckets.where("size > 1"), "key"), "buckets")
+    shared = narrow(member.join(buckets.where("size > 1"), "key"), "buckets")
 
     regs = reps.select("rep", "n", "registers")
     texts = None
@@ -327,13 +343,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                                         F.col("registers").alias("ra")), "a")
         with_b = with_a.join(regs.select(F.col("rep").alias("b"), F.col("n").alias("nb"),
                                          F.col("registers").alias("rb")), "b")
-        maybe = written(with_b.mapInArrow(keep_likely(percent), "a long, b long").distinct(), "likely")
+        maybe = narrow(with_b.mapInArrow(keep_likely(percent), "a long, b long").distinct(), "likely")
         ends = maybe.select(F.col("a").alias("doc_id")).union(maybe.select("b")).distinct()
-        texts = written(rows.join(ends, "doc_id", "left_semi"), "texts")
+        texts = kept(rows.join(ends, "doc_id", "left_semi"))
         full = (maybe.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
                 .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
                 .select("a", "b", "ta", "tb"))
-        verdict = written(full.mapInArrow(verify(percent, WORDS), "a long, b long, linked boolean"), "verdicts")
+        verdict = narrow(full.mapInArrow(verify(percent, WORDS), "a long, b long, linked boolean"), "verdicts")
         dropped(maybe, texts)
         tested.append(verdict.select("a", "b"))
         links.append(verdict.where("linked").select("a", "b"))
@@ -344,7 +360,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
             out = out.union(f)
         return out
 
-    settle(shared.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    # first each member with the smallest of its hubs, then, across what that left apart, with the others
+    member_hub = shared.where("rep <> hub")
+    settle(member_hub.groupBy(F.col("rep").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"))
+    comp = components(union(links))
+    top = comp.select(F.col("id").alias("hub"), F.col("component").alias("hub_top"))
+    rest = (member_hub.select("rep", "hub").distinct().join(comp.withColumnRenamed("id", "rep"), "rep", "left")
+            .join(top, "hub", "left").where(~F.coalesce("component", "rep").eqNullSafe(F.coalesce("hub_top", "hub"))))
+    settle(rest.select(F.col("hub").alias("a"), F.col("rep").alias("b")).join(tested[0], ["a", "b"], "left_anti"))
     comp = components(union(links))
     # buckets without their hub that still hold several components
     others = shared.where("rep <> hub AND size > 2").select("key", "rep")
@@ -353,11 +376,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
             "key", "rep", F.coalesce("component", "rep").alias("component"))
         apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                           F.count(F.lit(1)).alias("left")).where("lo <> hi")
-        # a bucket with one component left over in many buckets is compared once: the key is the member set
-        open_rows = written(placed.join(apart.select("key", "left"), "key"), "open")
+        open_rows = narrow(placed.join(apart.select("key", "left"), "key"), "open")
         if open_rows.isEmpty():
             break
-        pairs = _blocks(open_rows, regs).mapInArrow(block_pairs(percent, forest), "a long, b long").distinct()
+        ids = narrow(open_rows.select("rep").distinct(), "open-ids")
+        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        sets = rows.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi").select("rep", "text").mapInArrow(
+            open_sets, "rep long, n long, registers binary, shingles binary")
+        sets = kept(sets)
+        pairs = _blocks(open_rows, sets).mapInArrow(block_pairs(percent, forest), "a long, b long").distinct()
         settle(pairs.join(union(tested).distinct(), ["a", "b"], "left_anti"))
         comp = components(union(links))
     found = linkable.join(classes, ["n", "hi", "lo"]).select("doc_id", "rep").join(
@@ -369,14 +396,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                       F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
-def _blocks(open_rows: DataFrame, regs: DataFrame) -> DataFrame:
+def _blocks(open_rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Deal the members of each open bucket into block pairs of bounded size,
     sorted so that a task reads one block pair after another."""
     chunks = F.ceil(F.col("left") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    rows = open_rows.withColumn("chunks", chunks).withColumn("own", own).join(regs, "rep")
+    rows = open_rows.withColumn("chunks", chunks).withColumn("own", own).join(sets, "rep")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("key", "rep", "component", "n", "registers",
+    rows = rows.select("key", "rep", "component", "n", "registers", "shingles",
                        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                        (F.col("own") > F.col("other")).cast("int").alias("side"))
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "rep")
