@@ -12,7 +12,7 @@ overlap). The 64-bit hashes are exclusive-ored with fixed random numbers, and
 the least value under each is one MinHash: the element nearest to a random
 point, so each number picks an element of its own. ``ROWS`` of them make a
 band; ``BANDS`` bands. A pair at the threshold shares a band with a probability
-of about 0.9, one at 0.85 of 0.98, one at 0.9 or more of practically 1.
+of about 0.8, one at 0.85 of 0.94, one at 0.9 or more of practically 1.
 
 Candidates. Buckets with two lines or more name hubs; a hub pairs with the
 members of other components, and the pair is verified on the full sets. The
@@ -36,13 +36,13 @@ import random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balances.llm.common import dropped, table, written
+from balances.llm.common import dropped, narrow, table, written
 from balances.llm.components import components
 
 GRAM = 5
 LEAST = 8
 SHORT, LONG = 96, 64
-ROWS, BANDS = 4, 12
+ROWS, BANDS = 5, 12
 #: Buckets whose keys go to every task at once; beyond it both sides shuffle.
 BROADCAST_KEYS = 1_000_000
 #: Jaccard threshold as a fraction.
@@ -69,40 +69,44 @@ def line_id(col: str = "line"):
 def _signatures(lines: DataFrame) -> DataFrame:
     """id, keys: one row per distinct line and kind of signature."""
     texts = lines.where(F.length("line") >= LEAST).select(line_id().alias("id"), "line")
-    texts = texts.groupBy("id", "line").agg(F.max(F.length("line")).alias("n"))
+    texts = texts.groupBy("id").agg(F.first("line").alias("line")).withColumn("n", F.length("line"))
     dense = F.regexp_extract_all("line", F.lit("(?s)(?=(.{7}))"), F.lit(1))
     begins = F.regexp_extract_all("line", F.lit(r"(?s)(?:^|\s)(?=(.{9}))"), F.lit(1))
     none = F.array().cast("array<string>")
     kinds = texts.select(
-        "id", "line",
+        "id",
         F.when(F.col("n") <= SHORT, dense).otherwise(none).alias("dense"),
         F.when(F.col("n") >= LONG, begins).otherwise(none).alias("begins"))
     # both kinds in one array; the kind is part of the key
     grams = F.array(F.struct(F.lit(0).alias("kind"), F.col("dense").alias("grams")),
                     F.struct(F.lit(1).alias("kind"), F.col("begins").alias("grams")))
-    rows = kinds.withColumn("sets", grams).select("id", "line", F.inline_outer("sets").alias("kind", "grams"))
-    rows = rows.select("id", "line", "kind", F.explode_outer("grams").alias("gram")).where("gram IS NOT NULL")
-    h = rows.select("id", "line", "kind", F.xxhash64("gram").alias("h"))
+    rows = kinds.withColumn("sets", grams).select("id", F.inline_outer("sets").alias("kind", "grams"))
+    rows = rows.select("id", "kind", F.explode_outer("grams").alias("gram")).where("gram IS NOT NULL")
+    h = rows.select("id", "kind", F.xxhash64("gram").alias("h"))
     least = [F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"m{i}") for i, p in enumerate(_random_points())]
-    # grouped by the columns the lines are already dealt by: no further shuffle
-    mins = h.groupBy("id", "line", "kind").agg(*least)
+    # the lines are already dealt by id: no further shuffle
+    mins = h.groupBy("id", "kind").agg(*least)
     keys = [F.xxhash64("kind", F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
     return mins.select("id", F.array(*keys).alias("keys"))
 
 
 def _grams(col):
-    """The set of character 5-grams; a shorter line is its own only gram."""
+    """The set of character 5-grams as 64-bit hashes; a shorter line is its own
+    only gram. Made once for a line, however many pairs it is in."""
     grams = F.regexp_extract_all(col, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
-    return F.array_distinct(F.when(F.size(grams) > 0, grams).otherwise(F.array(col)))
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked) by the exact Jaccard index of the full gram sets."""
-    sets = (pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b")
-            .join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
-            .select("a", "b", _grams(F.col("la")).alias("ga"), _grams(F.col("lb")).alias("gb")))
-    both = F.size(F.array_intersect("ga", "gb"))
-    return sets.select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), both.alias("both")).select(
+    grams = F.when(F.size(grams) > 0, grams).otherwise(F.array(col))
+    return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, linked) by the Jaccard index of the full gram sets. Pairs whose
+    set sizes alone rule the threshold out are not intersected."""
+    named = (pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
+             .join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a"))
+    na, nb = F.size("ga"), F.size("gb")
+    fits = F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM
+    both = F.when(fits, F.size(F.array_intersect("ga", "gb"))).otherwise(F.lit(0))
+    return named.select("a", "b", na.alias("na"), nb.alias("nb"), both.alias("both")).select(
         "a", "b", (F.col("both") * (DEN + NUM) >= (F.col("na") + F.col("nb")) * NUM).alias("linked"))
 
 
@@ -116,13 +120,14 @@ def fuzzy_components(lines: DataFrame) -> DataFrame | None:
     """(id, component) of the lines linked with a different line."""
     signed = written(_signatures(lines), "line-bands")
     member = signed.select("id", F.explode("keys").alias("key"))
-    shared_keys = written(member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "keys")
+    shared_keys = narrow(member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "keys")
     n = shared_keys.count()
     # both kinds of a line may fall into one bucket only by a hash collision
-    shared = written(_narrow(member, shared_keys.select("key"), "key", n).distinct(), "buckets")
-    ids = written(shared.select("id").distinct(), "ids")
+    shared = narrow(_narrow(member, shared_keys.select("key"), "key", n).distinct(), "buckets")
+    ids = narrow(shared.select("id").distinct(), "ids")
     texts = lines.where(F.length("line") >= LEAST).select(line_id().alias("id"), "line")
-    texts = written(_narrow(texts, ids, "id", ids.count()).distinct(), "texts")
+    sets = written(_narrow(texts, ids, "id", ids.count()).dropDuplicates(["id"]).select(
+        "id", _grams(F.col("line")).alias("grams")), "gram-sets")
     dropped(signed)
 
     active = shared.join(shared_keys, "key")  # key, id, size
@@ -133,19 +138,19 @@ def fuzzy_components(lines: DataFrame) -> DataFrame | None:
         placed = placed.select("key", "id", "size", own.alias("component"))
         state = placed.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("left"),
                                           (F.min("component") != F.max("component")).alias("apart"))
-        placed = written(placed.join(state.where("apart").drop("apart"), "key"), "open")
+        placed = narrow(placed.join(state.where("apart").drop("apart"), "key"), "open")
         if placed.isEmpty():
             break
         # the first member and, round by round, a doubling number of others
         chance = F.least(F.lit(1.0), F.lit(float(2 ** round_no - 1)) / F.col("left"))
         u = F.pmod(F.xxhash64(F.lit(round_no), "id"), F.lit(1 << 30)) / float(1 << 30)
         hub = placed.where((F.col("id") == F.col("first")) | (u < chance) | (F.col("left") <= 2 ** round_no))
-        hub = written(hub.select("key", F.col("id").alias("h"), F.col("component").alias("hc")), "hubs")
+        hub = narrow(hub.select("key", F.col("id").alias("h"), F.col("component").alias("hc")), "hubs")
         pairs = placed.join(hub, "key").where("component <> hc").select(
             F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
         for t in tested:
             pairs = pairs.join(t, ["a", "b"], "left_anti")
-        verdict = written(_verified(pairs, texts), "verdicts")
+        verdict = narrow(_verified(pairs, sets), "verdicts")
         tested.append(verdict.select("a", "b"))
         links.append(verdict.where("linked").select("a", "b"))
         edges = links[0]
@@ -153,7 +158,7 @@ def fuzzy_components(lines: DataFrame) -> DataFrame | None:
             edges = edges.union(e)
         comp = components(edges)
         # hubs have met every member of another component
-        active = written(placed.select("key", "id", "size").join(
+        active = narrow(placed.select("key", "id", "size").join(
             hub.select("key", F.col("h").alias("id")), ["key", "id"], "left_anti"), "active")
         round_no += 1
     return comp
@@ -169,7 +174,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     seen = written(lines.select("doc_id", "pos", line_id().alias("id"), place.alias("place")), "lines")
     first = written(seen.groupBy("id").agg(F.min("place").alias("first")), "first")
     if comp is not None:
-        small = written(first.join(comp, "id"), "fuzzy")
+        small = narrow(first.join(comp, "id"), "fuzzy")
         best = small.groupBy("component").agg(F.min("first").alias("best"))
         moved = small.join(best, "component").select("id", "best")
         first = first.join(moved, "id", "left").select("id", F.coalesce("best", "first").alias("first"))
