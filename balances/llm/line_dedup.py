@@ -5,14 +5,13 @@ md5 of the line). Lines whose character 5-gram sets have a Jaccard index of at
 least 0.8 are linked; every component keeps its first line (by doc_id, then
 position) and loses the others.
 
-Signatures. A line of at most ``SHORT`` characters hashes every 7-gram, a line
-of at least ``LONG`` characters the 9-grams that begin a word, and a line in
-between both (two lines that may link differ in length by less than that
-overlap). The 64-bit hashes are exclusive-ored with fixed random numbers, and
-the least value under each is one MinHash: the element nearest to a random
-point, so each number picks an element of its own. ``ROWS`` of them make a
-band; ``BANDS`` bands. A pair at the threshold shares a band with a probability
-of about 0.8, one at 0.85 of 0.94, one at 0.9 or more of practically 1.
+Signatures. Every line hashes the 5-grams that are verified, so that a pair's
+signatures agree as its sets do. Two 64-bit hashes of a gram are exclusive-ored
+with fixed random numbers, the rows of a band taking turns between the two, and
+the least value under each number is one MinHash: the element nearest to a
+random point, so each number picks an element of its own. ``ROWS`` of them make
+a band; ``BANDS`` bands. A pair at the threshold shares a band with a
+probability of 0.99 or more.
 
 Candidates. Buckets with two lines or more name hubs; a hub pairs with the
 members of other components, and the pair is verified on the full sets. The
@@ -41,8 +40,7 @@ from balances.llm.components import components
 
 GRAM = 5
 LEAST = 8
-SHORT, LONG = 96, 64
-ROWS, BANDS = 5, 12
+ROWS, BANDS = 4, 14
 #: Buckets whose keys go to every task at once; beyond it both sides shuffle.
 BROADCAST_KEYS = 1_000_000
 #: Jaccard threshold as a fraction.
@@ -66,34 +64,28 @@ def line_id(col: str = "line"):
     return F.unhex(F.md5(F.col(col)))
 
 
+def _gram_strings(col):
+    """Every character 5-gram, in order."""
+    return F.regexp_extract_all(col, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+
+
 def _signatures(lines: DataFrame) -> DataFrame:
-    """id, keys: one row per distinct line and kind of signature."""
+    """id, keys: one row per distinct line."""
     texts = lines.where(F.length("line") >= LEAST).select(line_id().alias("id"), "line")
-    texts = texts.groupBy("id").agg(F.first("line").alias("line")).withColumn("n", F.length("line"))
-    dense = F.regexp_extract_all("line", F.lit("(?s)(?=(.{7}))"), F.lit(1))
-    begins = F.regexp_extract_all("line", F.lit(r"(?s)(?:^|\s)(?=(.{9}))"), F.lit(1))
-    none = F.array().cast("array<string>")
-    kinds = texts.select(
-        "id",
-        F.when(F.col("n") <= SHORT, dense).otherwise(none).alias("dense"),
-        F.when(F.col("n") >= LONG, begins).otherwise(none).alias("begins"))
-    # both kinds in one array; the kind is part of the key
-    grams = F.array(F.struct(F.lit(0).alias("kind"), F.col("dense").alias("grams")),
-                    F.struct(F.lit(1).alias("kind"), F.col("begins").alias("grams")))
-    rows = kinds.withColumn("sets", grams).select("id", F.inline_outer("sets").alias("kind", "grams"))
-    rows = rows.select("id", "kind", F.explode_outer("grams").alias("gram")).where("gram IS NOT NULL")
-    h = rows.select("id", "kind", F.xxhash64("gram").alias("h"))
-    least = [F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"m{i}") for i, p in enumerate(_random_points())]
+    texts = texts.groupBy("id").agg(F.first("line").alias("line"))
+    rows = texts.select("id", F.explode(_gram_strings(F.col("line"))).alias("gram"))
+    h = rows.select("id", F.xxhash64("gram").alias("h0"), F.xxhash64("gram", F.lit(1)).alias("h1"))
+    least = [F.min(F.col(f"h{i % 2}").bitwiseXOR(F.lit(p))).alias(f"m{i}") for i, p in enumerate(_random_points())]
     # the lines are already dealt by id: no further shuffle
-    mins = h.groupBy("id", "kind").agg(*least)
-    keys = [F.xxhash64("kind", F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
+    mins = h.groupBy("id").agg(*least)
+    keys = [F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
     return mins.select("id", F.array(*keys).alias("keys"))
 
 
 def _grams(col):
     """The set of character 5-grams as 64-bit hashes; a shorter line is its own
     only gram. Made once for a line, however many pairs it is in."""
-    grams = F.regexp_extract_all(col, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+    grams = _gram_strings(col)
     grams = F.when(F.size(grams) > 0, grams).otherwise(F.array(col))
     return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
 
@@ -122,7 +114,7 @@ def fuzzy_components(lines: DataFrame) -> DataFrame | None:
     member = signed.select("id", F.explode("keys").alias("key"))
     shared_keys = narrow(member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "keys")
     n = shared_keys.count()
-    # both kinds of a line may fall into one bucket only by a hash collision
+    # two bands of a line may fall into one bucket only by a hash collision
     shared = narrow(_narrow(member, shared_keys.select("key"), "key", n).distinct(), "buckets")
     ids = narrow(shared.select("id").distinct(), "ids")
     texts = lines.where(F.length("line") >= LEAST).select(line_id().alias("id"), "line")
