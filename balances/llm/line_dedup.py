@@ -25,8 +25,7 @@ n_kept, dropped (positions of the lines that go, ascending, from 0).
 Defined results: null or empty texts have no lines; documents that share an id
 (or have none) are one row, their equal positions being equally first; an
 empty table gives an empty result; extra columns are ignored; lines of fewer
-than ``LEAST`` characters are linked with equal lines only, since no two
-different ones reach 0.8.
+than ``LEAST`` characters have no 5-gram and are linked with equal lines only.
 """
 from __future__ import annotations
 
@@ -39,7 +38,7 @@ from balances.llm.common import dropped, narrow, table, written
 from balances.llm.components import components
 
 GRAM = 5
-LEAST = 8
+LEAST = GRAM
 ROWS, BANDS = 4, 14
 #: Buckets whose keys go to every task at once; beyond it both sides shuffle.
 BROADCAST_KEYS = 1_000_000

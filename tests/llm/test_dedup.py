@@ -266,3 +266,19 @@ def test_lines_at_the_threshold_meet(spark):
     got = {r.doc_id: r.dropped for r in line_dedup.line_dedup(frame(spark, rows)).collect()}
     assert sum(got[i] != [1] for i, _ in rows) <= 4  # of 160: banding is of high, not full, recall
     assert 1 - (1 - 0.8 ** line_dedup.ROWS) ** line_dedup.BANDS >= 0.99
+
+
+def test_lines_of_every_kind_are_signed(spark):
+    """Long lines without white space that differ in their first characters;
+    repetitive text, whose lines differ in length but not in their 5-grams."""
+    rng = random.Random(3)
+    rows = []
+    for alphabet in ("日本語中文字化漢仮名交文章例", "abcdefghijklmnopqrstuvwxyz0123456789,/"):
+        base = "".join(rng.choice(alphabet) for _ in range(300))
+        rows.append((len(rows), base + "\n" + "#" + base[1:]))
+    for phrase, few, many in (("ab", 3, 4), ("a", 5, 200), ("buy now ", 7, 15), ("buy now ", 7, 90)):
+        rows.append((len(rows), (phrase * few).strip() + "\n" + (phrase * many).strip() + "\nother " + "xyz"[len(rows) % 3] * 2))
+    got = {r.doc_id: r.dropped for r in line_dedup.line_dedup(frame(spark, rows)).collect()}
+    want = brute_lines(rows)
+    assert got == {i: [k for k, gone in sorted(want[i]) if gone] for i, _ in rows}
+    assert all(1 in gone for gone in got.values())
