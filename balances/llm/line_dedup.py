@@ -51,12 +51,19 @@ def _random_points() -> list[int]:
     return [r.getrandbits(64) - (1 << 63) for _ in range(ROWS * BANDS)]
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, pos, line: trimmed lines that are not blank."""
-    parts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+def row_key(text_col: str = "text"):
+    """Tells rows of one id (or of none) apart."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+
+
+def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_row: bool = False) -> DataFrame:
+    """doc_id, with ``by_row`` the key of the row, pos, line: trimmed lines that are not blank."""
+    key = [row_key(text_col).alias("row")] if by_row else []
+    parts = docs.select(F.col(id_col).cast("long").alias("doc_id"), *key,
                         F.split(F.col(text_col), "\n").alias("parts"))
-    rows = parts.select("doc_id", F.posexplode_outer("parts").alias("pos", "line"))
-    return rows.select("doc_id", "pos", F.btrim("line", F.lit(" \t\r\f\x0b\x00")).alias("line")).where("line <> ''")
+    own = ["doc_id", "row"] if by_row else ["doc_id"]
+    rows = parts.select(*own, F.posexplode_outer("parts").alias("pos", "line"))
+    return rows.select(*own, "pos", F.btrim("line", F.lit(" \t\r\f\x0b\x00")).alias("line")).where("line <> ''")
 
 
 def line_id(col: str = "line"):
@@ -155,14 +162,16 @@ def fuzzy_components(lines: DataFrame) -> DataFrame | None:
     return comp
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_lines, n_kept, dropped."""
-    lines = lines_of(docs, id_col, text_col)
+def _judged(docs: DataFrame, id_col: str, text_col: str, by_row: bool) -> DataFrame:
+    """doc_id (with ``by_row`` also row), n_lines, n_kept, dropped of those that have lines."""
+    lines = lines_of(docs, id_col, text_col, by_row)
     comp = fuzzy_components(lines)
+    own = ["doc_id", "row"] if by_row else ["doc_id"]
     # doc_id and position in one number: a fixed-width key that sorts like the pair; null ids last
     place = (F.coalesce(F.col("doc_id").cast("decimal(20)"), F.lit(str(1 << 63)).cast("decimal(20)"))
              * F.lit(1 << 31) + F.col("pos")).cast("decimal(38)")
-    seen = written(lines.select("doc_id", "pos", line_id().alias("id"), place.alias("place")), "lines")
+    place = F.struct(place.alias("place"), "row") if by_row else place
+    seen = written(lines.select(*own, "pos", line_id().alias("id"), place.alias("place")), "lines")
     first = written(seen.groupBy("id").agg(F.min("place").alias("first")), "first")
     if comp is not None:
         small = narrow(first.join(comp, "id"), "fuzzy")
@@ -170,10 +179,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         moved = small.join(best, "component").select("id", "best")
         first = first.join(moved, "id", "left").select("id", F.coalesce("best", "first").alias("first"))
     judged = seen.join(first, "id").select(
-        "doc_id", F.when(F.col("place") > F.col("first"), F.col("pos")).alias("gone"))
-    per_doc = judged.groupBy("doc_id").agg(
+        *own, F.when(F.col("place") > F.col("first"), F.col("pos")).alias("gone"))
+    return judged.groupBy(*own).agg(
         F.count(F.lit(1)).alias("n_lines"), (F.count(F.lit(1)) - F.count("gone")).alias("n_kept"),
         F.sort_array(F.collect_list("gone")).alias("dropped"))
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_lines, n_kept, dropped."""
+    per_doc = _judged(docs, id_col, text_col, False)
     empty = docs.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
     out = empty.join(per_doc.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d")), "left")
     return out.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
@@ -184,13 +198,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with the dropped lines
     taken out of the texts and ``n_chars``, where there is one, kept true;
-    documents that lose their last line go."""
-    judged = line_dedup(docs).where(F.size("dropped") > 0).select(
-        F.col("doc_id").alias("_line_doc"), F.col("dropped").alias("_line_gone"),
+    documents that lose their last line go. Rows of one id, or of none, are
+    judged each by its own lines; rows of one id and text are alike."""
+    judged = _judged(docs, "doc_id", "text", True).where(F.size("dropped") > 0).select(
+        F.col("doc_id").alias("_line_doc"), F.col("row").alias("_line_row"), F.col("dropped").alias("_line_gone"),
         (F.col("n_kept") == 0).alias("_line_all"))
     judged = written(judged, "dropped-lines")
     judged = F.broadcast(judged) if judged.count() <= BROADCAST_KEYS else judged
-    rows = docs.join(judged, docs["doc_id"].cast("long").eqNullSafe(judged["_line_doc"]), "left")
+    rows = docs.join(judged, docs["doc_id"].cast("long").eqNullSafe(judged["_line_doc"])
+                     & (row_key() == judged["_line_row"]), "left")
     rows = rows.where(~F.coalesce("_line_all", F.lit(False)))
     parts = F.split(F.col("text"), "\n")
     left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_line_gone", i)), "\n")

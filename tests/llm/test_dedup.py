@@ -282,3 +282,9 @@ def test_lines_of_every_kind_are_signed(spark):
     want = brute_lines(rows)
     assert got == {i: [k for k, gone in sorted(want[i]) if gone] for i, _ in rows}
     assert all(1 in gone for gone in got.values())
+
+
+def test_deduplicated_rows_without_an_id_of_their_own(spark):
+    rows = [(None, "a\nb"), (None, "c\nd"), (1, "x\nb"), (2, "e\nx"), (2, "f\ng"), (None, "h\nb")]
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in line_dedup.deduplicated(frame(spark, rows)).collect()))
+    assert got == [(False, 1, "x\nb"), (False, 2, "e"), (False, 2, "f\ng"), (True, 0, "a"), (True, 0, "c\nd"), (True, 0, "h")]
