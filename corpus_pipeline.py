@@ -15,6 +15,8 @@ from balances.llm.common import prepare, table, without, written
 
 #: A document goes if no language reaches this calibrated probability.
 LEAST_LANGUAGE_SCORE = 0.4
+#: Per cent of common word shingles from which documents are near duplicates.
+NEAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each near-duplicate group."""
     prepare(spark)
-    judged = hyperminhash.near_duplicates(docs)
+    judged = hyperminhash.near_duplicates(docs, NEAR_PERCENT)
     return without(docs, judged.where("NOT kept").select("doc_id"))
 
 

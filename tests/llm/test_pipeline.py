@@ -56,6 +56,19 @@ def test_each_decision(spark, pipeline):
     assert kept(pipeline.drop_leaks).keys() == {1, 2, 4, 5, 6, 7, 8, 9}
 
 
+def test_documents_between_80_and_85_per_cent_go(spark, pipeline):
+    from balances.llm import hyperminhash
+    words = prose(random.Random(7), 300).split()
+    changed = list(words)
+    for k in (30, 80, 130, 180, 230, 280):
+        changed[k] = "changed"
+    one, near = " ".join(words), " ".join(changed)
+    sets = [hyperminhash.shingle_set(t) for t in (one, near)]
+    assert 0.80 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
+    out = pipeline.dedup_documents(spark, frame(spark, [(1, one), (2, near), (3, prose(random.Random(8), 300))]), SF)
+    assert {r.doc_id for r in out.collect()} == {1, 3}
+
+
 def test_stages_take_awkward_and_empty_tables(spark, pipeline):
     for rows in ([], AWKWARD):
         docs = frame(spark, rows)
