@@ -5,7 +5,10 @@ Texts become lower-cased runs of letters and digits. A seed is a fixed mask
 over eight successive words: it hashes the words at its set positions and
 ignores the others, so a substituted word spoils only the masks that look at
 it. The two masks below find, in any ``WINDOW`` aligned words, every overlap
-with at most two substitutions (tested exhaustively). Hits of a document and a
+with at most two substitutions (tested exhaustively). Items of fewer words are
+sought by masks of four words as well, chosen by their length so that every
+pattern of substitutions that the verification accepts leaves one seed whole
+(tested exhaustively). Hits of a document and a
 benchmark item on the same alignment are then verified once: the aligned
 words are compared, and the best window must agree in ``SHARE`` of its words.
 
@@ -18,10 +21,9 @@ item_id, matched (words of the best window that agree), window (its length:
 
 Defined results: null or empty texts overlap with nothing; items of fewer words
 than ``MIN_WORDS`` are too short to tell from common phrases and are never
-reported; shorter items than a mask spans are found by their first
-``MIN_WORDS`` words; repeated documents, items or ids give one row per pair of
-ids with the best overlap; null ids are carried like others; empty tables give
-an empty result; extra columns are ignored.
+reported; repeated documents, items or ids give one row per pair of ids with
+the best overlap; null ids are carried like others; empty tables give an empty
+result; extra columns are ignored.
 """
 from __future__ import annotations
 
@@ -44,8 +46,18 @@ def words(col: str):
                     lambda w: w != "")
 
 
-#: All of an item's first words, for items shorter than a mask.
-FIRST = tuple(range(MIN_WORDS))
+#: Masks for short items only; a seed's kind is its mask's place in ``ALL_MASKS``.
+SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 3, 4), (0, 1, 2, 4), (0, 2, 3, 4))
+ALL_MASKS = (*MASKS, *SHORT_MASKS)
+
+
+def kinds_of(n: int) -> tuple[int, ...]:
+    """Kinds of seeds that an item of ``n`` words is sought by."""
+    if n >= 12:
+        return (0, 1)
+    if n >= 10:
+        return (0, 1, 2, 3)
+    return (2, 3) if n > MIN_WORDS else (2, 3, 4, 5)
 
 
 def _seeds(hashes, n, mask, kind: int):
@@ -68,10 +80,10 @@ def benchmark_seeds(items: DataFrame) -> DataFrame:
     """seed, item_id, key, n, place (word position of the seed)."""
     rows = items.withColumn("hashes", F.transform("item", lambda w: F.xxhash64(w)))
     n, out = F.col("n"), None
-    for kind, mask in enumerate((*MASKS, FIRST)):
-        seeds = _seeds(F.col("hashes"), n, mask, kind)
-        if mask is FIRST:
-            seeds = F.when(n < SPAN, F.slice(seeds, 1, 1)).otherwise(F.array().cast("array<bigint>"))
+    for kind, mask in enumerate(ALL_MASKS):
+        lengths = [k for k in range(MIN_WORDS, WINDOW + 1) if kind in kinds_of(k)]
+        seeds = F.when(F.least(n, F.lit(WINDOW)).isin(lengths), _seeds(F.col("hashes"), n, mask, kind))
+        seeds = seeds.otherwise(F.array().cast("array<bigint>"))
         part = rows.withColumn("seeds", seeds).select(
             "item_id", "key", "n", F.posexplode("seeds").alias("place", "seed"))
         out = part if out is None else out.union(part)
@@ -83,11 +95,11 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     """(doc_id, item_id, matched, window) of every verified overlap."""
     bench_items = benchmark_items(items, item_id, item_text)
     bench = benchmark_seeds(bench_items)
-    sizes = bench.agg(F.count(F.lit(1)).alias("seeds"), F.min("n").alias("least")).head()
+    sizes = bench.agg(F.count(F.lit(1)).alias("seeds"),
+                      F.collect_set(F.least(F.col("n"), F.lit(WINDOW))).alias("lengths")).head()
     bench = F.broadcast(bench) if sizes["seeds"] <= BROADCAST_SEEDS else bench
-    masks = [*enumerate(MASKS)]
-    if sizes["least"] is not None and sizes["least"] < SPAN:  # some items are shorter than a mask
-        masks.append((len(MASKS), FIRST))
+    # only the masks that some item needs
+    masks = [(kind, ALL_MASKS[kind]) for kind in sorted({k for n in sizes["lengths"] or [WINDOW] for k in kinds_of(n)})]
 
     rows = docs.select(F.col(id_col).alias("doc_id"), words(text_col).alias("words"))
     rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))

@@ -78,3 +78,33 @@ def test_edges(spark):
     rows = [(None, "x a b c d e f g h i j k l m n o y"), (3, "A, b; c d e f ZZ h i j k l m"), (3, "nothing"), (3, None)]
     got = {r.doc_id: (r.item_id, r.matched) for r in D.overlaps(frame(spark, rows), bench).collect()}
     assert got == {None: (1, 13), 3: (1, 12)}
+
+
+def allowed(n):
+    """Every set of substituted positions that leaves an item of n words a match."""
+    return [c for k in range(n - math.ceil(n * D.SHARE) + 1) for c in itertools.combinations(range(n), k)]
+
+
+def test_masks_find_every_accepted_pattern_of_short_items():
+    for n in range(D.MIN_WORDS, D.WINDOW + 1):
+        masks = [D.ALL_MASKS[k] for k in D.kinds_of(n)]
+        for subs in allowed(n):
+            assert any(not {o + p for p in m} & set(subs) for m in masks for o in range(n - m[-1])), (n, subs)
+
+
+def test_short_items_with_substitutions(spark):
+    rng = random.Random(9)
+    items = [(n, prose(rng, n, 10 ** 6)) for n in range(D.MIN_WORDS, D.WINDOW)]
+    rows, want = [], {}
+    for n, text in items:
+        for subs in allowed(n):
+            passage = ["zz" if k in subs else w for k, w in enumerate(text.split())]
+            want[len(rows), n] = (n - len(subs), n)
+            rows.append((len(rows), " ".join([*prose(rng, 3).split(), *passage, *prose(rng, 2).split()])))
+    bench = spark.createDataFrame([(*i, 1, 2) for i in items], ITEMS)
+    got = {(r.doc_id, r.item_id): (r.matched, r.window) for r in D.overlaps(frame(spark, rows), bench).collect()}
+    assert got == want
+    for n, text in items[:3]:  # a benchmark of one length
+        one = spark.createDataFrame([(n, text, 1, 2)], ITEMS)
+        got = {(r.doc_id, r.item_id): (r.matched, r.window) for r in D.overlaps(frame(spark, rows), one).collect()}
+        assert got == {k: v for k, v in want.items() if k[1] == n}
