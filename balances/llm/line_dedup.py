@@ -90,17 +90,19 @@ def _signatures(lines: DataFrame) -> DataFrame:
 
 def _grams(col):
     """The set of character 5-grams as 64-bit hashes; a shorter line is its own
-    only gram. Made once for a line, however many pairs it is in."""
+    only gram. Made for each pair: kept, the sets take eight times the room of
+    the lines."""
     grams = _gram_strings(col)
     grams = F.when(F.size(grams) > 0, grams).otherwise(F.array(col))
     return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, linked) by the Jaccard index of the full gram sets. Pairs whose
     set sizes alone rule the threshold out are not intersected."""
-    named = (pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-             .join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a"))
+    named = (pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b")
+             .join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
+             .select("a", "b", _grams(F.col("la")).alias("ga"), _grams(F.col("lb")).alias("gb")))
     na, nb = F.size("ga"), F.size("gb")
     fits = F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM
     both = F.when(fits, F.size(F.array_intersect("ga", "gb"))).otherwise(F.lit(0))
@@ -124,8 +126,7 @@ def fuzzy_components(lines: DataFrame) -> DataFrame | None:
     shared = narrow(_narrow(member, shared_keys.select("key"), "key", n).distinct(), "buckets")
     ids = narrow(shared.select("id").distinct(), "ids")
     texts = lines.where(F.length("line") >= LEAST).select(line_id().alias("id"), "line")
-    sets = written(_narrow(texts, ids, "id", ids.count()).dropDuplicates(["id"]).select(
-        "id", _grams(F.col("line")).alias("grams")), "gram-sets")
+    texts = written(_narrow(texts, ids, "id", ids.count()).groupBy("id").agg(F.first("line").alias("line")), "texts")
     dropped(signed)
 
     active = shared.join(shared_keys, "key")  # key, id, size
@@ -148,7 +149,7 @@ def fuzzy_components(lines: DataFrame) -> DataFrame | None:
             F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
         for t in tested:
             pairs = pairs.join(t, ["a", "b"], "left_anti")
-        verdict = narrow(_verified(pairs, sets), "verdicts")
+        verdict = narrow(_verified(pairs, texts), "verdicts")
         tested.append(verdict.select("a", "b"))
         links.append(verdict.where("linked").select("a", "b"))
         edges = links[0]
