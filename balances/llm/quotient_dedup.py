@@ -2,10 +2,10 @@
 
 Each partition builds a counting quotient filter of its texts' 64-bit
 fingerprints: the high bits (quotient) name a bucket, the low bits (remainder)
-are kept sorted in the bucket's run, each with a count. A run is one row, so
-merging filters is a shuffle by quotient followed by a merge of sorted
-remainders that adds up counts; nothing is lost, because quotient and remainder
-together are the whole fingerprint. Fingerprints counted more than once route
+are kept sorted in the bucket's run, each with a count. Filters are merged by a
+hash aggregation: runs are opened into fingerprints again and their counts
+added up, so that no run is gathered in one task; nothing is lost, because
+quotient and remainder together are the whole fingerprint. Fingerprints counted more than once route
 their documents to byte verification; all others are unique for certain.
 
 Byte verification groups the routed rows by the text itself, with map-side
@@ -68,8 +68,8 @@ def _runs(fp, counts, quotient_bits):
 
 
 def merge_filters(filters: DataFrame, quotient_bits: int = QUOTIENT_BITS) -> DataFrame:
-    """Lossless merge of filter rows -> (fp, n). Runs of one quotient meet by
-    sorted remainder; a remainder's counts add up. The key of the shuffle is
+    """Lossless merge of filter rows -> (fp, n): a hash aggregation that adds
+    up the counts of each quotient and remainder. The key of the shuffle is
     the full fingerprint, so no run, however long, is gathered in one task."""
     low = 64 - quotient_bits
     flat = filters.select("quotient", F.arrays_zip("remainders", "counts").alias("run")).select(
