@@ -4,10 +4,13 @@ from __future__ import annotations
 from balances.llm import (
     chunk_bpe,
     decontaminate,
+    hard_negatives,
     hyperminhash,
     langid,
     line_dedup,
     main_text,
+    prefix_trie,
+    quality_crf,
     quotient_dedup,
     token_records,
     toxicity,
@@ -27,8 +30,12 @@ def queries() -> dict:
         "op8_language_id": langid.op8_language_id,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_line_dedup": line_dedup.op10_line_dedup,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+        "op13_quality": quality_crf.op13_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": quotient_dedup.SQL, "op9_decontaminate": decontaminate.SQL}
+    return {"op6_exact_dedup": quotient_dedup.SQL, "op9_decontaminate": decontaminate.SQL,
+            "op11_hard_negatives": hard_negatives.SQL, "op12_prefix_trie": prefix_trie.SQL}
