@@ -155,8 +155,10 @@ def pretoken_starts(c: np.ndarray) -> np.ndarray:
 
 class BatchEncoder:
     """Ids of many texts at once. Pre-tokens are found and hashed (64 bits) by
-    array operations; a sorted table holds the ids of the hashes met so far,
-    and the library encodes each pre-token that is not among them."""
+    array operations; a sorted table holds characters and ids of the hashes met
+    so far, and the library encodes each pre-token that is not among them. A
+    hit counts only where all characters agree; texts with two pre-tokens of
+    one hash are encoded word by word."""
 
     def __init__(self, path: str, dtype: str = "<u4", table_words: int = TABLE_WORDS):
         self.words = WordEncoder(path, dtype)
@@ -168,6 +170,8 @@ class BatchEncoder:
         self.at = np.empty(0, np.int64)
         self.count = np.empty(0, np.int64)
         self.ids, self.used = np.empty(1 << 16, self.dtype), 0
+        self.chars, self.written = np.empty(1 << 16, "<u4"), 0
+        self.chars_at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         if len(self.hashes) + len(hashes) > self.room:
@@ -183,7 +187,16 @@ class BatchEncoder:
         self.ids[self.used:self.used + len(new)] = new
         at = self.used + np.cumsum(count) - count
         self.used += len(new)
+        length = np.array([len(t) for t in texts], np.int64)
+        signs = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        while self.written + len(signs) > len(self.chars):
+            self.chars = np.concatenate([self.chars, np.empty_like(self.chars)])
+        self.chars[self.written:self.written + len(signs)] = signs
+        chars_at = self.written + np.cumsum(length) - length
+        self.written += len(signs)
         place = np.searchsorted(self.hashes, hashes)
+        self.chars_at = np.insert(self.chars_at, place, chars_at)
+        self.size = np.insert(self.size, place, length)
         self.hashes = np.insert(self.hashes, place, hashes)
         self.at = np.insert(self.at, place, at)
         self.count = np.insert(self.count, place, count)
@@ -192,6 +205,17 @@ class BatchEncoder:
         at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
         return at, self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
 
+    def _one_by_one(self, text: str) -> bytes:
+        out = []
+        for part, special in self.words.parts(text):
+            if special:
+                out.append(self.words.special[part])
+            else:
+                words = self.words.words(part)
+                memo = self.words.learn(words)
+                out += [memo[w] for w in words]
+        return b"".join(out)
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
         parts = [list(self.words.parts(t)) for t in texts]
         plain = [p for ps in parts for p, special in ps if not special]
@@ -214,6 +238,11 @@ class BatchEncoder:
             new = first[~known]
             self._learn(uniq[~known], [whole[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist())])
             at, known = self._find(uniq)
+        size = ends - starts
+        same = _equal_runs(c, starts, size, c, starts[first][back], size[first][back])
+        same = same and _equal_runs(c, starts[first], size[first], self.chars, self.chars_at[at], self.size[at])
+        if not same:  # two pre-tokens of one hash
+            return [self._one_by_one(t) for t in texts]
         count = self.count[at][back]
         upto = np.cumsum(count)
         ids = self.ids[np.repeat(self.at[at][back] - (upto - count), count) + np.arange(upto[-1] if len(upto) else 0)]
@@ -233,6 +262,15 @@ class BatchEncoder:
         return out
 
 
+def _equal_runs(x, x_at, x_size, y, y_at, y_size) -> bool:
+    """Whether all runs of ``x`` hold what those of ``y`` hold."""
+    if not (x_size == y_size).all():
+        return False
+    upto = np.cumsum(x_size)
+    within = np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - x_size, x_size)
+    return bool((x[within + np.repeat(x_at, x_size)] == y[within + np.repeat(y_at, x_size)]).all())
+
+
 def slices(texts: list[str], chars: int = 1_000_000):
     """Index ranges of about ``chars`` characters each (a longer text alone)."""
     start = total = 0

@@ -87,14 +87,20 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
-#: Ids that may go to every task at once (8 MB); beyond it both sides shuffle.
+#: Ids or row keys that may go to every task at once (16 MB); beyond it both sides shuffle.
 BROADCAST_IDS = 1_000_000
 
 
-def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose id is among ``ids`` (one column). The ids
-    are written once and broadcast only while their counted number is small.
-    Rows without an id stay."""
-    gone = written(ids.toDF("_gone_id").where("_gone_id IS NOT NULL").distinct(), "gone")
+def text_key(text_col: str = "text"):
+    """The md5 of a text (of the empty one for null): rows of one id, or of
+    none, are told apart by it."""
+    return F.unhex(F.md5(text_or_empty(text_col)))
+
+
+def without_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose text has its ``text_key`` among ``keys``
+    (one column), whatever their ids. The keys are written once and broadcast
+    only while their counted number is small."""
+    gone = written(keys.toDF("_gone").distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")
+    return docs.join(gone, text_key() == gone["_gone"], "left_anti")

@@ -3,9 +3,12 @@
 Writers hide words by swapping letters for look-alikes (``1d10t``), by setting
 them apart (``i d i o t``) and by repeating them (``idiooot``). A suspicious
 span becomes a lattice: every observed sign offers the letters it may stand
-for, or nothing, each with a channel probability. Viterbi search over the last
-two letters picks the path that a character trigram model finds likeliest. The
-restored text is then scored by a logistic regression on a few marking words
+for, or nothing, each with a channel probability; a sign that stands for nothing
+costs what a letter costs on average, so that short paths win nothing by their
+length. Viterbi search over the last two letters, all of them, picks the path
+that a character trigram model finds likeliest. A span is a word with signs, or
+signs alone; letters set apart by separators; letters repeated three times, or
+every letter twice; and a marking word cut into pieces. The restored text is then scored by a logistic regression on a few marking words
 and word beginnings; a beginning counts once, twice, four or eight times, so one
 that clean texts also use now and then marks only where it is frequent.
 
@@ -48,7 +51,8 @@ RIDGE = 0.5
 CLASSES = 64
 #: Share of the character model's mass that the toxic words hold.
 HIDDEN_SHARE = 0.2
-BEAM = 24
+#: Masks in a row that may hide a word; a longer row is a separator.
+MASKED = 16
 SPAN_MEMO = 100_000
 
 #: What a sign may stand for (fixed values).
@@ -66,9 +70,11 @@ _SIGN = r"0-9@$!|+(<€£¢¡аеорсхуіѕмтквн*#%?"
 _NOISE = re.compile(f"[{_SIGN}]")
 #: A token with a letter and a sign that is not just closing punctuation.
 _TOKEN = re.compile(rf"(?<!\S)(?=\S*{_LETTER})\S*[{_SIGN}]\S*")
+#: A token of signs that look like letters, among them one that is no digit.
+_SIGNS_ONLY = re.compile(r"(?<!\S)[^\w\s@$!€£¢¡]*(?=[0-9]*[@$!€£¢¡])[0-9@$!|+(<€£¢¡]{2,12}[^\w\s@$!€£¢¡]*(?!\S)")
 #: Single signs or letters set apart by separators.
-_SPACED = re.compile(rf"(?<![\w@$])(?:[\w@$!|+][ .\-_·*]{{1,2}}){{2,}}[\w@$!|+](?!\w)")
-_STRETCHED = re.compile(rf"{_LETTER}*({_LETTER})\1\1{_LETTER}*")
+_SPACED = re.compile(rf"(?<![\w@$])(?:[\w@$!|+][ .\-_·,'~^*]{{1,2}}){{2,}}[\w@$!|+](?!\w)")
+_STRETCHED = re.compile(rf"{_LETTER}*({_LETTER})\1\1{_LETTER}*|(?<!\w)(?:({_LETTER})\2){{3,}}(?!\w)")
 _EDGE = re.compile(r"^[\"'(\[<{.,;:¿¡#*%&-]+(?=[\w@$])|[.,;:!?'\")\]>}#*%&-]+$|([$@&*#%!?])\1\1+$")
 _PUNCTUATION = {i: " " for i in range(0x250) if not chr(i).isalpha()} | {
     i: " " for i in range(0x2000, 0x2070)} | {i: " " for i in range(0x3000, 0x3020)}
@@ -141,7 +147,9 @@ def _conditional(counts: np.ndarray) -> np.ndarray:
 class Restorer:
     """Viterbi decoding of character lattices under the trigram model."""
 
-    def __init__(self, corpus: np.ndarray, hidden_words: dict[str, float]):
+    def __init__(self, corpus: np.ndarray, hidden_words: dict[str, float], whole: list[str] | None = None):
+        """``whole``: words that are sought cut into pieces (of four letters or
+        more; the hidden words if none are named)."""
         hidden = np.zeros(CLASSES ** 3)
         for word, weight in hidden_words.items():
             c = classes(word)
@@ -151,33 +159,68 @@ class Restorer:
             n = hidden * (1e4 / hidden.sum())
             p = (1 - HIDDEN_SHARE) * p + HIDDEN_SHARE * _conditional(n)
         self.logp = np.log(p).astype(np.float32)
-        self.table, self.memo = None, {}
+        seen = np.exp(np.log(corpus + 0.01) - np.log((corpus + 0.01).sum()))
+        #: Mean log probability of a letter.
+        self.per_sign = float((seen * self.logp.ravel()).sum())
+        self.whole = sorted(w for w in (hidden_words if whole is None else whole) if len(w) >= 4)
+        self.table, self.memo, self.pieces = None, {}, None
 
     def __getstate__(self):
-        return {"logp": self.logp, "table": None, "memo": {}}
+        return self.__dict__ | {"table": None, "memo": {}, "pieces": None}
 
     def decode(self, span: str) -> str:
         """The likeliest text behind a lower-cased span."""
         if self.table is None:
             self.table = self.logp.ravel().tolist()
         cls, lp = _class_table(), self.table
-        paths = {(0, 0): (0.0, "")}
-        for choices in lattice(span):
+        scores, back = {0: 0.0}, []  # state: the last two classes
+        for choices in lattice(span, self.per_sign):
+            if len(scores) * len(choices) > 4000:
+                scores, came = self._wide_step(scores, choices)
+                back.append(came)
+                continue
             new: dict = {}
-            for (a, b), (score, text) in paths.items():
-                for out, cost in choices:
-                    x, y, s = a, b, score + cost
-                    for ch in out:
-                        z = int(cls[ord(ch)])
+            came = {}
+            steps = [(out, cost, [int(cls[ord(ch)]) for ch in out]) for out, cost in choices]
+            for state, score in scores.items():
+                for out, cost, letters in steps:
+                    x, y, s = state >> 6, state & 63, score + cost
+                    for z in letters:
                         if z or y:
                             s += lp[(x * CLASSES + y) * CLASSES + z]
                             x, y = y, z
-                    if (x, y) not in new or s > new[x, y][0]:
-                        new[x, y] = (s, text + out)
-            paths = new if len(new) <= BEAM else dict(
-                sorted(new.items(), key=lambda kv: -kv[1][0])[:BEAM])
-        best = max(paths.items(), key=lambda kv: kv[1][0] + lp[(kv[0][0] * CLASSES + kv[0][1]) * CLASSES])
-        return best[1][1]
+                    to = x << 6 | y
+                    if to not in new or s > new[to]:
+                        new[to] = s
+                        came[to] = (state, out)
+            scores = new
+            back.append(came)
+        state = max(scores, key=lambda k: scores[k] + lp[k * CLASSES])
+        parts = []
+        for came in reversed(back):
+            state, out = came[state]
+            parts.append(out)
+        return "".join(reversed(parts))
+
+    def _wide_step(self, scores: dict, choices: list) -> tuple[dict, dict]:
+        """One step from many states, by array operations."""
+        cls, flat = _class_table(), self.logp.ravel()
+        states, held = np.fromiter(scores, np.int64), np.fromiter(scores.values(), float)
+        to, value, by = [], [], []
+        for k, (out, cost) in enumerate(choices):
+            x, y, s = states >> 6, states & 63, held + cost
+            for z in (int(cls[ord(ch)]) for ch in out):
+                goes = (y > 0) | (z > 0)
+                s = np.where(goes, s + flat[(x * CLASSES + y) * CLASSES + z], s)
+                x, y = np.where(goes, y, x), np.where(goes, z, y)
+            to.append(x << 6 | y)
+            value.append(s)
+            by.append(np.full(len(states), k))
+        to, value, by = np.concatenate(to), np.concatenate(value), np.concatenate(by)
+        order = np.lexsort((np.arange(len(to)), -value, to))
+        best = order[np.r_[True, to[order][1:] != to[order][:-1]]]
+        came = {int(to[i]): (int(states[i % len(states)]), choices[by[i]][0]) for i in best}
+        return {int(to[i]): float(value[i]) for i in best}, came
 
     def _restored(self, span: str) -> str:
         hit = self.memo.get(span)
@@ -202,12 +245,33 @@ class Restorer:
             text = INVISIBLE.sub("", text)
         text = _SPACED.sub(lambda m: f" {self._restored(m[0])} ", text)
         text = _STRETCHED.sub(lambda m: self._restored(m[0]), text)
-        return _TOKEN.sub(self._token, text) if _NOISE.search(text) else text
-
-
-def lattice(span: str):
+        text = self._joined(text)
+        if not _NOISE.search(text):
+            return text
+        return _SIGNS_ONLY.sub(self._token, _TOKEN.sub(self._token, text))
+
+    def _joined(self, text: str) -> str:
+        """Marking words that separators cut into pieces."""
+        if not self.whole:
+            return text
+        close = text
+        for sep in SEPARATORS:
+            close = close.replace(sep, "")
+        for word in self.whole:
+            if close.count(word) > text.count(word):
+                if self.pieces is None:
+                    self.pieces = {}
+                if word not in self.pieces:
+                    between = "[" + re.escape(SEPARATORS) + "]{0,2}"
+                    self.pieces[word] = re.compile(r"(?<!\w)(?!" + word + ")" + between.join(word) + r"(?!\w)")
+                text = self.pieces[word].sub(lambda m: f" {self._restored(m[0])} ", text)
+        return text
+
+
+def lattice(span: str, per_sign: float = 0.0):
     """Per observed sign (or run of one letter) what it may stand for, with
-    log probabilities."""
+    log probabilities. ``per_sign``, the mean log probability of a letter, is
+    charged where a sign stands for no letter of its own."""
     i = 0
     while i < len(span):
         ch, j = span[i], i + 1
@@ -216,24 +280,28 @@ def lattice(span: str):
         n, i = j - i, j
         if ch in SEPARATORS:
             yield [("", math.log(0.7 / n)), (" ", math.log(0.3))]
+        elif ch in MASKS and n > MASKED:
+            yield [("", math.log(0.3)), (" ", math.log(0.7))]
         elif ch in MASKS:
-            yield [("", math.log(0.1)), *((c, math.log(0.03)) for c in "abcdefghijklmnopqrstuvwxyz")]
+            for _ in range(n):
+                yield [("", math.log(0.1) + per_sign), *((c, math.log(0.03)) for c in "abcdefghijklmnopqrstuvwxyz")]
         elif ch in LOOKS_LIKE:
             letters = LOOKS_LIKE[ch]
             share = 0.9 / len(letters)
             one = 1.0 if n == 1 else 0.2 if n == 2 else 0.6
-            choices = [(c, math.log(share * one)) for c in letters] + [(" ", math.log(0.02))]
+            less = per_sign if n >= 2 else 0.0
+            choices = [(c, math.log(share * one) + less) for c in letters] + [(" ", math.log(0.02))]
             if n >= 2:
                 choices += [(c * 2, math.log(share * (1 - one))) for c in letters]
             if not ch.isalnum():
-                choices.append(("", math.log(0.005)))
+                choices.append(("", math.log(0.005) + (1 + (n >= 2)) * per_sign))
             yield choices
         elif n == 1:
             yield [(ch, 0.0)]
         elif n == 2:
-            yield [(ch * 2, math.log(0.8)), (ch, math.log(0.2))]
+            yield [(ch * 2, math.log(0.8)), (ch, math.log(0.2) + per_sign)]
         else:
-            yield [(ch, math.log(0.6)), (ch * 2, math.log(0.4))]
+            yield [(ch, math.log(0.6) + per_sign), (ch * 2, math.log(0.4))]
 
 
 def spaced(restored: str) -> str:
@@ -356,7 +424,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
         share = float(y.mean()) if len(y) else 0.5
         return Scorer(Restorer(corpus, {}), {}, math.log((share + 1e-6) / (1 - share + 1e-6)))
     marks, _ = _marks([spaced(r["text"].lower()) for r in sample], y)
-    restorer = Restorer(corpus, {f.partition("*")[0].strip(): 1.0 for f in marks})
+    restorer = Restorer(corpus, {f.partition("*")[0].strip(): 1.0 for f in marks}, [f.strip() for f in marks if f.endswith(" ")])
     marks, bags = _marks([spaced(restorer.restore(r["text"])) for r in sample], y)
     weights, bias = _logistic(bags, y, marks)
     return Scorer(restorer, weights, bias)

@@ -13,12 +13,12 @@ ITEMS = "item_id long, text string, words int, seed long"
 
 def brute(rows, items):
     out = {}
-    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    split = lambda t: re.findall(r"[\u3040-\u30ff\u4e00-\u9fff\u0e00-\u0e2e]|[^\W_]+?(?=[\W_\u3040-\u30ff\u4e00-\u9fff\u0e00-\u0e2e]|$)", (t or "").lower())
     for i, t in rows:
         w = split(t)
         for k, it in items:
             b = split(it)
-            if len(b) < D.MIN_WORDS:
+            if not b:
                 continue
             n, best = min(D.WINDOW, len(b)), 0
             for shift in range(-len(b), len(w)):
@@ -38,11 +38,11 @@ def test_masks_tolerate_two_substitutions():
 
 def rows_and_items():
     rng = random.Random(5)
-    items = [(k, prose(rng, n)) for k, n in enumerate((4, 5, 6, 7, 8, 9, 12, 13, 15, 30, 59))] + [(50, None), (51, ""), (51, "")]
+    items = [(k, prose(rng, n)) for k, n in enumerate((1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 13, 15, 30, 59))] + [(50, None), (51, ""), (51, "")]
     rows = [r for r in AWKWARD if r[0] is not None and len(r[1] or "") < 1000]
     for i in range(80):
         w = prose(rng, rng.randint(0, 40)).split()
-        for k, text in rng.sample(items[:11], 2):
+        for k, text in rng.sample(items[:14], 2):
             passage = text.split()
             if rng.random() < 0.3 and len(passage) > 14:
                 passage = passage[rng.randrange(4):][:14]
@@ -60,17 +60,27 @@ def test_overlaps(spark, monkeypatch):
     got = D.overlaps(frame(spark, rows), bench).collect()
     found = {(r.doc_id, r.item_id): (r.matched, r.window) for r in got}
     assert len(got) == len(found)
-    # items shorter than a mask are found by their first words; the others always
-    long = {k for k, t in items if len((t or "").split()) >= D.WINDOW}
+    # three substitutions may leave no seed whole in a window of 13 words, fewer always do
     assert found.items() <= want.items()
-    assert {k: v for k, v in want.items() if k[1] in long}.items() <= found.items()
-    exact = {(i, k) for i, t in rows for k, it in items if len((it or "").split()) >= 5 and f" {it} " in f" {t} "}
-    assert exact <= found.keys()
+    assert {k: v for k, v in want.items() if v[0] >= v[1] - 2}.items() <= found.items()
     monkeypatch.setattr(D, "BROADCAST_SEEDS", 0)  # the shuffled way gives the same
     again = D.overlaps(frame(spark, rows), bench).collect()
     assert {(r.doc_id, r.item_id): (r.matched, r.window) for r in again} == found
 
 
+def test_scripts_without_spaces(spark, monkeypatch):
+    items = [(1, "这是一个关于城市历史的问题"), (2, "日本語の短い文"), (3, "水"), (4, "ประเทศไทย"), (5, "yes"), (6, "mixed 漢字 words")]
+    rows = [(1, "前文。这是一个关于城市历史的问题，后文"), (2, "这是一个关于城市文化的问题"), (3, "彼は日本語の短い文を読む"), (4, "氵 火"), (5, "飲水思源"),
+            (6, "ในประเทศไทยวันนี้"), (7, "Yes!"), (8, "yesterday"), (9, "a Mixed漢字words b"), (None, "日本語の短い文")]
+    bench = spark.createDataFrame([(*i, 1, 2) for i in items], ITEMS)
+    want = brute([r for r in rows if r[0] != 6], items)
+    for seeds in (D.BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(D, "BROADCAST_SEEDS", seeds)
+        got = {(r.doc_id, r.item_id): (r.matched, r.window) for r in D.overlaps(frame(spark, rows), bench).collect()}
+        assert {k: v for k, v in got.items() if k[0] != 6} == want and (6, 4) in got
+        assert {(1, 1), (2, 1), (3, 2), (5, 3), (7, 5), (9, 6), (None, 2)} <= got.keys() and not {k for k in got if k[0] in (4, 8)}
+
+
 def test_edges(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o", 1, 2)], ITEMS)
     assert D.overlaps(frame(spark, []), bench).collect() == []
@@ -86,7 +96,7 @@ def allowed(n):
 
 
 def test_masks_find_every_accepted_pattern_of_short_items():
-    for n in range(D.MIN_WORDS, D.WINDOW + 1):
+    for n in range(D.FEW, D.WINDOW + 1):
         masks = [D.ALL_MASKS[k] for k in D.kinds_of(n)]
         for subs in allowed(n):
             assert any(not {o + p for p in m} & set(subs) for m in masks for o in range(n - m[-1])), (n, subs)
@@ -94,7 +104,7 @@ def test_masks_find_every_accepted_pattern_of_short_items():
 
 def test_short_items_with_substitutions(spark):
     rng = random.Random(9)
-    items = [(n, prose(rng, n, 10 ** 6)) for n in range(D.MIN_WORDS, D.WINDOW)]
+    items = [(n, prose(rng, n, 10 ** 6)) for n in range(D.FEW, D.WINDOW)]
     rows, want = [], {}
     for n, text in items:
         for subs in allowed(n):

@@ -44,6 +44,18 @@ def test_word_memo_is_exact_and_bounded():
         assert [np.frombuffer(g, "<u2").tolist() for g in got] == [ids(lib, t) for t in texts[i:i + 20]]
 
 
+def test_pretokens_of_one_hash():
+    """Two words that a polynomial hash modulo a power of two confuses, in one batch and one after the other."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    lib = Tokenizer.from_file(BYTE)
+    for batches in ([[a, b, f"x {b} {a}<|endoftext|>{b}", "plain"]], [[a], [b], ["other", b + " " + a]]):
+        coder = bpe_words.BatchEncoder(BYTE, "<u2")
+        for texts in batches:
+            assert [np.frombuffer(r, "<u2").tolist() for r in coder.encode_many(texts)] == [ids(lib, t) for t in texts]
+
+
 def test_chunks_are_content_defined():
     shared = prose(random.Random(1), 600)
     a = {c for c in _chunks("start one " + shared)}

@@ -64,13 +64,15 @@ def restorer():
     corpus = np.zeros(toxicity.CLASSES ** 3, np.int64)
     text = toxicity.classes("the idea of an idle person is not a stupid one but loses all clowns trash " * 50)
     corpus += toxicity._bins([text])
-    return toxicity.Restorer(corpus, dict.fromkeys(("idiot", "stupid", "loser", "worthless", "clown", "trash"), 1.0))
+    return toxicity.Restorer(corpus, dict.fromkeys(("idiot", "stupid", "loser", "worthless", "clown", "trash", "ass"), 1.0))
 
 
 @pytest.mark.parametrize("shown, meant", [
     ("1d10t", "idiot"), ("i d i o t", "idiot"), ("idiooot", "idiot"), ("$tup1d", "stupid"), ("s-t-u-p-i-d", "stupid"),
     ("l0s3r!", "loser"), ("worthle$$", "worthless"), ("st*pid", "stupid"), ("c.l.o.w.n", "clown"), ("tr@sh,", "trash"),
-    ("T R A S H", "trash"), ("(1d10t)", "idiot"), ("id​iot", "idiot")])
+    ("T R A S H", "trash"), ("(1d10t)", "idiot"), ("id​iot", "idiot"),
+    ("i,d,i,o,t", "idiot"), ("i~d~i~o~t", "idiot"), ("id iot", "idiot"), ("lo-ser", "loser"), ("iiddiioott", "idiot"), ("s****d", "stupid"),
+    ("st**id", "stupid"), ("wor.th.less", "worthless"), ("cl0wnn", "clown"), ("@$$", "ass")])
 def test_restores_hidden_words(shown, meant):
     assert f" {meant} " in toxicity.spaced(restorer().restore(f"the {shown} of"))
 
@@ -80,19 +82,40 @@ def test_leaves_plain_text(text):
     assert restorer().restore(text) == text
 
 
-def test_viterbi_is_the_best_path():
+@pytest.mark.parametrize("span", ["1d10t", "l0s3r", "$tup1d", "tr@$h", "c10wn", "wor-th", "id iot", "aa11", "s*", "x$$y"])
+def test_viterbi_is_the_best_path(span):
+    """Against every path through the lattice, by narrow and by wide steps."""
     r = restorer()
-    span = "1d10t"
     table = r.logp
 
     def score(text):
-        c = toxicity.classes(text)
-        return sum(table[c[k], c[k + 1], c[k + 2]] for k in range(len(c) - 2))
-    best, paths = None, [("", 0.0)]
-    for choices in toxicity.lattice(span):
-        paths = [(t + out, s + cost) for t, s in paths for out, cost in choices if out.strip()]
-    best = max(paths, key=lambda p: p[1] + score(p[0]))
-    assert r.decode(span) == best[0] == "idiot"
+        s, x, y = 0.0, 0, 0
+        for z in [int(toxicity._class_table()[ord(ch)]) for ch in text]:
+            if z or y:
+                s += table[x, y, z]
+                x, y = y, z
+        return s + table[x, y, 0]
+    paths = [("", 0.0)]
+    for choices in toxicity.lattice(span, r.per_sign):
+        paths = [(t + out, s + cost) for t, s in paths for out, cost in choices]
+    best = max(s + score(t) for t, s in paths)
+    got = r.decode(span)
+    assert abs(max(s for t, s in paths if t == got) + score(got) - best) < 1e-4
+    scores = {0: 0.0}
+    for choices in toxicity.lattice(span, r.per_sign):
+        scores, _ = r._wide_step(scores, choices)
+    assert abs(max(v + r.logp.ravel()[k * toxicity.CLASSES] for k, v in scores.items()) - best) < 1e-4
+
+
+def test_long_spans_take_time_in_proportion():
+    import time
+    r = restorer()
+    took = []
+    for n in (4000, 16000):
+        start = time.perf_counter()
+        r.decode("".join(random.Random(1).choice("abcd1$") for _ in range(n)))
+        took.append(time.perf_counter() - start)
+    assert took[1] < 8 * took[0] and r.decode("a" + "*" * 5000 + "b").replace(" ", "") == "ab"
 
 
 def test_toxicity_held_out(spark):
