@@ -1,7 +1,7 @@
 """Descriptive profiles and grouped summaries.
 
-All are partial aggregations (map-side combine); quantiles use the exact
-distributed rank of ``rank.exact_quantiles`` instead of collecting a group.
+All are partial aggregations (map-side combine); quantiles are exact and read
+from ranked values (``order_stats``).
 """
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from balances.operators.rank import exact_quantiles
+from balances.operators import order_stats
 
 PROFILE_PROBS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
 
@@ -28,15 +28,21 @@ def means_by(df: DataFrame, group_col: str, value_cols) -> DataFrame:
     return df.groupBy(group_col).agg(*[F.avg(c).alias(f"mean_{c}") for c in value_cols])
 
 
-def medians_by(df: DataFrame, group_col: str, value_cols, distributed: bool = True) -> DataFrame:
-    """Exact medians of many columns per group: unpivot to (variable,
-    group, value) then exact quantile per (variable, group)."""
+def medians_by(df: DataFrame, group_col: str, value_cols) -> DataFrame:
+    """Exact medians of many columns per group, from the ranked values."""
     long = df.select(group_col, *[F.col(c).cast("double").alias(c) for c in value_cols]).unpivot(
         [group_col], list(value_cols), "variable", "value")
-    q = exact_quantiles(long, ["variable", group_col], "value", [0.5], distributed=distributed)
+    q = order_stats.quantiles(order_stats.value_table(long, ["variable", group_col]), ["variable", group_col], [0.5])
     return q.select("variable", group_col, F.col("value").alias("median"))
 
 
+def medians_by_label(table: DataFrame) -> DataFrame:
+    """A15 from a value table: (variable, y, median) of either label."""
+    parts = [order_stats.quantiles(order_stats.of_label(table, y), ["variable"], [0.5]).select(
+        "variable", F.lit(y).alias("y"), F.col("value").alias("median")) for y in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """A5: null count per column in ONE aggregation, then stacked to rows."""
     cols = df.columns
@@ -47,16 +53,17 @@ def null_profile(df: DataFrame) -> DataFrame:
                           F.col("__rows").cast("long").alias("n_rows"))
 
 
-def describe_profile(df: DataFrame, value_cols, distributed: bool = True) -> DataFrame:
-    """Count, mean, sample std, min, quantiles (.01 .25 .5 .75 .99), max
-    per numeric column."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in value_cols]).unpivot(
-        [], list(value_cols), "variable", "value")
-    basic = long.groupBy("variable").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    q = exact_quantiles(long, ["variable"], "value", PROFILE_PROBS[1:-1], distributed=distributed)
+def describe_values(table: DataFrame) -> DataFrame:
+    """A6 from a value table: count, mean, sample std, min, quantiles (.01 .25 .5
+    .75 .99), max of every variable. The deviation is taken around the mean."""
+    valid = table.where(F.col("value").isNotNull())
+    basic = valid.groupBy("variable").agg(
+        F.sum("t").alias("count"), (F.sum(F.col("value") * F.col("t")) / F.sum("t")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    around = valid.join(F.broadcast(basic.select("variable", "mean")), "variable")  # one row per variable
+    spread = around.groupBy("variable").agg(F.sum(F.col("t") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_ss"))
+    basic = basic.join(spread, "variable").withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))).drop("_ss")
+    q = order_stats.quantiles(table, ["variable"], PROFILE_PROBS[1:-1])
     wide = q.groupBy("variable").pivot("p", list(PROFILE_PROBS[1:-1])).agg(F.first("value"))
     names = {str(p): f"q{int(round(p * 100)):02d}" for p in PROFILE_PROBS[1:-1]}
     wide = wide.select("variable", *[F.col(f"`{k}`").alias(v) for k, v in names.items()])

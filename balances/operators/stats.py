@@ -1,11 +1,9 @@
 """Statistical battery over many variables at once (ST1-ST16, W6, W7, M6, ST12).
 
-Variables are unpivoted to long form ``(id, variable, value, y)`` so one
-shuffle serves every variable. Ranks come from the distributed rank in
-``rank.py`` (no group is ever collected into one task); tie groups are then
-collapsed by value with a partial aggregation, which yields mid-ranks.
-Only p-values are computed outside Catalyst, with ``math`` inside an Arrow
-batch UDF over the tiny per-variable result.
+Variables are unpivoted to long form ``(id, variable, value, y)`` and counted per
+(variable, value) in one shuffle; ``order_stats`` ranks those values, and every
+statistic of this module reads that table. P-values are column expressions with
+closed forms, which SQL can repeat.
 """
 from __future__ import annotations
 
@@ -15,14 +13,16 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from balances.config import SETTINGS
 from balances.functions.columns import iv_class
+from balances.operators import order_stats
 from balances.operators.rank import distributed_row_number, exact_quantiles
-from balances.session import broadcast_checked, cut_lineage
+from balances.session import cut_lineage, materialise
 
 S = SETTINGS
+#: What is left of a column's variance, as a share, that counts as none.
+VIF_TINY = 1e-10
 DECILES = [i / S.n_bins for i in range(S.n_bins + 1)]
 
 
@@ -38,31 +38,23 @@ def to_long(df: DataFrame, id_col: str, value_cols, label_col: str | None = None
 
 
 # ---------------------------------------------------------------- ST1 binning
-def numeric_bin_edges(long: DataFrame, id_col: str, n_bins: int = S.n_bins) -> DataFrame:
-    """Per variable: kind ('value' when <= n_bins distinct, else 'quantile' or
-    'mode'), decile edges (duplicates dropped), and the mode fallback edges.
-    Output has one row per variable (size bounded by the variable count)."""
-    valid = long.where(F.col("value").isNotNull())
-    per_value = valid.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("_c"))
-    stats = per_value.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("nunique"),
-        F.max_by(F.col("value"), F.struct(F.col("_c"), -F.col("value"))).alias("mode"))
-    q = exact_quantiles(valid, ["variable"], "value", DECILES, id_col=id_col)
-    edges = q.groupBy("variable").agg(
-        F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges"))
+def numeric_bin_edges(table: DataFrame, n_bins: int = S.n_bins) -> DataFrame:
+    """Per variable of a value table: kind ('value' when <= n_bins distinct, else
+    'quantile' or 'mode'), decile edges (duplicates dropped), and the mode
+    fallback edges (deciles of what is not the mode). One row per variable."""
+    def edges(t, name):
+        return order_stats.quantiles(t, ["variable"], DECILES).groupBy("variable").agg(
+            F.array_sort(F.array_distinct(F.collect_list("value"))).alias(name))
     # one row per variable: materialise it, then run the mode fallback only
     # for the variables whose deciles collapsed to a single bin
-    info = cut_lineage(stats.join(edges, "variable", "left"))
-    need_mode = info.where((F.col("nunique") > n_bins) & (F.size("edges") < 3)).select(
-        "variable", "mode")
-    if need_mode.limit(1).count() > 0:
-        rest = valid.join(F.broadcast(need_mode), "variable").where(F.col("value") != F.col("mode"))
-        q_rest = exact_quantiles(rest.drop("mode"), ["variable"], "value", DECILES, id_col=id_col)
-        edges_rest = q_rest.groupBy("variable").agg(
-            F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges_rest"))
-        info = info.join(edges_rest, "variable", "left")
-    else:
+    info = cut_lineage(order_stats.modes(table).join(edges(table, "edges"), "variable", "left"))
+    need_mode = info.where((F.col("nunique") > n_bins) & (F.size("edges") < 3)).select("variable", "mode")
+    if need_mode.isEmpty():
         info = info.withColumn("edges_rest", F.lit(None).cast("array<double>"))
+    else:
+        rest = order_stats.without_value(
+            table.where(F.col("value").isNotNull()).join(F.broadcast(need_mode), "variable"), "mode")
+        info = info.join(edges(rest, "edges_rest"), "variable", "left")
     kind = (F.when(F.col("nunique") <= n_bins, F.lit("value"))
             .when(F.size("edges") >= 3, F.lit("quantile")).otherwise(F.lit("mode")))
     return info.select("variable", kind.alias("kind"), "mode",
@@ -71,8 +63,9 @@ def numeric_bin_edges(long: DataFrame, id_col: str, n_bins: int = S.n_bins) -> D
 
 
 def assign_numeric_bins(long: DataFrame, edges: DataFrame) -> DataFrame:
-    """Bin of every row: (bin_kind, bin_lo, bin_hi). Right-closed intervals,
-    lowest included; bin index = number of inner edges below the value."""
+    """Bin of every row (of a long table or a value table): (bin_kind, bin_lo,
+    bin_hi). Right-closed intervals, lowest included; bin index = number of
+    inner edges below the value."""
     j = long.join(F.broadcast(edges), "variable", "left")
     e = F.col("edges")
     inner = F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0)))
@@ -92,11 +85,10 @@ def assign_numeric_bins(long: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def woe_table(binned: DataFrame, bin_cols) -> DataFrame:
-    """ST2: per (variable, bin): n, events, WoE = ln(%non-events / %events)
-    with the +0.5 correction, and the IV contribution."""
+    """ST2: per (variable, bin) of counted values (t, events): n, events, WoE =
+    ln(%non-events / %events) with the +0.5 correction, and the IV contribution."""
     eps = S.woe_eps
-    g = binned.groupBy("variable", *bin_cols).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").cast("long").alias("events"))
+    g = binned.groupBy("variable", *bin_cols).agg(F.sum("t").alias("n"), F.sum("events").cast("long").alias("events"))
     w = Window.partitionBy("variable")  # bins per variable: bounded (<= ~n_bins + 2)
     g = (g.withColumn("non_events", F.col("n") - F.col("events"))
          .withColumn("_E", F.sum("events").over(w))
@@ -115,128 +107,99 @@ def iv_summary(woe: DataFrame) -> DataFrame:
         "iv_class", iv_class("iv"))
 
 
-def woe_numeric(df: DataFrame, id_col: str, cols, label_col: str) -> DataFrame:
-    long = to_long(df, id_col, cols, label_col)
-    binned = assign_numeric_bins(long, numeric_bin_edges(long, id_col))
-    return woe_table(binned, ["bin_kind", "bin_lo", "bin_hi"])
+BIN_COLS = ["bin_kind", "bin_lo", "bin_hi"]
+
+
+def woe_numeric(table: DataFrame) -> DataFrame:
+    """WoE of every variable of a value table: values are binned, not rows."""
+    return woe_table(assign_numeric_bins(table, numeric_bin_edges(table)), BIN_COLS)
 
 
 def woe_categorical(df: DataFrame, id_col: str, cols, label_col: str) -> DataFrame:
     """Categorical variables: the value is the bin, NULL is 'Sin dato'."""
-    long = to_long(df, id_col, cols, label_col, as_string=True)
-    binned = long.withColumn("bin", F.coalesce(F.col("value"), F.lit(S.missing_label)))
+    counts = order_stats.value_counts(to_long(df, id_col, cols, label_col, as_string=True))
+    binned = counts.withColumn("bin", F.coalesce(F.col("value"), F.lit(S.missing_label)))
     return woe_table(binned, ["bin"])
 
 
 # ---------------------------------------------------------------- ranks
-def mid_ranks(long: DataFrame, id_col: str, group_cols=("variable",)) -> DataFrame:
-    """Average-tie ranks, collapsed per (group, value): one row per
-    distinct value with its mid-rank, count t, and events."""
-    valid = long.where(F.col("value").isNotNull())
-    ranked = distributed_row_number(valid, list(group_cols), ["value", id_col])
-    has_y = "y" in long.columns
-    return ranked.groupBy(*group_cols, "value").agg(
-        ((F.min("rn") + F.max("rn")) / 2.0).alias("mid_rank"),
-        F.count(F.lit(1)).alias("t"),
-        (F.sum("y") if has_y else F.lit(0)).alias("events"),
-        F.first("n").alias("n"))
-
-
-def mann_whitney(long: DataFrame, id_col: str) -> DataFrame:
-    """ST4: two-sided U for y=1 vs y=0 per variable, with tie correction and
-    continuity correction (normal approximation). U = R1 - n1(n1+1)/2."""
-    mr = mid_ranks(long, id_col)
-    g = mr.groupBy("variable").agg(
-        F.sum(F.col("mid_rank") * F.col("events")).alias("r1"),
-        F.sum("events").cast("long").alias("n1"),
-        F.first("n").alias("n"),
+def values_of(df: DataFrame, id_col: str, cols, label_col: str | None = None) -> DataFrame:
+    """The value table of several columns."""
+    return order_stats.value_table(to_long(df, id_col, cols, label_col))
+
+
+def _z(u, n1, n0, tie_term):
+    """Normal approximation of U with tie and continuity correction."""
+    n = n1 + n0
+    sigma = F.sqrt(n1 * n0 / 12.0 * ((n + 1) - tie_term / (n * (n - 1))))
+    return F.when((n1 > 0) & (n0 > 0) & (sigma > 0), (F.greatest(u, n1 * n0 - u) - n1 * n0 / 2.0 - 0.5) / sigma)
+
+
+def mann_whitney(table: DataFrame) -> DataFrame:
+    """ST4: two-sided U for y=1 vs y=0 per variable of a value table, with tie
+    correction and continuity correction. U = R1 - n1(n1+1)/2."""
+    g = table.where(F.col("value").isNotNull()).groupBy("variable").agg(
+        F.sum(order_stats.mid_rank() * F.col("events")).alias("r1"),
+        F.max("n_events").alias("n1"), F.max("n").alias("n"),
         F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tie_term"))
-    n1, n = F.col("n1"), F.col("n")
-    n0 = n - n1
+    n1, n0 = F.col("n1"), F.col("n") - F.col("n1")
     u = F.col("r1") - n1 * (n1 + 1) / 2.0
-    mu = n1 * n0 / 2.0
-    sigma = F.sqrt(n1 * n0 / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
-    u_max = F.greatest(u, n1 * n0 - u)
-    z = F.when((n1 > 0) & (n0 > 0) & (sigma > 0), (u_max - mu - 0.5) / sigma)
-    return g.select("variable", n1.alias("n_event"), n0.cast("long").alias("n_non_event"),
-                    F.when((n1 > 0) & (n0 > 0), u).alias("u"), z.alias("z"))
+    return g.select("variable", n1.cast("long").alias("n_event"), n0.cast("long").alias("n_non_event"),
+                    F.when((n1 > 0) & (n0 > 0), u).alias("u"), _z(u, n1, n0, F.col("tie_term")).alias("z"))
 
 
-def group_medians(long: DataFrame, id_col: str) -> DataFrame:
+def group_medians(table: DataFrame) -> DataFrame:
     """Exact medians of each variable for y=1 and y=0."""
-    q = exact_quantiles(long, ["variable", "y"], "value", [0.5], id_col=id_col)
-    return q.groupBy("variable").agg(
-        F.max(F.when(F.col("y") == 1, F.col("value"))).alias("median_event"),
-        F.max(F.when(F.col("y") == 0, F.col("value"))).alias("median_non_event"))
-
-
-def one_vs_rest(df: DataFrame, id_col: str, group_col: str, score_col: str) -> DataFrame:
-    """ST5: each group against all others: n, mean, U_g and z (mid-ranks
-    computed once; R_g = sum of ranks inside the group)."""
-    g = df.select(id_col, F.coalesce(F.col(group_col).cast("string"),
-                                     F.lit(S.missing_label)).alias("grp"),
-                  F.col(score_col).cast("double").alias("value"))
-    valid = g.where(F.col("value").isNotNull())
-    ranked = distributed_row_number(valid.withColumn("variable", F.lit(score_col)),
-                                    ["variable"], ["value", id_col])
-    per_value = ranked.groupBy("value").agg(((F.min("rn") + F.max("rn")) / 2.0).alias("mid_rank"),
-                                            F.count(F.lit(1)).alias("t"))
-    tie = per_value.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tie_term"),
-                        F.sum("t").alias("n_all")).withColumn("variable", F.lit(score_col))
-    # R_g = sum over values of mid_rank(v) * count(g, v): both sides are
-    # aggregated by value first, so a tied (hot) score value is one row here
-    per_gv = ranked.groupBy("variable", "grp", "value").agg(F.count(F.lit(1)).alias("c"))
-    per_gv = per_gv.join(per_value.select("value", "mid_rank"), "value")
-    per_group = per_gv.groupBy("variable", "grp").agg(
+    one, zero = (order_stats.quantiles(order_stats.of_label(table, y), ["variable"], [0.5]) for y in (1, 0))
+    return one.select("variable", F.col("value").alias("median_event")).join(
+        zero.select("variable", F.col("value").alias("median_non_event")), "variable", "full")
+
+
+def one_vs_rest(df: DataFrame, id_col: str, attrs, score_col: str) -> DataFrame:
+    """ST5: each group of each attribute against all others: n, mean, median, U,
+    z and p of the score. One value table of the score serves all attributes:
+    R_g = sum over values of mid-rank times the group's rows with that value."""
+    x = df.select(id_col, F.col(score_col).cast("double").alias("value"),
+                  *[F.coalesce(F.col(a).cast("string"), F.lit(S.missing_label)).alias(a) for a in attrs]).where(F.col("value").isNotNull())
+    scores = materialise(order_stats.value_table(x.select(F.lit(score_col).alias("variable"), "value")), "score-values")
+    cells = x.unpivot(["value"], list(attrs), "attribute", "group")
+    by_group = materialise(order_stats.value_table(cells, ["attribute", "group"]), "group-values")
+    # both sides have a tied score value once (a group), so it is no hot key
+    ranked = by_group.select("attribute", "group", "value", F.col("t").alias("c")).join(
+        scores.select("value", order_stats.mid_rank().alias("mid_rank")), "value")
+    g = ranked.groupBy("attribute", "group").agg(
         F.sum("c").alias("n"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("mean"),
         F.sum(F.col("mid_rank") * F.col("c")).alias("r_g"))
-    j = per_group.join(F.broadcast(tie), "variable")  # tie: one row per score variable
-    ng, n = F.col("n"), F.col("n_all")
-    nr = n - ng
+    tie = scores.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tie_term"), F.max("n").alias("n_all"))
+    median = order_stats.quantiles(by_group, ["attribute", "group"], [0.5]).select("attribute", "group", F.col("value").alias("median"))
+    row = tie.first()  # one scalar pair
+    g = g.join(median, ["attribute", "group"], "left")
+    ng, nr = F.col("n"), F.lit(row["n_all"]).cast("long") - F.col("n")
     u = F.col("r_g") - ng * (ng + 1) / 2.0
-    mu = ng * nr / 2.0
-    sigma = F.sqrt(ng * nr / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
-    z = F.when((nr > 0) & (sigma > 0), (F.greatest(u, ng * nr - u) - mu - 0.5) / sigma)
-    return j.select(F.col("grp").alias("group"), F.col("n").cast("long"), "mean",
-                    F.when(nr > 0, u).alias("u"), z.alias("z"))
+    z = _z(u, ng, nr, F.lit(row["tie_term"]).cast("double"))
+    return g.select("attribute", "group", ng.cast("long").alias("n"), "mean", "median",
+                    F.when(nr > 0, u).alias("u"), z.alias("z"), p_from_z(z).alias("p_value"))
 
 
 def auc_exact(df: DataFrame, id_col: str, score_col: str, label_col: str,
               group_cols=()) -> DataFrame:
     """M6: exact AUC = U1 / (n1 n0) from mid-ranks (ties count one half)."""
-    long = df.select(id_col, *group_cols, F.col(label_col).alias("y"),
+    gc = list(group_cols) or ["variable"]
+    long = df.select(*(group_cols or [F.lit(score_col).alias("variable")]), F.col(label_col).alias("y"),
                      F.col(score_col).cast("double").alias("value"))
-    gc = list(group_cols) or []
-    if not gc:
-        long = long.withColumn("variable", F.lit(score_col))
-        gc = ["variable"]
-    mr = mid_ranks(long, id_col, gc)
-    g = mr.groupBy(*gc).agg(F.sum(F.col("mid_rank") * F.col("events")).alias("r1"),
-                            F.sum("events").alias("n1"), F.first("n").alias("n"))
+    table = order_stats.value_table(long, gc).where(F.col("value").isNotNull())
+    g = table.groupBy(*gc).agg(F.sum(order_stats.mid_rank() * F.col("events")).alias("r1"),
+                               F.max("n_events").alias("n1"), F.max("n").alias("n"))
     n1, n0 = F.col("n1"), F.col("n") - F.col("n1")
     auc = F.when((n1 > 0) & (n0 > 0), (F.col("r1") - n1 * (n1 + 1) / 2.0) / (n1 * n0))
     return g.select(*gc, n1.cast("long").alias("n_pos"), n0.cast("long").alias("n_neg"),
                     auc.alias("auc"))
 
 
-def spearman(df: DataFrame, id_col: str, a: str, b: str) -> DataFrame:
+def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """ST12: Pearson correlation of the mid-ranks of two columns (rows where
     both are non-null)."""
-    both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(id_col, a, b)
-
-    def ranks(c):
-        long = both.select(id_col, F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"))
-        mr = mid_ranks(long, id_col)
-        rk = distributed_row_number(long, ["variable"], ["value", id_col])
-        # one row per distinct value: broadcast after a size check, so a
-        # heavily tied value never becomes a hot shuffle key on the big side
-        per_value = broadcast_checked(mr.select("variable", "value", "mid_rank"), 1_000_000)
-        return rk.join(per_value, ["variable", "value"]).select(
-            id_col, F.col("mid_rank").alias(f"r_{c}"))
-
-    j = ranks(a).join(ranks(b), id_col)
-    return j.agg(F.corr(f"r_{a}", f"r_{b}").alias("spearman"),
-                 F.count(F.lit(1)).cast("long").alias("n"))
+    return order_stats.rank_correlation(df.select(a, b), a, b)
 
 
 # ---------------------------------------------------------------- chi-square
@@ -326,10 +289,11 @@ def correlation_3(df: DataFrame, a: str, b: str, c: str) -> DataFrame:
 def vif_general(df: DataFrame, cols) -> pd.DataFrame:
     """ST8 for k columns: one aggregation gives the centred cross products
     (k(k+1)/2 sums, computed around the column means for precision). On the
-    driver, where k is the variable count, each column is regressed on the
-    others by least squares on the correlation matrix: VIF = 1 / (1 - R^2).
-    A constant column is inf and leaves the others as they are; a column that
-    others explain exactly is inf; n <= k -> NaN."""
+    driver, where k is the variable count, the correlation matrix is swept of all
+    other columns: what is left of a column's 1 is 1 - R^2, and VIF its inverse.
+    A pivot below ``VIF_TINY`` is a column that the swept ones explain, and is
+    skipped. A constant column is inf and leaves the others as they are; a column
+    that others explain exactly is inf; n <= k -> NaN."""
     import numpy as np
     x = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     means = x.agg(*[F.avg(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n")).first()
@@ -346,17 +310,16 @@ def vif_general(df: DataFrame, cols) -> pd.DataFrame:
         for j in range(i, k):
             m[i, j] = m[j, i] = row[f"{i}_{j}"]
     d = np.sqrt(np.diag(m))
-    vifs = np.full(k, np.inf)  # a constant column explains and is explained by nothing
-    live = np.flatnonzero(d > 1e-9 * np.sqrt(n) * np.maximum(1.0, np.abs([means[c] for c in cols])))
-    corr = m[np.ix_(live, live)] / np.outer(d[live], d[live])
-    for at, i in enumerate(live):  # 1 - R^2 of each column on the others
-        rest = np.delete(np.arange(len(live)), at)
-        if not len(rest):
-            vifs[i] = 1.0
-            continue
-        beta = np.linalg.lstsq(corr[np.ix_(rest, rest)], corr[rest, at], rcond=1e-12)[0]
-        unexplained = 1.0 - float(corr[rest, at] @ beta)
-        vifs[i] = 1.0 / unexplained if unexplained > 1e-10 else np.inf
+    live = d > 1e-9 * np.sqrt(n) * np.maximum(1.0, np.abs([means[c] for c in cols]))
+    scale = np.where(live, d, 1.0)
+    corr = np.where(np.outer(live, live), m / np.outer(scale, scale), 0.0)
+    vifs = []
+    for at in range(k):
+        left = corr.copy()
+        for pivot in range(k):
+            if pivot != at and left[pivot, pivot] > VIF_TINY:
+                left = left - np.outer(left[:, pivot], left[pivot]) / left[pivot, pivot]
+        vifs.append(1.0 / left[at, at] if left[at, at] > VIF_TINY else np.inf)
     return pd.DataFrame({"variable": list(cols), "vif": [float(v) for v in vifs]})
 
 
@@ -423,53 +386,40 @@ def error_scenarios(errors: DataFrame, err_col: str, id_col: str,
 
 
 # ---------------------------------------------------------------- p-values
-def _norm_sf2(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)) if v is not None and v == v else None)
-
-
-def _gammaincc(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x) (series / continued fraction)."""
-    if x <= 0:
-        return 1.0
-    lg = math.lgamma(a)
-    if x < a + 1:
-        s, term, ap = 1.0 / a, 1.0 / a, a
-        for _ in range(500):
-            ap += 1
-            term *= x / ap
-            s += term
-            if abs(term) < abs(s) * 1e-15:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - lg))
-    b, c, d = x + 1 - a, 1e300, 1 / (x + 1 - a)
-    h = d
-    for i in range(1, 500):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-15:
-            break
-    return math.exp(-x + a * math.log(x) - lg) * h
-
-
-@F.pandas_udf(T.DoubleType())
-def p_from_z(z: pd.Series) -> pd.Series:
-    """Two-sided normal p-value, Arrow-batched (tiny per-variable tables)."""
-    return _norm_sf2(z)
-
-
-@F.pandas_udf(T.DoubleType())
-def p_from_chi2(chi2: pd.Series, dof: pd.Series) -> pd.Series:
-    out = []
-    for x, k in zip(chi2, dof):
-        if x is None or x != x or k is None or k <= 0:
-            out.append(None)
-        else:
-            out.append(_gammaincc(k / 2.0, x / 2.0))
-    return pd.Series(out, dtype="float64")
+#: Step and number of terms of the trapezoidal sum below (fixed values).
+ERFC_STEP, ERFC_TERMS = 0.5, 13
+
+
+def erfc(x: F.Column) -> F.Column:
+    """Complementary error function of x >= 0 to about 1e-14: the trapezoidal sum
+    of its integral, whose error has the closed form that is taken off."""
+    h = ERFC_STEP
+    terms = 1.0 / (2.0 * x * x)
+    for k in range(1, ERFC_TERMS + 1):
+        terms = terms + math.exp(-k * k * h * h) / (k * k * h * h + x * x)
+    value = 2.0 * h * x * F.exp(-x * x) / math.pi * terms - F.when(x < 6.0, 2.0 / (F.exp(2.0 * math.pi * x / h) - 1.0)).otherwise(0.0)
+    return F.when(x < 1e-5, 1.0 - 2.0 * x / math.sqrt(math.pi)).otherwise(F.greatest(value, F.lit(0.0)))
+
+
+def p_from_z(z) -> F.Column:
+    """Two-sided normal p-value."""
+    z = F.col(z) if isinstance(z, str) else z
+    return F.when(z.isNotNull() & ~F.isnan(z), erfc(F.abs(z) / math.sqrt(2.0)))
+
+
+def p_from_chi2(chi2, dof) -> F.Column:
+    """Upper tail of the chi-square distribution: for even degrees of freedom a
+    finite sum, for odd ones that sum beside erfc."""
+    x = F.col(chi2) if isinstance(chi2, str) else chi2
+    k = F.col(dof) if isinstance(dof, str) else dof
+    half = x / 2.0
+    odd = (k % 2) == 1
+    # terms exp(-h) h^a / gamma(a + 1), a = 0, 1, .. or 1/2, 3/2, ..
+    first = F.when(odd, F.exp(-half) * F.sqrt(half) * (2.0 / math.sqrt(math.pi))).otherwise(F.exp(-half))
+    step = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
+    n = F.floor(F.when(odd, (k - 1) / 2).otherwise(k / 2)).cast("int")
+    start = F.struct(F.lit(0.0).alias("sum"), first.alias("term"))
+    total = F.aggregate(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), start, lambda acc, i: F.struct(
+        (acc["sum"] + acc["term"]).alias("sum"), (acc["term"] * half / (i + step)).alias("term")), lambda acc: acc["sum"])
+    tail = F.when(odd, erfc(F.sqrt(half))).otherwise(F.lit(0.0)) + total
+    return F.when(x.isNotNull() & (k > 0), F.when(x <= 0, F.lit(1.0)).otherwise(tail))

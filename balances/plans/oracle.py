@@ -6,6 +6,8 @@ the operator semantics in plain SQL; they are independent of the Spark code.
 """
 from __future__ import annotations
 
+import math
+
 from balances.config import SETTINGS
 
 S = SETTINGS
@@ -319,13 +321,6 @@ SQL["label_means"] = feat_with() + "SELECT adoption_label, " + ", ".join(
     [f"{p}_balance_snapshot" for p in S.product_slugs] + ["savings_capacity"]) + \
     " FROM feat GROUP BY adoption_label"
 
-_MEDIAN_COLS = ["income", "savings_capacity", "liquid_balance_total"]
-SQL["label_medians"] = feat_with() + ",\nlong AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS variable, adoption_label, CAST({c} AS DOUBLE) AS value FROM feat"
-    for c in _MEDIAN_COLS) + """)
-SELECT variable, adoption_label, round(quantile_cont(value, 0.5), 6) AS median
-FROM long WHERE value IS NOT NULL GROUP BY variable, adoption_label"""
-
 _RAW_CUST_COLS = ["customer_id", "name", "age_group", "gender", "segment", "housing",
                   "income", "expenses", "assets", "liabilities", "equity"]
 SQL["null_profile"] = with_(CUST) + ",\nc AS (SELECT *, assets - liabilities AS equity FROM cust_raw)\n" + \
@@ -333,15 +328,7 @@ SQL["null_profile"] = with_(CUST) + ",\nc AS (SELECT *, assets - liabilities AS
         f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, "
         f"CAST(count(*) AS BIGINT) AS n_rows FROM c" for c in _RAW_CUST_COLS)
 
-_DESCRIBE_COLS = ["income", "savings_capacity", "liquid_balance_total", "invested_non_label_balance"]
-SQL["describe_profile"] = feat_with() + ",\nlong AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat" for c in _DESCRIBE_COLS) + """)
-SELECT variable, CAST(count(value) AS BIGINT) AS count, round(avg(value), 6) AS mean,
-       round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max,
-       round(quantile_cont(value, 0.01), 6) AS q01, round(quantile_cont(value, 0.25), 6) AS q25,
-       round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75,
-       round(quantile_cont(value, 0.99), 6) AS q99
-FROM long GROUP BY variable"""
+
 
 LEVELS = f"""lv AS (
   SELECT customer_id, {POP} AS population, liquid_balance_total AS value FROM feat),
@@ -491,6 +478,24 @@ def _roles_values():
 NUM_VARS = [c for c in FEATURE_COLUMNS
             if _role(c) in ("A", "A+B") and c not in ("age_group", "housing", "segment")]
 CAT_VARS = ["age_group", "gender", "segment", "housing"]
+
+_MEDIAN_COLS = NUM_VARS
+SQL["label_medians"] = feat_with() + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, adoption_label, CAST({c} AS DOUBLE) AS value FROM feat"
+    for c in _MEDIAN_COLS) + """)
+SELECT variable, adoption_label, round(quantile_cont(value, 0.5), 6) AS median
+FROM long WHERE value IS NOT NULL GROUP BY variable, adoption_label"""
+
+_DESCRIBE_COLS = NUM_VARS
+SQL["describe_profile"] = feat_with() + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat" for c in _DESCRIBE_COLS) + """)
+SELECT variable, CAST(count(value) AS BIGINT) AS count, round(avg(value), 6) AS mean,
+       round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max,
+       round(quantile_cont(value, 0.01), 6) AS q01, round(quantile_cont(value, 0.25), 6) AS q25,
+       round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75,
+       round(quantile_cont(value, 0.99), 6) AS q99
+FROM long GROUP BY variable"""
+
 DEC = "[" + ", ".join(repr(i / S.n_bins) for i in range(S.n_bins + 1)) + "]"
 
 NUM_LONG = "nl AS (" + " UNION ALL ".join(
@@ -589,18 +594,42 @@ SELECT variable, n_event, n_non_event, round(u, 6) AS u, round(z, 6) AS z,
        round(median_event, 6) AS median_event, round(median_non_event, 6) AS median_non_event
 FROM mw LEFT JOIN med USING (variable)"""
 
-SQL["one_vs_rest_rank"] = feat_with() + f""",
-o AS (SELECT customer_id, coalesce(CAST(segment AS VARCHAR), '{S.missing_label}') AS grp,
-             CAST(liquid_balance_total AS DOUBLE) AS value FROM feat WHERE liquid_balance_total IS NOT NULL),
-orr AS (SELECT grp, value, (2 * rank() OVER (ORDER BY value) + count(*) OVER (PARTITION BY value) - 1) / 2.0 AS mid_rank FROM o),
-tie AS (SELECT sum(power(t, 3) - t) AS tie_term, sum(t) AS n_all FROM (SELECT value, count(*) AS t FROM o GROUP BY value) x),
-pg AS (SELECT grp, count(*) AS n, avg(value) AS mean, sum(mid_rank) AS r_g FROM orr GROUP BY grp)
-SELECT grp AS "group", CAST(n AS BIGINT) AS n, round(mean, 6) AS mean,
-       round(CASE WHEN n_all - n > 0 THEN r_g - n * (n + 1) / 2.0 END, 6) AS u,
-       round(CASE WHEN n_all - n > 0 THEN
+#: Two-sided p of a z, by the closed form of the Spark side.
+def _erfc(x):
+    h, n = 0.5, 13
+    terms = " + ".join([f"1.0 / (2.0 * ({x}) * ({x}))"] + [
+        f"{math.exp(-k * k * h * h)!r} / ({k * k * h * h!r} + ({x}) * ({x}))" for k in range(1, n + 1)])
+    return (f"(CASE WHEN ({x}) < 1e-5 THEN 1.0 - 2.0 * ({x}) / {math.sqrt(math.pi)!r} ELSE greatest(2.0 * {h} * ({x}) * exp(-({x}) * ({x})) / {math.pi!r} * ({terms})"
+            f" - CASE WHEN ({x}) < 6.0 THEN 2.0 / (exp(2.0 * {math.pi!r} * ({x}) / {h}) - 1.0) ELSE 0.0 END, 0.0) END)")
+
+
+def _p_z(z):
+    return f"CASE WHEN {z} IS NOT NULL THEN {_erfc(f'abs({z}) / {math.sqrt(2.0)!r}')} END"
+
+
+_AUD = ["age_group", "gender", "housing", "segment"]
+
+
+def _ovr(src, score, name):
+    """One group against the rest, for every audited attribute."""
+    return f"""{name}_s AS (SELECT *, (2 * rank() OVER (ORDER BY {score}) + count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS mid_rank
+             FROM {src} WHERE {score} IS NOT NULL),
+{name}_t AS (SELECT sum(power(t, 3) - t) AS tie_term, sum(t) AS n_all FROM (SELECT count(*) AS t FROM {name}_s GROUP BY {score}) x),
+{name}_l AS (""" + " UNION ALL ".join(
+        f"SELECT '{a}' AS attribute, coalesce(CAST({a} AS VARCHAR), '{S.missing_label}') AS grp, {score} AS value, mid_rank FROM {name}_s" for a in _AUD) + f"""),
+{name}_g AS (SELECT attribute, grp, count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.5) AS median, sum(mid_rank) AS r_g
+             FROM {name}_l GROUP BY attribute, grp),
+{name}_z AS (SELECT attribute, grp, n, mean, median,
+       CASE WHEN n_all - n > 0 THEN r_g - n * (n + 1) / 2.0 END AS u,
+       CASE WHEN n_all - n > 0 THEN
          (greatest(r_g - n * (n + 1) / 2.0, n * (n_all - n) - (r_g - n * (n + 1) / 2.0)) - n * (n_all - n) / 2.0 - 0.5)
-         / sqrt(n * (n_all - n) / 12.0 * ((n_all + 1) - tie_term / (n_all * (n_all - 1)))) END, 6) AS z
-FROM pg, tie"""
+         / sqrt(n * (n_all - n) / 12.0 * ((n_all + 1) - tie_term / (n_all * (n_all - 1)))) END AS z
+FROM {name}_g, {name}_t)"""
+
+
+SQL["one_vs_rest_rank"] = feat_with(_ovr("feat", "CAST(liquid_balance_total AS DOUBLE)", "ovr")) + f"""
+SELECT attribute, grp AS "group", CAST(n AS BIGINT) AS n, round(mean, 6) AS mean, round(median, 6) AS median, round(u, 6) AS u,
+       round(z, 6) AS z, round({_p_z("z")}, 6) AS p_value FROM ovr_z"""
 
 _CHI_VARS = CAT_VARS + ["has_housing_data", "missing_estimator"]
 SQL["chi2_cramer"] = feat_with() + ",\nck AS (" + " UNION ALL ".join(
@@ -915,7 +944,6 @@ SELECT round(coalesce(sum(amount_app_12m_base), 0.0), 6) AS app_base,
        round(coalesce(sum(amount_conservative_12m_base), 0.0), 6) AS conservative_products_base
 FROM fact WHERE has_investment_history = 1"""
 
-_AUD = ["age_group", "gender", "segment"]
 SEL = "sel AS (" + " UNION ALL ".join(
     f"SELECT '{a}' AS attribute, coalesce(CAST({a} AS VARCHAR), '{S.missing_label}') AS \"group\", level FROM fact"
     for a in _AUD) + """),

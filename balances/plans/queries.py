@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import (amount, asof, audit, features, marts, models, panel, profile,
+from balances.operators import (amount, asof, audit, features, marts, models, order_stats, panel, profile,
                                 quality, rank, scoring, sizing, star, stats)
 from balances.sources import tables
 from balances.plans.common import balances, cut, layer, rounded
@@ -123,8 +123,7 @@ def q_customer_features(spark, d):
 S = SETTINGS
 POP_WITH, POP_WITHOUT = "with_history", "without_history"
 CAT_COLS = ["age_group", "gender", "segment", "housing"]
-MEDIAN_COLS = ["income", "savings_capacity", "liquid_balance_total"]
-DESCRIBE_COLS = ["income", "savings_capacity", "liquid_balance_total", "invested_non_label_balance"]
+AUDIT_ATTRS = ["age_group", "gender", "housing", "segment"]
 
 
 def population(c="has_product_history"):
@@ -155,8 +154,8 @@ def q_label_means(spark, d):
 
 @query("label_medians")
 def q_label_medians(spark, d):
-    f = features_ckpt(spark, d)
-    return rounded(profile.medians_by(f, "adoption_label", MEDIAN_COLS))
+    """Every numeric predictor."""
+    return rounded(profile.medians_by_label(values_layer(spark, d)).withColumnRenamed("y", LABEL))
 
 
 @query("null_profile")
@@ -166,9 +165,8 @@ def q_null_profile(spark, d):
 
 @query("describe_profile")
 def q_describe_profile(spark, d):
-    f = features_ckpt(spark, d)
-    return rounded(profile.describe_profile(f, DESCRIBE_COLS)
-                   .withColumn("count", F.col("count").cast("long")))
+    """Every numeric predictor."""
+    return rounded(profile.describe_values(values_layer(spark, d)).withColumn("count", F.col("count").cast("long")))
 
 
 def levels_frame(spark, d):
@@ -269,10 +267,27 @@ def num_vars(f):
 LABEL = "adoption_label"
 
 
+def values_layer(spark, d):
+    """One row per numeric predictor and distinct value, ranked: what edges,
+    medians, U, AUC and WoE are read from."""
+    def build():
+        f = features_ckpt(spark, d)
+        return materialise(stats.values_of(f, "customer_id", num_vars(f), LABEL), "values")
+    return layer(spark, d, "values", build)
+
+
+def edges_layer(spark, d):
+    """Bin edges, one row per variable."""
+    return layer(spark, d, "edges", lambda: materialise(stats.numeric_bin_edges(values_layer(spark, d)), "edges"))
+
+
+def woe_num_frame(spark, d):
+    return stats.woe_table(stats.assign_numeric_bins(values_layer(spark, d), edges_layer(spark, d)), stats.BIN_COLS)
+
+
 @query("woe_iv_numeric")
 def q_woe_iv_numeric(spark, d):
-    f = features_ckpt(spark, d)
-    return rounded(stats.woe_numeric(f, "customer_id", num_vars(f), LABEL))
+    return rounded(woe_num_frame(spark, d))
 
 
 @query("woe_iv_categorical")
@@ -283,7 +298,7 @@ def q_woe_iv_categorical(spark, d):
 
 def iv_frame(spark, d):
     f = features_ckpt(spark, d)
-    w = stats.woe_numeric(f, "customer_id", num_vars(f), LABEL).select("variable", "iv_bin").unionByName(
+    w = woe_num_frame(spark, d).select("variable", "iv_bin").unionByName(
         stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL).select("variable", "iv_bin"))
     return stats.iv_summary(w)
 
@@ -295,16 +310,15 @@ def q_iv_class(spark, d):
 
 @query("mann_whitney_u")
 def q_mann_whitney_u(spark, d):
-    f = features_ckpt(spark, d)
-    long = stats.to_long(f, "customer_id", num_vars(f), LABEL)
-    return rounded(stats.mann_whitney(long, "customer_id")
-                   .join(stats.group_medians(long, "customer_id"), "variable", "left"))
+    table = values_layer(spark, d)
+    return rounded(stats.mann_whitney(table).join(stats.group_medians(table), "variable", "left"))
 
 
 @query("one_vs_rest_rank")
 def q_one_vs_rest(spark, d):
+    """ST5 for every audited attribute, from one value table of the score."""
     f = features_ckpt(spark, d)
-    return rounded(stats.one_vs_rest(f, "customer_id", "segment", "liquid_balance_total"))
+    return rounded(stats.one_vs_rest(f, "customer_id", AUDIT_ATTRS, "liquid_balance_total"))
 
 
 @query("chi2_cramer")
@@ -345,8 +359,7 @@ def q_auc_exact(spark, d):
 @query("spearman")
 def q_spearman(spark, d):
     f = features_ckpt(spark, d)
-    return rounded(stats.spearman(f, "customer_id", "liquid_balance_total",
-                                  "invested_non_label_balance"))
+    return rounded(stats.spearman(f, "liquid_balance_total", "invested_non_label_balance"))
 
 
 # ---------------------------------------------------------------- amounts & scoring
@@ -505,9 +518,6 @@ def q_component_split(spark, d):
     return rounded(sizing.component_split(fact_frame(spark, d)))
 
 
-AUDIT_ATTRS = ["age_group", "gender", "segment"]
-
-
 @query("selection_rate")
 def q_selection_rate(spark, d):
     return rounded(audit.selection_rates(fact_frame(spark, d), AUDIT_ATTRS))
@@ -595,20 +605,13 @@ def q_plausibility(spark, d):
 @query("table_profile")
 def q_table_profile(spark, d):
     f = features_ckpt(spark, d)
-    return rounded(marts.table_profile(f, iv_frame_from(f)))
-
-
-def iv_frame_from(f, extra_cat=()):
-    w = stats.woe_numeric(f, "customer_id", num_vars(f), LABEL).select("variable", "iv_bin").unionByName(
-        stats.woe_categorical(f, "customer_id", CAT_COLS + list(extra_cat), LABEL)
-        .select("variable", "iv_bin"))
-    return stats.iv_summary(w)
+    return rounded(marts.table_profile(f, iv_frame(spark, d)))
 
 
 @query("decision_rules")
 def q_decision_rules(spark, d):
     f = features_ckpt(spark, d)
-    iv = iv_frame_from(f)
+    iv = iv_frame(spark, d)
     w = Window.partitionBy()  # one row per variable
     iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
     iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
@@ -633,11 +636,10 @@ def q_auc_bands(spark, d):
 
 @query("importance_iv_join")
 def q_importance_iv_join(spark, d):
-    f = features_ckpt(spark, d)
-    mw = stats.mann_whitney(stats.to_long(f, "customer_id", num_vars(f), LABEL), "customer_id")
+    mw = stats.mann_whitney(values_layer(spark, d))
     imp = mw.select("variable", F.abs(F.col("u") / (F.col("n_event") * F.col("n_non_event")) - 0.5)
                     .alias("importance"))
-    return rounded(marts.importance_iv(imp, iv_frame_from(f)))
+    return rounded(marts.importance_iv(imp, iv_frame(spark, d)))
 
 
 EVIDENCE_K = 3
@@ -646,12 +648,7 @@ EVIDENCE_K = 3
 @query("evidence_topk")
 def q_evidence_topk(spark, d):
     f = features_ckpt(spark, d)
-    long = stats.to_long(f, "customer_id", num_vars(f), LABEL)
-    binned = cut_lineage(stats.assign_numeric_bins(long, stats.numeric_bin_edges(long, "customer_id")))
-    woe = stats.woe_table(binned, ["bin_kind", "bin_lo", "bin_hi"])
-    ev = marts.evidence_topk(binned, woe, ["bin_kind", "bin_lo", "bin_hi"], EVIDENCE_K)
-    return rounded(ev.select("customer_id", "rank", "variable", "value", "bin_kind", "bin_lo",
-                             "bin_hi", "woe", "strength", "direction", "n_in_bin"))
+    return rounded(marts.evidence_topk(f, edges_layer(spark, d), woe_num_frame(spark, d), EVIDENCE_K))
 
 
 PSI_LAG_MONTHS = 12
@@ -694,7 +691,7 @@ def q_level_crosstab(spark, d):
 
 def decisions_frame(spark, d):
     f = features_ckpt(spark, d)
-    iv = iv_frame_from(f)
+    iv = iv_frame(spark, d)
     w = Window.partitionBy()  # one row per variable
     iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
     iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
@@ -726,8 +723,7 @@ def q_id_check(spark, d):
 @query("importance_top")
 def q_importance_top(spark, d):
     """L3: the 12 most important variables (a top-k report)."""
-    f = features_ckpt(spark, d)
-    mw = stats.mann_whitney(stats.to_long(f, "customer_id", num_vars(f), LABEL), "customer_id")
+    mw = stats.mann_whitney(values_layer(spark, d))
     imp = mw.select("variable", F.abs(F.col("u") / (F.col("n_event") * F.col("n_non_event")) - 0.5)
                     .alias("importance"))
     return rounded(imp.orderBy(F.col("importance").desc_nulls_last(), "variable").limit(12))
@@ -762,7 +758,7 @@ def q_woe_retained(spark, d):
     f = features_ckpt(spark, d)
     keep = decisions_frame(spark, d).where(
         F.col("decision").isin("include", "keep_category")).select("variable")
-    num = stats.woe_numeric(f, "customer_id", num_vars(f), LABEL).withColumn("bin", F.lit(None).cast("string"))
+    num = woe_num_frame(spark, d).withColumn("bin", F.lit(None).cast("string"))
     cat = (stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL)
            .withColumn("bin_kind", F.lit("category"))
            .withColumn("bin_lo", F.lit(None).cast("double")).withColumn("bin_hi", F.lit(None).cast("double")))
@@ -793,9 +789,8 @@ def q_capture_bias(spark, d):
     """ST22: medians and Mann-Whitney of three variables, with vs without
     housing data."""
     f = features_ckpt(spark, d)
-    long = stats.to_long(f, "customer_id", CAPTURE_BIAS_VARS, "has_housing_data")
-    return rounded(stats.mann_whitney(long, "customer_id")
-                   .join(stats.group_medians(long, "customer_id"), "variable", "left"))
+    table = materialise(stats.values_of(f, "customer_id", CAPTURE_BIAS_VARS, "has_housing_data"), "capture-values")
+    return rounded(stats.mann_whitney(table).join(stats.group_medians(table), "variable", "left"))
 
 
 @query("customer_serving")
@@ -826,7 +821,7 @@ def q_validation_table(spark, d):
     (categorical) with p-value, BH q-value over all p together, VIF and its
     alert for numeric variables with > 50 % non-null (ST9)."""
     f = features_ckpt(spark, d)
-    iv = iv_frame_from(f)
+    iv = iv_frame(spark, d)
     mw = stats.mann_whitney(stats.to_long(f, "customer_id", num_vars(f), LABEL), "customer_id") \
         .select("variable", F.lit("mann_whitney").alias("test"), F.col("z").alias("statistic"),
                 stats.p_from_z("z").alias("p_value"))
@@ -974,7 +969,7 @@ def q_label_sensitivity(spark, d):
     s1 = main["scores"].where(F.col("model_used") == "A").select("customer_id", F.col("score").alias("s_main"))
     s2 = recent["scores"].select("customer_id", F.col("score").alias("s_recent"))
     both = s1.join(s2, "customer_id")
-    rho = stats.spearman(both, "customer_id", "s_main", "s_recent").withColumnRenamed("n", "n_spearman")
+    rho = stats.spearman(both, "s_main", "s_recent").withColumnRenamed("n", "n_spearman")
     pop = f.select("customer_id", population().alias("population"))
     lv1 = rank.priority_levels(both.join(pop, "customer_id"), "s_main", ["population"])
     lv2 = rank.priority_levels(both.join(pop, "customer_id"), "s_recent", ["population"])

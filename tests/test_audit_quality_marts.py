@@ -64,17 +64,26 @@ def test_importance_iv_full_join(spark):
 
 
 def test_evidence_order_and_direction(spark):
-    binned = spark.createDataFrame(
-        [(1, "age", 5.0, "quantile", 4.0, 6.0), (1, "tenure", 1.0, "value", 1.0, 1.0),
-         (1, "income", None, "missing", None, None)],
-        "customer_id long, variable string, value double, bin_kind string, bin_lo double, bin_hi double")
+    f = spark.createDataFrame([(1, 5.0, 1, None, 7.5), (2, 4.0, 0, 3.0, None), (3, 99.0, 1, 3.0, -4.5)],
+                              "customer_id long, age double, tenure int, income double, mode_col double")
+    edges = spark.createDataFrame(
+        [("age", "quantile", None, [1.0, 4.0, 6.0, 9.0]), ("tenure", "value", None, None), ("income", "value", None, None),
+         ("mode_col", "mode", -4.5, [1.0, 5.0, 8.0])], "variable string, kind string, mode double, edges array<double>")
     woe = spark.createDataFrame(
-        [("age", "quantile", 4.0, 6.0, 0.5, 10), ("tenure", "value", 1.0, 1.0, -2.10, 20),
-         ("income", "missing", None, None, 0.05, 30)],
+        [("age", "quantile", 1.0, 4.0, -0.3, 11), ("age", "quantile", 4.0, 6.0, 0.5, 10), ("age", "quantile", 6.0, 9.0, 0.2, 12),
+         ("tenure", "value", 1.0, 1.0, -2.10, 20), ("income", "missing", None, None, 0.05, 30), ("income", "value", 3.0, 3.0, 0.4, 31),
+         ("mode_col", "mode", -4.5, -4.5, 0.45, 40), ("mode_col", "quantile", 5.0, 8.0, -0.01, 41)],
         "variable string, bin_kind string, bin_lo double, bin_hi double, woe double, n long")
-    ev = marts.evidence_topk(binned, woe, ["bin_kind", "bin_lo", "bin_hi"], k=3).orderBy("rank").collect()
-    assert [r.variable for r in ev] == ["tenure", "age", "income"]
-    assert [r.direction for r in ev] == ["in_favour", "against", "neutral"]
+    ev = {}
+    plan = marts.evidence_topk(f, edges, woe, k=3)
+    for r in plan.orderBy("customer_id", "rank").collect():
+        ev.setdefault(r.customer_id, []).append((r.variable, r.direction, r.value, r.bin_lo, r.n_in_bin))
+    assert ev[1] == [("tenure", "in_favour", 1.0, 1.0, 20), ("age", "against", 5.0, 4.0, 10), ("income", "neutral", None, None, 30)]
+    # 4.0 is the upper edge of the first bin; a value without a bin (tenure 0, missing mode_col) gives no evidence
+    assert ev[2] == [("income", "against", 3.0, 3.0, 31), ("age", "in_favour", 4.0, 1.0, 11)]
+    assert [v for v, *_ in ev[3]] == ["tenure", "mode_col", "income"]
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Window" not in text and "Expand" not in text
 
 
 def test_targeting_curve(spark):

@@ -18,8 +18,8 @@ def test_iv_class(spark):
 def test_binning_mode_fallback(spark):
     vals = [-4.5] * 333 + [float(7 * i % 31) for i in range(24)]  # the least value holds most rows
     df = spark.createDataFrame([(i, v, i % 2) for i, v in enumerate(vals)], "id long, x double, y int")
-    long = stats.to_long(df, "id", ["x"], "y")
-    binned = stats.assign_numeric_bins(long, stats.numeric_bin_edges(long, "id"))
+    table = stats.values_of(df, "id", ["x"], "y")
+    binned = stats.assign_numeric_bins(table, stats.numeric_bin_edges(table))
     kinds = {r.bin_kind for r in binned.select("bin_kind").distinct().collect()}
     assert "missing" not in kinds and "mode" in kinds
     assert binned.select("bin_kind", "bin_lo", "bin_hi").distinct().count() >= 2
@@ -30,7 +30,7 @@ def test_binning_matches_pandas_qcut(spark):
     x = rng.integers(0, 1000, size=400).astype(float)
     df = spark.createDataFrame([(i, float(v), 0) for i, v in enumerate(x)], "id long, x double, y int")
     long = stats.to_long(df, "id", ["x"], "y")
-    binned = stats.assign_numeric_bins(long, stats.numeric_bin_edges(long, "id"))
+    binned = stats.assign_numeric_bins(long, stats.numeric_bin_edges(stats.values_of(df, "id", ["x"], "y")))
     ours = {r.id: (r.bin_lo, r.bin_hi) for r in binned.collect()}
     cats = pd.qcut(pd.Series(x), 10, duplicates="drop")
     for i, c in enumerate(cats):
@@ -54,7 +54,7 @@ def test_mann_whitney_matches_brute_force(spark):
     x0 = rng.integers(0, 30, 55).astype(float)
     data = [(i, float(v), 1) for i, v in enumerate(x1)] + [(100 + i, float(v), 0) for i, v in enumerate(x0)]
     df = spark.createDataFrame(data, "id long, x double, y int")
-    r = stats.mann_whitney(stats.to_long(df, "id", ["x"], "y"), "id").first()
+    r = stats.mann_whitney(stats.values_of(df, "id", ["x"], "y")).first()
     brute = sum((a > b) + 0.5 * (a == b) for a in x1 for b in x0)
     assert r.u == pytest.approx(brute)
     auc = stats.auc_exact(df, "id", "x", "y").first().auc
