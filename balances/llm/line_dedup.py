@@ -46,7 +46,7 @@ from balances.llm.components import components
 
 GRAM = 5
 LEAST = GRAM
-ROWS, BANDS = 4, 12
+ROWS, BANDS = 4, 10
 #: Standard deviations by which a sketch may miss the threshold.
 MARGIN = 5.0
 #: Keys or ids that go to every task at once; beyond it both sides shuffle.
@@ -280,19 +280,28 @@ def _blocks(open_rows: DataFrame, meta: DataFrame, texts: DataFrame) -> DataFram
 def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
     """(id, component) of the lines linked with a different line; a component is
     named by a number. ``signed``: what ``_sign`` makes of ``lines``."""
-    sigs = signed.where("n IS NOT NULL").select("id", "n", "keys", "sketch")
-    member = sigs.select("id", F.explode("keys").alias("key"))
-    one = F.xxhash64("id")  # a line that several tasks signed is one
-    keys = narrow(member.groupBy("key").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo <> hi").select("key"), "keys")
-    shared = member.join(_few(keys, keys.count()), "key", "left_semi")
-    ids = narrow(shared.select("id").distinct(), "ids")
+    sigs = signed.where("n IS NOT NULL").select("id", F.xxhash64("id").alias("h"), "n", "keys", "sketch")
+    # a number stands for a line until buckets are found; a line that several tasks signed is one
+    member = sigs.select("h", F.explode("keys").alias("key"))
+    buckets = narrow(member.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count(F.lit(1)).alias("rows"))
+                     .where("lo <> hi"), "keys")
+    # a bucket of two rows is its least and greatest number; only larger ones need their members
+    two = buckets.where("rows = 2").select("key", F.explode(F.array("lo", "hi")).alias("h"))
+    larger = buckets.where("rows > 2").select("key")
+    shared = two.union(member.join(_few(larger, larger.count()), "key", "left_semi").select("key", "h")).distinct()
+    shared = narrow(shared, "members")
+    wanted = shared.select("h").distinct()
+    wanted = narrow(wanted, "wanted")
+    # lines of one number are told apart by their whole key: both are members of its buckets
+    ids = sigs.select("id", "h").join(_few(wanted, wanted.count()), "h", "left_semi").distinct()
     numbers = written(ids.withColumn("nid", F.monotonically_increasing_id()), "numbers")
     n_ids = numbers.count()
     numbered = _few(numbers, n_ids)
-    shared = narrow(shared.join(numbered, "id").select("key", "nid").distinct(), "buckets")
-    meta = written(sigs.join(numbered, "id").groupBy("nid", "n", "sketch").count().drop("count"), "meta")
-    texts = written(lines.where(F.length("line") >= LEAST).select("id", "line").join(numbered, "id").select("nid", "line").distinct(), "texts")
-    dropped(keys, ids)
+    by_bucket = shared
+    shared = narrow(shared.join(numbered.select("h", "nid"), "h").select("key", "nid"), "buckets")
+    meta = written(sigs.select("id", "n", "sketch").join(numbered.select("id", "nid"), "id").groupBy("nid", "n", "sketch").count().drop("count"), "meta")
+    texts = written(lines.where(F.length("line") >= LEAST).select("id", "line").join(numbered.select("id", "nid"), "id").select("nid", "line").distinct(), "texts")
+    dropped(buckets, wanted, by_bucket)
 
     hubs = shared.groupBy("key").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("size"))
     shared_ = narrow(shared.join(hubs, "key"), "hubs")
