@@ -21,6 +21,8 @@ from balances.operators import stats
 S = SETTINGS
 COMPONENTS = {"app": list(S.label_products), "conservative": list(S.invest_non_label_products)}
 SCENARIOS = ("conservative", "base", "optimistic")
+#: The backtest's name for the sum of all components.
+TOTAL = "total"
 
 
 def component_panel(panel: DataFrame, components=COMPONENTS) -> DataFrame:
@@ -78,7 +80,8 @@ def backtest(comp: DataFrame, valid_start, components=COMPONENTS) -> DataFrame:
     """T18 + persistence forecast: real = annualised growth over the
     validation months (first -> last, scaled by n_valid_months - 1, at least
     1); prediction = annualised growth over the training window. One row per
-    (customer, component) with both present."""
+    (customer, component) with both present, and per customer with every
+    component one for the total (J13)."""
     vs = F.lit(valid_start).cast("date")
     train = window_targets(comp.where(F.col("month") < vs), components)
     valid = comp.where(F.col("month") >= vs)
@@ -88,15 +91,26 @@ def backtest(comp: DataFrame, valid_start, components=COMPONENTS) -> DataFrame:
     for c in components:
         aggs += [F.min_by(c, "month").alias(f"{c}_first"), F.max_by(c, "month").alias(f"{c}_last")]
     v = valid.groupBy("customer_id").agg(*aggs)
-    j = train.join(v, "customer_id", "inner")  # J13: present in both windows
+    j = train.join(v, "customer_id", "inner")  # present in both windows
     parts = []
     for c in components:
         parts.append(j.select(
             "customer_id", F.lit(c).alias("component"),
             annualised_growth(f"{c}_first", f"{c}_last", F.lit(denom)).alias("real"),
             F.col(f"{c}_growth").alias("pred")).where(F.col("pred").isNotNull()))
-    bt = reduce(DataFrame.unionByName, parts)
-    return bt.withColumn("error", F.col("real") - F.col("pred"))
+    return with_total(reduce(DataFrame.unionByName, parts))
+
+
+def with_total(bt: DataFrame, components=COMPONENTS) -> DataFrame:
+    """The backtest (customer_id, component, real, pred) with the total of
+    all components, over the customers who have every one, and the errors. One
+    hash aggregation by customer; nothing is forecast for the total itself."""
+    both = bt.groupBy("customer_id").agg(
+        F.sum("real").alias("real"), F.sum("pred").alias("pred"),
+        F.count(F.when(F.col("real").isNotNull() & F.col("pred").isNotNull(), 1)).alias("_n"))
+    total = both.where(F.col("_n") == len(components)).select(
+        "customer_id", F.lit(TOTAL).alias("component"), "real", "pred")
+    return bt.unionByName(total).withColumn("error", F.col("real") - F.col("pred"))
 
 
 def error_evidence(bt: DataFrame) -> DataFrame:
@@ -114,7 +128,7 @@ def scenarios_by_component(bt: DataFrame, p_lo: float = 10, p_hi: float = 90) ->
     """ST15 for every component in one job: one row per component present,
     zeros for a component without errors."""
     q = stats.error_scenarios(bt, "error", "customer_id", p_lo, p_hi, group_cols=["component"])
-    comps = bt.sparkSession.createDataFrame([(c,) for c in COMPONENTS], "component string")
+    comps = bt.sparkSession.createDataFrame([(c,) for c in (*COMPONENTS, TOTAL)], "component string")
     return comps.join(q, "component", "left").fillna(0.0, subset=["err_lo", "err_median", "err_hi"])
 
 

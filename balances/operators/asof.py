@@ -110,3 +110,16 @@ def product_pivot(records: DataFrame, cut: dt.date, products, key="customer_id",
     for p in products:
         aggs += snapshot_aggs(cut, cond=(F.col(product_col) == p), prefix=f"{p}_", **kw)
     return kept.groupBy(key).agg(*aggs)
+
+
+def features_at_cuts(records: DataFrame, cuts, products, key="customer_id", product_col="product", **kw) -> DataFrame:
+    """T1-T3 of every product as of several cuts, in ONE groupBy(customer) with
+    conditional aggregates per (cut, product): one scan, whatever the number of
+    cuts. Columns ``c<i>_<product>_...``; a customer appears if any cut has one
+    of their records."""
+    kept = records.where(F.col(kw.get("date_col", "obs_date")) <= F.lit(max(cuts)).cast("date"))
+    aggs = []
+    for i, cut in enumerate(cuts):
+        for p in products:
+            aggs += snapshot_aggs(cut, cond=(F.col(product_col) == p), prefix=f"c{i}_{p}_", **kw)
+    return kept.groupBy(key).agg(*aggs)

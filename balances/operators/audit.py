@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
+from balances.operators import stats
 
 S = SETTINGS
 
@@ -43,8 +44,15 @@ def disparate_impact(rates: DataFrame, min_group_size: int = 0) -> DataFrame:
                     "worst_group", "best_group")
 
 
-def fairness_fact(df: DataFrame, attrs, level_col: str = "level") -> DataFrame:
-    """ST20: selection rates with the attribute-level ratio attached."""
+def fairness_fact(df: DataFrame, attrs, proxy: DataFrame, level_col: str = "level", score_col: str = "score",
+                  id_col: str = "customer_id") -> DataFrame:
+    """ST20: selection rates with mean and median score and the p-value of each
+    group against the rest (ST5), the attribute's impact ratio, and the AUC and
+    reading of the protected attribute's proxy (``proxy``: one row, auc and band)."""
     rates = selection_rates(df, attrs, level_col)
     di = disparate_impact(rates).select("attribute", "impact_ratio", "passes_80_rule")
-    return rates.join(F.broadcast(di), "attribute", "left")  # one row per attribute
+    scores = stats.one_vs_rest(df, id_col, attrs, score_col).select(
+        "attribute", "group", F.col("mean").alias("score_mean"), F.col("median").alias("score_median"), "p_value")
+    out = rates.join(scores, ["attribute", "group"], "left").join(F.broadcast(di), "attribute", "left")  # one row per attribute
+    p = proxy.first()  # one scalar pair
+    return out.withColumn("proxy_auc", F.lit(p["auc"]).cast("double")).withColumn("proxy_band", F.lit(p["band"]).cast("string"))

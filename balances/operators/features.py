@@ -17,29 +17,61 @@ from pyspark.sql import functions as F
 from balances.config import SETTINGS
 from balances.functions.columns import all_null, any_null, safe_divide
 from balances.operators import asof, panel
+from balances.session import materialise
 
 S = SETTINGS
 
 
-def dedupe_first(df: DataFrame, keys, order_cols) -> DataFrame:
-    """Keep one row per key — the first by ``order_cols`` then the other
-    columns (an explicit total order instead of row order). ``min_by``
-    aggregates partially map-side, so a key with millions of duplicates never
-    lands whole on one task."""
+def dedupe_first(df: DataFrame, keys, order_col: str | None = None) -> DataFrame:
+    """Keep one row per key, the first by ``order_col`` (a whole number, date
+    or timestamp; NULL last), then by the other columns: a total order but for
+    rows that are alike.
+
+    Phases: the least order of each key, one fixed-width number, by hash
+    aggregation (a key with millions of rows is one row a task before the
+    shuffle); the rows that stand there, those that are alike taken as one; and
+    only for keys that still have several, the first by the other columns."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     others = [c for c in df.columns if c not in keys]
-    order = order_cols + [c for c in others if c not in order_cols]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("_r"))
-    return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
-
-
-def clean_customers(raw: DataFrame, key: str = "customer_id", order_col: str = "name") -> DataFrame:
+    order = _order_number(df, order_col) if order_col else F.lit(0).cast("long")
+    placed = df.withColumn("_place", order)
+    least = placed.groupBy(*keys).agg(F.min("_place").alias("_least")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], "_least")
+    cond = placed["_place"] == least["_least"]
+    for k in keys:
+        cond = cond & placed[k].eqNullSafe(least[f"_k_{k}"])
+    stand = materialise(placed.join(least, cond, "left_semi").select(*keys, *others).distinct(), "first-rows")
+    several = stand.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys])
+    if several.isEmpty():
+        return stand
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & stand[k].eqNullSafe(several[f"_k_{k}"])
+    rest = [order_col, *[c for c in others if c != order_col]] if order_col else others
+    picked = stand.join(several, cond, "left_semi").groupBy(*keys).agg(
+        F.min_by(F.struct(*others), F.struct(*rest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
+    return stand.join(several, cond, "left_anti").unionByName(picked)
+
+
+def _order_number(df: DataFrame, c: str) -> F.Column:
+    kind = dict(df.dtypes)[c]
+    if kind == "date":
+        n = F.unix_date(c).cast("long")
+    elif kind.startswith("timestamp"):
+        n = F.unix_micros(F.col(c).cast("timestamp"))
+    elif kind in ("tinyint", "smallint", "int", "bigint"):
+        n = F.col(c).cast("long")
+    else:
+        raise TypeError(f"rows are ordered by a date, a timestamp or a whole number, not by {kind} {c}")
+    return F.coalesce(n, F.lit((1 << 63) - 1))
+
+
+def clean_customers(raw: DataFrame, key: str = "customer_id") -> DataFrame:
     """Silver customers: dedupe, missing-financial flags (any / all), savings
     capacity (F10)."""
     fin = list(S.financial_cols)
-    c = dedupe_first(raw, key, order_col)
+    c = dedupe_first(raw, key)
     return c.select(
         *c.columns,
         any_null(fin).alias("no_financial_any"),

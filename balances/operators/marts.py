@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from balances.config import SETTINGS
 from balances.functions.columns import clip_lower0, level_ordinal
 from balances.operators.profile import sum0
-from balances.operators import roles
+from balances.operators import order_stats, roles, stats
 from balances.operators.rank import distributed_row_number, exact_quantiles
+from balances.session import materialise
 
 S = SETTINGS
 TOP_PCTS = (0.01, 0.05, 0.10, 0.20)
@@ -169,16 +170,28 @@ def level_shift(a: DataFrame, b: DataFrame, key: str = "customer_id") -> DataFra
 # ---------------------------------------------------------------- A23/A24
 def stratified_rates(df: DataFrame, flag_col: str, label_col: str, stratum_col: str) -> DataFrame:
     """Label rate by a flag, over everyone and inside the stratum
-    (flag == 1); difference between the two flag groups attached to both."""
-    def block(x, name):
-        g = x.groupBy(flag_col).agg(F.count(F.lit(1)).cast("long").alias("n"),
-                                    F.sum(label_col).cast("long").alias("positives"))
-        g = g.withColumn("rate", F.col("positives") / F.col("n"))
-        w = Window.partitionBy()  # two rows
-        diff = (F.max(F.when(F.col(flag_col) == 1, F.col("rate"))).over(w)
-                - F.max(F.when(F.col(flag_col) == 0, F.col("rate"))).over(w))
-        return g.withColumn("rate_difference", diff).withColumn("stratum", F.lit(name))
-    return block(df, "all").unionByName(block(df.where(F.col(stratum_col) == 1), stratum_col))
+    (flag == 1); difference between the two flag groups, and their chi-square
+    (Yates-corrected, one degree of freedom) with its p-value, attached to both.
+    Both strata come from one count of (flag, stratum)."""
+    cells = df.groupBy(flag_col, stratum_col).agg(F.count(F.lit(1)).alias("n"), F.sum(label_col).alias("positives"))
+    strata = F.array(F.lit("all"), F.when(F.col(stratum_col) == 1, F.lit(stratum_col)))
+    each = cells.withColumn("stratum", F.explode(F.array_compact(strata)))
+    g = each.groupBy("stratum", flag_col).agg(F.sum("n").cast("long").alias("n"), F.sum("positives").cast("long").alias("positives"))
+    g = g.withColumn("rate", F.col("positives") / F.col("n"))
+    w = Window.partitionBy("stratum")  # two rows
+    diff = (F.max(F.when(F.col(flag_col) == 1, F.col("rate"))).over(w)
+            - F.max(F.when(F.col(flag_col) == 0, F.col("rate"))).over(w))
+    n, pos = F.sum("n").over(w), F.sum("positives").over(w)
+    groups = F.count(F.lit(1)).over(w)
+
+    def cell(seen, total):
+        expected = F.col("n") * total / n
+        return F.pow(F.greatest(F.abs(seen - expected) - F.least(F.lit(0.5), F.abs(seen - expected)), F.lit(0.0)), 2) / expected
+    both = (groups == 2) & (pos > 0) & (pos < n)
+    g = g.withColumn("rate_difference", diff).withColumn(
+        "_cell", F.when(both, cell(F.col("positives"), pos) + cell(F.col("n") - F.col("positives"), n - pos)))
+    g = g.withColumn("chi2", F.sum("_cell").over(w)).withColumn("dof", F.when(F.col("chi2").isNotNull(), F.lit(1)))
+    return g.withColumn("p_value", stats.p_from_chi2("chi2", "dof")).drop("_cell")
 
 
 # ---------------------------------------------------------------- DQ13
@@ -255,23 +268,20 @@ def evidence_topk(features: DataFrame, edges: DataFrame, woe: DataFrame, k: int
 
 
 # ---------------------------------------------------------------- ST24
-def psi(expected: DataFrame, actual: DataFrame, group_col: str, value_col: str, id_col: str,
-        n_bins: int = S.n_bins) -> DataFrame:
-    """ST24: population stability index per group between a base period and a
-    current one, bins = deciles of the base period (duplicates dropped), shares
-    smoothed with +0.5 like the WoE: sum (p - q) ln(p / q)."""
+def psi(rows: DataFrame, group_col: str, n_bins: int = S.n_bins) -> DataFrame:
+    """ST24: population stability index per group between a base period (y = 0)
+    and a current one (y = 1) of long rows (group, value, y): bins = deciles of
+    the base period (duplicates dropped), shares smoothed with +0.5 like the WoE:
+    sum (p - q) ln(p / q). One value table gives edges and both periods' counts."""
+    table = materialise(order_stats.value_table(rows.where(F.col("value").isNotNull()), [group_col]), "psi-values")
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = exact_quantiles(expected, [group_col], value_col, probs, id_col=id_col)
-    edges = q.groupBy(group_col).agg(F.array_sort(F.array_distinct(F.collect_list(value_col))).alias("e"))
-
-    def binned(df, tag):
-        j = df.where(F.col(value_col).isNotNull()).join(F.broadcast(edges), group_col)
-        inner = F.slice(F.col("e"), 2, F.greatest(F.size("e") - 2, F.lit(0)))
-        idx = F.size(F.filter(inner, lambda x: x < F.col(value_col)))
-        return j.groupBy(group_col, idx.alias("bin")).agg(F.count(F.lit(1)).alias(f"n_{tag}"))
-
-    b = binned(expected, "base").join(binned(actual, "current"), [group_col, "bin"], "full")
-    b = b.fillna(0, subset=["n_base", "n_current"])
+    q = order_stats.quantiles(order_stats.of_label(table, 0), [group_col], probs)
+    edges = q.groupBy(group_col).agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("e"))
+    j = table.join(F.broadcast(edges), group_col)  # one row per group
+    inner = F.slice(F.col("e"), 2, F.greatest(F.size("e") - 2, F.lit(0)))
+    idx = F.size(F.filter(inner, lambda x: x < F.col("value")))
+    b = j.groupBy(group_col, idx.alias("bin")).agg(
+        F.sum(F.col("t") - F.col("events")).alias("n_base"), F.sum("events").alias("n_current"))
     w = Window.partitionBy(group_col)  # bins per group: bounded
     k = F.count(F.lit(1)).over(w)
     p = (F.col("n_current") + 0.5) / (F.sum("n_current").over(w) + 0.5 * k)
@@ -281,11 +291,26 @@ def psi(expected: DataFrame, actual: DataFrame, group_col: str, value_col: str,
                                     F.count(F.lit(1)).cast("long").alias("n_bins"))
 
 
+def indicator(name: str, variable, value, threshold: float, above: bool = True) -> list[F.Column]:
+    """ST24: columns of a monitoring row; the alert compares with the threshold,
+    and an unknown value is 'NOT VERIFIED', never silently fine."""
+    v = value.cast("double")
+    over = v > threshold if above else v < threshold
+    return [F.lit(name).alias("indicator"), variable.cast("string").alias("variable"), v.alias("value"),
+            F.lit(float(threshold)).alias("threshold"),
+            F.when(v.isNull() | F.isnan(v), F.lit("NOT VERIFIED")).when(over, F.lit("ALERT")).otherwise(F.lit("OK")).alias("status")]
+
+
 # ---------------------------------------------------------------- MT2 / J6
-def importance_iv(importance: DataFrame, iv: DataFrame) -> DataFrame:
-    """MT2/J6: full outer join of importance and IV; both unmatched sides kept,
-    total order with NULLs last (L1)."""
-    return importance.join(iv, "variable", "full")
+def importance_iv(importance: DataFrame, validation: DataFrame) -> DataFrame:
+    """MT2/J6: full outer join of importance (with its model, where there is
+    one) and the validation of variables; both unmatched sides kept, in the total
+    order (L1) of model, falling importance, variable, NULLs last."""
+    out = importance.join(validation, "variable", "full")
+    order = [F.col("importance").desc_nulls_last(), F.col("variable").asc_nulls_last()]
+    if "model" in out.columns:
+        order.insert(0, F.col("model").asc_nulls_last())
+    return out.orderBy(*order)
 
 
 # ---------------------------------------------------------------- R1-R5
@@ -305,15 +330,87 @@ def housing_rule(iv_category: F.Column, iv_flag: F.Column) -> F.Column:
             .when(iv_flag >= S.iv_min, F.lit("keep_flag")).otherwise(F.lit("drop")))
 
 
-def inclusion_rule(variable: F.Column, iv: F.Column, protected=("gender",),
-                   housing_decision: F.Column | None = None) -> F.Column:
-    """Protected attributes excluded; housing per R2; IV below the minimum
-    -> exclude; a NULL IV is 'review' (never silently included)."""
+HOUSING_FLAGS = ("has_housing_data", "missing_housing")
+
+
+def inclusion_rule(variable: F.Column, iv: F.Column, protected=("gender",), housing_decision: F.Column | None = None,
+                   vif_alert: F.Column | None = None) -> F.Column:
+    """Protected attributes are measured and never included, whatever their
+    IV; housing per R2, and its has-data flags (one says what the other says, and
+    the category says both) stay only where R2 keeps the flag; IV below the
+    minimum -> exclude; a NULL IV is 'review' (never silently included); a VIF
+    alert is carried along (a NULL one, of a categorical, is none)."""
     expr = F.when(variable.isin(list(protected)), F.lit("exclude_protected"))
     if housing_decision is not None:
-        expr = expr.when(variable == "housing", housing_decision)
-    return (expr.when(iv.isNull(), F.lit("review"))
-            .when(iv < S.iv_min, F.lit("exclude_low_iv")).otherwise(F.lit("include")))
+        expr = expr.when(variable == "housing", F.when(housing_decision == "keep_category", F.lit("include"))
+                         .when(housing_decision == "keep_flag", F.lit("exclude_use_flag")).otherwise(F.lit("exclude_block")))
+        expr = expr.when(variable.isin(list(HOUSING_FLAGS)),
+                         F.when(housing_decision == "keep_flag", F.lit("include")).otherwise(F.lit("exclude_redundant")))
+    expr = expr.when(iv.isNull(), F.lit("review")).when(iv < S.iv_min, F.lit("exclude_low_iv"))
+    if vif_alert is not None:
+        expr = expr.when(F.coalesce(vif_alert == 1, F.lit(False)), F.lit("include_vif_alert"))
+    return expr.otherwise(F.lit("include"))
+
+
+def inclusion_decisions(iv: DataFrame, vif: DataFrame) -> DataFrame:
+    """R5 for every variable: iv (variable, iv, iv_class) with vif, vif_alert,
+    decision and the reason of an exclusion that the IV does not give."""
+    w = Window.partitionBy()  # one row per variable
+    iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
+    iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
+    out = iv.join(vif, "variable", "left").withColumn("vif_alert", (F.col("vif") > S.vif_alert).cast("int"))
+    out = out.withColumn("_housing", housing_rule(iv_cat, iv_flag))
+    out = out.withColumn("decision", inclusion_rule(
+        F.col("variable"), F.col("iv"), housing_decision=F.col("_housing"), vif_alert=F.col("vif_alert")))
+    reason = (F.when(F.col("decision") == "exclude_protected", F.lit("suitability, not predictive power"))
+              .when(F.col("variable").isin("housing", *HOUSING_FLAGS), F.concat(F.lit("housing rule: "), F.col("_housing")))
+              .when(F.col("decision") == "exclude_low_iv", F.lit("iv below minimum"))
+              .when(F.col("decision") == "include_vif_alert", F.lit("collinear, reported")))
+    return out.withColumn("reason", reason).drop("_housing")
+
+
+#: Decisions by which a variable stays.
+INCLUDED = ("include", "include_vif_alert")
+
+
+def pattern_decision(auc: str = "auc", handles_nulls: bool = True) -> list[F.Column]:
+    """What an auxiliary model's AUC for "this value is missing" calls for:
+    conclusion, action, impute, flag_as_predictor, document_variables. The edges
+    belong to the middle band; an AUC outside [0, 1] is refused."""
+    band = auc_band(auc, S.auc_pattern_weak, S.auc_pattern_informative)
+    keep = "keep_flag_without_imputing" if handles_nulls else "keep_flag_impute_segment_median"
+    return [band.alias("band"),
+            F.when(band == "low", F.lit("about random")).when(band == "moderate", F.lit("weak pattern"))
+            .otherwise(F.lit("informative absence")).alias("conclusion"),
+            F.when(band == "high", F.lit("flag_as_predictor_no_global_imputation")).otherwise(F.lit(keep)).alias("action"),
+            F.when(band == "high", F.lit(0)).otherwise(F.lit(int(not handles_nulls))).alias("impute"),
+            (band == "high").cast("int").alias("flag_as_predictor"),
+            (band != "low").cast("int").alias("document_variables")]
+
+
+def proxy_decision(auc: str = "auc") -> list[F.Column]:
+    """The same columns for a model of the protected attribute."""
+    band = auc_band(auc, S.auc_proxy_moderate, S.auc_proxy_substantial)
+    none = F.lit(None).cast("int")
+    return [band.alias("band"),
+            F.when(band == "low", F.lit("minimal proxy")).when(band == "moderate", F.lit("moderate proxy"))
+            .otherwise(F.lit("substantial proxy")).alias("conclusion"),
+            F.when(band == "low", F.lit("document_and_continue")).when(band == "moderate", F.lit("document_associated_variables"))
+            .otherwise(F.lit("investigate_mitigation")).alias("action"),
+            none.alias("impute"), none.alias("flag_as_predictor"), (band != "low").cast("int").alias("document_variables")]
+
+
+def imputation_plan(pattern: DataFrame, medians: DataFrame) -> DataFrame:
+    """What the pattern's action does with the missing value. ``pattern`` is
+    one row with ``action``; ``medians`` (segment, median) become the values that
+    are imputed, or, where the flag is a predictor, offered per segment. An
+    action that leaves the value as it is gives one row without values."""
+    action = pattern.first()["action"]  # one scalar
+    if action == "keep_flag_without_imputing":
+        return pattern.select("action", F.lit("none").alias("kind"), F.lit(None).cast("string").alias("segment"),
+                              F.lit(None).cast("double").alias("value"))
+    kind = "segment_median" if action == "keep_flag_impute_segment_median" else "offered_segment_median"
+    return medians.select(F.lit(action).alias("action"), F.lit(kind).alias("kind"), "segment", F.col("median").alias("value"))
 
 
 def column_roles(columns) -> list[tuple[str, str]]:
@@ -321,17 +418,19 @@ def column_roles(columns) -> list[tuple[str, str]]:
     return [(c, roles.role(c)) for c in columns]
 
 
-def table_profile(df: DataFrame, iv: DataFrame | None = None) -> DataFrame:
-    """DQ12: per column: NULL count, role, IV (left join) — the NULL
-    counts come from ONE aggregation over all columns."""
+def table_profile(df: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
+    """DQ12: per column: type, NULL count and share, role, IV and inclusion
+    decision (left join) — the NULL counts come from ONE aggregation over all
+    columns."""
     spark = df.sparkSession
-    named = spark.createDataFrame(column_roles(df.columns), "variable string, role string")
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    nulls = agg.unpivot([], df.columns, "variable", "n_null").select(
-        "variable", F.col("n_null").cast("long"))
+    types = dict(df.dtypes)
+    named = spark.createDataFrame([(c, r, types[c]) for c, r in column_roles(df.columns)], "variable string, role string, type string")
+    agg = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    nulls = agg.unpivot(["_rows"], df.columns, "variable", "n_null").select(
+        "variable", F.col("n_null").cast("long"), F.when(F.col("_rows") > 0, F.col("n_null") / F.col("_rows")).alias("null_share"))
     out = named.join(nulls, "variable")
-    if iv is not None:
-        out = out.join(iv.select("variable", "iv", "iv_class"), "variable", "left")
+    if decisions is not None:
+        out = out.join(decisions.select("variable", "iv", "iv_class", "decision"), "variable", "left")
     return out
 
 
@@ -350,8 +449,9 @@ def serving_table(fact: DataFrame) -> DataFrame:
 
 
 def key_value(summary: DataFrame) -> DataFrame:
-    """MT5: a one-row summary stacked to (key, value) rows."""
-    cols = summary.columns
+    """MT5: a one-row summary stacked to (key, value) rows; what is no number
+    is left out."""
+    cols = [c for c, kind in summary.dtypes if kind != "string"]
     return summary.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "key", "value")
 

@@ -12,19 +12,17 @@
 """
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
 from balances.operators import roles
+from balances.operators.rank import distributed_row_number
 from balances.operators.stats import auc_exact
 from balances.session import materialise
 
@@ -47,12 +45,9 @@ def encode(df: DataFrame, cols) -> tuple[DataFrame, list]:
     types = dict(df.dtypes)
     num = [c for c in cols if types[c] != "string"]
     cat = [c for c in cols if types[c] == "string"]
-    out = df
-    vec_inputs = []
-    for c in num:
-        out = out.withColumn(f"__{c}", F.coalesce(F.col(c).cast("double"), F.lit(SENTINEL)))
-        out = out.withColumn(f"__{c}_na", F.col(c).isNull().cast("double"))
-        vec_inputs += [f"__{c}", f"__{c}_na"]
+    vec_inputs = [x for c in num for x in (f"__{c}", f"__{c}_na")]
+    out = df.withColumns({f"__{c}": F.coalesce(F.col(c).cast("double"), F.lit(SENTINEL)) for c in num}
+                         | {f"__{c}_na": F.col(c).isNull().cast("double") for c in num})
     stages = []
     for c in cat:
         stages.append(StringIndexer(inputCol=c, outputCol=f"__{c}_idx", handleInvalid="keep",
@@ -147,114 +142,82 @@ def assert_all_scored(features: DataFrame, scores: DataFrame) -> None:
         raise ValueError(f"{r['n'] - r['n_scored']} customers without a score")
 
 
-def tree_arrays(model: PipelineModel) -> list[tuple]:
-    """The fitted trees as arrays (weight, feature, threshold, left, right,
-    value); a leaf has feature -1."""
-    gbt = model.stages[-1]
-    out = []
-    for weight, tree in zip(gbt.treeWeights, gbt.trees):
-        feature, threshold, left, right, value = [], [], [], [], []
-
-        def add(node) -> int:
-            at = len(feature)
-            inner = node.getClass().getSimpleName() == "InternalNode"
-            split = node.split() if inner else None
-            feature.append(split.featureIndex() if inner else -1)
-            # a one-hot slot is a binary nominal feature: its split names the values that go left
-            nominal = inner and split.getClass().getSimpleName() == "CategoricalSplit"
-            threshold.append(0.5 if nominal else split.threshold() if inner else 0.0)
-            value.append(node.prediction())
-            left.append(at)
-            right.append(at)
-            if inner:
-                left[at], right[at] = add(node.leftChild()), add(node.rightChild())
-                if nominal and 0.0 not in list(split.leftCategories()):
-                    left[at], right[at] = right[at], left[at]
-            return at
-
-        add(tree._call_java("rootNode"))
-        out.append((weight, *map(np.array, (feature, threshold, left, right, value))))
-    return out
-
-
-def tree_margin(tree: tuple, x: np.ndarray) -> np.ndarray:
-    """Weighted prediction of one tree for the rows of ``x``."""
-    weight, feature, threshold, left, right, value = tree
-    at = np.zeros(len(x), np.int64)
-    rows = np.arange(len(x))
-    while True:
-        f = feature[at]
-        open_ = f >= 0
-        if not open_.any():
-            return weight * value[at]
-        go_left = x[rows, np.maximum(f, 0)] <= threshold[at]
-        at = np.where(open_, np.where(go_left, left[at], right[at]), at)
+def permutations(rows: DataFrame, repeats: int, seed: int = S.seed, id_col: str = "customer_id") -> DataFrame:
+    """(repeat, id, donor_id): per repeat a random permutation of the whole set.
+    The ids are numbered in two seeded hash orders; a row takes the place of the
+    row that has its number in the other order. Only ids are ranked and joined,
+    and neither partitions nor batches play a part."""
+    order = rows.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(2 * repeats - 1))).alias("_k"))
+    order = order.withColumn("_h", F.xxhash64(F.lit(seed), "_k", id_col))
+    numbered = distributed_row_number(order, ["_k"], ["_h", id_col], rn="_rn", n="_n").withColumn("repeat", F.floor(F.col("_k") / 2).cast("int"))
+    own = numbered.where(F.col("_k") % 2 == 0).select("repeat", "_rn", id_col)
+    donor = numbered.where(F.col("_k") % 2 == 1).select("repeat", "_rn", F.col(id_col).alias("donor_id"))
+    return own.join(donor, ["repeat", "_rn"]).drop("_rn")
+
+
+def variables_read(model: PipelineModel, df: DataFrame, cols) -> list[str]:
+    """The variables that some tree of the model splits on: permuting another
+    one changes no score."""
+    used = model.stages[-1].featureImportances.indices
+    ready = PipelineModel(model.stages[:-1]).transform(encode(df.limit(0), cols)[0])
+    attrs = ready.schema["features"].metadata["ml_attr"]["attrs"]
+    name_of = {a["idx"]: a["name"] for kind in attrs.values() for a in kind}
+    read = {name_of[int(i)] for i in used}
+    return [c for c in cols if any(n in (f"__{c}", f"__{c}_na") or n.startswith(f"__{c}_oh") for n in read)]
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, cols, label_col: str,
                            variables, repeats: int = 5, seed: int = S.seed) -> DataFrame:
-    """M9: drop in AUC when one column is permuted, mean and std over repeats,
-    on the whole test set.
-
-    Rows are dealt by a seeded hash, so each block a task reads is a random
-    part of the test set; a block permutes a variable's values among its rows
-    and scores them with the fitted trees, of which only those that read the
-    variable are walked again. What leaves a task is narrow (variable, repeat,
-    id, label, score), and one grouped job takes the exact AUCs of all."""
-    enc, _ = encode(test, cols)
-    ready = PipelineModel(model.stages[:-1]).transform(enc)
-    names = [a["name"] for kind in ready.schema["features"].metadata["ml_attr"]["attrs"].values()
-             for a in sorted(kind, key=lambda a: a["idx"])]
-    index = {a["name"]: a["idx"] for kind in ready.schema["features"].metadata["ml_attr"]["attrs"].values() for a in kind}
-    columns = {v: [index[n] for n in names if n in (f"__{v}", f"__{v}_na") or n.startswith(f"__{v}_oh")]
-               for v in variables}
-    trees = tree_arrays(model)
-    dealt = ready.select("customer_id", F.col(label_col).cast("int").alias("y"),
-                         vector_to_array("features").alias("x"))
-    parts = dealt.repartition(F.xxhash64("customer_id", F.lit(seed)))
-
-    def run(batches):
-        for b in batches:
-            n = b.num_rows
-            if not n:
-                continue
-            x = np.array(b.column("x").to_pylist(), float)
-            margins = [tree_margin(t, x) for t in trees]
-            base = np.sum(margins, axis=0)
-            ids, y = b.column("customer_id"), b.column("y")
-
-            def rows(variable, r, margin):
-                return pa.RecordBatch.from_arrays(
-                    [pa.array([variable] * n), pa.array([r] * n, pa.int32()), ids, y,
-                     pa.array(1.0 / (1.0 + np.exp(-2.0 * margin)))],
-                    names=["variable", "repeat", "customer_id", "y", "score"])
-            yield rows("", 0, base)
-            for k, v in enumerate(variables):
-                touched = [i for i, t in enumerate(trees) if np.isin(t[1], columns[v]).any()]
-                for r in range(repeats):
-                    order = np.random.default_rng([seed, k, r, n]).permutation(n)
-                    moved = x.copy()
-                    moved[:, columns[v]] = x[order][:, columns[v]]
-                    yield rows(v, r, base + sum((tree_margin(trees[i], moved) - margins[i] for i in touched), np.zeros(n)))
-
-    scored = materialise(parts.mapInArrow(
-        run, "variable string, repeat int, customer_id long, y int, score double"), "permuted-scores")
-    aucs = auc_exact(scored, "customer_id", "score", "y", ["variable", "repeat"])
-    base_auc = aucs.where(F.col("variable") == "").first()["auc"]  # one scalar
-    drops = aucs.where(F.col("variable") != "").withColumn("_base", F.lit(base_auc))
-    return drops.groupBy("variable").agg(
-        F.avg(F.col("_base") - F.col("auc")).alias("importance_mean"),
-        F.stddev_pop(F.col("_base") - F.col("auc")).alias("importance_std"))
-
-
-def auxiliary_auc(features: DataFrame, target_col: str, drop_cols=()) -> float:
-    """AUC of an auxiliary classifier predicting ``target_col`` from
-    features A (minus tautological columns)."""
+    """M9: drop in exact AUC when one variable is permuted over the whole test
+    set, mean and std (population) over repeats; variables that no tree reads
+    have 0.
+
+    A row and its donor meet once a repeat; one variable after the other takes
+    the donor's value in the projection, the model itself scores the row, and
+    what is shuffled are counts per (variable, repeat, score)."""
+    spark = test.sparkSession
+    cols, variables = list(cols), list(variables)
+    read = [v for v in variables_read(model, test, cols) if v in variables]
+    rest = spark.createDataFrame([(v, 0.0, 0.0) for v in variables if v not in read],
+                                 "variable string, importance_mean double, importance_std double")
+    if not read:
+        return rest
+    base = auc_exact(score(model, test, cols), "customer_id", "score", label_col).first()["auc"]  # one scalar
+    held = test.select("customer_id", F.col(label_col).cast("int").alias("_y"), *cols)
+    pairs = materialise(permutations(test, repeats, seed), "permutations")
+    donors = held.select(F.col("customer_id").alias("donor_id"), *[F.col(c).alias(f"_d_{c}") for c in read])
+    both = pairs.join(held, "customer_id").join(donors, "donor_id")
+    each = both.withColumn("variable", F.explode(F.array(*[F.lit(v) for v in read])))
+    moved = each.select("customer_id", "variable", "repeat", "_y", *[
+        F.when(F.col("variable") == c, F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c) if c in read else F.col(c) for c in cols])
+    scored = score(model, moved, cols).select("variable", "repeat", "_y", "score")
+    drop = F.lit(base) - F.col("auc")
+    found = auc_exact(scored, "customer_id", "score", "_y", ["variable", "repeat"]).groupBy("variable").agg(
+        F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
+    return found.unionByName(rest)
+
+
+def auxiliary_model(features: DataFrame, target_col: str, drop_cols=()) -> dict:
+    """An auxiliary classifier of ``target_col`` from features A (minus
+    tautological columns): model, test set, columns and exact AUC."""
     cols = [c for c in feature_set_a(features) if c not in drop_cols and c != target_col]
     split = stratified_split(features.where(F.col(target_col).isNotNull()), target_col)
     train, test = split.where(F.col("is_test") == 0), split.where(F.col("is_test") == 1)
     m = fit_classifier(train, cols, target_col)
-    return auc_exact(score(m, test, cols), "customer_id", "score", target_col).first()["auc"]
+    auc = auc_exact(score(m, test, cols), "customer_id", "score", target_col).first()["auc"]
+    return {"model": m, "test": test, "cols": cols, "target": target_col, "auc": auc}
+
+
+TOP_VARIABLES = 10
+
+
+def top_variables(aux: dict, n: int = TOP_VARIABLES) -> DataFrame:
+    """The variables an auxiliary model leans on most, by permutation
+    importance (a top-n report): rank, variable, importance."""
+    imp = permutation_importance(aux["model"], aux["test"], aux["cols"], aux["target"], aux["cols"])
+    top = imp.orderBy(F.col("importance_mean").desc(), "variable").limit(n)
+    w = Window.orderBy(F.col("importance_mean").desc(), "variable")  # n rows
+    return top.select(F.row_number().over(w).alias("rank"), "variable", F.col("importance_mean").alias("importance"))
 
 
 def fit_regressor(train: DataFrame, cols, label_col: str, seed: int = S.seed) -> PipelineModel:

@@ -2,6 +2,7 @@
 whose output is a table of check rows (status OK / FAIL / NOT VERIFIED)."""
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -65,33 +66,104 @@ def id_text_check(df: DataFrame, id_col: str) -> DataFrame:
                   F.count(F.lit(1)).cast("long").alias("n_ids"))
 
 
+NOT_VERIFIED = "NOT VERIFIED"
+PRIMARY_KEY, PK_NOT_NULL, NOT_NULL, FOREIGN_KEY, ASCII = "primary_key", "pk_not_null", "not_null", "foreign_key", "ascii"
+
+
+@dataclass(frozen=True)
+class Check:
+    """One constraint of one table; a foreign key names the parent's columns."""
+
+    table: str
+    constraint: str
+    columns: tuple
+    parent: str | None = None
+    parent_columns: tuple = ()
+
+    @property
+    def name(self) -> str:
+        return f"{self.constraint}:{self.parent}" if self.parent else self.constraint
+
+
+def _digests(cols) -> list[F.Column]:
+    """Two 64-bit digests of a key; a null is a value of its own."""
+    parts = [*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols]]
+    return [F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2")]
+
+
+def _marks(number: int, columns, child: int, parent: int, bad=None, key: bool = False, known=None) -> F.Column:
+    none = [F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2")]
+    mark = F.struct(F.lit(number).alias("check"), F.lit(child).alias("child"), F.lit(parent).alias("parent"),
+                    (F.lit(0) if bad is None else bad.cast("int")).alias("bad"), *(_digests(columns) if key else none))
+    return mark if known is None else F.when(known, mark)
+
+
+def check_tables(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """DQ6/DQ7: every constraint of every table, three-valued (OK, FAIL, NOT
+    VERIFIED where a table or column is absent), one row each with rows and
+    violations.
+
+    Each table is read once: a row leaves one small mark a check (its key's
+    digest, or whether it breaks a rule), marks are added up per (check, digest)
+    before and after the one shuffle, and keys seen twice, or seen in the child
+    and not in the parent, are what is left to count."""
+    spark = next(iter(tables.values())).sparkSession
+    cols = {t: set(df.columns) for t, df in tables.items()}
+
+    def present(c):
+        return set(c.columns) <= cols.get(c.table, set()) and (
+            c.parent is None or set(c.parent_columns) <= cols.get(c.parent, set()))
+    marks: dict[str, list] = {}
+    for i, c in enumerate(checks):
+        if not present(c):
+            continue
+        nulls = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in c.columns])
+        own = marks.setdefault(c.table, [])
+        if c.constraint == PRIMARY_KEY:
+            own.append(_marks(i, c.columns, 1, 0, key=True))
+        elif c.constraint in (PK_NOT_NULL, NOT_NULL):
+            own.append(_marks(i, c.columns, 1, 0, nulls))
+        elif c.constraint == ASCII:
+            own.append(_marks(i, c.columns, 1, 0, F.coalesce(has_non_ascii(c.columns[0]), F.lit(False))))
+        else:
+            own.append(_marks(i, c.columns, 1, 0, key=True, known=~nulls))
+            marks.setdefault(c.parent, []).append(_marks(i, c.parent_columns, 0, 1, key=True))
+    names = spark.createDataFrame(
+        [(i, c.table, c.name, ",".join(c.columns), c.constraint, present(c)) for i, c in enumerate(checks)],
+        "check int, table_name string, constraint string, columns string, kind string, present boolean")
+    parts = [tables[t].select(F.explode(F.array_compact(F.array(*m))).alias("m")).select("m.*") for t, m in marks.items()]
+    if parts:
+        per_key = reduce(DataFrame.unionByName, parts).groupBy("check", "h1", "h2").agg(
+            F.sum("child").alias("child"), F.sum("parent").alias("parent"), F.sum("bad").alias("bad"))
+        found = per_key.groupBy("check").agg(
+            F.sum("child").alias("n_rows"), F.sum("bad").alias("bad"), F.sum(F.greatest(F.col("child") - 1, F.lit(0))).alias("again"),
+            F.count_if((F.col("child") > 0) & (F.col("parent") == 0)).alias("orphans"))
+    else:
+        found = spark.createDataFrame([], "check int, n_rows long, bad long, again long, orphans long")
+    out = names.join(found, "check", "left")
+    count = (F.when(F.col("kind") == PRIMARY_KEY, F.col("again")).when(F.col("kind") == FOREIGN_KEY, F.col("orphans"))
+             .otherwise(F.col("bad")))
+    out = out.withColumn("violations", F.when(F.col("present"), F.coalesce(count, F.lit(0)).cast("long")))
+    return out.select("table_name", "constraint", "columns",
+                      F.when(F.col("present"), F.coalesce("n_rows", F.lit(0)).cast("long")).alias("n_rows"), "violations",
+                      F.when(~F.col("present"), F.lit(NOT_VERIFIED)).when(F.col("violations") == 0, F.lit(OK)).otherwise(F.lit(FAIL)).alias("status"))
+
+
+def constraint_checks(pks: dict, not_null: dict, fks: list) -> list[Check]:
+    out = []
+    for t, keys in pks.items():
+        out += [Check(t, PRIMARY_KEY, tuple(keys)), Check(t, PK_NOT_NULL, tuple(keys))]
+    out += [Check(t, NOT_NULL, (c,)) for t, cols in not_null.items() for c in cols]
+    out += [Check(child, FOREIGN_KEY, (col,), parent, (pcol,)) for child, col, parent, pcol in fks]
+    return out
+
+
 def constraint_report(tables: dict[str, DataFrame], pks: dict, not_null: dict,
                       fks: list) -> DataFrame:
-    """DQ7: PK uniqueness, NOT NULL and FK checks over a set of tables
-    (dimensions before facts). One row per constraint with its violation
-    count; the publisher refuses to write when any count is > 0."""
-    rows = []
-    for t, keys in pks.items():
-        d = duplicate_keys(tables[t], keys, t)
-        nn = tables[t].agg(F.count_if(reduce(lambda a, b: a | b,
-                                             [F.col(k).isNull() for k in keys])).alias("_n"))
-        rows.append(d.select(F.lit(t).alias("table_name"), F.lit("primary_key").alias("constraint"),
-                             F.lit(",".join(keys)).alias("columns"),
-                             F.col("n_duplicates").alias("violations")))
-        rows.append(nn.select(F.lit(t).alias("table_name"), F.lit("pk_not_null").alias("constraint"),
-                              F.lit(",".join(keys)).alias("columns"),
-                              F.col("_n").cast("long").alias("violations")))
-    for t, cols in not_null.items():
-        for c in cols:
-            rows.append(tables[t].agg(F.count_if(F.col(c).isNull()).cast("long").alias("violations"))
-                        .select(F.lit(t).alias("table_name"), F.lit("not_null").alias("constraint"),
-                                F.lit(c).alias("columns"), "violations"))
-    for child, col, parent, pcol in fks:
-        o = orphans(tables[child].where(F.col(col).isNotNull()), tables[parent], col, pcol)
-        rows.append(o.select(F.lit(child).alias("table_name"),
-                             F.lit(f"foreign_key:{parent}").alias("constraint"),
-                             F.lit(col).alias("columns"), F.col("n_orphans").alias("violations")))
-    return reduce(DataFrame.unionByName, rows)
+    """DQ7: PK uniqueness, NOT NULL and FK checks over a set of tables in one
+    pass. One row per constraint with its violation count; the publisher refuses
+    to write when any count is > 0."""
+    return check_tables(tables, constraint_checks(pks, not_null, fks)).select("table_name", "constraint", "columns", "violations")
 
 
 def assert_clean(report: DataFrame) -> None:

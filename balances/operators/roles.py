@@ -24,6 +24,10 @@ PROTECTED = ("gender",)
 INTERMEDIATE_SUFFIXES = ("_snapshot_date",)
 INTERMEDIATE = ("first_month",)
 
+#: Say that another column is missing (or not): constant wherever that column is known, so no VIF.
+MISSING_FLAGS = ("missing_estimator", "has_income_estimate", "no_financial_any", "no_financial_all", "missing_financial",
+                 "no_recent_data", "missing_housing", "has_housing_data", "liquid_cv_insufficient", "incomplete_profile")
+
 #: Financial capacity: all that model B may read, in this order.
 SET_B = (*S.financial_cols, "savings_capacity", "income_estimate", "has_income_estimate", "missing_estimator",
          "expense_income_ratio", "savings_income_pct", "liability_asset_ratio", "equity_per_income",

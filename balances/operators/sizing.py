@@ -74,7 +74,15 @@ def sizing_cube(df: DataFrame) -> DataFrame:
 
 
 def executive_summary(df: DataFrame) -> DataFrame:
-    """The top-line scalars in one aggregation."""
+    """The top-line scalars in one aggregation, and the levels whose amounts
+    hardly vary (no signal), by name."""
+    flat = level_dispersion(df).where(F.col("std") < S.flat_std_threshold).agg(
+        F.array_join(F.sort_array(F.collect_list("level")), ",").alias("levels_without_signal"))
+    named = flat.first()["levels_without_signal"]  # at most one name a level
+    return _top_line(df).withColumn("levels_without_signal", F.lit(named or ""))
+
+
+def _top_line(df: DataFrame) -> DataFrame:
     h = F.col("has_investment_history") == 1
     amt = F.col("amount_base_12m")
     return df.agg(

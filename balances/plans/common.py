@@ -6,36 +6,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from balances import session
 from balances.operators import asof
+from balances.session import delete_tables
 from balances.sources import tables
 
-_CUT_CACHE: dict = {}
+#: (application, folder) -> what the folder held when its layers were built.
+_SEEN: dict = {}
+#: (application, folder, name) -> (layer, tables it wrote).
+_LAYERS: dict = {}
 
 
 def balances(spark: SparkSession, d: str) -> DataFrame:
     return tables.balances(spark, d)
 
 
-def cut(spark: SparkSession, d: str):
-    """The global cut scalar (A2), computed once per (app, dir)."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _CUT_CACHE:
-        _CUT_CACHE[key] = asof.global_cut(balances(spark, d))
-    return _CUT_CACHE[key]
+def input_state(spark: SparkSession, d: str) -> tuple:
+    """Names, sizes and times of the input files, asked of their own store."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(d.rstrip("/"))
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def listed(path):
+        out = []
+        for f in fs.listStatus(path):
+            out += listed(f.getPath()) if f.isDirectory() else [(f.getPath().toString(), f.getLen(), f.getModificationTime())]
+        return out
+    return tuple(sorted(listed(top)))
 
-_LAYERS: dict = {}
+
+def _refresh(spark: SparkSession, d: str) -> tuple:
+    """Forget the layers of a folder whose files have changed, and delete their
+    tables, so that the next month's run in one application reads next month."""
+    where = (spark.sparkContext.applicationId, d)
+    state = input_state(spark, d)
+    if _SEEN.get(where) != state:
+        for key in [k for k in _LAYERS if k[:2] == where]:
+            delete_tables(spark, _LAYERS.pop(key)[1])
+        _SEEN[where] = state
+    return where
+
+
+def cut(spark: SparkSession, d: str):
+    """The global cut scalar (A2), computed once per state of the folder."""
+    return layer(spark, d, "cut", lambda: asof.global_cut(balances(spark, d)))
 
 
 def layer(spark: SparkSession, d: str, name: str, build):
     """A materialised pipeline layer (silver panel, gold features, score
-    fact, ...), built once per (Spark application, data dir) — the layered
-    batch of the reference, with reliable checkpoints instead of SQLite files.
+    fact, ...), built once per application and state of the data folder.
     Downstream queries read the layer instead of recomputing its lineage."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _LAYERS:
-        _LAYERS[key] = build()
-    return _LAYERS[key]
+    where = _refresh(spark, d)
+    if (*where, name) not in _LAYERS:
+        before = len(session.WRITTEN)
+        value = build()
+        inner = {p for _, paths in _LAYERS.values() for p in paths}
+        _LAYERS[(*where, name)] = (value, [p for p in session.WRITTEN[before:] if p not in inner])
+    return _LAYERS[(*where, name)][0]
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -631,29 +631,41 @@ SQL["one_vs_rest_rank"] = feat_with(_ovr("feat", "CAST(liquid_balance_total AS D
 SELECT attribute, grp AS "group", CAST(n AS BIGINT) AS n, round(mean, 6) AS mean, round(median, 6) AS median, round(u, 6) AS u,
        round(z, 6) AS z, round({_p_z("z")}, 6) AS p_value FROM ovr_z"""
 
-_CHI_VARS = CAT_VARS + ["has_housing_data", "missing_estimator"]
-SQL["chi2_cramer"] = feat_with() + ",\nck AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '{S.missing_label}') AS category, adoption_label AS y FROM feat"
-    for c in _CHI_VARS) + """),
-per AS (SELECT variable, category, count(*) AS n_i, sum(y) AS e_i FROM ck GROUP BY 1, 2),
-per2 AS (SELECT *, sum(n_i) OVER (PARTITION BY variable) AS nn, sum(e_i) OVER (PARTITION BY variable) AS ee,
-                count(*) OVER (PARTITION BY variable) AS r FROM per),
-per3 AS (SELECT *, (CASE WHEN ee > 0 THEN 1 ELSE 0 END) + (CASE WHEN nn - ee > 0 THEN 1 ELSE 0 END) AS c,
-                n_i * ee / nn AS x1, n_i * (nn - ee) / nn AS x0 FROM per2),
-per4 AS (SELECT *, (r - 1) * (c - 1) AS dof,
-                CASE WHEN (r - 1) * (c - 1) = 1 THEN 0.5 ELSE 0.0 END AS yt FROM per3),
-cells AS (SELECT variable, nn, r, c, dof,
+def _chi(variables, src, label, name):
+    """Chi-square of independence per variable, with its p-value."""
+    return f"{name}_c AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '{S.missing_label}') AS category, {label} AS y FROM {src}"
+        for c in variables) + f"""),
+{name}_1 AS (SELECT variable, category, count(*) AS n_i, sum(y) AS e_i FROM {name}_c GROUP BY 1, 2),
+{name}_2 AS (SELECT *, sum(n_i) OVER (PARTITION BY variable) AS nn, sum(e_i) OVER (PARTITION BY variable) AS ee,
+                count(*) OVER (PARTITION BY variable) AS r FROM {name}_1),
+{name}_3 AS (SELECT *, (CASE WHEN ee > 0 THEN 1 ELSE 0 END) + (CASE WHEN nn - ee > 0 THEN 1 ELSE 0 END) AS c,
+                n_i * ee / nn AS x1, n_i * (nn - ee) / nn AS x0 FROM {name}_2),
+{name}_4 AS (SELECT *, (r - 1) * (c - 1) AS dof,
+                CASE WHEN (r - 1) * (c - 1) = 1 THEN 0.5 ELSE 0.0 END AS yt FROM {name}_3),
+{name}_5 AS (SELECT variable, nn, r, c, dof,
                  (CASE WHEN x1 > 0 THEN power(greatest(abs(e_i - x1) - yt, 0.0), 2) / x1 ELSE 0.0 END)
                + (CASE WHEN x0 > 0 THEN power(greatest(abs((n_i - e_i) - x0) - yt, 0.0), 2) / x0 ELSE 0.0 END) AS cell
-          FROM per4),
-g AS (SELECT variable, sum(cell) AS chi2, first(dof) AS dof, first(nn) AS n, first(r) AS r, first(c) AS c
-      FROM cells GROUP BY variable)
-SELECT variable,
-       round(CASE WHEN r >= 2 AND c >= 2 THEN chi2 END, 6) AS chi2,
+          FROM {name}_4),
+{name}_6 AS (SELECT variable, sum(cell) AS chi2, first(dof) AS dof, first(nn) AS n, first(r) AS r, first(c) AS c
+      FROM {name}_5 GROUP BY variable),
+{name} AS (SELECT variable, CASE WHEN r >= 2 AND c >= 2 THEN chi2 END AS chi2,
        CAST(CASE WHEN r >= 2 AND c >= 2 THEN dof ELSE 0 END AS INTEGER) AS dof,
-       round(CASE WHEN r >= 2 AND c >= 2 AND least(r, c) - 1 > 0 THEN sqrt(chi2 / (n * (least(r, c) - 1))) END, 6) AS cramers_v,
-       CAST(n AS BIGINT) AS n
-FROM g"""
+       CASE WHEN r >= 2 AND c >= 2 AND least(r, c) - 1 > 0 THEN sqrt(chi2 / (n * (least(r, c) - 1))) END AS cramers_v,
+       CAST(n AS BIGINT) AS n FROM {name}_6)"""
+
+
+def _p_chi2(x, k):
+    h = f"({x} / 2.0)"
+    odd = (f"{_erfc(f'sqrt({h})')} + coalesce(list_sum(list_transform(range(1, ({k} - 1) // 2 + 1), "
+           f"lambda j: exp(-{h} + (j - 0.5) * ln({h}) - lgamma(j + 0.5)))), 0.0)")
+    even = f"coalesce(list_sum(list_transform(range(0, {k} // 2), lambda j: exp(-{h} + j * ln({h}) - lgamma(j + 1.0)))), 0.0)"
+    return f"CASE WHEN {x} IS NOT NULL AND {k} > 0 THEN CASE WHEN {x} <= 0 THEN 1.0 WHEN {k} % 2 = 1 THEN {odd} ELSE {even} END END"
+
+
+_CHI_VARS = CAT_VARS + ["has_housing_data", "missing_estimator"]
+SQL["chi2_cramer"] = feat_with(_chi(_CHI_VARS, "feat", "adoption_label", "chi")) + """
+SELECT variable, round(chi2, 6) AS chi2, dof, round(cramers_v, 6) AS cramers_v, n FROM chi"""
 
 SQL["bh_fdr"] = """WITH x AS (SELECT l_orderkey, l_linenumber, l_discount * 10 AS p FROM lineitem),
 rk AS (SELECT *, row_number() OVER (ORDER BY p, l_orderkey) AS rn, count(*) OVER () AS n FROM x),
@@ -749,14 +761,17 @@ BT = _window_cte("tw", "month < valid_start") + ",\n" + _window_cte("fw", "true"
 vw AS (SELECT customer_id, {", ".join(f"arg_min({c}, month) AS {c}_first, arg_max({c}, month) AS {c}_last" for c in _COMPS)}
        FROM comp_h, split WHERE month >= valid_start GROUP BY customer_id),
 nv AS (SELECT greatest(count(DISTINCT month) - 1, 1) AS denom FROM comp_h, split WHERE month >= valid_start),
-bt AS ({" UNION ALL ".join(
+bt0 AS ({" UNION ALL ".join(
     f"SELECT customer_id, '{c}' AS component, {_growth(f'{c}_first', f'{c}_last', 'denom')} AS real, "
     f"tw.{c}_growth AS pred, ({_growth(f'{c}_first', f'{c}_last', 'denom')}) - tw.{c}_growth AS error "
     f"FROM tw JOIN vw USING (customer_id), nv WHERE tw.{c}_growth IS NOT NULL" for c in _COMPS)}),
+bt AS (SELECT * FROM bt0 UNION ALL
+       SELECT customer_id, 'total', sum(real), sum(pred), sum(real) - sum(pred) FROM bt0
+       GROUP BY customer_id HAVING count(CASE WHEN real IS NOT NULL AND pred IS NOT NULL THEN 1 END) = {len(_COMPS)}),
 scen AS (SELECT c.component, coalesce(quantile_cont(b.error, 0.1), 0.0) AS err_lo,
                 coalesce(quantile_cont(b.error, 0.5), 0.0) AS err_median,
                 coalesce(quantile_cont(b.error, 0.9), 0.0) AS err_hi
-         FROM (VALUES {", ".join(f"('{c}')" for c in _COMPS)}) c(component)
+         FROM (VALUES {", ".join(f"('{c}')" for c in (*_COMPS, "total"))}) c(component)
          LEFT JOIN (SELECT * FROM bt WHERE error IS NOT NULL AND NOT isnan(error)) b ON b.component = c.component
          GROUP BY c.component),
 amounts0 AS (SELECT fw.customer_id, {", ".join(
@@ -781,7 +796,7 @@ f1 AS (SELECT f.customer_id, sc.score,
               CASE WHEN f.has_product_history = 1 THEN 'propensity_score'
                    WHEN f.savings_capacity * 12 IS NOT NULL THEN 'proxy_annual_savings_capacity_x_similarity_score'
                    ELSE 'proxy_unavailable_fallback_similarity_score' END AS reference_type,
-              f.segment, f.age_group, f.gender, f.adoption_label
+              f.segment, f.age_group, f.gender, f.housing, f.adoption_label
        FROM feat f LEFT JOIN sc USING (customer_id)),
 f2a AS (SELECT f1.*, {", ".join(f"CASE WHEN h.customer_id IS NOT NULL THEN a.{c} END AS {c}" for c in _AMOUNT_COLS)},
                CAST(h.customer_id IS NOT NULL AS INTEGER) AS has_investment_history
@@ -919,11 +934,11 @@ FROM fact)"""
 
 _SUMM_D = ["gross_inflow_12m", "gross_outflow_12m", "opportunity_conservative_12m", "opportunity_base_12m",
            "opportunity_optimistic_12m", "mean_customer_width", "net_12m"]
-SQL["executive_summary"] = fact_with(SUMMARY) + ",\nsumm2 AS (SELECT *, gross_inflow_12m + gross_outflow_12m AS net_12m FROM summ)\n" + _rsel(
+SQL["executive_summary"] = fact_with(SUMMARY) + ",\nsumm2 AS (SELECT *, gross_inflow_12m + gross_outflow_12m AS net_12m, coalesce((SELECT string_agg(level, ',' ORDER BY level) FROM (SELECT level FROM fact WHERE has_investment_history = 1 AND level IS NOT NULL GROUP BY level HAVING stddev_samp(amount_base_12m) < 1.0) z), '') AS levels_without_signal FROM summ)\n" + _rsel(
     ["n_customers", "n_prioritised_a_b", "n_level_a", "n_level_a_with_history", "n_level_a_without_history",
      "gross_inflow_12m", "n_inflow", "gross_outflow_12m", "n_outflow", "opportunity_conservative_12m",
-     "opportunity_base_12m", "opportunity_optimistic_12m", "n_with_amount", "mean_customer_width", "net_12m"],
-    set(_SUMM_D), "summ2")
+     "opportunity_base_12m", "opportunity_optimistic_12m", "n_with_amount", "mean_customer_width", "net_12m",
+     "levels_without_signal"], set(_SUMM_D), "summ2")
 
 SQL["band_widths"] = fact_with(SUMMARY) + """
 SELECT round(opportunity_optimistic_12m - opportunity_conservative_12m, 6) AS aggregate_width,
@@ -966,12 +981,6 @@ SQL["disparate_impact"] = fact_with(SEL) + """
 SELECT attribute, round(min_rate, 6) AS min_rate, round(max_rate, 6) AS max_rate,
        round(impact_ratio, 6) AS impact_ratio, passes_80_rule, worst_group, best_group FROM di2"""
 
-SQL["fairness_fact"] = fact_with(SEL) + """
-SELECT r.attribute, r."group", r.n, r.n_selected, round(r.selection_rate, 6) AS selection_rate,
-       round(d.impact_ratio, 6) AS impact_ratio, d.passes_80_rule
-FROM rates r LEFT JOIN di2 d USING (attribute)"""
-
-
 # --------------------------------------------------------------------------
 # marts and reports
 # --------------------------------------------------------------------------
@@ -1065,17 +1074,25 @@ SELECT CAST(distance AS INTEGER) AS distance, n,
 FROM h"""
 
 SQL["stratified_rates"] = feat_with() + """,
-blk AS (SELECT 'all' AS stratum, has_income_estimate, CAST(count(*) AS BIGINT) AS n,
+sblk AS (SELECT 'all' AS stratum, has_income_estimate, CAST(count(*) AS BIGINT) AS n,
                CAST(sum(adoption_label) AS BIGINT) AS positives FROM feat GROUP BY has_income_estimate
         UNION ALL
         SELECT 'has_product_history', has_income_estimate, CAST(count(*) AS BIGINT),
                CAST(sum(adoption_label) AS BIGINT) FROM feat WHERE has_product_history = 1
         GROUP BY has_income_estimate),
-r AS (SELECT *, CAST(positives AS DOUBLE) / n AS rate FROM blk)
+srt AS (SELECT *, CAST(positives AS DOUBLE) / n AS rate, sum(n) OVER w AS nn, sum(positives) OVER w AS pp, count(*) OVER w AS k
+        FROM sblk WINDOW w AS (PARTITION BY stratum)),
+sx AS (SELECT *, n * pp / nn AS x1, n * (nn - pp) / nn AS x0 FROM srt),
+sy AS (SELECT *, CASE WHEN k = 2 AND pp > 0 AND pp < nn THEN
+              power(abs(positives - x1) - least(0.5, abs(positives - x1)), 2) / x1
+              + power(abs((n - positives) - x0) - least(0.5, abs((n - positives) - x0)), 2) / x0 END AS cell FROM sx),
+sz AS (SELECT *, sum(cell) OVER (PARTITION BY stratum) AS chi2 FROM sy)
 SELECT stratum, has_income_estimate, n, positives, round(rate, 6) AS rate,
        round(max(CASE WHEN has_income_estimate = 1 THEN rate END) OVER (PARTITION BY stratum)
-             - max(CASE WHEN has_income_estimate = 0 THEN rate END) OVER (PARTITION BY stratum), 6) AS rate_difference
-FROM r"""
+             - max(CASE WHEN has_income_estimate = 0 THEN rate END) OVER (PARTITION BY stratum), 6) AS rate_difference,
+       round(chi2, 6) AS chi2, CASE WHEN chi2 IS NOT NULL THEN 1 END AS dof,
+       round(""" + _p_chi2("chi2", "1") + """, 6) AS p_value
+FROM sz"""
 
 SQL["plausibility"] = feat_with() + """
 SELECT 'savings_capacity' AS variable, CAST(count(savings_capacity) AS BIGINT) AS n,
@@ -1090,27 +1107,81 @@ IVS = """ivs AS (SELECT variable, sum(iv_bin) AS iv FROM (
           SELECT variable, iv_bin FROM woe_num UNION ALL SELECT variable, iv_bin FROM woe_cat) u
         GROUP BY variable)"""
 
-SQL["table_profile"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG, WOE_CAT, IVS) + f""",
-roles(variable, role) AS (VALUES {_roles_values()}),
-nulls AS ({" UNION ALL ".join(f"SELECT '{c}' AS variable, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null FROM feat" for c in FEATURE_COLUMNS)})
-SELECT roles.variable, role, n_null, round(iv, 6) AS iv,
-       CASE WHEN ivs.iv IS NULL THEN NULL ELSE {_IVC.replace('iv <', 'ivs.iv <')} END AS iv_class
-FROM roles JOIN nulls USING (variable) LEFT JOIN ivs ON roles.variable = ivs.variable"""
-
-CAT_LONG2 = "cl AS (" + " UNION ALL ".join(
-    f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '{S.missing_label}') AS bin FROM feat"
-    for c in CAT_VARS) + ")"
+_FLAGS = {"missing_estimator", "has_income_estimate", "no_financial_any", "no_financial_all", "missing_financial",
+          "no_recent_data", "missing_housing", "has_housing_data", "liquid_cv_insufficient"}
+_VIF_CAND = [c for c in NUM_VARS if c not in _FLAGS]
+#: VIF by sweeping each column's correlation matrix of all others (needs WITH RECURSIVE).
+VIF = f"""velig AS (SELECT list_filter(range(1, {len(_VIF_CAND) + 1}), lambda i: nn[i] * 2 < n) AS idx
+          FROM (SELECT [{", ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in _VIF_CAND)}] AS nn, count(*) AS n FROM feat) q),
+vsel AS (SELECT list_transform(e.idx, lambda i: r.v[i]) AS x
+         FROM (SELECT [{", ".join(f"CAST({c} AS DOUBLE)" for c in _VIF_CAND)}] AS v FROM feat) r, velig e),
+vok AS (SELECT x FROM vsel WHERE len(list_filter(x, lambda a: a IS NULL)) = 0),
+vidx AS (SELECT unnest(range(1, len(idx) + 1)) AS i FROM velig),
+vcorr AS (SELECT a.i, b.i AS j, corr(x[a.i], x[b.i]) AS c FROM vok, vidx a, vidx b GROUP BY a.i, b.i),
+vrows AS (SELECT i, list(CASE WHEN c IS NULL OR isnan(c) THEN 0.0 ELSE c END ORDER BY j) AS cs FROM vcorr GROUP BY i),
+vmat AS (SELECT list(cs ORDER BY i) AS m FROM vrows),
+sweep AS (SELECT vidx.i AS own, CAST(1 AS BIGINT) AS p, m FROM vmat, vidx
+          UNION ALL
+          SELECT own, p + 1, CASE WHEN p <> own AND m[p][p] > 1e-10 THEN
+                   list_transform(m, lambda r: list_transform(range(1, len(m) + 1), lambda j: r[j] - r[p] * m[p][j] / m[p][p])) ELSE m END
+          FROM sweep WHERE p <= len(m)),
+vif AS (SELECT [{", ".join(f"'{c}'" for c in _VIF_CAND)}][idx[own]] AS variable,
+               CASE WHEN m[own][own] > 1e-10 THEN 1.0 / m[own][own] ELSE CAST('inf' AS DOUBLE) END AS vif
+        FROM sweep, velig WHERE p = len(m) + 1)"""
 
-SQL["decision_rules"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG2, WOE_CAT, IVS) + f""",
-hd AS (SELECT CASE WHEN max(iv) FILTER (WHERE variable = 'housing') >= {S.iv_min} THEN 'keep_category'
+DECISIONS = f"""hd AS (SELECT CASE WHEN max(iv) FILTER (WHERE variable = 'housing') >= {S.iv_min} THEN 'keep_category'
                    WHEN max(iv) FILTER (WHERE variable = 'has_housing_data') >= {S.iv_min} THEN 'keep_flag'
-                   ELSE 'drop' END AS housing_decision FROM ivs)
-SELECT variable, round(iv, 6) AS iv, {_IVC} AS iv_class,
-       CASE WHEN variable IN ('gender') THEN 'exclude_protected'
-            WHEN variable = 'housing' THEN housing_decision
-            WHEN iv IS NULL THEN 'review'
-            WHEN iv < {S.iv_min} THEN 'exclude_low_iv' ELSE 'include' END AS decision
-FROM ivs, hd"""
+                   ELSE 'drop' END AS housing_decision FROM ivs),
+dec0 AS (SELECT ivs.variable, ivs.iv, vif.vif, CAST(vif.vif > {S.vif_alert} AS INTEGER) AS vif_alert, housing_decision,
+       CASE WHEN ivs.variable = 'gender' THEN 'exclude_protected'
+            WHEN ivs.variable = 'housing' THEN CASE housing_decision WHEN 'keep_category' THEN 'include'
+              WHEN 'keep_flag' THEN 'exclude_use_flag' ELSE 'exclude_block' END
+            WHEN ivs.variable IN ('has_housing_data', 'missing_housing') THEN
+              CASE housing_decision WHEN 'keep_flag' THEN 'include' ELSE 'exclude_redundant' END
+            WHEN ivs.iv IS NULL THEN 'review'
+            WHEN ivs.iv < {S.iv_min} THEN 'exclude_low_iv'
+            WHEN vif.vif > {S.vif_alert} THEN 'include_vif_alert' ELSE 'include' END AS decision
+FROM ivs LEFT JOIN vif ON vif.variable = ivs.variable, hd),
+dec AS (SELECT *, CASE WHEN decision = 'exclude_protected' THEN 'suitability, not predictive power'
+                       WHEN variable IN ('housing', 'has_housing_data', 'missing_housing') THEN 'housing rule: ' || housing_decision
+                       WHEN decision = 'exclude_low_iv' THEN 'iv below minimum'
+                       WHEN decision = 'include_vif_alert' THEN 'collinear, reported' END AS reason,
+               {_IVC} AS iv_class FROM dec0)"""
+DEC_CTES = (NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG, WOE_CAT, IVS, VIF, DECISIONS)
+
+
+def decisions_with(*extra):
+    return feat_with(*DEC_CTES, *extra).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+SQL["vif_all"] = feat_with(VIF).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT variable, round(vif, 4) AS vif FROM vif"
+
+SQL["table_profile"] = decisions_with() + f""",
+roles(variable, role) AS (VALUES {_roles_values()}),
+types AS (SELECT column_name AS variable, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS type FROM (DESCRIBE SELECT * FROM feat)),
+nulls AS ({" UNION ALL ".join(f"SELECT '{c}' AS variable, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, count(*) AS n FROM feat" for c in FEATURE_COLUMNS)})
+SELECT roles.variable, role, type, n_null, round(n_null / n, 6) AS null_share, round(iv, 6) AS iv, iv_class, decision
+FROM roles JOIN nulls USING (variable) JOIN types USING (variable) LEFT JOIN dec ON roles.variable = dec.variable"""
+
+SQL["decision_rules"] = decisions_with() + """
+SELECT variable, round(iv, 6) AS iv, iv_class, vif_alert, decision, reason FROM dec"""
+
+VALIDATION = f"""vtypes(variable, type) AS (VALUES {", ".join([f"('{c}', 'continuous')" for c in NUM_VARS] + [f"('{c}', 'categorical')" for c in CAT_VARS])}),
+vnull AS ({" UNION ALL ".join(f"SELECT '{c}' AS variable, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null FROM feat" for c in NUM_VARS + CAT_VARS)}),
+vpmw AS (SELECT variable, {_p_z("z")} AS p_mann_whitney FROM mw),
+vpch AS (SELECT variable, chi2, cramers_v, {_p_chi2("chi2", "dof")} AS p_chi2 FROM chi),
+vp AS (SELECT variable, coalesce(p_mann_whitney, p_chi2) AS p_value FROM vtypes LEFT JOIN vpmw USING (variable) LEFT JOIN vpch USING (variable)),
+vbr AS (SELECT variable, p_value, row_number() OVER (ORDER BY p_value, variable) AS rn, count(*) OVER () AS n FROM vp WHERE p_value IS NOT NULL),
+vbh AS (SELECT variable, least(min(p_value * n / rn) OVER (ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) AS q_value FROM vbr),
+validation AS (SELECT t.variable, t.type, u.n_null, d.iv, d.iv_class, m.p_mann_whitney, md.median_event, md.median_non_event, c.chi2, c.p_chi2,
+       c.cramers_v, p.p_value, b.q_value, CAST(b.q_value <= 0.05 AS INTEGER) AS significant, round(d.vif, 4) AS vif, d.vif_alert, d.decision, d.reason
+FROM vtypes t JOIN vnull u USING (variable) LEFT JOIN vpmw m USING (variable) LEFT JOIN med md USING (variable) LEFT JOIN vpch c USING (variable)
+LEFT JOIN vp p USING (variable) LEFT JOIN vbh b USING (variable) LEFT JOIN dec d ON d.variable = t.variable)"""
+VAL_CTES = (MW, _chi(CAT_VARS, "feat", "adoption_label", "chi"), VALIDATION)
+_VAL_D = ["iv", "p_mann_whitney", "median_event", "median_non_event", "chi2", "p_chi2", "cramers_v", "p_value", "q_value"]
+SQL["validation_table"] = decisions_with(*VAL_CTES) + "SELECT variable, type, n_null, iv_class, significant, vif, vif_alert, decision, reason, " + \
+    ", ".join(f"round({c}, 6) AS {c}" for c in _VAL_D) + " FROM validation"
 
 
 def _auc_sql(label_expr, name, known="true"):
@@ -1126,26 +1197,42 @@ def _band(lo, hi):
     return f"CASE WHEN auc < {lo} THEN 'low' WHEN auc <= {hi} THEN 'moderate' ELSE 'high' END"
 
 
-SQL["auc_bands"] = feat_with(_auc_sql("missing_estimator", "pat"),
-                             _auc_sql("CAST(gender = 'F' AS INTEGER)", "prx", "gender IS NOT NULL")) + f"""
-SELECT 'missing_estimator_pattern' AS rule, round(auc, 6) AS auc, {_band(S.auc_pattern_weak, S.auc_pattern_informative)} AS band FROM pat
+SQL["fairness_fact"] = fact_with(SEL, _ovr("fact", "score", "ovs"), _auc_sql("CAST(gender = 'F' AS INTEGER)", "prx", "gender IS NOT NULL")) + f"""
+SELECT r.attribute, r."group", r.n, r.n_selected, round(r.selection_rate, 6) AS selection_rate,
+       round(z.mean, 6) AS score_mean, round(z.median, 6) AS score_median, round({_p_z("z.z")}, 6) AS p_value,
+       round(d.impact_ratio, 6) AS impact_ratio, d.passes_80_rule, round(prx.auc, 6) AS proxy_auc,
+       {_band(S.auc_proxy_moderate, S.auc_proxy_substantial)} AS proxy_band
+FROM rates r LEFT JOIN di2 d USING (attribute) LEFT JOIN ovs_z z ON z.attribute = r.attribute AND z.grp = r."group", prx"""
+
+AUC_RULES = f"""rules AS (SELECT 'missing_estimator_pattern' AS rule, auc, {_band(S.auc_pattern_weak, S.auc_pattern_informative)} AS band FROM pat
+UNION ALL
+SELECT 'gender_proxy', auc, {_band(S.auc_proxy_moderate, S.auc_proxy_substantial)} FROM prx),
+bands AS (SELECT rule, auc, band, CASE rule WHEN 'gender_proxy'
+         THEN CASE band WHEN 'low' THEN 'minimal proxy' WHEN 'moderate' THEN 'moderate proxy' ELSE 'substantial proxy' END
+         ELSE CASE band WHEN 'low' THEN 'about random' WHEN 'moderate' THEN 'weak pattern' ELSE 'informative absence' END END AS conclusion,
+       CASE rule WHEN 'gender_proxy'
+         THEN CASE band WHEN 'low' THEN 'document_and_continue' WHEN 'moderate' THEN 'document_associated_variables' ELSE 'investigate_mitigation' END
+         ELSE CASE band WHEN 'high' THEN 'flag_as_predictor_no_global_imputation' ELSE 'keep_flag_without_imputing' END END AS action,
+       CASE WHEN rule <> 'gender_proxy' THEN 0 END AS impute,
+       CASE WHEN rule <> 'gender_proxy' THEN CAST(band = 'high' AS INTEGER) END AS flag_as_predictor,
+       CAST(band <> 'low' AS INTEGER) AS document_variables FROM rules)"""
+RULE_CTES = (_auc_sql("missing_estimator", "pat"), _auc_sql("CAST(gender = 'F' AS INTEGER)", "prx", "gender IS NOT NULL"), AUC_RULES)
+SQL["auc_bands"] = feat_with(*RULE_CTES) + """
+SELECT rule, round(auc, 6) AS auc, band, conclusion, action, impute, flag_as_predictor, document_variables FROM bands"""
+
+SQL["imputation_plan"] = feat_with(*RULE_CTES) + """
+SELECT action, 'none' AS kind, CAST(NULL AS VARCHAR) AS segment, CAST(NULL AS DOUBLE) AS value
+FROM bands WHERE rule = 'missing_estimator_pattern' AND action = 'keep_flag_without_imputing'
 UNION ALL
-SELECT 'gender_proxy', round(auc, 6), {_band(S.auc_proxy_moderate, S.auc_proxy_substantial)} FROM prx"""
+SELECT action, CASE action WHEN 'keep_flag_impute_segment_median' THEN 'segment_median' ELSE 'offered_segment_median' END, segment, round(m, 6)
+FROM bands, (SELECT segment, quantile_cont(income_estimate, 0.5) AS m FROM feat WHERE income_estimate IS NOT NULL GROUP BY segment) x
+WHERE rule = 'missing_estimator_pattern' AND action <> 'keep_flag_without_imputing'"""
 
-_IMP_VARS = NUM_VARS
-IMP_LONG = "nl AS (" + " UNION ALL ".join(
-    f"SELECT customer_id, adoption_label AS y, '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM feat"
-    for c in _IMP_VARS) + ")"
-NUM_LONG_IV = NUM_LONG.replace("nl AS (", "nliv AS (", 1)
-NUM_BINS_IV = NUM_BINS.replace("FROM nl ", "FROM nliv ").replace("FROM nl\n", "FROM nliv\n") \
-    .replace("nl.", "nliv.").replace("JOIN nl ", "JOIN nliv ")
-
-SQL["importance_iv_join"] = feat_with(IMP_LONG, MW, NUM_LONG_IV, NUM_BINS_IV, WOE_NUM, CAT_LONG, WOE_CAT, IVS) + """
-SELECT coalesce(i.variable, ivs.variable) AS variable,
-       round(abs(i.u / (i.n_event * i.n_non_event) - 0.5), 6) AS importance,
-       round(ivs.iv, 6) AS iv,
-       CASE WHEN ivs.iv IS NULL THEN NULL ELSE """ + _IVC.replace("iv <", "ivs.iv <") + """ END AS iv_class
-FROM mw i FULL OUTER JOIN ivs ON i.variable = ivs.variable"""
+SQL["importance_iv_join"] = decisions_with(*VAL_CTES) + """
+SELECT coalesce(i.variable, v.variable) AS variable, round(abs(i.u / (i.n_event * i.n_non_event) - 0.5), 6) AS importance,
+       round(v.iv, 6) AS iv, v.iv_class, v.vif, v.vif_alert, round(v.q_value, 6) AS q_value, v.significant, v.decision
+FROM mw i FULL OUTER JOIN validation v ON i.variable = v.variable
+ORDER BY abs(i.u / (i.n_event * i.n_non_event) - 0.5) DESC NULLS LAST, 1"""
 
 SQL["evidence_topk"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM) + f""",
 ev AS (SELECT b.customer_id, b.variable, b.value, b.bin_kind, b.bin_lo, b.bin_hi, w.woe, abs(w.woe) AS strength,
@@ -1191,17 +1278,7 @@ FROM fact GROUP BY population, level
 UNION ALL
 SELECT 'segment', segment, level, CAST(count(*) AS BIGINT) FROM fact GROUP BY segment, level"""
 
-DECISIONS = f"""hd AS (SELECT CASE WHEN max(iv) FILTER (WHERE variable = 'housing') >= {S.iv_min} THEN 'keep_category'
-                   WHEN max(iv) FILTER (WHERE variable = 'has_housing_data') >= {S.iv_min} THEN 'keep_flag'
-                   ELSE 'drop' END AS housing_decision FROM ivs),
-dec AS (SELECT variable, iv,
-       CASE WHEN variable IN ('gender') THEN 'exclude_protected'
-            WHEN variable = 'housing' THEN housing_decision
-            WHEN iv IS NULL THEN 'review'
-            WHEN iv < {S.iv_min} THEN 'exclude_low_iv' ELSE 'include' END AS decision
-FROM ivs, hd)"""
-
-SQL["decision_counts"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG2, WOE_CAT, IVS, DECISIONS) + """
+SQL["decision_counts"] = decisions_with() + """
 SELECT decision, CAST(count(*) AS BIGINT) AS n FROM dec GROUP BY decision"""
 
 _OV = ["missing_estimator", "missing_housing", "missing_financial"]
@@ -1214,7 +1291,7 @@ SQL["id_check"] = with_(CUST) + """
 SELECT CAST(count(*) FILTER (WHERE NOT regexp_matches(CAST(customer_id AS VARCHAR), '^-?\\d{1,20}$')) AS BIGINT) AS n_bad_ids,
        CAST(count(*) AS BIGINT) AS n_ids FROM cust_raw"""
 
-SQL["importance_top"] = feat_with(IMP_LONG, MW) + """
+SQL["importance_top"] = feat_with(NUM_LONG, MW) + """
 SELECT variable, round(abs(u / (n_event * n_non_event) - 0.5), 6) AS importance FROM mw
 ORDER BY abs(u / (n_event * n_non_event) - 0.5) DESC NULLS LAST, variable LIMIT 12"""
 
@@ -1230,14 +1307,13 @@ SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_pre, CAST(coalesce(sum(n2), 0) A
          AS n_mismatched_cells
 FROM j"""
 
-SQL["woe_retained"] = feat_with(NUM_LONG, NUM_BINS, WOE_NUM, CAT_LONG2, WOE_CAT, IVS, DECISIONS) + """
+SQL["woe_retained"] = decisions_with() + """
 SELECT variable, bin_kind, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, CAST(NULL AS VARCHAR) AS bin,
        n, events, round(woe, 6) AS woe
-FROM woe_num WHERE variable IN (SELECT variable FROM dec WHERE decision = 'include')
+FROM woe_num WHERE variable IN (SELECT variable FROM dec WHERE decision IN ('include', 'include_vif_alert'))
 UNION ALL
 SELECT variable, 'category', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), bin, n, events, round(woe, 6)
-FROM woe_cat WHERE variable IN ('age_group', 'gender', 'segment', 'housing')
-  AND variable IN (SELECT variable FROM dec WHERE decision IN ('include', 'keep_category'))"""
+FROM woe_cat WHERE variable IN (SELECT variable FROM dec WHERE decision IN ('include', 'include_vif_alert'))"""
 
 SQL["segment_median_impute"] = feat_with() + """,
 med AS (SELECT segment, quantile_cont(income, 0.5) AS m FROM feat WHERE income IS NOT NULL GROUP BY segment)
@@ -1266,5 +1342,108 @@ FROM ranked"""
 _KV = ["n_customers", "n_prioritised_a_b", "n_level_a", "n_level_a_with_history", "n_level_a_without_history",
        "gross_inflow_12m", "n_inflow", "gross_outflow_12m", "n_outflow", "opportunity_conservative_12m",
        "opportunity_base_12m", "opportunity_optimistic_12m", "n_with_amount", "mean_customer_width", "net_12m"]
-SQL["summary_kv"] = fact_with(SUMMARY) + ",\nsumm2 AS (SELECT *, gross_inflow_12m + gross_outflow_12m AS net_12m FROM summ)\n" + \
+SQL["summary_kv"] = fact_with(SUMMARY) + ",\nsumm2 AS (SELECT *, gross_inflow_12m + gross_outflow_12m AS net_12m, coalesce((SELECT string_agg(level, ',' ORDER BY level) FROM (SELECT level FROM fact WHERE has_investment_history = 1 AND level IS NOT NULL GROUP BY level HAVING stddev_samp(amount_base_12m) < 1.0) z), '') AS levels_without_signal FROM summ)\n" + \
     " UNION ALL ".join(f"SELECT '{k}' AS key, round(CAST({k} AS DOUBLE), 6) AS value FROM summ2" for k in _KV)
+
+
+# --------------------------------------------------------------------------
+# quality report, monitoring
+# --------------------------------------------------------------------------
+def _check(table, src, constraint, columns, violations, rows="count(*)"):
+    return (f"SELECT '{table}' AS table_name, '{constraint}' AS \"constraint\", '{columns}' AS columns, CAST({rows} AS BIGINT) AS n_rows, "
+            f"CAST({violations} AS BIGINT) AS violations FROM {src}")
+
+
+def _key(table, src, columns):
+    return _check(table, src, "primary_key", columns, f"count(*) - count(DISTINCT ({columns}))" if "," in columns
+                  else f"count(*) - count(DISTINCT {columns})")
+
+
+def _nulls(table, src, constraint, columns):
+    cond = " OR ".join(f"{c} IS NULL" for c in columns.split(","))
+    return _check(table, src, constraint, columns, f"count(*) FILTER (WHERE {cond})")
+
+
+def _ascii(table, src, c):
+    return _check(table, src, "ascii", c, f"count(*) FILTER (WHERE regexp_matches({c}, '[^\\x00-\\x7F]'))")
+
+
+def _fk(table, src, c, parent, psrc, pc):
+    return _check(table, f"(SELECT {c} AS k FROM {src} WHERE {c} IS NOT NULL) x LEFT JOIN (SELECT DISTINCT {pc} AS pk FROM {psrc}) y ON x.k = y.pk",
+                  f"foreign_key:{parent}", c, "count(DISTINCT k) FILTER (WHERE pk IS NULL)")
+
+
+_UNKNOWN = ("SELECT '{t}', '{k}', '{c}', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")
+_QUALITY = [
+    _key("balances", "bal", "customer_id,product,row_key"), _key("balances", "bal", "customer_id,product,obs_date"),
+    _UNKNOWN.format(t="balances", k="primary_key", c="customer_id,product,valuation_date"),
+    _nulls("balances", "bal", "not_null", "obs_date"), _nulls("balances", "bal", "not_null", "balance"), _ascii("balances", "bal", "product"),
+    _fk("balances", "bal", "customer_id", "customers", "cust_raw", "customer_id"),
+    _key("customers", "cust_raw", "customer_id"), _nulls("customers", "cust_raw", "pk_not_null", "customer_id"),
+    *[_nulls("customers", "cust_raw", "not_null", c) for c in ("gender", "segment", "housing", "income", "assets")], _ascii("customers", "cust_raw", "name"),
+    _key("income_estimates", "est", "customer_id"), _fk("income_estimates", "est", "customer_id", "customers", "cust_raw", "customer_id"),
+    _key("customer_features", "feat", "customer_id"), _fk("customer_features", "feat", "customer_id", "customers", "cust_raw", "customer_id"),
+    _UNKNOWN.format(t="exchange_rates", k="primary_key", c="currency"),
+    _key("dim_product", "dim_product", "product_id"), _nulls("dim_product", "dim_product", "pk_not_null", "product_id"),
+    _key("dim_time", "dim_time", "date_id"), _nulls("dim_time", "dim_time", "pk_not_null", "date_id"),
+    _key("fact_monthly", "fact", "customer_id,product_id,date_id"), _nulls("fact_monthly", "fact", "pk_not_null", "customer_id,product_id,date_id"),
+    _nulls("fact_monthly", "fact", "not_null", "month"),
+    _fk("fact_monthly", "fact", "product_id", "dim_product", "dim_product", "product_id"),
+    _fk("fact_monthly", "fact", "date_id", "dim_time", "dim_time", "date_id"),
+]
+SQL["quality_report"] = feat_with(STAR) + "SELECT *, CASE WHEN violations IS NULL THEN 'NOT VERIFIED' WHEN violations = 0 THEN 'OK' ELSE 'FAIL' END AS status FROM (\n" + \
+    "\nUNION ALL ".join(_QUALITY) + ") q"
+
+
+def _inputs_at(i, cut_expr):
+    """Product features as of a cut, pivoted to the model variables of a customer."""
+    products = [p for p in S.product_slugs if p not in S.label_products]
+    cols = []
+    for p in products:
+        cols += [f"coalesce(max(CASE WHEN product = '{p}' THEN balance_snapshot END), 0.0) AS {p}_balance_snapshot"]
+        cols += [f"CASE WHEN count(*) FILTER (WHERE product = '{p}') = 0 THEN 0.0 ELSE max(CASE WHEN product = '{p}' THEN {c} END) END AS {p}_{c}"
+                 for c in ("balance_mean_6m", "trend_6m")]
+        cols += [f"CAST(coalesce(max(CASE WHEN product = '{p}' THEN n_obs_window END), 0) AS DOUBLE) AS {p}_n_obs_window"]
+    liquid = " + ".join(f"coalesce(max(CASE WHEN product = '{p}' THEN balance_snapshot END), 0.0)" for p in S.liquid_products)
+    label = " OR ".join(f"coalesce(max(CASE WHEN product = '{p}' THEN balance_snapshot END) > 0, false)" for p in S.label_products)
+    return f"""mc{i} AS (SELECT c AS cut_date, CAST(c - INTERVAL 6 MONTH AS DATE) AS win_start, CAST(c - INTERVAL 3 MONTH AS DATE) AS mid
+         FROM (SELECT CAST({cut_expr} AS DATE) AS c FROM cut) q),
+ms{i} AS (SELECT customer_id, product,
+         arg_max(balance, {{'d': obs_date, 'k': row_key}}) FILTER (WHERE balance IS NOT NULL) AS balance_snapshot,
+         avg(balance) FILTER (WHERE obs_date >= win_start) AS balance_mean_6m,
+         count(balance) FILTER (WHERE obs_date >= win_start) AS n_obs_window,
+         avg(balance) FILTER (WHERE obs_date >= mid) - avg(balance) FILTER (WHERE obs_date >= win_start AND obs_date < mid) AS trend_6m
+       FROM bal, mc{i} WHERE obs_date <= cut_date GROUP BY customer_id, product),
+mi{i} AS (SELECT {i} AS y, {", ".join(cols)}, {liquid} AS liquid_balance_total, CAST({label} AS INTEGER) AS label
+       FROM ms{i} GROUP BY customer_id)"""
+
+
+_MON_VARS = [f"{p}_{c}" for p in S.product_slugs if p not in S.label_products
+             for c in ("balance_snapshot", "balance_mean_6m", "trend_6m", "n_obs_window")] + ["liquid_balance_total"]
+MONITOR = _inputs_at(0, "cut_date - INTERVAL 12 MONTH") + ",\n" + _inputs_at(1, "cut_date") + f""",
+mi AS (SELECT * FROM mi0 UNION ALL SELECT * FROM mi1),
+ml AS ({" UNION ALL ".join(f"SELECT '{c}' AS variable, y, {c} AS v FROM mi WHERE {c} IS NOT NULL" for c in _MON_VARS)}),
+mq AS (SELECT variable, list_sort(list_distinct(quantile_cont(v, {DEC}))) AS e FROM ml WHERE y = 0 GROUP BY variable),
+mb AS (SELECT variable, len(list_filter(e[2:len(e) - 1], lambda x: x < v)) AS bin, count(*) FILTER (WHERE y = 0) AS nb, count(*) FILTER (WHERE y = 1) AS nc
+       FROM ml JOIN mq USING (variable) GROUP BY 1, 2),
+mp AS (SELECT variable, (nc + 0.5) / (sum(nc) OVER w + 0.5 * count(*) OVER w) AS p, (nb + 0.5) / (sum(nb) OVER w + 0.5 * count(*) OVER w) AS q
+       FROM mb WINDOW w AS (PARTITION BY variable)),
+mr AS (SELECT y, label, (2 * rank() OVER (PARTITION BY y ORDER BY liquid_balance_total) + count(*) OVER (PARTITION BY y, liquid_balance_total) - 1) / 2.0 AS r
+       FROM mi),
+ma AS (SELECT y, CASE WHEN sum(label) > 0 AND count(*) - sum(label) > 0
+                 THEN (sum(r * label) - sum(label) * (sum(label) + 1) / 2.0) / (sum(label) * (count(*) - sum(label))) END AS auc FROM mr GROUP BY y),
+mauc AS (SELECT max(CASE WHEN y = 0 THEN auc END) AS base, max(CASE WHEN y = 1 THEN auc END) AS now FROM ma),
+mape AS (SELECT component, quantile_cont(CASE WHEN abs(real) > 1.0 THEN abs((real - pred) / abs(real)) END, 0.5) AS v FROM bt
+         WHERE real IS NOT NULL AND pred IS NOT NULL GROUP BY component),
+msrc AS (SELECT source, max(obs_date) AS last FROM bal GROUP BY source),
+mon AS (SELECT 'psi' AS indicator, variable, sum((p - q) * ln(p / q)) AS value, 0.25 AS threshold, true AS above FROM mp GROUP BY variable
+  UNION ALL SELECT 'auc_drop', 'liquid_balance_total', base - now, 0.05, true FROM mauc
+  UNION ALL SELECT 'auc_ceiling', 'liquid_balance_total', now, {S.auc_leak_ceiling}, true FROM mauc
+  UNION ALL SELECT 'impact_ratio', attribute, impact_ratio, {S.disparate_impact_min}, false FROM di2
+  UNION ALL SELECT 'proxy_auc', 'gender', auc, {S.auc_proxy_substantial}, true FROM prx
+  UNION ALL SELECT 'backtest_ape_median', component, v, 0.10, true FROM mape
+  UNION ALL SELECT 'source_age_days', source, CAST((SELECT max(last) FROM msrc) - last AS DOUBLE), 31.0, true FROM msrc)"""
+SQL["monitoring"] = fact_with(SEL, _auc_sql("CAST(gender = 'F' AS INTEGER)", "prx", "gender IS NOT NULL"), MONITOR) + """
+SELECT indicator, variable, round(value, 6) AS value, round(CAST(threshold AS DOUBLE), 6) AS threshold,
+       CASE WHEN value IS NULL THEN 'NOT VERIFIED' WHEN (above AND value > threshold) OR (NOT above AND value < threshold) THEN 'ALERT' ELSE 'OK' END AS status
+FROM mon"""

@@ -9,7 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import (amount, asof, audit, features, marts, models, order_stats, panel, profile,
+from balances.operators.roles import MISSING_FLAGS
+from balances.operators import (amount, asof, audit, features, marts, models, panel, profile,
                                 quality, rank, scoring, sizing, star, stats)
 from balances.sources import tables
 from balances.plans.common import balances, cut, layer, rounded
@@ -98,20 +99,29 @@ def customers_frame(spark, d):
     return features.clean_customers(tables.raw_customers(spark, d))
 
 
-def features_frame(spark, d, lift=None, panel_df=None):
+def features_frame(spark, d, panel_df=None):
     c = cut(spark, d)
     recs = balances(spark, d)
     p = panel_df if panel_df is not None else panel.monthly_panel(recs, c)
     return features.customer_features(
         customers_frame(spark, d), recs, tables.income_estimates(spark, d),
-        panel.liquid_cv(p, c), panel.first_record(recs), c, lift)
+        panel.liquid_cv(p, c), panel.first_record(recs), c)
 
 
 def features_ckpt(spark, d):
-    """Gold feature mart, written once as Parquet sorted by customer; downstream
-    queries read the columns and row groups they need."""
-    return layer(spark, d, "features", lambda: materialise(
-        features_frame(spark, d, panel_df=panel_layer(spark, d)), "features", "customer_id"))
+    """Gold feature mart, written once as Parquet clustered by customer;
+    downstream queries read the columns and row groups they need."""
+    return layer(spark, d, "features", lambda: profiled_features(features_frame(spark, d, panel_df=panel_layer(spark, d))))
+
+
+def profiled_features(frame):
+    """R3 in two steps: the gold layer is written, the lift between its missing
+    blocks is measured on it (ST13), and only a lift that reaches the threshold
+    adds ``incomplete_profile``, in a second version of the layer."""
+    first = materialise(frame, "features", lookup_by="customer_id")
+    lift = stats.conditional_lift(first, "missing_estimator", "missing_housing").first()["lift"]  # one scalar
+    second = features.add_incomplete_profile(first, lift)
+    return first if second is first else materialise(second, "features-profiled", lookup_by="customer_id")
 
 
 @query("customer_features")
@@ -188,7 +198,7 @@ def q_percentile_in_group(spark, d):
 
 
 LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
-LINEITEM_ORDER = ["l_shipdate"]
+LINEITEM_ORDER = "l_shipdate"
 
 
 @query("dedupe_first")
@@ -406,7 +416,7 @@ def _fact_frame(spark, d):
     fact1 = scoring.score_fact(f, scores, with_levels=False)
     a = amount_frames(spark, d)
     fact2 = scoring.with_amounts(fact1, a["amounts"], amount.history_ids(a["comp"]))
-    attrs = f.select("customer_id", "segment", "age_group", "gender", "adoption_label")
+    attrs = f.select("customer_id", "segment", "age_group", "gender", "housing", "adoption_label")
     return materialise(fact2.join(attrs, "customer_id", "left"), "fact")
 
 
@@ -518,6 +528,12 @@ def q_component_split(spark, d):
     return rounded(sizing.component_split(fact_frame(spark, d)))
 
 
+def proxy_frame(spark, d):
+    """The stand-in for the proxy model (R4): how well one balance tells the
+    protected attribute. One row: auc, band."""
+    return q_auc_bands(spark, d).where("rule = 'gender_proxy'").select("auc", "band")
+
+
 @query("selection_rate")
 def q_selection_rate(spark, d):
     return rounded(audit.selection_rates(fact_frame(spark, d), AUDIT_ATTRS))
@@ -530,7 +546,7 @@ def q_disparate_impact(spark, d):
 
 @query("fairness_fact")
 def q_fairness_fact(spark, d):
-    return rounded(audit.fairness_fact(fact_frame(spark, d), AUDIT_ATTRS))
+    return rounded(audit.fairness_fact(fact_frame(spark, d), AUDIT_ATTRS, proxy_frame(spark, d)))
 
 
 # ---------------------------------------------------------------- marts & reports
@@ -605,33 +621,87 @@ def q_plausibility(spark, d):
 @query("table_profile")
 def q_table_profile(spark, d):
     f = features_ckpt(spark, d)
-    return rounded(marts.table_profile(f, iv_frame(spark, d)))
+    return rounded(marts.table_profile(f, decisions_frame(spark, d)))
+
+
+def vif_columns(f):
+    """ST9: numeric predictors that at least half of the customers have, without
+    the flags that say another column is missing."""
+    cols = [c for c in num_vars(f) if c not in MISSING_FLAGS]
+    nn = profile.null_profile(f.select(*cols))  # one row per variable
+    have = {r["column"] for r in nn.where(F.col("n_null") * 2 < F.col("n_rows")).collect()}
+    return [c for c in cols if c in have]
+
+
+def vif_layer(spark, d):
+    """ST8/ST9: variable, vif; one row per variable, measured once."""
+    def build():
+        f = features_ckpt(spark, d)
+        cols = vif_columns(f)
+        rows = stats.vif_general(f, cols) if len(cols) > 1 else None
+        return spark.createDataFrame(rows) if rows is not None else spark.createDataFrame([], "variable string, vif double")
+    return layer(spark, d, "vif", build)
+
+
+def decisions_frame(spark, d):
+    return marts.inclusion_decisions(iv_frame(spark, d), vif_layer(spark, d))
 
 
 @query("decision_rules")
 def q_decision_rules(spark, d):
-    f = features_ckpt(spark, d)
-    iv = iv_frame(spark, d)
-    w = Window.partitionBy()  # one row per variable
-    iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
-    iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
-    out = iv.withColumn("housing_decision", marts.housing_rule(iv_cat, iv_flag))
-    out = out.withColumn("decision", marts.inclusion_rule(
-        F.col("variable"), F.col("iv"), housing_decision=F.col("housing_decision")))
-    return rounded(out.select("variable", "iv", "iv_class", "decision"))
+    """IV, VIF alert, decision and reason of every variable."""
+    return rounded(decisions_frame(spark, d).select("variable", "iv", "iv_class", "vif_alert", "decision", "reason"))
 
 
 @query("auc_bands")
 def q_auc_bands(spark, d):
+    """Band, conclusion and action from one balance's AUC (the
+    trained models are ``missing_pattern_model`` and ``gender_proxy_model``)."""
     f = features_ckpt(spark, d)
     known = f.where(F.col("gender").isNotNull()).withColumn("is_female", (F.col("gender") == "F").cast("int"))
     a = stats.auc_exact(f, "customer_id", "liquid_balance_total", "missing_estimator") \
-        .select(F.lit("missing_estimator_pattern").alias("rule"), "auc")
+        .select(F.lit("missing_estimator_pattern").alias("rule"), "auc").select("rule", "auc", *marts.pattern_decision())
     b = stats.auc_exact(known, "customer_id", "liquid_balance_total", "is_female") \
-        .select(F.lit("gender_proxy").alias("rule"), "auc")
-    r1 = a.withColumn("band", marts.auc_band("auc", S.auc_pattern_weak, S.auc_pattern_informative))
-    r4 = b.withColumn("band", marts.auc_band("auc", S.auc_proxy_moderate, S.auc_proxy_substantial))
-    return rounded(r1.unionByName(r4))
+        .select(F.lit("gender_proxy").alias("rule"), "auc").select("rule", "auc", *marts.proxy_decision())
+    return rounded(a.unionByName(b))
+
+
+@query("imputation_plan")
+def q_imputation_plan(spark, d):
+    """What the measured pattern does with the missing estimate."""
+    f = features_ckpt(spark, d)
+    pattern = q_auc_bands(spark, d).where("rule = 'missing_estimator_pattern'")
+    return rounded(marts.imputation_plan(pattern, profile.medians_by(f, "segment", ["income_estimate"])))
+
+
+def validation_frame(spark, d):
+    """ST10: one row per variable with everything that was measured of it."""
+    f = features_ckpt(spark, d)
+    cols = num_vars(f)
+    types = spark.createDataFrame([(c, "continuous") for c in cols] + [(c, "categorical") for c in CAT_COLS], "variable string, type string")
+    nulls = profile.null_profile(f.select(*cols, *CAT_COLS)).select(F.col("column").alias("variable"), "n_null")
+    table = values_layer(spark, d)
+    mw = stats.mann_whitney(table).select("variable", stats.p_from_z("z").alias("p_mann_whitney")).join(
+        stats.group_medians(table), "variable", "left")
+    ch = stats.chi2_cramer(f, CAT_COLS, LABEL).select("variable", "chi2", stats.p_from_chi2("chi2", "dof").alias("p_chi2"), "cramers_v")
+    out = types.join(nulls, "variable").join(mw, "variable", "left").join(ch, "variable", "left")
+    out = cut_lineage(out.withColumn("p_value", F.coalesce("p_mann_whitney", "p_chi2")))  # one row per variable
+    bh = stats.benjamini_hochberg(out.where(F.col("p_value").isNotNull()).select("variable", "p_value"), "p_value", "variable").select(
+        "variable", "q_value", F.col("reject").alias("significant"))
+    return out.join(bh, "variable", "left").join(
+        decisions_frame(spark, d).withColumn("vif", F.round("vif", 4)), "variable", "left")
+
+
+VALIDATION_COLS = ["variable", "type", "n_null", "iv", "iv_class", "p_mann_whitney", "median_event", "median_non_event", "chi2",
+                   "p_chi2", "cramers_v", "p_value", "q_value", "significant", "vif", "vif_alert", "decision", "reason"]
+
+
+@query("validation_table")
+def q_validation_table(spark, d):
+    """ST10: IV and class, Mann-Whitney p and medians (numeric) or chi-square, p
+    and Cramér's V (categorical), BH q-value over all p together, VIF alert,
+    decision and reason; protected attributes are measured, too."""
+    return rounded(validation_frame(spark, d).select(*VALIDATION_COLS))
 
 
 @query("importance_iv_join")
@@ -639,7 +709,8 @@ def q_importance_iv_join(spark, d):
     mw = stats.mann_whitney(values_layer(spark, d))
     imp = mw.select("variable", F.abs(F.col("u") / (F.col("n_event") * F.col("n_non_event")) - 0.5)
                     .alias("importance"))
-    return rounded(marts.importance_iv(imp, iv_frame(spark, d)))
+    checked = validation_frame(spark, d).select("variable", "iv", "iv_class", "vif", "vif_alert", "q_value", "significant", "decision")
+    return rounded(marts.importance_iv(imp, checked))
 
 
 EVIDENCE_K = 3
@@ -658,9 +729,10 @@ PSI_LAG_MONTHS = 12
 def q_psi_drift(spark, d):
     p = panel_layer(spark, d)
     c = F.trunc(F.lit(cut(spark, d)).cast("date"), "month")
-    cur = p.where(F.col("month") == c)
-    base = p.where(F.col("month") == F.add_months(c, -PSI_LAG_MONTHS))
-    return rounded(marts.psi(base, cur, "product", "balance_month", "customer_id"))
+    base = F.col("month") == F.add_months(c, -PSI_LAG_MONTHS)
+    rows = p.where(base | (F.col("month") == c)).select(
+        "product", F.col("balance_month").alias("value"), F.when(base, 0).otherwise(1).alias("y"))
+    return rounded(marts.psi(rows, "product"))
 
 
 @query("training_population")
@@ -689,17 +761,6 @@ def q_level_crosstab(spark, d):
     return a.unionByName(b).withColumn("n", F.col("n").cast("long"))
 
 
-def decisions_frame(spark, d):
-    f = features_ckpt(spark, d)
-    iv = iv_frame(spark, d)
-    w = Window.partitionBy()  # one row per variable
-    iv_cat = F.max(F.when(F.col("variable") == "housing", F.col("iv"))).over(w)
-    iv_flag = F.max(F.when(F.col("variable") == "has_housing_data", F.col("iv"))).over(w)
-    out = iv.withColumn("housing_decision", marts.housing_rule(iv_cat, iv_flag))
-    return out.withColumn("decision", marts.inclusion_rule(
-        F.col("variable"), F.col("iv"), housing_decision=F.col("housing_decision")))
-
-
 @query("decision_counts")
 def q_decision_counts(spark, d):
     """Variables per inclusion decision."""
@@ -757,7 +818,7 @@ def q_woe_retained(spark, d):
     """MT9: WoE per bin for the variables the inclusion rule retains."""
     f = features_ckpt(spark, d)
     keep = decisions_frame(spark, d).where(
-        F.col("decision").isin("include", "keep_category")).select("variable")
+        F.col("decision").isin(*marts.INCLUDED)).select("variable")
     num = woe_num_frame(spark, d).withColumn("bin", F.lit(None).cast("string"))
     cat = (stats.woe_categorical(f, "customer_id", CAT_COLS, LABEL)
            .withColumn("bin_kind", F.lit("category"))
@@ -805,46 +866,108 @@ def q_summary_kv(spark, d):
     return rounded(marts.key_value(sizing.executive_summary(fact_frame(spark, d))))
 
 
-# ---------------------------------------------------------------- models (rows-only)
-def vif_columns(f):
-    """ST9: numeric predictors that at least half of the customers have, the
-    missing-data flags left out (one row per variable reaches the driver)."""
-    nn = profile.null_profile(f.select(*num_vars(f)))
-    have = {r["column"] for r in nn.where(F.col("n_null") < F.col("n_rows") * 0.5).collect()}
-    return [c for c in num_vars(f) if c in have and not c.startswith("missing_")]
-
-
-@query("validation_table")
-def q_validation_table(spark, d):
-    """ST10 (rows-only: p-values need erfc / the gamma function): one row per
-    variable — IV + class, Mann-Whitney z (numeric) or chi-square
-    (categorical) with p-value, BH q-value over all p together, VIF and its
-    alert for numeric variables with > 50 % non-null (ST9)."""
-    f = features_ckpt(spark, d)
-    iv = iv_frame(spark, d)
-    mw = stats.mann_whitney(stats.to_long(f, "customer_id", num_vars(f), LABEL), "customer_id") \
-        .select("variable", F.lit("mann_whitney").alias("test"), F.col("z").alias("statistic"),
-                stats.p_from_z("z").alias("p_value"))
-    ch = stats.chi2_cramer(f, CAT_COLS, LABEL).select(
-        "variable", F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"),
-        stats.p_from_chi2("chi2", "dof").alias("p_value"))
-    tests = cut_lineage(mw.unionByName(ch).where(F.col("p_value").isNotNull()))
-    bh = stats.benjamini_hochberg(tests, "p_value", "variable").select("variable", "q_value", "reject")
-    cand = vif_columns(f)
-    vif = spark.createDataFrame(stats.vif_general(f, cand)) if len(cand) > 1 else \
-        spark.createDataFrame([], "variable string, vif double")
-    out = (iv.join(tests, "variable", "left").join(bh, "variable", "left").join(vif, "variable", "left")
-           .withColumn("vif_alert", (F.col("vif") > S.vif_alert).cast("int")))
-    return rounded(out)
-
-
 @query("vif_all")
 def q_vif_all(spark, d):
-    """ST8/ST9 for every eligible numeric variable (k x k inverse: rows-only)."""
-    f = features_ckpt(spark, d)
-    return rounded(spark.createDataFrame(stats.vif_general(f, vif_columns(f))))
+    """ST8/ST9 for every eligible numeric variable."""
+    return rounded(vif_layer(spark, d), 4)
+
+
+QUALITY_CHECKS = [
+    quality.Check("balances", quality.PRIMARY_KEY, ("customer_id", "product", "row_key")),
+    quality.Check("balances", quality.PRIMARY_KEY, ("customer_id", "product", "obs_date")),
+    quality.Check("balances", quality.PRIMARY_KEY, ("customer_id", "product", "valuation_date")),
+    quality.Check("balances", quality.NOT_NULL, ("obs_date",)),
+    quality.Check("balances", quality.NOT_NULL, ("balance",)),
+    quality.Check("balances", quality.ASCII, ("product",)),
+    quality.Check("balances", quality.FOREIGN_KEY, ("customer_id",), "customers", ("customer_id",)),
+    quality.Check("customers", quality.PRIMARY_KEY, ("customer_id",)),
+    quality.Check("customers", quality.PK_NOT_NULL, ("customer_id",)),
+    *[quality.Check("customers", quality.NOT_NULL, (c,)) for c in ("gender", "segment", "housing", "income", "assets")],
+    quality.Check("customers", quality.ASCII, ("name",)),
+    quality.Check("income_estimates", quality.PRIMARY_KEY, ("customer_id",)),
+    quality.Check("income_estimates", quality.FOREIGN_KEY, ("customer_id",), "customers", ("customer_id",)),
+    quality.Check("customer_features", quality.PRIMARY_KEY, ("customer_id",)),
+    quality.Check("customer_features", quality.FOREIGN_KEY, ("customer_id",), "customers", ("customer_id",)),
+    quality.Check("exchange_rates", quality.PRIMARY_KEY, ("currency",)),
+]
+
+
+@query("quality_report")
+def q_quality_report(spark, d):
+    """DQ6: all sources and gold tables in one report of OK, FAIL and NOT
+    VERIFIED (a grain whose column, or a table, that this source has not)."""
+    found = {"balances": balances(spark, d), "customers": tables.raw_customers(spark, d),
+             "income_estimates": tables.income_estimates(spark, d), "customer_features": features_ckpt(spark, d)}
+    found |= {k: v for k, v in star_frames(spark, d).items() if k != "dim_customer"}
+    star_checks = [c for c in quality.constraint_checks(STAR_PKS, STAR_NOT_NULL, STAR_FKS) if "dim_customer" not in (c.table, c.parent)]
+    return quality.check_tables(found, QUALITY_CHECKS + star_checks)
+
+
+MONITOR_MONTHS = 12
+#: ST24: thresholds of the monitoring plan (fixed values).
+PSI_ALERT, AUC_DROP_ALERT, APE_ALERT, FRESH_DAYS = 0.25, 0.05, 0.10, 31
+
+
+def two_cuts(spark, d):
+    c = cut(spark, d)
+    row = spark.range(1).select(F.add_months(F.lit(c).cast("date"), -MONITOR_MONTHS).alias("c")).first()
+    return row["c"], c
+
+
+def cut_features_layer(spark, d):
+    """Product features as of both cuts, from one scan of the records."""
+    return layer(spark, d, "cut-features", lambda: materialise(
+        asof.features_at_cuts(balances(spark, d), two_cuts(spark, d), S.product_slugs), "cut-features"))
+
+
+def model_inputs_at(f, i):
+    """The time-dependent model variables as of cut ``i``, of the customers that
+    had a record by then, and the label of that day."""
+    holding = [F.col(f"c{i}_{p}_holding") for p in S.product_slugs]
+    here = f.where(F.coalesce(*holding).isNotNull())
+    out = [F.lit(i).alias("period")]
+    for p in S.non_label_products:
+        own = F.col(f"c{i}_{p}_holding").isNotNull()
+        out += [F.coalesce(f"c{i}_{p}_balance_snapshot", F.lit(0.0)).alias(f"{p}_balance_snapshot")]
+        out += [F.when(own, F.col(f"c{i}_{p}_{c}")).otherwise(F.lit(0.0)).alias(f"{p}_{c}") for c in ("balance_mean_6m", "trend_6m")]
+        out += [F.coalesce(f"c{i}_{p}_n_obs_window", F.lit(0)).cast("double").alias(f"{p}_n_obs_window")]
+    liquid = sum((F.coalesce(f"c{i}_{p}_balance_snapshot", F.lit(0.0)) for p in S.liquid_products[1:]),
+                 F.coalesce(f"c{i}_{S.liquid_products[0]}_balance_snapshot", F.lit(0.0)))
+    label = F.lit(False)
+    for p in S.label_products:
+        label = label | F.coalesce(F.col(f"c{i}_{p}_balance_snapshot") > 0, F.lit(False))
+    return here.select(*out, liquid.alias("liquid_balance_total"), label.cast("int").alias("label"))
+
+
+@query("monitoring")
+def q_monitoring(spark, d):
+    """ST24: PSI of every time-dependent model variable between the cut a year
+    ago and the cut, the AUC's drop and ceiling, the 80 % rule, the proxy, the
+    backtest's median APE and the sources' freshness, each with its threshold."""
+    f = cut_features_layer(spark, d)
+    both = model_inputs_at(f, 0).unionByName(model_inputs_at(f, 1))
+    both = materialise(both, "cut-inputs")
+    names = [c for c in both.columns if c not in ("period", "label")]
+    drift = marts.psi(both.withColumnRenamed("period", "y").unpivot(["y"], names, "variable", "value"), "variable")
+    rows = drift.select(*marts.indicator("psi", F.col("variable"), F.col("psi"), PSI_ALERT))
+    auc = stats.auc_exact(both, "", "liquid_balance_total", "label", ["period"]).groupBy().agg(
+        F.max(F.when(F.col("period") == 0, F.col("auc"))).alias("base"), F.max(F.when(F.col("period") == 1, F.col("auc"))).alias("now"))
+    auc = cut_lineage(auc)  # one row
+    rows = rows.unionByName(auc.select(*marts.indicator("auc_drop", F.lit("liquid_balance_total"), F.col("base") - F.col("now"), AUC_DROP_ALERT)))
+    rows = rows.unionByName(auc.select(*marts.indicator("auc_ceiling", F.lit("liquid_balance_total"), F.col("now"), S.auc_leak_ceiling)))
+    impact = audit.disparate_impact(audit.selection_rates(fact_frame(spark, d), AUDIT_ATTRS))
+    rows = rows.unionByName(impact.select(*marts.indicator("impact_ratio", F.col("attribute"), F.col("impact_ratio"), S.disparate_impact_min, above=False)))
+    rows = rows.unionByName(proxy_frame(spark, d).select(*marts.indicator("proxy_auc", F.lit("gender"), F.col("auc"), S.auc_proxy_substantial)))
+    ape = stats.mae_mape(amount_frames(spark, d)["bt"], "real", "pred", group_cols=["component"])
+    rows = rows.unionByName(ape.select(*marts.indicator("backtest_ape_median", F.col("component"), F.col("ape_median_ratio"), APE_ALERT)))
+    last = balances(spark, d).groupBy("source").agg(F.max("obs_date").alias("last"))
+    newest = last.agg(F.max("last").alias("m")).first()["m"]  # one scalar
+    fresh = last.select("source", F.datediff(F.lit(newest).cast("date"), F.col("last")).alias("days"))
+    rows = rows.unionByName(fresh.select(*marts.indicator("source_age_days", F.col("source"), F.col("days"), FRESH_DAYS)))
+    return rounded(rows)
 
 
+# ---------------------------------------------------------------- models (rows-only)
 def propensity_layer(spark, d):
     """Models A/B fitted once per application (a trained model has
     no SQL oracle: these queries are checked on rows only)."""
@@ -866,10 +989,7 @@ def q_propensity_scores(spark, d):
 
 @query("permutation_importance")
 def q_permutation_importance(spark, d):
-    res = propensity_layer(spark, d)
-    parts = [models.permutation_importance(res["models"][m], res["test"], res["cols"][m], LABEL, res["cols"][m])
-             .withColumn("model", F.lit(m)) for m in ("A", "B")]
-    return rounded(parts[0].unionByName(parts[1]))
+    return rounded(importance_layer(spark, d))
 
 
 @query("model_metrics")
@@ -883,26 +1003,61 @@ def q_model_metrics(spark, d):
                             F.avg(LABEL).alias("adoption_rate")).select("*", *named))
 
 
+def importance_layer(spark, d):
+    def build():
+        res = propensity_layer(spark, d)
+        parts = [models.permutation_importance(res["models"][m], res["test"], res["cols"][m], LABEL, res["cols"][m])
+                 .withColumn("model", F.lit(m)) for m in ("A", "B")]
+        return materialise(parts[0].unionByName(parts[1]), "importance")
+    return layer(spark, d, "importance", build)
+
+
+@query("importance_fact")
+def q_importance_fact(spark, d):
+    """MT2: permutation importance of both models beside IV, VIF, q-value and
+    inclusion decision; variables without one or the other kept; total order."""
+    imp = importance_layer(spark, d).select("variable", "model", F.col("importance_mean").alias("importance"), "importance_std")
+    checked = validation_frame(spark, d).select("variable", "iv", "iv_class", "vif", "q_value", "significant", "decision")
+    return rounded(marts.importance_iv(imp, checked))
+
+
+def pattern_layer(spark, d):
+    """A model of "the estimate is missing" from all other predictors."""
+    taut = ["income_estimate", "has_income_estimate", "income_gap", "income_gap_pct"]
+    return layer(spark, d, "pattern-model", lambda: models.auxiliary_model(features_ckpt(spark, d), "missing_estimator", taut))
+
+
+def proxy_layer(spark, d):
+    """A model of the modal gender from the predictors."""
+    def build():
+        f = features_ckpt(spark, d)
+        mode = f.agg(F.mode("gender", deterministic=True).alias("mode")).first()["mode"]  # A14: one scalar
+        target = f.where(F.col("gender").isNotNull()).withColumn(
+            "is_modal_gender", (F.col("gender") == F.lit(mode)).cast("int"))
+        return models.auxiliary_model(target, "is_modal_gender")
+    return layer(spark, d, "proxy-model", build)
+
+
 @query("missing_pattern_model")
 def q_missing_pattern_model(spark, d):
-    f = features_ckpt(spark, d)
-    taut = ["income_estimate", "has_income_estimate", "income_gap", "income_gap_pct"]
-    auc = models.auxiliary_auc(f, "missing_estimator", taut)
-    df = spark.createDataFrame([("missing_estimator_pattern", auc)], "rule string, auc double")
-    return rounded(df.withColumn("band", marts.auc_band("auc", S.auc_pattern_weak,
-                                                        S.auc_pattern_informative)))
+    """M11 + R1: AUC, conclusion and action of the trained pattern model."""
+    df = spark.createDataFrame([("missing_estimator_pattern", pattern_layer(spark, d)["auc"])], "rule string, auc double")
+    return rounded(df.select("rule", "auc", *marts.pattern_decision()))
 
 
 @query("gender_proxy_model")
 def q_gender_proxy_model(spark, d):
-    f = features_ckpt(spark, d)
-    mode = f.agg(F.mode("gender", deterministic=True).alias("mode")).first()["mode"]  # A14: one scalar
-    target = f.where(F.col("gender").isNotNull()).withColumn(
-        "is_modal_gender", (F.col("gender") == F.lit(mode)).cast("int"))
-    auc = models.auxiliary_auc(target, "is_modal_gender")
-    df = spark.createDataFrame([("gender_proxy", auc)], "rule string, auc double")
-    return rounded(df.withColumn("band", marts.auc_band("auc", S.auc_proxy_moderate,
-                                                        S.auc_proxy_substantial)))
+    """M12 + R4: AUC, reading and action of the trained proxy model."""
+    df = spark.createDataFrame([("gender_proxy", proxy_layer(spark, d)["auc"])], "rule string, auc double")
+    return rounded(df.select("rule", "auc", *marts.proxy_decision()))
+
+
+@query("auxiliary_importance")
+def q_auxiliary_importance(spark, d):
+    """The ten variables that each auxiliary model leans on most."""
+    parts = [models.top_variables(aux).withColumn("rule", F.lit(rule)) for rule, aux in (
+        ("missing_estimator_pattern", pattern_layer(spark, d)), ("gender_proxy", proxy_layer(spark, d)))]
+    return rounded(parts[0].unionByName(parts[1]))
 
 
 def forecast_layer(spark, d):
@@ -931,13 +1086,13 @@ def _forecast(spark, d):
         m = models.fit_regressor(tr.where(F.col("target").isNotNull()), cols, "target")
         p_tr = models.predict(m, tr, cols).select("customer_id", "pred")
         errs.append(bt_real.where(F.col("component") == c).join(p_tr, "customer_id")
-                    .select("customer_id", F.lit(c).alias("component"),
-                            (F.col("real") - F.col("pred")).alias("error")))
+                    .select("customer_id", F.lit(c).alias("component"), "real", "pred"))
         preds[c] = models.predict(m, design(a["full"]), cols).select("customer_id", F.col("pred").alias(f"{c}_growth"))
         fitted[f"amount_{c}"] = m
-    scen = amount.scenarios_by_component(errs[0].unionByName(errs[1]))
+    bt = materialise(amount.with_total(errs[0].unionByName(errs[1])), "forecast-backtest")
+    scen = amount.scenarios_by_component(bt)
     full_pred = preds["app"].join(preds["conservative"], "customer_id", "full")
-    return {"models": fitted, "amounts": materialise(amount.amount_scenarios(full_pred, scen), "forecast")}
+    return {"models": fitted, "bt": bt, "amounts": materialise(amount.amount_scenarios(full_pred, scen), "forecast")}
 
 
 @query("amount_forecast")
@@ -945,6 +1100,18 @@ def q_amount_forecast(spark, d):
     return rounded(forecast_layer(spark, d)["amounts"])
 
 
+@query("forecast_backtest")
+def q_forecast_backtest(spark, d):
+    """ST14/ST16 + J13 of the trained regressors: errors of each component and,
+    over the customers who have both, of their total."""
+    bt = forecast_layer(spark, d)["bt"]
+    return rounded(stats.mae_mape(bt, "real", "pred", group_cols=["component"]).join(amount.error_evidence(bt), "component", "left"))
+
+
+def trained_fact_layer(spark, d):
+    return layer(spark, d, "trained-fact", lambda: trained_fact(spark, d))
+
+
 def trained_fact(spark, d):
     """The score fact that is published: trained propensity scores and trained
     amounts. ``score_fact`` (the query) runs the same chain on the stand-ins
@@ -955,7 +1122,7 @@ def trained_fact(spark, d):
     fact1 = scoring.score_fact(f, scores.select("customer_id", "score"), with_levels=False)
     a = amount_frames(spark, d)
     fact2 = scoring.with_amounts(fact1, forecast_layer(spark, d)["amounts"], amount.history_ids(a["comp"]))
-    attrs = f.select("customer_id", "segment", "age_group", "gender", "adoption_label")
+    attrs = f.select("customer_id", "segment", "age_group", "gender", "housing", "adoption_label")
     return materialise(fact2.join(attrs, "customer_id", "left"), "trained-fact")
 
 
@@ -975,10 +1142,25 @@ def q_label_sensitivity(spark, d):
     lv2 = rank.priority_levels(both.join(pop, "customer_id"), "s_recent", ["population"])
     hist = marts.level_shift(lv1, lv2)
     r = rho.first()  # one row: rho and its n
-    return rounded(hist.withColumn("spearman", F.lit(r["spearman"]))
+    changed = F.sum(F.when(F.col("distance") > 0, F.col("n")).otherwise(0)).over(Window.partitionBy())  # four rows
+    total = F.sum("n").over(Window.partitionBy())
+    z = F.lit(r["spearman"]) * F.sqrt(F.lit(r["n_spearman"] - 1).cast("double"))
+    return rounded(hist.withColumn("share_changed", changed / total).withColumn("n_compared", total)
+                   .withColumn("spearman", F.lit(r["spearman"])).withColumn("spearman_p", stats.p_from_z(z))
                    .withColumn("n_spearman", F.lit(r["n_spearman"]))
+                   .withColumn("auc_main", F.lit(main["metrics"]["auc_a"]).cast("double"))
                    .withColumn("auc_recent", F.lit(recent["auc"]).cast("double")))
 
 
+@query("summary_published")
+def q_summary_published(spark, d):
+    """MT5: the key/value summary of the trained fact with the models' metrics."""
+    res = propensity_layer(spark, d)
+    base = q_model_metrics(spark, d)
+    counts = [F.lit(len(res["cols"][m])).alias(f"n_features_{m.lower()}") for m in ("A", "B")]
+    return rounded(marts.key_value(sizing.executive_summary(trained_fact_layer(spark, d))).unionByName(
+        marts.key_value(base.select("*", *counts))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

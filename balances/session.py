@@ -57,15 +57,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialise(df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
+#: Tables written by ``materialise``, the oldest first: a layer that is built
+#: again deletes those of its predecessor.
+WRITTEN: list[str] = []
+
+
+def materialise(df: DataFrame, name: str, sort_by: str | None = None, lookup_by: str | None = None) -> DataFrame:
     """Write a layer as a Parquet table in the shared folder and read it back,
-    so that what reads it prunes columns and pushes filters down."""
+    so that what reads it prunes columns and pushes filters down. With
+    ``lookup_by`` rows are dealt by ranges of that column and sorted, so that
+    a point lookup opens few row groups (min/max), and files carry a bloom
+    filter of it for ids that lie within a group's range but are not there."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    (df.sortWithinPartitions(sort_by) if sort_by else df).write.parquet(path)
+    if lookup_by:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, lookup_by)
+        sort_by = lookup_by
+    writer = (df.sortWithinPartitions(sort_by) if sort_by else df).write
+    if lookup_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{lookup_by}", "true")
+    writer.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_tables(spark: SparkSession, paths) -> None:
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast only after the row count is checked (one small job); above
     the bound the frame is returned as is and the planner shuffles."""

@@ -93,7 +93,7 @@ def test_safe_divide(spark):
 
 def test_dedupe_keeps_first_by_order(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (2, "c", 3)], "k long, name string, v int")
-    out = {r.k: r.v for r in features.dedupe_first(df, "k", "name").collect()}
+    out = {r.k: r.v for r in features.dedupe_first(df, "k", "v").collect()}
     assert out == {1: 1, 2: 3}
 
 
