@@ -77,6 +77,14 @@ def dropped(*frames: DataFrame) -> None:
             df.unpersist()
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: Spark deletes them once the
+    driver's JVM has collected what referred to them, which it has no reason of
+    its own to do while its heap has room. Asked for after steps that shuffle
+    texts, so that their files do not add up over a run."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.llm.bpe_words import slices
-from balances.llm.common import BROADCAST_IDS, dropped, kept, narrow, table, text_key, text_or_empty, written
+from balances.llm.common import BROADCAST_IDS, dropped, kept, narrow, release, table, text_key, text_or_empty, written
 from balances.llm.components import components
 
 WORDS = 5
@@ -425,6 +425,7 @@ def _linked_classes(rows: DataFrame, signed: DataFrame, linkable: DataFrame, per
                 .select("a", "b", "ta", "tb"))
         verdict = narrow(full.mapInArrow(verify(percent, WORDS), "a long, b long, linked boolean"), "verdicts")
         dropped(maybe, texts)
+        release(rows.sparkSession)
         tested.append(verdict)
         links.append(verdict.where("linked").select("a", "b"))
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.llm.bpe_words import slices
-from balances.llm.common import dropped, narrow, table, text_key, written
+from balances.llm.common import dropped, narrow, release, table, text_key, written
 from balances.llm.components import components
 
 GRAM = 5
@@ -300,8 +300,13 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
     by_bucket = shared
     shared = narrow(shared.join(numbered.select("h", "nid"), "h").select("key", "nid"), "buckets")
     meta = written(sigs.select("id", "n", "sketch").join(numbered.select("id", "nid"), "id").groupBy("nid", "n", "sketch").count().drop("count"), "meta")
-    texts = written(lines.where(F.length("line") >= LEAST).select("id", "line").join(numbered.select("id", "nid"), "id").select("nid", "line").distinct(), "texts")
+    release(lines.sparkSession)
+    # one shuffle of lines: dealt by id they are told apart and joined where they lie
+    own = lines.where(F.length("line") >= LEAST).select("id", "line")
+    own = own if n_ids <= BROADCAST_KEYS else own.repartition("id")
+    texts = written(own.join(numbered.select("id", "nid"), "id").groupBy("id", "nid", "line").count().select("nid", "line"), "texts")
     dropped(buckets, wanted, by_bucket)
+    release(lines.sparkSession)
 
     hubs = shared.groupBy("key").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("size"))
     shared_ = narrow(shared.join(hubs, "key"), "hubs")
@@ -315,6 +320,7 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
         full = maybe.join(texts.toDF("b", "lb"), "b").join(texts.toDF("a", "la"), "a").select("a", "b", "la", "lb")
         verdict = narrow(full.mapInArrow(verify, "a long, b long, linked boolean"), "verdicts")
         dropped(maybe)
+        release(lines.sparkSession)
         return verdict
 
     first = settle(member_hub.groupBy(F.col("nid").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"))
