@@ -137,7 +137,31 @@ def _head_end(page: str, pos: int) -> int:
             return m.start() if m[0][1] != "/" else m.end()
 
 
-PATH_DIMS, WORD_DIMS, PLAIN = 64, 48, 10
+#: Containers and hint words that declare what a block is.
+ARTICLE_TAGS = {"article", "main"}
+ARTICLE_HINTS = {"article", "content", "post", "story", "entry", "main", "body", "text"}
+OTHER_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "address", "fieldset"}
+OTHER_HINTS = {"ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "banner", "nav", "navbar",
+               "menu", "sidebar", "aside", "footer", "header", "masthead", "cookie", "cookies", "consent", "notice",
+               "alert", "newsletter", "subscribe", "signup", "login", "search", "form", "share", "social", "related",
+               "recommended", "comment", "comments", "reply", "replies", "disqus", "breadcrumb", "breadcrumbs",
+               "pagination", "pager", "modal", "popup", "widget", "tags", "copyright", "legal"}
+
+
+def declared(path: tuple) -> int:
+    """1 article, 0 other, by the innermost container that says so; -1 unsaid."""
+    inside = any(t in ARTICLE_TAGS for t, _ in path)
+    for tag, hints in reversed(path):
+        if tag in OTHER_TAGS and not (tag == "header" and inside):
+            return 0
+        if tag not in ("html", "body", *ARTICLE_TAGS) and OTHER_HINTS & set(hints):
+            return 0
+    if inside or any(tag not in ("html", "body") and ARTICLE_HINTS & set(hints) for tag, hints in path):
+        return 1
+    return -1
+
+
+PATH_DIMS, WORD_DIMS, PLAIN = 64, 48, 12
 INPUT = PATH_DIMS + WORD_DIMS + PLAIN
 _bucket: dict[str, tuple[int, float]] = {}
 
@@ -152,10 +176,11 @@ def _hashed(key: str, dims: int) -> tuple[int, float]:
     return got
 
 
-def vectors(page_blocks: list[Block]) -> np.ndarray:
-    """One input row per block: hashed tag path, hashed words, plain measures."""
+def vectors(page_blocks: list[Block], at: int = 0, total: int | None = None) -> np.ndarray:
+    """One input row per block: hashed tag path, hashed words, plain measures.
+    A piece of a page starts ``at`` one of its ``total`` blocks."""
     x = np.zeros((len(page_blocks), INPUT), np.float32)
-    n = max(1, len(page_blocks))
+    n = max(1, len(page_blocks) if total is None else total)
     for i, b in enumerate(page_blocks):
         row = x[i]
         for depth, (tag, hints) in enumerate(b.path):
@@ -178,8 +203,10 @@ def vectors(page_blocks: list[Block]) -> np.ndarray:
         chars = len(b.text)
         letters = sum(map(b.text.count, "aeiou"))
         tag = b.path[-1][0] if b.path else ""
+        said_by = declared(b.path)
         row[-PLAIN:] = (
             np.log1p(chars) / 5, np.log1p(len(words)) / 3, b.linked / max(1, b.chars),
             b.text[-1] in ".!?…\"”", sum(map(b.text.count, ".,;")) / len(words), letters / chars,
-            tag in ("h1", "h2", "h3", "h4"), tag in ("p", "blockquote", "pre"), (i + 0.5) / n, 1.0)
+            tag in ("h1", "h2", "h3", "h4"), tag in ("p", "blockquote", "pre"),
+            said_by == 0, said_by == 1, (at + i + 0.5) / n, 1.0)
     return x

@@ -11,7 +11,12 @@ Training. There are no labelled pages, so a bounded sample of pages
 page declares, and shown again with its markup varied: containers renamed or
 their hints taken away, and blocks of known kind (menus, notices, forms,
 adverts, sidebars, comments) set around and inside the article. The network so
-learns from context and words what the markup does not say.
+learns from context and words what the markup does not say. The varied articles
+also hold lists, tables, preformatted text, short paragraphs and by-lines, and
+some pages have no container, or no markup at all.
+
+A page of more than ``LONG`` blocks is read in pieces that carry the states on,
+so that memory holds two bytes a state and block instead of the input vectors.
 
 Defined results: null or empty html, or a page without article blocks, gives an
 empty text of 0 characters; character references are decoded; white space in a
@@ -30,39 +35,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.llm.common import table
-from balances.llm.html_blocks import INPUT, Block, blocks, vectors
+from balances.llm.html_blocks import INPUT, Block, blocks, declared, vectors
 
 SAMPLE_PAGES = 240
 VARIANTS = 4
 HIDDEN = 24
 EPOCHS = 6
+LONG, PIECE = 20_000, 4096
 RATE = 0.01
 RESULT = "page_id long, url string, text string, n_chars long"
 
-#: Containers and hint words that declare what a block is.
-ARTICLE_TAGS = {"article", "main"}
-ARTICLE_HINTS = {"article", "content", "post", "story", "entry", "main", "body", "text"}
-OTHER_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "address", "fieldset"}
-OTHER_HINTS = {"ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "banner", "nav", "navbar",
-               "menu", "sidebar", "aside", "footer", "header", "masthead", "cookie", "cookies", "consent", "notice",
-               "alert", "newsletter", "subscribe", "signup", "login", "search", "form", "share", "social", "related",
-               "recommended", "comment", "comments", "reply", "replies", "disqus", "breadcrumb", "breadcrumbs",
-               "pagination", "pager", "modal", "popup", "widget", "tags", "copyright", "legal"}
-
-
-def declared(path: tuple) -> int:
-    """1 article, 0 other, by the innermost container that says so; -1 unsaid."""
-    inside = any(t in ARTICLE_TAGS for t, _ in path)
-    for tag, hints in reversed(path):
-        if tag in OTHER_TAGS and not (tag == "header" and inside):
-            return 0
-        if tag not in ("html", "body", *ARTICLE_TAGS) and OTHER_HINTS & set(hints):
-            return 0
-    if inside or any(tag not in ("html", "body") and ARTICLE_HINTS & set(hints) for tag, hints in path):
-        return 1
-    return -1
-
-
 def teach(page_blocks: list[Block]) -> np.ndarray:
     """Training labels; blocks no container declares count as article if they
     are prose and the page declares no article."""
@@ -107,28 +89,51 @@ def variant(page_blocks: list[Block], y: np.ndarray, words: list[str], rng: rand
             own = _LABELS[kind]
             text = " ".join(rng.choice(own) for _ in range(rng.randint(1, 6)))
             link = kind in ("menu", "side") and rng.random() < 0.8
-            if kind == "comment" or rng.random() < 0.25:
+            if kind == "comment" and place[1] and rng.random() < 0.5:  # its container alone tells it from an article
+                text = f"{say(rng.randint(3, 30))}."
+            elif kind == "comment" or rng.random() < 0.25:
                 text = f"{text} {say(rng.randint(3, 40))}."
             leaf = {"menu": "li", "side": "li", "comment": "p", "form": "label"}.get(kind, rng.choice(("p", "div")))
             yield Block(text.capitalize(), base + (place, (leaf, ())), len(text) if link else 0, len(text)), 0
 
+    def within(base):
+        """Article blocks other than running prose."""
+        kind = rng.choice(("list", "list", "table", "pre", "short", "short", "heading", "quote"))
+        if kind == "list":
+            place, leaf, n = (rng.choice(("ul", "ol")), ()), "li", rng.randint(2, 6)
+        elif kind == "table":
+            place, leaf, n = ("table", ()), rng.choice(("td", "th", "td")), rng.randint(3, 9)
+        else:
+            place, leaf, n = None, {"pre": "pre", "heading": rng.choice(("h2", "h3")), "quote": "blockquote"}.get(kind, rng.choice(("p", "p", "div"))), 1
+        for _ in range(n):
+            text = say(rng.randint(1, 5) if kind in ("table", "heading") else rng.randint(2, 14))
+            if kind == "table" and rng.random() < 0.5:
+                text = str(rng.randint(1, 5000))
+            text = text.capitalize() + ("." if kind in ("short", "quote") or (kind == "list" and rng.random() < 0.5) else "")
+            yield Block(text, base + ((place, ("tr", ())) if kind == "table" else (place,) if place else ()) + ((leaf, ()),), 0, len(text)), 1
+
     out = [*extra("menu", wrap)]
     for kind in ("notice", "advert", "form"):
         if rng.random() < 0.4:
             out += extra(kind, wrap)
-    started = False
+    started, inner = False, wrap + ((holder,) if rng.random() < 0.85 else ())
     for b, label in zip(page_blocks, y):
         if label:
-            started = True
+            first, started = not started, True
             leaf = b.path[-1] if b.path and b.path[-1][0] in ("h1", "h2", "h3", "p", "li", "blockquote", "pre") else ("p", ())
-            out.append((Block(b.text, wrap + (holder, (leaf[0], ())), b.linked, b.chars), 1))
+            out.append((Block(b.text, inner + ((leaf[0], ()),), b.linked, b.chars), 1))
+            if first and rng.random() < 0.2:
+                line = f"By {say(2).title()}"
+                out.append((Block(line, inner + ((rng.choice(("p", "div")), (rng.choice(("byline", "author", "meta")),)),), 0, len(line)), 1))
+            if rng.random() < 0.15:
+                out += within(inner)
             if rng.random() < 0.04:
-                out += extra(rng.choice(("advert", "side", "form")), wrap + (holder,))
+                out += extra(rng.choice(("advert", "side", "form")), inner)
         else:
             place = rng.choice(_PLACES["menu" if not started else "foot"]) if rng.random() < 0.5 else None
             path = wrap + ((place,) if place else b.path[2:-1]) + (b.path[-1:] or (("div", ()),))
             out.append((Block(b.text, path, b.linked, b.chars), 0))
-    if rng.random() < 0.6:
+    if rng.random() < 0.8:
         out += extra("comment", wrap + ((holder,) if rng.random() < 0.5 else ()))
     for kind in ("side", "advert", "foot"):
         if rng.random() < 0.5:
@@ -137,6 +142,12 @@ def variant(page_blocks: list[Block], y: np.ndarray, words: list[str], rng: rand
     return list(bs), np.array(ys)
 
 
+def plain(page_blocks: list[Block], y: np.ndarray) -> list[Block]:
+    """The page's article as one block without any markup around it."""
+    text = " ".join(b.text for b, label in zip(page_blocks, y) if label)
+    return [Block(text, (), 0, len(text))] if text else []
+
+
 # --- the network ----------------------------------------------------------------
 
 def _sigmoid(z):
@@ -156,12 +167,12 @@ def new_weights(seed: int = 5) -> dict:
     return w
 
 
-def _lstm(x, mask, wx, wh, c0, keep: bool):
-    """States (T, B, H) of one direction; padded steps pass the state on."""
+def _lstm(x, mask, wx, wh, c0, keep: bool, start=None):
+    """States (T, B, H) of one direction; padded steps pass the state on.
+    ``start`` (h, c) is the state before the first step."""
     t_len, batch, _ = x.shape
     pre = x @ wx + c0
-    h = np.zeros((batch, HIDDEN), np.float32)
-    c = np.zeros((batch, HIDDEN), np.float32)
+    h, c = start or (np.zeros((batch, HIDDEN), np.float32), np.zeros((batch, HIDDEN), np.float32))
     states, trace = np.empty((t_len, batch, HIDDEN), np.float32), []
     for t in range(t_len):
         z = pre[t] + h @ wh
@@ -176,7 +187,7 @@ def _lstm(x, mask, wx, wh, c0, keep: bool):
         c = m * new_c + (1 - m) * c
         h = m * (o * th) + (1 - m) * h
         states[t] = h
-    return states, trace
+    return states, trace, (h, c)
 
 
 def _lstm_back(x, dh_out, trace, wx, wh):
@@ -211,13 +222,34 @@ def _padded(pages: list[np.ndarray]):
 def forward(w: dict, pages: list[np.ndarray], keep: bool = False):
     """Probability that a block is article, (T, pages)."""
     x, mask = _padded(pages)
-    hf, tf = _lstm(x, mask, w["xf"], w["hf"], w["cf"], keep)
-    hb, tb = _lstm(x[::-1], mask[::-1], w["xb"], w["hb"], w["cb"], keep)
+    hf, tf, _ = _lstm(x, mask, w["xf"], w["hf"], w["cf"], keep)
+    hb, tb, _ = _lstm(x[::-1], mask[::-1], w["xb"], w["hb"], w["cb"], keep)
     joined = np.concatenate([hf, hb[::-1], x], axis=2)
     p = _sigmoid(joined @ w["o"] + w["oc"][0])
     return (p, mask, x, joined, tf, tb) if keep else (p, mask)
 
 
+def forward_long(w: dict, page_blocks: list[Block], piece: int = PIECE) -> np.ndarray:
+    """``forward`` of one page, in pieces: the backward states first (kept with
+    16 bits each), then the forward ones, whose pieces are classified at once."""
+    n = len(page_blocks)
+    back = np.empty((n, HIDDEN), np.float16)
+    state = None
+    cuts = list(range(0, n, piece))
+    ones = np.ones((piece, 1), np.float32)
+    for at in reversed(cuts):
+        x = vectors(page_blocks[at:at + piece], at, n)[:, None]
+        states, _, state = _lstm(x[::-1], ones[:len(x)], w["xb"], w["hb"], w["cb"], False, state)
+        back[at:at + len(x)] = states[::-1, 0]
+    out, state = np.empty(n, np.float32), None
+    for at in cuts:
+        x = vectors(page_blocks[at:at + piece], at, n)[:, None]
+        states, _, state = _lstm(x, ones[:len(x)], w["xf"], w["hf"], w["cf"], False, state)
+        joined = np.concatenate([states[:, 0], back[at:at + len(x)].astype(np.float32), x[:, 0]], axis=1)
+        out[at:at + len(x)] = _sigmoid(joined @ w["o"] + w["oc"][0])
+    return out
+
+
 def fit(examples: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, seed: int = 5, batch: int = 24) -> dict:
     """Adam on the mean log loss of blocks."""
     w, rng = new_weights(seed), random.Random(seed)
@@ -264,6 +296,8 @@ def train(pages: DataFrame, seed: int = 5) -> dict:
         for _ in range(VARIANTS):
             vb, vy = variant(bs, y, words, rng)
             examples.append((vectors(vb), vy))
+        if len(examples) % 3 == 0 and (bare := plain(bs, y)):
+            examples.append((vectors(bare), np.ones(1, int)))
     return fit(examples, seed=seed) if examples else new_weights(seed)
 
 
@@ -271,7 +305,10 @@ def main_texts(w: dict, pages: list[str | None]) -> list[str]:
     """The article text of each page; pages of like length share a batch."""
     parsed = [blocks(p) if p else [] for p in pages]
     out = [""] * len(pages)
-    order = sorted((i for i, b in enumerate(parsed) if b), key=lambda i: len(parsed[i]))
+    for i, bs in enumerate(parsed):
+        if len(bs) > LONG:
+            out[i] = "\n\n".join(b.text for b, s in zip(bs, forward_long(w, bs)) if s >= 0.5)
+    order = sorted((i for i, b in enumerate(parsed) if 0 < len(b) <= LONG), key=lambda i: len(parsed[i]))
     at = 0
     while at < len(order):
         size = max(1, min(64, 20_000 // len(parsed[order[at]])))

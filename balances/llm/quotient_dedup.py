@@ -2,11 +2,14 @@
 
 Each partition builds a counting quotient filter of its texts' 64-bit
 fingerprints: the high bits (quotient) name a bucket, the low bits (remainder)
-are kept sorted in the bucket's run, each with a count. Filters are merged by a
-hash aggregation: runs are opened into fingerprints again and their counts
-added up, so that no run is gathered in one task; nothing is lost, because
-quotient and remainder together are the whole fingerprint. Fingerprints counted more than once route
-their documents to byte verification; all others are unique for certain.
+are kept sorted in the bucket's run, each with a count. The quotient takes as
+many bits as leave a run about ``RUN`` fingerprints, whatever the number of rows.
+Filters are merged by a shuffle of the runs by quotient: a task reads the runs of
+one quotient one after the other and merges their sorted remainders, adding up
+the counts of equal ones; nothing is lost, because quotient and remainder
+together are the whole fingerprint, and a text that a third of all rows share is
+one entry a run. Fingerprints counted more than once route their documents to
+byte verification; all others are unique for certain.
 
 Byte verification groups the routed rows by the text itself, with map-side
 partial aggregation, so equal texts, however many, shrink to one row per map
@@ -28,14 +31,19 @@ from pyspark.sql import functions as F
 
 from balances.llm.common import table, text_or_empty, written
 
-#: Bits of a fingerprint that name its run when filters are merged.
-QUOTIENT_BITS = 10
+#: Fingerprints of a run, about, when all filters are merged.
+RUN = 4096
 #: Rows a task gathers before it emits its filter (bounds worker memory).
 FILTER_ROWS = 500_000
 FILTER = "quotient int, remainders array<long>, counts array<long>"
 
 
-def build_filters(batches, quotient_bits: int = QUOTIENT_BITS, rows: int = FILTER_ROWS):
+def quotient_bits_for(rows: int) -> int:
+    """Bits that leave a merged run about ``RUN`` of ``rows`` fingerprints."""
+    return min(30, max(1, (max(1, rows) // RUN).bit_length()))
+
+
+def build_filters(batches, quotient_bits: int = 10, rows: int = FILTER_ROWS):
     """Counting quotient filters of a stream of fingerprints: one row per
     non-empty run (quotient, sorted remainders, counts)."""
     held, n = [], 0
@@ -67,15 +75,47 @@ def _runs(fp, counts, quotient_bits):
         names=["quotient", "remainders", "counts"])
 
 
-def merge_filters(filters: DataFrame, quotient_bits: int = QUOTIENT_BITS) -> DataFrame:
-    """Lossless merge of filter rows -> (fp, n): a hash aggregation that adds
-    up the counts of each quotient and remainder. The key of the shuffle is
-    the full fingerprint, so no run, however long, is gathered in one task."""
-    low = 64 - quotient_bits
-    flat = filters.select("quotient", F.arrays_zip("remainders", "counts").alias("run")).select(
-        "quotient", F.inline("run").alias("remainder", "n"))
-    fp = F.shiftleft(F.col("quotient").cast("long"), low).bitwiseOR(F.col("remainder"))
-    return flat.groupBy(fp.alias("fp")).agg(F.sum("n").alias("n"))
+def merge_runs(a, b):
+    """Two sorted runs (remainders, counts) as one."""
+    rem = np.concatenate((a[0], b[0]))
+    n = np.concatenate((a[1], b[1]))
+    order = np.argsort(rem, kind="stable")  # two sorted runs: the stable sort merges them
+    rem, n = rem[order], n[order]
+    first = np.flatnonzero(np.r_[True, rem[1:] != rem[:-1]])
+    return rem[first], np.add.reduceat(n, first)
+
+
+def merge_filters(filters: DataFrame, quotient_bits: int = 10) -> DataFrame:
+    """Lossless merge of filter rows by sorted remainders -> (fp, n)."""
+    parts = int(filters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        at, held = None, None
+        for b in batches:
+            fps, counts = [], []
+            for q, rem, n in zip(b.column("quotient").to_pylist(), b.column("remainders"), b.column("counts")):
+                mine = (rem.values.to_numpy(), n.values.to_numpy())
+                if q == at:
+                    held = merge_runs(held, mine)
+                    continue
+                if held is not None:
+                    fps.append(_fingerprints(at, held[0], quotient_bits))
+                    counts.append(held[1])
+                at, held = q, mine
+            if fps:
+                yield _merged(fps, counts)
+        if held is not None:
+            yield _merged([_fingerprints(at, held[0], quotient_bits)], [held[1]])
+    return filters.repartition(parts, "quotient").sortWithinPartitions("quotient").mapInArrow(run, "fp long, n long")
+
+
+def _fingerprints(quotient: int, remainders: np.ndarray, quotient_bits: int) -> np.ndarray:
+    high = np.uint64(quotient) << np.uint64(64 - quotient_bits)
+    return (high | remainders.view(np.uint64)).view(np.int64)
+
+
+def _merged(fps, counts):
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(fps)), pa.array(np.concatenate(counts))], names=["fp", "n"])
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,8 +123,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("fp", F.xxhash64("text"))
-    filters = rows.select("fp").mapInArrow(build_filters, FILTER)
-    repeated = written(merge_filters(filters).where("n > 1").select("fp"), "repeated")
+    bits = quotient_bits_for(rows.count())
+    filters = rows.select("fp").mapInArrow(lambda batches: build_filters(batches, bits), FILTER)
+    repeated = written(merge_filters(filters, bits).where("n > 1").select("fp"), "repeated")
     routed = rows.join(repeated, "fp", "left_semi")
     # byte verification: the text is the grouping key; the sha256 is its name in the join below
     groups = routed.groupBy("text").agg(F.max("doc_id").alias("keep_id"),

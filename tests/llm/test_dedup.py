@@ -61,10 +61,20 @@ def test_filters_merge_losslessly(spark):
     fp = np.concatenate([rng.integers(-1 << 63, (1 << 63) - 1, 500), np.full(700, 12345), [0, -1, -1, 1 << 62]])
     rng.shuffle(fp)
     batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64())], names=["fp"]) for x in np.array_split(fp, 7)]
-    rows = [r for b in quotient_dedup.build_filters(batches, rows=200) for r in b.to_pylist()]
-    assert all(r["remainders"] == sorted(r["remainders"]) for r in rows)
-    merged = quotient_dedup.merge_filters(spark.createDataFrame(rows, quotient_dedup.FILTER)).collect()
-    assert {r.fp: r.n for r in merged} == Counter(fp.tolist())
+    for bits in (1, 4, 10, 30):
+        rows = [r for b in quotient_dedup.build_filters(batches, bits, rows=200) for r in b.to_pylist()]
+        assert all(r["remainders"] == sorted(r["remainders"]) for r in rows)
+        merged = quotient_dedup.merge_filters(spark.createDataFrame(rows, quotient_dedup.FILTER).repartition(5), bits).collect()
+        assert {r.fp: r.n for r in merged} == Counter(fp.tolist()) and len(merged) == len(set(fp.tolist()))
+    for n in (0, 1, 10 ** 4, 10 ** 8, 10 ** 12):
+        bits = quotient_dedup.quotient_bits_for(n)
+        assert n / 2 ** bits <= quotient_dedup.RUN or bits == 30
+
+
+def test_runs_merge_by_sorted_remainders():
+    a = (np.array([1, 4, 9]), np.array([2, 1, 1]))
+    rem, n = quotient_dedup.merge_runs(a, (np.array([0, 4, 9, 10]), np.array([1, 5, 1, 1])))
+    assert rem.tolist() == [0, 1, 4, 9, 10] and n.tolist() == [1, 2, 6, 2, 1]
 
 
 # --- near ----------------------------------------------------------------------

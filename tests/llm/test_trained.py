@@ -197,7 +197,7 @@ def test_gradients():
 def test_main_text_of_driver_pages(spark):
     """Held-out pages (not in the training sample) against their declared article."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    w = main_text.train(pages.select("page_id", "html"))
+    w = driver_weights(spark)
     rest = pages.orderBy("page_id").limit(400).toPandas()
     right = 0
     for html, text in zip(rest.html, main_text.main_texts(w, rest.html.tolist())):
@@ -215,6 +215,46 @@ def test_main_text_of_driver_pages(spark):
     assert good >= 0.97 * total
 
 
+HAND = """<html><head><title>Bread</title></head><body><div class="top"><ul><li><a href="/">Home</a></li><li><a href="/r">Recipes</a></li>
+<li><a href="/c">Contact</a></li></ul></div><div><h1>How to bake bread</h1><p>By Ann Miller</p>
+<p>Bread needs flour, water, salt and time, and of these the time is what most people lack when they begin.</p><p>You need:</p>
+<ul><li>500 g of flour</li><li>350 ml of water</li><li>10 g of salt</li></ul>
+<p>Mix everything in a large bowl until no dry flour is left, then cover the dough and let it rest for eight hours.</p>
+<table><tr><th>Hours</th><th>Warmth</th></tr><tr><td>8</td><td>cool</td></tr><tr><td>4</td><td>warm</td></tr></table>
+<pre>rest, fold, rest, fold, shape, bake</pre>
+<p>Bake it hot, and wait until it is cold before you cut it.</p></div>
+<div class="comments"><p>Bob says: great recipe, thanks a lot, I will try it next week.</p></div>
+<footer><p>Copyright 2020 All rights reserved</p></footer></body></html>"""
+
+
+def driver_weights(spark):
+    if "w" not in _weights:
+        pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+        _weights["w"] = main_text.train(pages.select("page_id", "html"))
+    return _weights["w"]
+
+
+_weights: dict = {}
+
+
+def test_main_text_of_hand_written_pages(spark):
+    w = driver_weights(spark)
+    got = main_text.main_texts(w, [HAND])[0].split("\n\n")
+    article = [b.text for b in html_blocks.blocks(HAND) if not any(
+        t == "footer" or "comments" in h or "top" in h for t, h in b.path)]
+    assert not [t for t in got if t not in article]
+    assert len(got) >= len(article) - 2, [t for t in article if t not in got]
+    bare = "The town council met on Monday to talk about the old bridge, which has been closed for two years. It will open again in May."
+    assert main_text.main_texts(w, [bare, f"<p>{bare}</p>"]) == [bare, bare]
+
+
+def test_long_pages_are_read_in_pieces():
+    w = main_text.new_weights(3)
+    bs = html_blocks.blocks("".join(f"<p>block {i} of this page, with words</p><li>{i}</li>" for i in range(300)))
+    whole, _ = main_text.forward(w, [html_blocks.vectors(bs)])
+    assert np.allclose(main_text.forward_long(w, bs, 37), whole[:, 0], atol=2e-3)
+
+
 def test_main_text_edges(spark):
     rows = [(1, "u", None), (1, "u", None), (2, "u", ""), (3, None, PAGE), (4, "v", "<p>" + "word " * 50_000 + "</p>"), (None, "w", "x")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
