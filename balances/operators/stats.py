@@ -168,7 +168,8 @@ def one_vs_rest(df: DataFrame, id_col: str, attrs, score_col: str) -> DataFrame:
     ranked = by_group.select("attribute", "group", "value", F.col("t").alias("c")).join(
         scores.select("value", order_stats.mid_rank().alias("mid_rank")), "value")
     g = ranked.groupBy("attribute", "group").agg(
-        F.sum("c").alias("n"), (F.sum(F.col("value") * F.col("c")) / F.sum("c")).alias("mean"),
+        # exact decimals: the mean of amounts must not depend on the order of a sum
+        F.sum("c").alias("n"), (F.sum(F.col("value").cast("decimal(24,6)") * F.col("c").cast("decimal(12)")).cast("double") / F.sum("c")).alias("mean"),
         F.sum(F.col("mid_rank") * F.col("c")).alias("r_g"))
     tie = scores.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tie_term"), F.max("n").alias("n_all"))
     median = order_stats.quantiles(by_group, ["attribute", "group"], [0.5]).select("attribute", "group", F.col("value").alias("median"))

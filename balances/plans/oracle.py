@@ -579,7 +579,7 @@ mwg AS (SELECT variable, sum(mid_rank * y) AS r1, CAST(sum(y) AS BIGINT) AS n1,
         FROM mwr GROUP BY variable),
 mw AS (SELECT g.variable, g.n1 AS n_event, CAST(g.n - g.n1 AS BIGINT) AS n_non_event,
               CASE WHEN g.n1 > 0 AND g.n - g.n1 > 0 THEN g.r1 - g.n1 * (g.n1 + 1) / 2.0 END AS u,
-              CASE WHEN g.n1 > 0 AND g.n - g.n1 > 0 THEN
+              CASE WHEN g.n1 > 0 AND g.n - g.n1 > 0 AND (g.n + 1) - t.tie_term / (g.n * (g.n - 1)) > 0 THEN
                 (greatest(g.r1 - g.n1 * (g.n1 + 1) / 2.0, g.n1 * (g.n - g.n1) - (g.r1 - g.n1 * (g.n1 + 1) / 2.0))
                  - g.n1 * (g.n - g.n1) / 2.0 - 0.5)
                 / sqrt(g.n1 * (g.n - g.n1) / 12.0 * ((g.n + 1) - t.tie_term / (g.n * (g.n - 1)))) END AS z
@@ -617,11 +617,11 @@ def _ovr(src, score, name):
 {name}_t AS (SELECT sum(power(t, 3) - t) AS tie_term, sum(t) AS n_all FROM (SELECT count(*) AS t FROM {name}_s GROUP BY {score}) x),
 {name}_l AS (""" + " UNION ALL ".join(
         f"SELECT '{a}' AS attribute, coalesce(CAST({a} AS VARCHAR), '{S.missing_label}') AS grp, {score} AS value, mid_rank FROM {name}_s" for a in _AUD) + f"""),
-{name}_g AS (SELECT attribute, grp, count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.5) AS median, sum(mid_rank) AS r_g
+{name}_g AS (SELECT attribute, grp, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(24, 6))) AS DOUBLE) / count(*) AS mean, quantile_cont(value, 0.5) AS median, sum(mid_rank) AS r_g
              FROM {name}_l GROUP BY attribute, grp),
 {name}_z AS (SELECT attribute, grp, n, mean, median,
        CASE WHEN n_all - n > 0 THEN r_g - n * (n + 1) / 2.0 END AS u,
-       CASE WHEN n_all - n > 0 THEN
+       CASE WHEN n_all - n > 0 AND (n_all + 1) - tie_term / (n_all * (n_all - 1)) > 0 THEN
          (greatest(r_g - n * (n + 1) / 2.0, n * (n_all - n) - (r_g - n * (n + 1) / 2.0)) - n * (n_all - n) / 2.0 - 0.5)
          / sqrt(n * (n_all - n) / 12.0 * ((n_all + 1) - tie_term / (n_all * (n_all - 1)))) END AS z
 FROM {name}_g, {name}_t)"""

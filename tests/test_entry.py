@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 SPOT = ["global_cut", "cut_report", "balance_snapshot", "monthly_panel", "customer_features",
-        "priority_levels", "woe_iv_categorical", "chi2_cramer", "dedupe_first", "psi_drift"]
+        "priority_levels", "woe_iv_categorical", "chi2_cramer", "dedupe_first", "psi_drift",
+        "validation_table", "fairness_fact", "quality_report", "monitoring", "imputation_plan", "one_vs_rest_rank"]
 
 
 def _canon(pdf):
@@ -35,8 +36,8 @@ def test_every_query_has_oracle_or_is_rows_only():
     # the optional training-data queries have tests of their own
     rows_only = {n for n in set(q) - set(o) if n != "pipeline" and not re.match(r"op\d+_", n)}
     assert rows_only <= {"propensity_scores", "permutation_importance", "amount_forecast",
-                         "missing_pattern_model", "gender_proxy_model", "label_sensitivity",
-                         "validation_table", "vif_all", "model_metrics"}
+                         "missing_pattern_model", "gender_proxy_model", "label_sensitivity", "model_metrics",
+                         "importance_fact", "auxiliary_importance", "forecast_backtest", "summary_published"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
