@@ -77,6 +77,15 @@ def dropped(*frames: DataFrame) -> None:
             df.unpersist()
 
 
+def small(batches, rows: int = 256):
+    """Record batches of a few rows, so that a worker holds few texts at once."""
+    import pyarrow as pa
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished jobs: Spark deletes them once the
     driver's JVM has collected what referred to them, which it has no reason of

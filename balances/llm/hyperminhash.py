@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.llm.bpe_words import slices
-from balances.llm.common import BROADCAST_IDS, dropped, kept, narrow, release, table, text_key, text_or_empty, written
+from balances.llm.common import BROADCAST_IDS, dropped, kept, narrow, release, small, table, text_key, text_or_empty, written
 from balances.llm.components import components
 
 WORDS = 5
@@ -186,16 +186,8 @@ def likely(x, y, n, m, percent: int = PERCENT) -> np.ndarray:
     return (est >= t - slack) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
 
 
-def _small(batches, rows: int = 256):
-    """Record batches of a few rows, so that a worker holds few texts at once."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
-        pa.default_memory_pool().release_unused()
-
-
 def sign(batches):
-    for b in _small(batches):
+    for b in small(batches):
         texts = b.column("text").to_pylist()
         for i, j in slices(texts, 400_000):
             sets = shingle_hashes(texts[i:j])
@@ -249,7 +241,7 @@ def verify(percent: int, words: int):
     rows of one hub follow each other."""
     def run(batches):
         last: dict = {}
-        for b in _small(batches):
+        for b in small(batches):
             ok = []
             for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist()):
                 for t in (x, y):
@@ -285,7 +277,7 @@ def _runs(batches):
 
 def open_sets(batches):
     """rep, n, registers and the set as sorted 32-bit hashes, for block tasks."""
-    for b in _small(batches):
+    for b in small(batches):
         texts = b.column("text").to_pylist()
         for i, j in slices(texts, 400_000):
             sets = shingle_hashes(texts[i:j])
@@ -338,7 +330,7 @@ def block_pairs(percent: int, forest: bool):
 def same_sets(batches):
     """Exact check that two texts of one class have one set: (n, hi, lo,
     text_key, same) of each further text."""
-    for b in _small(batches):
+    for b in small(batches):
         same = [shingle_set(x) == shingle_set(y) for x, y in zip(b.column("first_text").to_pylist(), b.column("text").to_pylist())]
         yield b.select(["n", "hi", "lo", "text_key"]).append_column("same", pa.array(same, pa.bool_()))
 

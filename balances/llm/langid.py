@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balances.llm.common import table
+from balances.llm.common import small, table
 
 DIMS = 1 << 16
 ORDERS = 3
@@ -236,7 +236,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in small(batches):
             got = [m.predict(t) for t in b.column("text").to_pylist()]
             yield b.filter(pa.array([lang != "und" and score >= least for lang, score in got], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

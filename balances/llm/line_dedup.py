@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balances.llm.bpe_words import slices
-from balances.llm.common import dropped, narrow, release, table, text_key, written
+from balances.llm.common import dropped, narrow, release, small, table, text_key, written
 from balances.llm.components import components
 
 GRAM = 5
@@ -128,7 +128,7 @@ def _sign(own: list[str]):
     sketch where a task meets a line for the first time."""
     def run(batches):
         seen: set = set()
-        for b in batches:
+        for b in small(batches, 2048):
             lines, ids = b.column("line").to_pylist(), b.column("id").to_pylist()
             new = []
             for i, (x, key) in enumerate(zip(lines, ids)):
@@ -209,9 +209,9 @@ def linked(la: list[str], lb: list[str]) -> np.ndarray:
 
 
 def verify(batches):
-    for b in batches:
+    for b in small(batches, 2048):
         la, lb = b.column("la").to_pylist(), b.column("lb").to_pylist()
-        ok = [linked(la[i:j], lb[i:j]) for i, j in slices([x + y for x, y in zip(la, lb)], 1_000_000)]
+        ok = [linked(la[i:j], lb[i:j]) for i, j in slices([x + y for x, y in zip(la, lb)], 300_000)]
         if ok:
             yield b.select(["a", "b"]).append_column("linked", pa.array(np.concatenate(ok)))
 
@@ -406,7 +406,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 def _without_lines(batches):
     """Take the positions ``_line_gone`` out of the texts."""
-    for b in batches:
+    for b in small(batches):
         gone, names = b.column("_line_gone").to_pylist(), b.schema.names[:-1]
         columns = {c: b.column(c) for c in names}
         if any(g is not None for g in gone):
