@@ -12,7 +12,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 SPOT = ["global_cut", "cut_report", "balance_snapshot", "monthly_panel", "customer_features",
         "priority_levels", "woe_iv_categorical", "chi2_cramer", "dedupe_first", "psi_drift",
-        "validation_table", "fairness_fact", "quality_report", "monitoring", "imputation_plan", "one_vs_rest_rank"]
+        "fairness_fact", "quality_report", "monitoring", "imputation_plan", "one_vs_rest_rank"]
 
 
 def _canon(pdf):
