@@ -279,7 +279,8 @@ def _blocks(open_rows: DataFrame, meta: DataFrame, texts: DataFrame) -> DataFram
 
 def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
     """(id, component) of the lines linked with a different line; a component is
-    named by a number. ``signed``: what ``_sign`` makes of ``lines``."""
+    named by a number. ``signed``: what ``_sign`` makes of ``lines``, a scratch
+    table that is deleted once its buckets are known."""
     sigs = signed.where("n IS NOT NULL").select("id", F.xxhash64("id").alias("h"), "n", "keys", "sketch")
     # a number stands for a line until buckets are found; a line that several tasks signed is one
     member = sigs.select("h", F.explode("keys").alias("key"))
@@ -305,7 +306,7 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
     own = lines.where(F.length("line") >= LEAST).select("id", "line")
     own = own if n_ids <= BROADCAST_KEYS else own.repartition("id")
     texts = written(own.join(numbered.select("id", "nid"), "id").groupBy("id", "nid", "line").count().select("nid", "line"), "texts")
-    dropped(buckets, wanted, by_bucket)
+    dropped(buckets, wanted, by_bucket, signed)  # band keys and sketches of all lines are the largest table
     release(lines.sparkSession)
 
     hubs = shared.groupBy("key").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("size"))
@@ -358,12 +359,13 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, by_row: bool) -> DataFr
     lines = lines.withColumn("id", line_id())
     own = ["doc_id", "row"]
     signed = written(lines.mapInArrow(_sign(own), "doc_id long, row binary, pos int, id binary, n long, keys array<long>, sketch binary"), "signed")
+    placed = written(signed.select(*own, "pos", "id"), "seen")
     comp = fuzzy_components(signed, lines)
     # doc_id and position in one number: a fixed-width key that sorts like the pair; null ids last
     place = (F.coalesce(F.col("doc_id").cast("decimal(20)"), F.lit(str(1 << 63)).cast("decimal(20)"))
              * F.lit(1 << 31) + F.col("pos")).cast("decimal(38)")
     place = F.struct(place.alias("place"), "row") if by_row else place
-    seen = signed.select(*own, "pos", "id", place.alias("place"))
+    seen = placed.withColumn("place", place)
     first = seen.groupBy("id").agg(F.min("place").alias("first"))
     moved = first.join(comp, "id")
     best = moved.groupBy("component").agg(F.min("first").alias("best"))
@@ -374,7 +376,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, by_row: bool) -> DataFr
     out = written(judged.groupBy(*own).agg(
         F.count(F.lit(1)).alias("n_lines"), (F.count(F.lit(1)) - F.count("gone")).alias("n_kept"),
         F.sort_array(F.collect_list("gone")).alias("dropped")), "judged")
-    dropped(signed, comp, moved)
+    dropped(placed, comp, moved)
     return out
 
 
