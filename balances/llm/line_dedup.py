@@ -149,6 +149,21 @@ def _sign(own: list[str]):
     return run
 
 
+def first_met(batches):
+    """(id, line) rows without those a task has met lately, so that a line which
+    many rows share goes through a shuffle about once a task."""
+    seen: set = set()
+    for b in small(batches, 2048):
+        new = []
+        for i, key in enumerate(b.column("id").to_pylist()):
+            if key not in seen:
+                if len(seen) >= MEMO_LINES:
+                    seen.clear()
+                seen.add(key)
+                new.append(i)
+        yield b.take(pa.array(new, pa.int64()))
+
+
 def _fits(na, nb):
     """Set sizes that allow the threshold."""
     return np.minimum(na, nb) * DEN >= np.maximum(na, nb) * NUM
@@ -305,7 +320,7 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
     release(lines.sparkSession)
     # one shuffle of lines: dealt by id they are told apart and joined where they lie
     own = lines.where(F.length("line") >= LEAST).select("id", "line")
-    own = own if n_ids <= BROADCAST_KEYS else own.repartition("id")
+    own = own if n_ids <= BROADCAST_KEYS else own.mapInArrow(first_met, "id binary, line string").repartition("id")
     texts = written(own.join(numbered.select("id", "nid"), "id").groupBy("id", "nid", "line").count().select("nid", "line"), "texts")
     release(lines.sparkSession)
 

@@ -280,6 +280,25 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(frame(spark, [])).collect() == []
 
 
+def test_line_dedup_without_broadcasts(spark, monkeypatch):
+    """Beyond the broadcast bound, with a line that a third of all rows hold."""
+    hot = "a line that very many of all the rows hold"
+    rows = line_rows(5) + [(500 + i, hot if i % 2 else hot + "!") for i in range(30)]
+    want = line_dedup.line_dedup(frame(spark, rows).repartition(3)).collect()
+    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(line_dedup, "MEMO_LINES", 8)
+    got = line_dedup.line_dedup(frame(spark, rows).repartition(3)).collect()
+    assert sorted(got) == sorted(want)
+    assert [r.doc_id for r in got if 500 <= r.doc_id and not r.dropped] == [500]
+
+
+def test_lines_met_lately_pass_once(monkeypatch):
+    monkeypatch.setattr(line_dedup, "MEMO_LINES", 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([b"a", b"a", b"b", b"a", b"c", b"a"]), pa.array(list("aabaca"))], names=["id", "line"])
+    met = [x for b in line_dedup.first_met([batch, batch.slice(0, 0)]) for x in b.column("line").to_pylist()]
+    assert met == list("abca")  # forgotten once the memo is full, never lost
+
+
 def test_line_dedup_awkward(spark):
     rows = AWKWARD + [(70, "a repeated line of text\nkept"), (70, "a repeated line of text\nkept"), (71, "a repeated line of text")]
     got = line_dedup.line_dedup(frame(spark, rows)).collect()
