@@ -154,3 +154,34 @@ def test_component_panel_missing_component_zero(spark):
                               "customer_id long, product string, month date, balance_month double, observed int")
     r = amount.component_panel(p).first()
     assert r.app == 0.0 and r.conservative == 5.0 and r.invested == 5.0
+
+
+def test_component_panel_shuffles_observed_months_once(spark):
+    """The months between two records are listed after the one shuffle, and the
+    panel and its history equal a sum over every month."""
+    import datetime as dt
+    import random
+    from balances.operators import panel
+    rng = random.Random(5)
+    products = ["savings", "term_deposit", "trust_fund", "robo_advisor"]
+    recs = [(rng.choice([None, *range(1, 12)]), rng.choice(products), dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(700)),
+             rng.choice([None, 0.0, -3.5, -1.0, 10.25, 7.0]), i) for i in range(150)] + [(50, "trust_fund", dt.date(2025, 3, 3), -1.0, 999)]
+    df = spark.createDataFrame(recs, "customer_id long, product string, obs_date date, balance double, row_key long")
+    made = panel.monthly_panel(df, dt.date(2025, 11, 20))
+    months = spark.createDataFrame(made.collect(), made.schema)
+    got = amount.component_panel(months)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") == 1
+    want = {}
+    for r in months.collect():
+        for c, ps in amount.COMPONENTS.items():
+            if r["product"] in ps:
+                want.setdefault((r.customer_id, r.month), {k: 0.0 for k in amount.COMPONENTS})[c] += r.balance_month or 0.0
+    found = {(r.customer_id, r.month): {c: r[c] for c in amount.COMPONENTS} for r in got.collect()}
+    assert found == want and got.count() == len(want)
+    assert got.where("invested <> app + conservative").count() == 0
+    rich = {c for (c, _), v in want.items() if sum(v.values()) > 0 and c is not None}
+    assert 50 not in rich and {r[0] for r in amount.with_history(got).select("customer_id").distinct().collect()} == rich
+    assert {r[0] for r in amount.history_ids(amount.component_runs(months)).where("customer_id is not null").collect()} == rich
+    plain = amount.component_panel(months.drop("observed"))
+    assert {tuple(r) for r in plain.collect()} == {tuple(r) for r in got.collect()}
