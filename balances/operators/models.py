@@ -12,6 +12,8 @@
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -21,9 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from balances.config import SETTINGS
-from balances.operators import roles
+from balances.operators import order_stats, roles
 from balances.operators.rank import distributed_row_number
-from balances.operators.stats import auc_exact
+from balances.operators.stats import auc_exact, auc_of_counts
 from balances.session import materialise
 
 S = SETTINGS
@@ -155,26 +157,121 @@ def permutations(rows: DataFrame, repeats: int, seed: int = S.seed, id_col: str
     return own.join(donor, ["repeat", "_rn"]).drop("_rn")
 
 
-def variables_read(model: PipelineModel, df: DataFrame, cols) -> list[str]:
-    """The variables that some tree of the model splits on: permuting another
-    one changes no score."""
-    used = model.stages[-1].featureImportances.indices
+def variable_slots(model: PipelineModel, df: DataFrame, cols) -> dict[str, list[int]]:
+    """Per variable its places in the model's feature vector."""
     ready = PipelineModel(model.stages[:-1]).transform(encode(df.limit(0), cols)[0])
     attrs = ready.schema["features"].metadata["ml_attr"]["attrs"]
     name_of = {a["idx"]: a["name"] for kind in attrs.values() for a in kind}
-    read = {name_of[int(i)] for i in used}
-    return [c for c in cols if any(n in (f"__{c}", f"__{c}_na") or n.startswith(f"__{c}_oh") for n in read)]
+    return {c: [i for i, n in sorted(name_of.items()) if n in (f"__{c}", f"__{c}_na") or n.startswith(f"__{c}_oh")] for c in cols}
+
+
+def variables_read(model: PipelineModel, df: DataFrame, cols) -> list[str]:
+    """The variables that some tree of the model splits on: permuting another
+    one changes no score."""
+    used = {int(i) for i in model.stages[-1].featureImportances.indices}
+    slots = variable_slots(model, df, cols)
+    return [c for c in cols if used & set(slots[c])]
+
+
+def tree_nodes(gbt) -> list[tuple]:
+    """The fitted trees as rows: per tree (weight, depth, nodes), a node (place in
+    the vector, threshold, left, right, prediction); a row goes left when its value
+    is at most the threshold, a leaf is its own child. One-hot places split by
+    category, which 0.5 tells apart."""
+    out = []
+    for tree, weight in zip(gbt._java_obj.trees(), gbt.treeWeights):
+        nodes: list = []
+
+        def add(node) -> int:
+            at = len(nodes)
+            nodes.append(None)
+            if node.getClass().getSimpleName() == "LeafNode":
+                nodes[at] = (0, 0.0, at, at, node.prediction())
+                return at
+            split = node.split()
+            left, right = add(node.leftChild()), add(node.rightChild())
+            if split.getClass().getSimpleName() == "ContinuousSplit":
+                threshold = split.threshold()
+            else:
+                threshold = 0.5
+                if [float(c) for c in split.leftCategories()] == [1.0]:
+                    left, right = right, left
+            nodes[at] = (split.featureIndex(), threshold, left, right, 0.0)
+            return at
+        add(tree.rootNode())
+        out.append((float(weight), tree.depth(), nodes))
+    return out
+
+
+def permuted_scores(trees: list[tuple], slots: dict[str, list[int]]):
+    """For ``mapInArrow`` over (repeat, _y, own, donor): rows (variable, repeat,
+    value, t, events), the scores of the batch with one variable after the other
+    taken from the donor, equal scores counted together. Only the trees that split
+    on the variable are walked again; "" stands for the rows as they are (repeat 0)."""
+    places = sorted({n[0] for _, _, nodes in trees for n in nodes if n[2] != n[3]})
+    at = {f: i for i, f in enumerate(places)}
+    mine = {v: [at[f] for f in fs if f in at] for v, fs in slots.items()}
+    tables = [(w, depth, [at.get(n[0], 0) if n[2] != n[3] else 0 for n in nodes], *([n[k] for n in nodes] for k in (1, 2, 3, 4)))
+              for w, depth, nodes in trees]
+    reads = {v: [i for i, t in enumerate(trees) if any(n[2] != n[3] and n[0] in fs for n in t[2])] for v, fs in slots.items()}
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        arrays = [(depth, np.array(f), np.array(th), np.ravel(np.column_stack([right, left])), np.array(val) * w)
+                  for w, depth, f, th, left, right, val in tables]
+
+        def walked(i, x, rows):
+            depth, f, th, child, val = arrays[i]
+            start, flat = f * len(rows), x.ravel()
+            node = np.zeros(len(rows), dtype=np.int64)
+            for _ in range(depth):
+                left = np.take(flat, np.take(start, node) + rows) <= np.take(th, node)
+                node = np.take(child, 2 * node + left)
+            return np.take(val, node)
+
+        def counted(name, repeat, y, value):
+            for r in np.unique(repeat):
+                here = repeat == r
+                v, inv = np.unique(value[here], return_inverse=True)
+                yield pa.RecordBatch.from_pydict({
+                    "variable": pa.array([name] * len(v), pa.string()), "repeat": pa.array(np.full(len(v), r, dtype=np.int32)), "value": pa.array(v),
+                    "t": pa.array(np.bincount(inv).astype(np.int64)), "events": pa.array(np.bincount(inv, weights=y[here]).astype(np.int64))})
+
+        def score(leaves):
+            return 1.0 - 1.0 / (1.0 + np.exp(2.0 * leaves.sum(axis=0)))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            repeat = b.column("repeat").to_numpy(zero_copy_only=False)
+            y = b.column("_y").to_numpy(zero_copy_only=False)
+            own, donor = (np.ascontiguousarray(b.column(c).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).T)
+                          for c in ("own", "donor"))
+            rows = np.arange(b.num_rows)
+            leaves = np.array([walked(i, own, rows) for i in range(len(arrays))])
+            first = repeat == 0
+            yield from counted("", repeat[first], y[first], score(leaves[:, first]))
+            for v, places_v in mine.items():
+                kept, kept_leaves = own[places_v], leaves[reads[v]]
+                own[places_v] = donor[places_v]
+                for i in reads[v]:
+                    leaves[i] = walked(i, own, rows)
+                yield from counted(v, repeat, y, score(leaves))
+                own[places_v], leaves[reads[v]] = kept, kept_leaves
+    return places, run
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, cols, label_col: str,
-                           variables, repeats: int = 5, seed: int = S.seed) -> DataFrame:
+                           variables, repeats: int = 5, seed: int = S.seed, pairs: DataFrame | None = None) -> DataFrame:
     """M9: drop in exact AUC when one variable is permuted over the whole test
     set, mean and std (population) over repeats; variables that no tree reads
     have 0.
 
-    A row and its donor meet once a repeat; one variable after the other takes
-    the donor's value in the projection, the model itself scores the row, and
-    what is shuffled are counts per (variable, repeat, score)."""
+    Every row is encoded once and meets its donor once a repeat (``pairs``, see
+    ``permutations``; models with one test set share them). One variable after the
+    other takes the donor's places in the vector, the model's trees that split on
+    it are walked again, and what is shuffled, once, are counts per (variable,
+    repeat, score) of a batch."""
     spark = test.sparkSession
     cols, variables = list(cols), list(variables)
     read = [v for v in variables_read(model, test, cols) if v in variables]
@@ -182,17 +279,26 @@ def permutation_importance(model: PipelineModel, test: DataFrame, cols, label_co
                                  "variable string, importance_mean double, importance_std double")
     if not read:
         return rest
-    base = auc_exact(score(model, test, cols), "customer_id", "score", label_col).first()["auc"]  # one scalar
-    held = test.select("customer_id", F.col(label_col).cast("int").alias("_y"), *cols)
-    pairs = materialise(permutations(test, repeats, seed), "permutations")
-    donors = held.select(F.col("customer_id").alias("donor_id"), *[F.col(c).alias(f"_d_{c}") for c in read])
-    both = pairs.join(held, "customer_id").join(donors, "donor_id")
-    each = both.withColumn("variable", F.explode(F.array(*[F.lit(v) for v in read])))
-    moved = each.select("customer_id", "variable", "repeat", "_y", *[
-        F.when(F.col("variable") == c, F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c) if c in read else F.col(c) for c in cols])
-    scored = score(model, moved, cols).select("variable", "repeat", "_y", "score")
+    slots = variable_slots(model, test, cols)
+    places, run = permuted_scores(tree_nodes(model.stages[-1]), {v: slots[v] for v in read})
+    ready = PipelineModel(model.stages[:-1]).transform(encode(test, cols)[0])
+    x = vector_to_array("features")
+    vectors = ready.select("customer_id", F.coalesce(F.col(label_col).cast("int"), F.lit(0)).alias("_y"), x.alias("_x")).select(
+        "customer_id", "_y", F.array(*[F.col("_x")[i] for i in places]).alias("own"))
+    vectors = materialise(vectors, "test-vectors")
+    if pairs is None:
+        pairs = materialise(permutations(test, repeats, seed), "permutations")
+    donors = vectors.select(F.col("customer_id").alias("donor_id"), F.col("own").alias("donor"))
+    both = pairs.join(vectors, "customer_id").join(donors, "donor_id").select("repeat", "_y", "own", "donor")
+    n_rows = vectors.count()
+    blocks = max(1, math.ceil(n_rows / order_stats.BLOCK_VALUES))
+    cuts = [] if blocks == 1 else score(model, test, cols).agg(F.percentile_approx(
+        "score", [i / blocks for i in range(1, blocks)], 10 * blocks).alias("c")).first()["c"]  # one row of blocks - 1 values
+    counts = both.mapInArrow(run, "variable string, repeat int, value double, t long, events long")
+    aucs = materialise(auc_of_counts(counts, ["variable", "repeat"], cuts), "permuted-aucs")  # variables x repeats rows
+    base = aucs.where("variable = ''").first()["auc"]  # one scalar
     drop = F.lit(base) - F.col("auc")
-    found = auc_exact(scored, "customer_id", "score", "_y", ["variable", "repeat"]).groupBy("variable").agg(
+    found = aucs.where("variable <> ''").groupBy("variable").agg(
         F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
     return found.unionByName(rest)
 

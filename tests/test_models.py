@@ -61,3 +61,44 @@ def test_encoding_null_and_unseen_are_zero(spark):
     vecs = [r.features.toArray().tolist() for r in m.transform(enc2).collect()]
     assert vecs[0] == [models.SENTINEL, 1.0, 0.0, 0.0]   # x NULL -> sentinel + flag; c NULL -> zeros
     assert vecs[1] == [2.0, 0.0, 0.0, 0.0]                # unseen level -> zeros
+
+
+def test_permuted_rows_are_scored_by_the_trees(spark, monkeypatch):
+    """Every AUC equals the model's own on rows with the donor's value; the model is
+    not run for each variable and repeat, only the trees that split on it."""
+    import random
+    from balances.operators.stats import auc_exact
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        x, c = rng.choice([None, rng.random()]), rng.choice([None, "a", "b", "c"])
+        rows.append((i, x, rng.random(), c, 1.0, int((x or 0.7) + (c == "b") * 0.4 + rng.random() > 1.1)))
+    df = spark.createDataFrame(rows, "customer_id long, income double, assets double, segment string, equity double, y int")
+    cols = ["income", "assets", "segment", "equity"]
+    model = models.fit_classifier(df, cols, "y", max_iter=8, max_depth=4)
+    pairs = models.permutations(df, 2).persist()
+    base = auc_exact(models.score(model, df, cols), "customer_id", "score", "y").first()["auc"]
+    want = {}
+    donors = df.select(F.col("customer_id").alias("donor_id"), *[F.col(c).alias(f"d_{c}") for c in cols])
+    both = pairs.join(df, "customer_id").join(donors, "donor_id").persist()
+    for v in cols:
+        moved = both.withColumn(v, F.col(f"d_{v}")).select("repeat", *df.columns)
+        aucs = [r["auc"] for r in auc_exact(models.score(model, moved, cols), "", "score", "y", ["repeat"]).collect()]
+        want[v] = base - sum(aucs) / len(aucs)
+    monkeypatch.setattr(models, "score", lambda *a: pytest.fail("the whole model scores the rows"))
+    got = {r.variable: r.importance_mean for r in models.permutation_importance(model, df, cols, "y", cols, repeats=2).collect()}
+    assert got == pytest.approx(want, abs=1e-9) and got["income"] > 0 and got["segment"] > 0 and got["equity"] == 0
+
+
+@pytest.mark.parametrize("cuts", [[], [0.5], [-1.0, 2.0, 2.0, 3.5, 9.0]])
+def test_auc_of_counts_in_blocks(spark, cuts):
+    from balances.operators import stats
+    vals = [(g, float(v), t, min(t, (v + g) % 3)) for g in (1, 2) for v in range(6) for t in (1, 2)]
+    counts = spark.createDataFrame(vals, "g int, value double, t long, events long")
+    flat = spark.createDataFrame([(g, v, int(k < e)) for g, v, t, e in vals for k in range(t)], "g int, value double, y int")
+    want = {r.g: r.auc for r in stats.auc_exact(flat, "", "value", "y", ["g"]).collect()}
+    got = stats.auc_of_counts(counts, ["g"], cuts)
+    assert {r.g: r.auc for r in got.collect()} == pytest.approx(want)
+    assert got._jdf.queryExecution().sparkPlan().toString().count("Window") == 2
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning(g") == 2  # the counts once, and one row a block
