@@ -87,15 +87,39 @@ class Check:
 
 def _digests(cols) -> list[F.Column]:
     """Two 64-bit digests of a key; a null is a value of its own."""
-    parts = [*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols]]
+    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
+    parts = [*cols, *[c.isNull() for c in cols]]
     return [F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2")]
 
 
-def _marks(number: int, columns, child: int, parent: int, bad=None, key: bool = False, known=None) -> F.Column:
-    none = [F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2")]
-    mark = F.struct(F.lit(number).alias("check"), F.lit(child).alias("child"), F.lit(parent).alias("parent"),
-                    (F.lit(0) if bad is None else bad.cast("int")).alias("bad"), *(_digests(columns) if key else none))
-    return mark if known is None else F.when(known, mark)
+def _key_bits(df: DataFrame, columns) -> tuple[list, F.Column]:
+    """A primary key as (what is digested, one bit of 64): where the last column is
+    a whole number, 64 of its values under the same other columns are one digest
+    and a bit each, so that a run of months leaves a row or two to be shuffled. A
+    null is a digest of its own with the first bit."""
+    last = columns[-1]
+    if len(columns) < 2 or dict(df.dtypes)[last] not in ("tinyint", "smallint", "int", "bigint"):
+        return [F.col(c) for c in columns], F.lit(1).cast("long")
+    n = F.col(last).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), n.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    return [*[F.col(c) for c in columns[:-1]], F.shiftright(n, 6)], F.coalesce(bit, F.lit(1).cast("long"))
+
+
+def _key_marks(df: DataFrame, number: int, columns, child: int, parent: int, bits=None) -> DataFrame:
+    """One small row per row: the digest of its key."""
+    h1, h2 = _digests(columns)
+    bits = F.lit(1).cast("long") if bits is None else bits
+    return df.select(F.lit(number).alias("check"), F.lit(child).cast("long").alias("child"), F.lit(parent).cast("long").alias("parent"),
+                     F.lit(0).cast("long").alias("bad"), bits.alias("bits"), h1, h2)
+
+
+def _rule_marks(df: DataFrame, rules: list[tuple]) -> DataFrame:
+    """One row per rule (number, whether a row breaks it): rows and violations."""
+    sums = df.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(bad.cast("long")), F.lit(0)).cast("long").alias(f"bad{i}") for i, bad in rules])
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    each = F.array(*[F.struct(F.lit(i).alias("check"), F.col("n").alias("child"), zero.alias("parent"), F.col(f"bad{i}").alias("bad"),
+                              one.alias("bits"), zero.alias("h1"), zero.alias("h2")) for i, _ in rules])
+    return sums.select(F.explode(each).alias("m")).select("m.*")
 
 
 def check_tables(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
@@ -103,40 +127,41 @@ def check_tables(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame
     VERIFIED where a table or column is absent), one row each with rows and
     violations.
 
-    Each table is read once: a row leaves one small mark a check (its key's
-    digest, or whether it breaks a rule), marks are added up per (check, digest)
-    before and after the one shuffle, and keys seen twice, or seen in the child
-    and not in the parent, are what is left to count."""
+    A key check reads its columns alone, and what a row leaves of them is a
+    digest; digests are added up per check before and after one shuffle, and keys
+    seen twice (more rows than bits), or seen in the child and not in the parent,
+    are what is left to count. The other rules of a table are sums of one scan."""
     spark = next(iter(tables.values())).sparkSession
     cols = {t: set(df.columns) for t, df in tables.items()}
 
     def present(c):
         return set(c.columns) <= cols.get(c.table, set()) and (
             c.parent is None or set(c.parent_columns) <= cols.get(c.parent, set()))
-    marks: dict[str, list] = {}
+    rules: dict[str, list] = {}
+    parts = []
     for i, c in enumerate(checks):
         if not present(c):
             continue
         nulls = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in c.columns])
-        own = marks.setdefault(c.table, [])
         if c.constraint == PRIMARY_KEY:
-            own.append(_marks(i, c.columns, 1, 0, key=True))
+            key, bits = _key_bits(tables[c.table], c.columns)
+            parts.append(_key_marks(tables[c.table], i, key, 1, 0, bits))
         elif c.constraint in (PK_NOT_NULL, NOT_NULL):
-            own.append(_marks(i, c.columns, 1, 0, nulls))
+            rules.setdefault(c.table, []).append((i, nulls))
         elif c.constraint == ASCII:
-            own.append(_marks(i, c.columns, 1, 0, F.coalesce(has_non_ascii(c.columns[0]), F.lit(False))))
+            rules.setdefault(c.table, []).append((i, F.coalesce(has_non_ascii(c.columns[0]), F.lit(False))))
         else:
-            own.append(_marks(i, c.columns, 1, 0, key=True, known=~nulls))
-            marks.setdefault(c.parent, []).append(_marks(i, c.parent_columns, 0, 1, key=True))
+            parts.append(_key_marks(tables[c.table].where(~nulls), i, c.columns, 1, 0))
+            parts.append(_key_marks(tables[c.parent], i, c.parent_columns, 0, 1))
+    parts += [_rule_marks(tables[t], r) for t, r in rules.items()]
     names = spark.createDataFrame(
         [(i, c.table, c.name, ",".join(c.columns), c.constraint, present(c)) for i, c in enumerate(checks)],
         "check int, table_name string, constraint string, columns string, kind string, present boolean")
-    parts = [tables[t].select(F.explode(F.array_compact(F.array(*m))).alias("m")).select("m.*") for t, m in marks.items()]
     if parts:
         per_key = reduce(DataFrame.unionByName, parts).groupBy("check", "h1", "h2").agg(
-            F.sum("child").alias("child"), F.sum("parent").alias("parent"), F.sum("bad").alias("bad"))
+            F.sum("child").alias("child"), F.sum("parent").alias("parent"), F.sum("bad").alias("bad"), F.bit_or("bits").alias("bits"))
         found = per_key.groupBy("check").agg(
-            F.sum("child").alias("n_rows"), F.sum("bad").alias("bad"), F.sum(F.greatest(F.col("child") - 1, F.lit(0))).alias("again"),
+            F.sum("child").alias("n_rows"), F.sum("bad").alias("bad"), F.sum(F.greatest(F.col("child") - F.bit_count("bits"), F.lit(0))).alias("again"),
             F.count_if((F.col("child") > 0) & (F.col("parent") == 0)).alias("orphans"))
     else:
         found = spark.createDataFrame([], "check int, n_rows long, bad long, again long, orphans long")
