@@ -105,21 +105,16 @@ def _key_bits(df: DataFrame, columns) -> tuple[list, F.Column]:
     return [*[F.col(c) for c in columns[:-1]], F.shiftright(n, 6)], F.coalesce(bit, F.lit(1).cast("long"))
 
 
-def _key_marks(df: DataFrame, number: int, columns, child: int, parent: int, bits=None) -> DataFrame:
-    """One small row per row: the digest of its key."""
-    h1, h2 = _digests(columns)
-    bits = F.lit(1).cast("long") if bits is None else bits
-    return df.select(F.lit(number).alias("check"), F.lit(child).cast("long").alias("child"), F.lit(parent).cast("long").alias("parent"),
-                     F.lit(0).cast("long").alias("bad"), bits.alias("bits"), h1, h2)
+_MARK = ("check", "child", "parent", "bad", "bits", "h1", "h2")
 
 
-def _rule_marks(df: DataFrame, rules: list[tuple]) -> DataFrame:
-    """One row per rule (number, whether a row breaks it): rows and violations."""
-    sums = df.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(bad.cast("long")), F.lit(0)).cast("long").alias(f"bad{i}") for i, bad in rules])
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    each = F.array(*[F.struct(F.lit(i).alias("check"), F.col("n").alias("child"), zero.alias("parent"), F.col(f"bad{i}").alias("bad"),
-                              one.alias("bits"), zero.alias("h1"), zero.alias("h2")) for i, _ in rules])
-    return sums.select(F.explode(each).alias("m")).select("m.*")
+def _mark(number: int, child: int, parent: int, bad=None, key=None, bits=None, known=None) -> list[F.Column]:
+    """What a row leaves of one check, in the order of ``_MARK``; none where the
+    check is null."""
+    zero = F.lit(0).cast("long")
+    check = F.lit(number) if known is None else F.when(known, F.lit(number))
+    return [check, F.lit(child).cast("long"), F.lit(parent).cast("long"), zero if bad is None else bad.cast("long"),
+            F.lit(1).cast("long") if bits is None else bits, *(_digests(key) if key else (zero, zero))]
 
 
 def check_tables(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
@@ -127,33 +122,34 @@ def check_tables(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame
     VERIFIED where a table or column is absent), one row each with rows and
     violations.
 
-    A key check reads its columns alone, and what a row leaves of them is a
-    digest; digests are added up per check before and after one shuffle, and keys
-    seen twice (more rows than bits), or seen in the child and not in the parent,
-    are what is left to count. The other rules of a table are sums of one scan."""
+    Each table is read once: a row leaves one small mark a check (its key's
+    digest, or whether it breaks a rule), marks are added up per (check, digest)
+    before and after the one shuffle, and keys seen twice (more rows than bits), or
+    seen in the child and not in the parent, are what is left to count."""
     spark = next(iter(tables.values())).sparkSession
     cols = {t: set(df.columns) for t, df in tables.items()}
 
     def present(c):
         return set(c.columns) <= cols.get(c.table, set()) and (
             c.parent is None or set(c.parent_columns) <= cols.get(c.parent, set()))
-    rules: dict[str, list] = {}
-    parts = []
+    marks: dict[str, list] = {}
     for i, c in enumerate(checks):
         if not present(c):
             continue
         nulls = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in c.columns])
+        own = marks.setdefault(c.table, [])
         if c.constraint == PRIMARY_KEY:
             key, bits = _key_bits(tables[c.table], c.columns)
-            parts.append(_key_marks(tables[c.table], i, key, 1, 0, bits))
+            own.append(_mark(i, 1, 0, key=key, bits=bits))
         elif c.constraint in (PK_NOT_NULL, NOT_NULL):
-            rules.setdefault(c.table, []).append((i, nulls))
+            own.append(_mark(i, 1, 0, nulls))
         elif c.constraint == ASCII:
-            rules.setdefault(c.table, []).append((i, F.coalesce(has_non_ascii(c.columns[0]), F.lit(False))))
+            own.append(_mark(i, 1, 0, F.coalesce(has_non_ascii(c.columns[0]), F.lit(False))))
         else:
-            parts.append(_key_marks(tables[c.table].where(~nulls), i, c.columns, 1, 0))
-            parts.append(_key_marks(tables[c.parent], i, c.parent_columns, 0, 1))
-    parts += [_rule_marks(tables[t], r) for t, r in rules.items()]
+            own.append(_mark(i, 1, 0, key=c.columns, known=~nulls))
+            marks.setdefault(c.parent, []).append(_mark(i, 0, 1, key=c.parent_columns))
+    parts = [tables[t].select(F.stack(F.lit(len(m)), *[x for one in m for x in one]).alias(*_MARK)).where(F.col("check").isNotNull())
+             for t, m in marks.items()]
     names = spark.createDataFrame(
         [(i, c.table, c.name, ",".join(c.columns), c.constraint, present(c)) for i, c in enumerate(checks)],
         "check int, table_name string, constraint string, columns string, kind string, present boolean")
