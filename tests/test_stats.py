@@ -185,3 +185,15 @@ def test_component_panel_shuffles_observed_months_once(spark):
     assert {r[0] for r in amount.history_ids(amount.component_runs(months)).where("customer_id is not null").collect()} == rich
     plain = amount.component_panel(months.drop("observed"))
     assert {tuple(r) for r in plain.collect()} == {tuple(r) for r in got.collect()}
+
+
+def test_cross_products_of_many_columns(spark):
+    """Every pair's sum, from one row a task and pair, not one long projection."""
+    import random
+    rng = random.Random(2)
+    data = [tuple(rng.gauss(0, 1) for _ in range(12)) for _ in range(500)]
+    cols = [f"c{i}" for i in range(12)]
+    df = spark.createDataFrame(data, cols).repartition(7)
+    got = {(r.i, r.j): r.s for r in stats.cross_products(df, cols).collect()}
+    assert len(got) == 78
+    assert got == pytest.approx({(i, j): sum(x[i] * x[j] for x in data) for i in range(12) for j in range(i, 12)})
