@@ -75,9 +75,37 @@ def fit_classifier(train: DataFrame, cols, label_col: str, seed: int = S.seed,
                    max_iter: int = 50, max_depth: int = 5) -> PipelineModel:
     """M5: GBT classifier pipeline (encoding + trees)."""
     enc, stages = encode(train, cols)
-    gbt = GBTClassifier(labelCol=label_col, featuresCol="features", maxIter=max_iter,
-                        maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=stages + [gbt]).fit(enc)
+    return Pipeline(stages=stages + [classifier(label_col, seed, max_iter, max_depth)]).fit(enc)
+
+
+def encode_once(train: DataFrame, df: DataFrame, cols, keep, name: str) -> tuple[PipelineModel, DataFrame]:
+    """M3 for several passes: the encoding as learned from ``train``, and ``df``
+    encoded with it and written once, as the columns ``keep`` and the vector.
+    Training and scoring read that table; encoding a row costs more than any of
+    their passes over it."""
+    enc, stages = encode(train, cols)
+    encoder = Pipeline(stages=stages).fit(enc)
+    return encoder, materialise(encoder.transform(encode(df, cols)[0]).select(*keep, "features"), name)
+
+
+def classifier(label_col: str, seed: int = S.seed, max_iter: int = 50, max_depth: int = 5) -> GBTClassifier:
+    return GBTClassifier(labelCol=label_col, featuresCol="features", maxIter=max_iter, maxDepth=max_depth, seed=seed)
+
+
+def fit_vectors(encoder: PipelineModel, vectors: DataFrame, trees) -> PipelineModel:
+    """Encoding + trees, fitted on encoded rows (``encode_once``)."""
+    return PipelineModel(encoder.stages + [trees.fit(vectors)])
+
+
+def score_vectors(model: PipelineModel, vectors: DataFrame, out: str = "score") -> DataFrame:
+    """Scores of encoded rows; their other columns stay, the vector does not."""
+    rest = [c for c in vectors.columns if c != "features"]
+    return model.stages[-1].transform(vectors).withColumn(out, vector_to_array("probability")[1]).select(*rest, out)
+
+
+def predict_vectors(model: PipelineModel, vectors: DataFrame, out: str = "pred") -> DataFrame:
+    rest = [c for c in vectors.columns if c != "features"]
+    return model.stages[-1].transform(vectors).withColumnRenamed("prediction", out).select(*rest, out)
 
 
 def score(model: PipelineModel, df: DataFrame, cols, out: str = "score") -> DataFrame:
@@ -100,22 +128,24 @@ def guarded_auc(scored: DataFrame, label_col: str, score_col: str = "score",
 def propensity(features: DataFrame, label_col: str = "adoption_label") -> dict:
     """M5 + M8 + M10: models A (customers with product history) and B (the
     rest) trained on trainable customers; every customer scored (asserted)."""
-    base = features.where(F.col("trainable") == 1)
-    split = stratified_split(base, label_col)
-    train, test = split.where(F.col("is_test") == 0), split.where(F.col("is_test") == 1)
+    split = stratified_split(features, label_col)
+    base, hist = F.col("trainable") == 1, F.col("has_product_history") == 1
+    train, test = split.where(base & (F.col("is_test") == 0)), split.where(base & (F.col("is_test") == 1))
     cols_a, cols_b = feature_set_a(features), feature_set_b(features)
-    model_a = fit_classifier(train, cols_a, label_col)
-    model_b = fit_classifier(train, cols_b, label_col)
-    test_a = score(model_a, test, cols_a)
-    test_b = score(model_b, test, cols_b)
+    keep = ["customer_id", label_col, "trainable", "has_product_history", "is_test"]
+    enc_a, rows_a = encode_once(train, split.where(base | hist), cols_a, keep, "vectors-a")
+    enc_b, rows_b = encode_once(train, split.where(base | ~hist), cols_b, keep, "vectors-b")
+    model_a = fit_vectors(enc_a, rows_a.where(base & (F.col("is_test") == 0)), classifier(label_col))
+    model_b = fit_vectors(enc_b, rows_b.where(base & (F.col("is_test") == 0)), classifier(label_col))
+    test_a = score_vectors(model_a, rows_a.where(base & (F.col("is_test") == 1)))
+    test_b = score_vectors(model_b, rows_b.where(base & (F.col("is_test") == 1)))
     metrics = {
         "auc_a": guarded_auc(test_a, label_col),
         "auc_b": guarded_auc(test_b, label_col),
-        "auc_a_with_products": guarded_auc(test_a.where(F.col("has_product_history") == 1), label_col),
+        "auc_a_with_products": guarded_auc(test_a.where(hist), label_col),
     }
-    hist = F.col("has_product_history") == 1
-    scored = score(model_a, features.where(hist), cols_a).withColumn("model_used", F.lit("A")) \
-        .unionByName(score(model_b, features.where(~hist), cols_b).withColumn("model_used", F.lit("B")))
+    scored = score_vectors(model_a, rows_a.where(hist)).withColumn("model_used", F.lit("A")) \
+        .unionByName(score_vectors(model_b, rows_b.where(~hist)).withColumn("model_used", F.lit("B")))
     return {"models": {"A": model_a, "B": model_b}, "cols": {"A": cols_a, "B": cols_b},
             "scores": scored.select("customer_id", "score", "model_used"), "metrics": metrics,
             "test": test}
@@ -124,15 +154,15 @@ def propensity(features: DataFrame, label_col: str = "adoption_label") -> dict:
 def retrain_model_a(features: DataFrame, label_col: str) -> dict:
     """M15 helper: model A alone, retrained on another label (same split rule,
     same feature set A); scores the with-history population only."""
-    base = features.where(F.col("trainable") == 1)
-    split = stratified_split(base, label_col)
-    train, test = split.where(F.col("is_test") == 0), split.where(F.col("is_test") == 1)
+    split = stratified_split(features, label_col)
+    base, hist = F.col("trainable") == 1, F.col("has_product_history") == 1
     cols_a = feature_set_a(features)
-    model_a = fit_classifier(train, cols_a, label_col)
-    auc = guarded_auc(score(model_a, test, cols_a), label_col)
-    hist = features.where(F.col("has_product_history") == 1)
+    encoder, rows = encode_once(split.where(base & (F.col("is_test") == 0)), split.where(base | hist), cols_a,
+                                ["customer_id", label_col, "trainable", "has_product_history", "is_test"], "vectors-recent")
+    model_a = fit_vectors(encoder, rows.where(base & (F.col("is_test") == 0)), classifier(label_col))
+    auc = guarded_auc(score_vectors(model_a, rows.where(base & (F.col("is_test") == 1))), label_col)
     return {"model": model_a, "auc": auc,
-            "scores": score(model_a, hist, cols_a).select("customer_id", "score")}
+            "scores": score_vectors(model_a, rows.where(hist)).select("customer_id", "score")}
 
 
 def assert_all_scored(features: DataFrame, scores: DataFrame) -> None:
@@ -309,8 +339,9 @@ def auxiliary_model(features: DataFrame, target_col: str, drop_cols=()) -> dict:
     cols = [c for c in feature_set_a(features) if c not in drop_cols and c != target_col]
     split = stratified_split(features.where(F.col(target_col).isNotNull()), target_col)
     train, test = split.where(F.col("is_test") == 0), split.where(F.col("is_test") == 1)
-    m = fit_classifier(train, cols, target_col)
-    auc = auc_exact(score(m, test, cols), "customer_id", "score", target_col).first()["auc"]
+    encoder, rows = encode_once(train, split, cols, ["customer_id", target_col, "is_test"], "vectors-auxiliary")
+    m = fit_vectors(encoder, rows.where(F.col("is_test") == 0), classifier(target_col))
+    auc = auc_exact(score_vectors(m, rows.where(F.col("is_test") == 1)), "customer_id", "score", target_col).first()["auc"]
     return {"model": m, "test": test, "cols": cols, "target": target_col, "auc": auc}
 
 
@@ -326,11 +357,14 @@ def top_variables(aux: dict, n: int = TOP_VARIABLES) -> DataFrame:
     return top.select(F.row_number().over(w).alias("rank"), "variable", F.col("importance_mean").alias("importance"))
 
 
+def regressor(label_col: str, seed: int = S.seed) -> GBTRegressor:
+    return GBTRegressor(labelCol=label_col, featuresCol="features", maxIter=50, maxDepth=5, seed=seed)
+
+
 def fit_regressor(train: DataFrame, cols, label_col: str, seed: int = S.seed) -> PipelineModel:
     """GBT regressor with the same null encoding."""
     enc, stages = encode(train, cols)
-    gbt = GBTRegressor(labelCol=label_col, featuresCol="features", maxIter=50, maxDepth=5, seed=seed)
-    return Pipeline(stages=stages + [gbt]).fit(enc)
+    return Pipeline(stages=stages + [regressor(label_col, seed)]).fit(enc)
 
 
 def predict(model: PipelineModel, df: DataFrame, cols, out: str = "pred") -> DataFrame:

@@ -102,3 +102,25 @@ def test_auc_of_counts_in_blocks(spark, cuts):
     assert got._jdf.queryExecution().sparkPlan().toString().count("Window") == 2
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning(g") == 2  # the counts once, and one row a block
+
+
+def test_rows_are_encoded_once(spark, monkeypatch):
+    """Training and scoring read the encoded rows; model and scores are those of
+    the pipeline that encodes on every pass."""
+    import random
+    rng = random.Random(4)
+    rows = [(i, rng.choice([None, rng.random()]), rng.choice([None, "a", "b"]), rng.randrange(2)) for i in range(600)]
+    df = spark.createDataFrame([(*r, int((r[1] or 0.7) + (r[2] == "b") * 0.4 + rng.random() > 1.1)) for r in rows],
+                               "customer_id long, income double, segment string, missing_estimator int, y int")
+    split = models.stratified_split(df, "y")
+    cols = ["income", "segment", "missing_estimator"]
+    whole = models.fit_classifier(split.where("is_test = 0"), cols, "y")
+    want = {r.customer_id: r.score for r in models.score(whole, df, cols).collect()}
+    encoder, vectors = models.encode_once(split.where("is_test = 0"), split, cols, ["customer_id", "y", "is_test"], "vectors-test")
+    assert vectors.schema["features"].metadata["ml_attr"]["num_attrs"] == 6
+    model = models.fit_vectors(encoder, vectors.where("is_test = 0"), models.classifier("y"))
+    got = {r.customer_id: r.score for r in models.score_vectors(model, vectors).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+    assert {r.customer_id: r.score for r in models.score(model, df, cols).collect()} == pytest.approx(want, abs=1e-9)
+    monkeypatch.setattr(models, "score", lambda *a: pytest.fail("rows are encoded again"))
+    assert models.auxiliary_model(df.drop("y"), "missing_estimator")["auc"] is not None
