@@ -106,3 +106,31 @@ def test_temporal_split(spark):
     two = spark.createDataFrame([(D(2025, 1, 1),), (D(2025, 2, 1),)], "month date")
     with pytest.raises(Exception):
         panel.temporal_split_month(two, 3).collect()
+
+
+def test_months_since_are_the_panels_own(spark):
+    """Months listed from one month on are the panel's rows of those months, and
+    no earlier month is a row on the way."""
+    rng = random.Random(5)
+    cut = D(2022, 6, 20)
+    rows = [(rng.randrange(20), rng.choice("ab"), D(2020, 1, 1) + dt.timedelta(rng.randrange(900)),
+             None if rng.random() < 0.2 else float(rng.randrange(1000)), k) for k in range(150)]
+    df = recs(spark, rows)
+    runs = panel.panel_runs(df, cut)
+    whole = panel.monthly_panel(df, cut)
+    since = D(2022, 1, 1)
+    want = sorted((tuple(r) for r in whole.collect() if r.month >= since), key=str)
+    assert want and sorted(map(tuple, panel.months_of(runs, since=since).collect()), key=str) == want
+    assert sorted(map(tuple, panel.observed_months(runs).collect()), key=str) == sorted(
+        (tuple(r) for r in whole.collect() if r.observed == 1), key=str)
+    a = {tuple(r) for r in panel.liquid_cv(whole, cut, ["a"]).collect()}
+    assert a and a == {tuple(r) for r in panel.liquid_cv(panel.months_of(runs, panel.window_start(cut)), cut, ["a"]).collect()}
+
+
+def test_gold_features_do_not_list_the_panel(spark, monkeypatch):
+    from balances.plans import common, queries
+    d = "/root/testdata/sf0.001"
+    monkeypatch.setattr(common, "_LAYERS", {})
+    monkeypatch.setattr(queries, "panel_layer", lambda *a: pytest.fail("every month of the panel is written"))
+    queries.features_ckpt(spark, d)
+    queries.component_frames(spark, d)
