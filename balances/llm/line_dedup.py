@@ -19,9 +19,11 @@ smallest of its hubs, and the others only where that has left them apart. A
 pair goes on if set sizes allow the threshold and the sketches do within
 ``MARGIN`` standard deviations; the Jaccard index of the full sets decides.
 Members of buckets that still hold several components are then compared in
-blocks of bounded size inside the tasks, which return a spanning forest of the
-links they verify. So no candidate pair between two components is left out, and
-pairs below the threshold never become rows there.
+blocks of bounded size inside the tasks: first by size and sketch, which leaves
+the members that may link with another component, then those by their texts. The
+tasks return a spanning forest of the links they verify. So no candidate pair
+between two components is left out, pairs below the threshold never become rows
+there, and texts go to the blocks of such members only.
 
 Result: one row per document: doc_id, n_lines (lines that are not blank),
 n_kept, dropped (positions of the lines that go, ascending, from 0).
@@ -55,6 +57,8 @@ BROADCAST_KEYS = 1_000_000
 NUM, DEN = 4, 5
 #: Members of a bucket that one task compares with each other at a time.
 BLOCK = 1024
+#: Pairs of a block whose sketches are compared at a time.
+PAIRS = 100_000
 #: Lines a task remembers as signed.
 MEMO_LINES = 200_000
 #: Set elements that collisions of 40-bit hashes may hide or add in a pair.
@@ -231,6 +235,34 @@ def verify(batches):
             yield b.select(["a", "b"]).append_column("linked", pa.array(np.concatenate(ok)))
 
 
+def block_members(batches):
+    """The members of a block pair (rows that follow each other) that by size
+    and sketch may link with a member of another component."""
+    for d, at in _runs(batches):
+        n, comp, side = d["n"].values, d["component"].values, d["side"].values
+        sketch = np.frombuffer(b"".join(d["sketch"]), np.uint8).reshape(len(d), -1)
+        # a row meets those after it; where two blocks meet, one of the first all of the second
+        start, end = np.arange(len(d)) + 1, np.repeat(at[1:], np.diff(at))
+        second = at[:-1] + np.add.reduceat((side == 0).astype(np.int64), at[:-1])
+        cross = (d["i"] != d["j"]).values
+        start = np.where(cross, np.where(side == 1, end, np.repeat(second, np.diff(at))), start)
+        upto = np.cumsum(end - start)
+        may, s = np.zeros(len(d), bool), 0
+        while s < len(d):
+            base = upto[s - 1] if s else 0
+            e = max(s + 1, int(np.searchsorted(upto, base + PAIRS, "right")))
+            met = (end - start)[s:e]
+            x = np.repeat(np.arange(s, e), met)
+            y = np.arange(len(x)) - np.repeat(upto[s:e] - met - base, met) + start[x]
+            ok = (comp[x] != comp[y]) & _fits(n[x], n[y])
+            x, y = x[ok], y[ok]
+            ok = _alike(sketch[x], sketch[y])
+            may[x[ok]] = may[y[ok]] = True
+            s = e
+        yield pa.RecordBatch.from_arrays([pa.array(d[c].values[may], pa.int64()) for c in ("key", "nid", "component")],
+                                         names=["key", "nid", "component"])
+
+
 def block_links(batches):
     """Within each block pair (rows that follow each other) a spanning forest of
     the verified links between components."""
@@ -282,14 +314,25 @@ def _few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_KEYS else df
 
 
-def _blocks(open_rows: DataFrame, meta: DataFrame, texts: DataFrame) -> DataFrame:
-    """Deal the members of each open bucket into block pairs of bounded size."""
+def _open(members: DataFrame, kind: str) -> DataFrame:
+    """The members (key, nid, component) of buckets that hold several
+    components, with ``left``, how many members their bucket has."""
+    apart = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                       F.count(F.lit(1)).alias("left")).where("lo <> hi")
+    return narrow(members.join(apart.select("key", "left"), "key"), kind)
+
+
+def _blocks(open_rows: DataFrame, *of_member: DataFrame) -> DataFrame:
+    """Deal the members of each open bucket, with what ``of_member`` has of
+    them, into block pairs of bounded size."""
     rows = open_rows.withColumn("chunks", F.ceil(F.col("left") / F.lit(BLOCK)).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("nid"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("key", "nid", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                        (F.col("own") > F.col("other")).cast("int").alias("side"))
-    return rows.join(meta, "nid").join(texts, "nid").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "nid")
+    for table_ in of_member:
+        rows = rows.join(table_, "nid")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "nid")
 
 
 def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
@@ -352,10 +395,13 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
         comp = components(links)
     placed = member_hub.where("size > 2").join(comp.withColumnRenamed("id", "nid"), "nid", "left").select(
         "key", "nid", F.coalesce("component", "nid").alias("component"))
-    apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count(F.lit(1)).alias("left")).where("lo <> hi")
-    open_rows = narrow(placed.join(apart.select("key", "left"), "key"), "open")
+    open_rows = _open(placed, "open")
     third = None
+    if not open_rows.isEmpty():
+        may = narrow(_blocks(open_rows, meta).mapInArrow(block_members, "key long, nid long, component long").distinct(), "may-link")
+        dropped(open_rows)
+        open_rows = _open(may, "open")
+        dropped(may)
     if not open_rows.isEmpty():
         third = narrow(_blocks(open_rows, meta, texts).mapInArrow(block_links, "a long, b long").distinct(), "block-links")
         if not third.isEmpty():

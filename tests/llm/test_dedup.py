@@ -1,6 +1,8 @@
 """Operators 5, 6 and 10 against brute force."""
 import hashlib
 import random
+import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,8 +10,9 @@ import pyarrow as pa
 import pytest
 
 from llm_helpers import AWKWARD, frame, prose
+from pyspark.sql import functions as F
 
-from balances.llm import components, hyperminhash, line_dedup, quotient_dedup
+from balances.llm import common, components, hyperminhash, line_dedup, quotient_dedup
 
 
 class Sets:
@@ -393,3 +396,48 @@ def test_deduplicated_rows_without_an_id_of_their_own(spark):
     rows = [(None, "a\nb"), (None, "c\nd"), (1, "x\nb"), (2, "e\nx"), (2, "f\ng"), (None, "h\nb")]
     got = sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in line_dedup.deduplicated(frame(spark, rows)).collect()))
     assert got == [(False, 1, "x\nb"), (False, 2, "e"), (False, 2, "f\ng"), (True, 0, "a"), (True, 0, "c\nd"), (True, 0, "h")]
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    """The shuffle files of a scratch table go as it is written, while its plan is still referred to."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.getAllFiles().mkString(" ")))
+    before, own = shuffles(), spark.conf.get(common.SHUFFLE_CLEANUP)
+    df = spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 100).alias("k")).count()
+    out = common.written(df, "test")
+    for _ in range(100):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == own and out.count() == df.count() == df.count() == 100
+
+
+@pytest.mark.parametrize("pairs", [7, 100_000])
+def test_only_members_that_may_link_get_their_texts(pairs, monkeypatch):
+    """Runs of one block and of two, against all pairs of rows."""
+    monkeypatch.setattr(line_dedup, "PAIRS", pairs)
+    rng = np.random.default_rng(4)
+    rows, sketches = [], rng.integers(0, 256, (6, 40), np.uint8)
+    for key, i, j in ((1, 0, 0), (1, 0, 1), (2, 0, 0), (3, 0, 1), (4, 1, 1)):
+        for nid in range(14):
+            sketch = sketches[rng.integers(6)].copy()
+            sketch[rng.choice(40, rng.integers(0, 12), replace=False)] = 7
+            side = int(i != j and key != 3 and nid > 6)  # 3: all of one block, which meet nobody there
+            rows.append((key, 100 * key + nid, int(rng.integers(5)), i, j, side, int(rng.choice([90, 100, 200])), sketch.tobytes()))
+    names = ["key", "nid", "component", "i", "j", "side", "n", "sketch"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+    want = set()
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[3:5] == y[3:5] and x[1] != y[1] and x[2] != y[2] and (x[3] == x[4] or x[5] != y[5]):
+                equal = sum(a == b for a, b in zip(x[7], y[7]))
+                if min(x[6], y[6]) * 5 >= max(x[6], y[6]) * 4 and equal >= 32 - 5 * (40 * 0.16) ** 0.5:
+                    want.add(x[:3])
+    got = [tuple(r.values()) for b in line_dedup.block_members([batch.slice(0, 9), batch.slice(9)]) for r in b.to_pylist()]
+    assert set(got) == want and 0 < len(want) < len({r[:3] for r in rows})
+
+
+def test_crowded_bucket_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    test_crowded_bucket_is_exact(spark, 40, monkeypatch)
