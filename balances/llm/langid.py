@@ -98,9 +98,9 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
                 names=["feature", "n"])
 
     sums = (train.select("text").mapInArrow(run, "feature long, n long")
-            .groupBy("feature").agg(F.sum("n").alias("n")).toPandas())  # at most DIMS + 1 rows
+            .groupBy("feature").agg(F.sum("n").alias("n")).toArrow())  # at most DIMS + 1 rows
     df = np.zeros(DIMS + 1, np.int64)
-    df[sums["feature"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+    df[sums["feature"].to_numpy()] = sums["n"].to_numpy()
     return df[:DIMS], int(df[DIMS])
 
 
@@ -143,11 +143,14 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list, df: np.ndarray, n_docs: int, seed: int = 7) -> Model:
-    """FTRL-proximal over the sampled rows, then temperature calibration."""
+    """FTRL-proximal over the sampled rows, then temperature calibration. The
+    features and counts of all examples lie in two buffers, which go back to
+    the system as a whole: this runs in the driver."""
     langs = sorted({r["lang"] for r in rows})
     idf = np.log((1 + n_docs) / (1 + df)) + 1.0
     rng = random.Random(seed)
     examples, kept_back = [], []
+    feature, count, at_end = bytearray(), bytearray(), 0
     for i, r in enumerate(rows):
         words = (r["text"] or "").split()
         texts = [r["text"]]
@@ -159,13 +162,22 @@ def fit(rows: list, df: np.ndarray, n_docs: int, seed: int = 7) -> Model:
             idx = features(t)
             if len(idx):
                 f, tf = np.unique(idx, return_counts=True)
+                feature += f.astype(np.uint16).tobytes()
+                count += tf.astype(np.uint32).tobytes()
                 (kept_back if i % 5 == 4 else examples).append(
-                    (f, tf / len(idx) * idf[f], langs.index(r["lang"])))
+                    (at_end, at_end + len(f), len(idx), langs.index(r["lang"])))
+                at_end += len(f)
+    feature, count = np.frombuffer(feature, np.uint16), np.frombuffer(count, np.uint32)
+
+    def example(s, e, size):
+        f = feature[s:e].astype(np.int64)
+        return f, count[s:e] / size * idf[f]
     k = len(langs)
     z, n = np.zeros((DIMS + 1, k)), np.zeros((DIMS + 1, k))
     for _ in range(EPOCHS):
         rng.shuffle(examples)
-        for f, x, y in examples:
+        for *place, y in examples:
+            f, x = example(*place)
             f, x = np.append(f, DIMS), np.append(x * 10.0, 1.0)  # the last feature is the bias
             zf, nf = z[f], n[f]
             w = _ftrl_weights(zf, nf)
@@ -180,8 +192,8 @@ def fit(rows: list, df: np.ndarray, n_docs: int, seed: int = 7) -> Model:
     model = Model(langs, weights, w[DIMS], 1.0)
     if kept_back and k > 1:
         model.temperature = _temperature(
-            np.array([(x * 10.0) @ w[f] + w[DIMS] for f, x, _ in kept_back]),
-            np.array([y for _, _, y in kept_back]))
+            np.array([(x * 10.0) @ w[f] + w[DIMS] for f, x in (example(*place) for *place, _ in kept_back)]),
+            np.array([y for *_, y in kept_back]))
     return model
 
 

@@ -1,5 +1,6 @@
 """Operators 1, 7 and 8: held-out accuracy, and their parts by hand."""
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -264,3 +265,18 @@ def test_main_text_edges(spark):
     assert all(r.n_chars == len(r.text) for r in got) and {r.text for r in got if r.page_id in (1, 2)} == {""}
     empty = pages.limit(0)
     assert main_text.extract(empty, main_text.train(empty.select("page_id", "html"))).collect() == []
+
+
+def test_language_examples_are_small_in_the_driver():
+    """Six bytes for a feature of an example, not sixteen."""
+    rng = random.Random(8)
+    rows = [{"lang": "en" if i % 2 else "de", "text": "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(20000))} for i in range(40)]
+    n = sum(len(np.unique(langid.features(r["text"]))) for r in rows)
+    df = np.ones(langid.DIMS, np.int64)
+    langid.fit(rows[:2], df, 40)
+    tracemalloc.start()
+    langid.fit(rows, df, 40)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    fixed = 8 * langid.DIMS * 2 * 8  # of the model: sums, weights and steps between them
+    assert peak < fixed + 10 * n, (peak, fixed, n)
