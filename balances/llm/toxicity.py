@@ -69,18 +69,100 @@ _LETTER = r"[^\W\d_]"
 _SIGN = r"0-9@$!|+(<€£¢¡аеорсхуіѕмтквн*#%?"
 _NOISE = re.compile(f"[{_SIGN}]")
 #: A token with a letter and a sign that is not just closing punctuation.
-_TOKEN = re.compile(rf"(?<!\S)(?=\S*{_LETTER})\S*[{_SIGN}]\S*")
+_TOKEN = re.compile(rf"(?=\S*{_LETTER})\S*[{_SIGN}]\S*")
 #: A token of signs that look like letters, among them one that is no digit.
 _SIGNS_ONLY = re.compile(r"(?<!\S)[^\w\s@$!€£¢¡]*(?=[0-9]*[@$!€£¢¡])[0-9@$!|+(<€£¢¡]{2,12}[^\w\s@$!€£¢¡]*(?!\S)")
 #: Single signs or letters set apart by separators.
 _SPACED = re.compile(rf"(?<![\w@$])(?:[\w@$!|+][ .\-_·,'~^*]{{1,2}}){{2,}}[\w@$!|+](?!\w)")
+_WHOLE = re.compile(r"\S+")
 _STRETCHED = re.compile(rf"{_LETTER}*({_LETTER})\1\1{_LETTER}*|(?<!\w)(?:({_LETTER})\2){{3,}}(?!\w)")
 _EDGE = re.compile(r"^[\"'(\[<{.,;:¿¡#*%&-]+(?=[\w@$])|[.,;:!?'\")\]>}#*%&-]+$|([$@&*#%!?])\1\1+$")
 _PUNCTUATION = {i: " " for i in range(0x250) if not chr(i).isalpha()} | {
     i: " " for i in range(0x2000, 0x2070)} | {i: " " for i in range(0x3000, 0x3020)}
+#: Bits of a sign: a letter, a sign or separator of ``_SPACED``, what may not
+#: stand before such a span, a mark of noise, a sign that is white space, and one
+#: that parts words in ``spaced``.
+LETTER, SPACED, SEPARATOR, BEFORE, NOISE, SPACE, PARTS = (np.uint8(1 << k) for k in range(7))
 _state: dict = {}
 
 
+def _kinds() -> np.ndarray:
+    """Code point -> the bits above, as the patterns read them."""
+    if "kinds" not in _state:
+        signs = "".join(map(chr, range(0x110000)))
+        t = np.zeros(len(signs), np.uint8)
+        for bits, pattern in ((LETTER, _LETTER), (SPACED, r"[\w@$!|+]"), (SEPARATOR, r"[ .\-_·,'~^*]"), (BEFORE, r"[\w@$]"),
+                              (NOISE, f"[{_SIGN}]"), (SPACE, r"\s")):
+            for m in re.finditer(f"{pattern}+", signs):
+                t[m.start():m.end()] |= bits
+        t[[*_PUNCTUATION]] |= PARTS
+        _state["kinds"] = t
+    return _state["kinds"]
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _has(kinds: np.ndarray, bits: np.uint8) -> np.ndarray:
+    return (kinds & bits) != 0
+
+
+def _replaced(text: str, at, pattern, by) -> str:
+    """``pattern.sub(by, text)``; ``at``: where a match may begin, ascending."""
+    parts, end = [], 0
+    for i in at:
+        if i >= end and (m := pattern.match(text, i)):
+            parts += text[end:i], by(m)
+            end = m.end()
+    return "".join([*parts, text[end:]]) if parts else text
+
+
+def _spaced_starts(text: str) -> list[int]:
+    """Where ``_SPACED`` may match: sign, separators, sign, separator."""
+    k = np.concatenate((_kinds()[_codes(text)], np.zeros(5, np.uint8)))
+    sign, sep = _has(k, SPACED), _has(k, SEPARATOR)
+    may = sign[:-5] & sep[1:-4]
+    may[1:] &= ~_has(k[:-6], BEFORE)
+    return np.flatnonzero(may & (sign[2:-3] & sep[3:-2] | sep[2:-3] & sign[3:-2] & sep[4:-1])).tolist()
+
+
+def _stretched_starts(text: str) -> list[int]:
+    """Where ``_STRETCHED`` may match: the letters before a letter that is there
+    three times, or before three pairs."""
+    c = _codes(text)
+    same = c[1:] == c[:-1]
+    hit = np.zeros(len(c), bool)
+    hit[:-2] = same[1:] & same[:-1]
+    hit[:-5] |= same[:-4] & same[2:-2] & same[4:]
+    hits = np.flatnonzero(hit)
+    letters = _kinds()
+    starts: list[int] = []
+    end = 0
+    for i in hits[_has(letters[c[hits]], LETTER)].tolist():
+        if i < end:
+            continue
+        start = end = i
+        while start and letters[c[start - 1]] & LETTER:
+            start -= 1
+        while end < len(c) and letters[c[end]] & LETTER:
+            end += 1
+        starts.append(start)
+    return starts
+
+
+def _noisy_tokens(text: str) -> list[int]:
+    """Where tokens with a mark of noise begin."""
+    k = _kinds()[_codes(text)]
+    noise = np.flatnonzero(k & NOISE)
+    if not len(noise):
+        return []
+    blank = _has(k, SPACE)
+    starts = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
+    at = np.searchsorted(starts, noise, "right") - 1
+    return starts[at[np.concatenate(([True], at[1:] != at[:-1]))]].tolist()
+
+
 def _class_table() -> np.ndarray:
     """Code point -> letter class: 0 none, a-z, Latin-1 letters, others."""
     if "classes" not in _state:
@@ -163,10 +245,10 @@ class Restorer:
         #: Mean log probability of a letter.
         self.per_sign = float((seen * self.logp.ravel()).sum())
         self.whole = sorted(w for w in (hidden_words if whole is None else whole) if len(w) >= 4)
-        self.table, self.memo, self.pieces = None, {}, None
+        self.table, self.memo, self.tokens, self.pieces = None, {}, {}, None
 
     def __getstate__(self):
-        return self.__dict__ | {"table": None, "memo": {}, "pieces": None}
+        return self.__dict__ | {"table": None, "memo": {}, "tokens": {}, "pieces": None}
 
     def decode(self, span: str) -> str:
         """The likeliest text behind a lower-cased span."""
@@ -232,23 +314,33 @@ class Restorer:
                 self.memo[span] = hit
         return hit
 
-    def _token(self, m) -> str:
-        core = m[0]
-        while (cut := _EDGE.sub("", core)) != core:
-            core = cut
-        return f" {self._restored(core)} " if _NOISE.search(core) else m[0]
+    def _token(self, token: str) -> str:
+        """A token with its signs read as letters, if they are no punctuation."""
+        hit = self.tokens.get(token)
+        if hit is None:
+            core = token
+            while (cut := _EDGE.sub("", core)) != core:
+                core = cut
+            hit = f" {self._restored(core)} " if _NOISE.search(core) else token
+            if len(token) <= 64:
+                if len(self.tokens) >= SPAN_MEMO:
+                    self.tokens.clear()
+                self.tokens[token] = hit
+        return hit
+
+    def _noisy(self, m) -> str:
+        token = m[0]
+        return self._token(token) if _TOKEN.match(token) or _SIGNS_ONLY.match(token) else token
 
     def restore(self, text: str) -> str:
         """The lower-cased text with every suspicious span decoded."""
         text = text.lower()
         if not text.isascii():
             text = INVISIBLE.sub("", text)
-        text = _SPACED.sub(lambda m: f" {self._restored(m[0])} ", text)
-        text = _STRETCHED.sub(lambda m: self._restored(m[0]), text)
+        text = _replaced(text, _spaced_starts(text), _SPACED, lambda m: f" {self._restored(m[0])} ")
+        text = _replaced(text, _stretched_starts(text), _STRETCHED, lambda m: self._restored(m[0]))
         text = self._joined(text)
-        if not _NOISE.search(text):
-            return text
-        return _SIGNS_ONLY.sub(self._token, _TOKEN.sub(self._token, text))
+        return _replaced(text, _noisy_tokens(text), _WHOLE, self._noisy)
 
     def _joined(self, text: str) -> str:
         """Marking words that separators cut into pieces."""
@@ -258,7 +350,7 @@ class Restorer:
         for sep in SEPARATORS:
             close = close.replace(sep, "")
         for word in self.whole:
-            if close.count(word) > text.count(word):
+            if (n := close.count(word)) and n > text.count(word):
                 if self.pieces is None:
                     self.pieces = {}
                 if word not in self.pieces:
@@ -306,7 +398,9 @@ def lattice(span: str, per_sign: float = 0.0):
 
 def spaced(restored: str) -> str:
     """The words of a text, one space before and after each."""
-    return " ".join(["", *restored.translate(_PUNCTUATION).split(), ""])
+    c = _codes(restored)
+    parted = np.where(_has(_kinds()[c], PARTS), np.uint32(32), c).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return " ".join(["", *parted.split(), ""])
 
 
 def features(text: str) -> set[str]:

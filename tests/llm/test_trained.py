@@ -1,5 +1,7 @@
 """Operators 1, 7 and 8: held-out accuracy, and their parts by hand."""
 import random
+import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -280,3 +282,30 @@ def test_language_examples_are_small_in_the_driver():
     tracemalloc.stop()
     fixed = 8 * langid.DIMS * 2 * 8  # of the model: sums, weights and steps between them
     assert peak < fixed + 10 * n, (peak, fixed, n)
+
+
+def test_spans_are_found_without_a_search_from_every_sign():
+    """What the patterns replace, found by arrays; long words in time that
+    grows with them."""
+    corpus = np.zeros(toxicity.CLASSES ** 3, np.int64)
+    restorer = toxicity.Restorer(corpus, {"idiot": 1.0, "loser": 1.0})
+
+    def plain(text):
+        text = toxicity.INVISIBLE.sub("", text.lower())
+        text = toxicity._SPACED.sub(lambda m: f" {restorer._restored(m[0])} ", text)
+        text = toxicity._STRETCHED.sub(lambda m: restorer._restored(m[0]), text)
+        token = re.compile(r"(?<!\S)" + toxicity._TOKEN.pattern)
+        text = token.sub(lambda m: restorer._token(m[0]), restorer._joined(text))
+        return toxicity._SIGNS_ONLY.sub(lambda m: restorer._token(m[0]), text)
+
+    rng = random.Random(11)
+    signs = "aabbccdio1 0@$!|+ .-_·,'~^*#%?(<€аеоß中٣ É​\n\t　İ"
+    words = ["idiot", "i d i o t", "id iot", "aabbcc", "aaab", "@$$", "1d10t", "l0ser!!", "iiddiioott", "_aaa_"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs) if rng.random() < 0.8 else rng.choice(words) for _ in range(rng.randrange(40)))
+        assert restorer.restore(text) == plain(text), text
+        assert toxicity.spaced(text) == " ".join(["", *text.translate(toxicity._PUNCTUATION).split(), ""])
+    began = time.process_time()
+    long = "abcd" * 10_000
+    assert restorer.restore(long) == long
+    assert time.process_time() - began < 1
