@@ -46,6 +46,8 @@ from balances.llm.bpe_words import slices
 from balances.llm.common import dropped, narrow, release, small, table, text_key, written
 from balances.llm.components import components
 
+#: What is trimmed off a line's ends.
+BLANKS = " \t\r\f\x0b\x00"
 GRAM = 5
 LEAST = GRAM
 ROWS, BANDS = 4, 10
@@ -55,6 +57,8 @@ MARGIN = 5.0
 BROADCAST_KEYS = 1_000_000
 #: Jaccard threshold as a fraction.
 NUM, DEN = 4, 5
+#: Bands whose buckets are sought at a time.
+AT_ONCE = 5
 #: Members of a bucket that one task compares with each other at a time.
 BLOCK = 1024
 #: Pairs of a block whose sketches are compared at a time.
@@ -76,7 +80,16 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     parts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("row"),
                         F.split(F.col(text_col), "\n").alias("parts"))
     rows = parts.select("doc_id", "row", F.posexplode_outer("parts").alias("pos", "line"))
-    return rows.select("doc_id", "row", "pos", F.btrim("line", F.lit(" \t\r\f\x0b\x00")).alias("line")).where("line <> ''")
+    return rows.select("doc_id", "row", "pos", trimmed(F.col("line")).alias("line")).where("line <> ''")
+
+
+def trimmed(line):
+    """``line`` without blanks at its ends; ``btrim`` walks through all characters
+    of a line, so that only lines that begin or end with a blank take it."""
+    edge = F.lit(False)
+    for blank in BLANKS:
+        edge = edge | line.startswith(F.lit(blank)) | line.endswith(F.lit(blank))
+    return F.when(edge, F.btrim(line, F.lit(BLANKS))).otherwise(line)
 
 
 def line_id(col: str = "line"):
@@ -314,12 +327,18 @@ def _few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_KEYS else df
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """A table that grows with the lines: it is joined by a shuffle at every
+    size, and never goes through the driver."""
+    return df.hint("merge")
+
+
 def _open(members: DataFrame, kind: str) -> DataFrame:
     """The members (key, nid, component) of buckets that hold several
     components, with ``left``, how many members their bucket has."""
     apart = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                        F.count(F.lit(1)).alias("left")).where("lo <> hi")
-    return narrow(members.join(apart.select("key", "left"), "key"), kind)
+    return written(members.join(apart.select("key", "left"), "key"), kind)
 
 
 def _blocks(open_rows: DataFrame, *of_member: DataFrame) -> DataFrame:
@@ -331,7 +350,7 @@ def _blocks(open_rows: DataFrame, *of_member: DataFrame) -> DataFrame:
     rows = rows.select("key", "nid", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                        (F.col("own") > F.col("other")).cast("int").alias("side"))
     for table_ in of_member:
-        rows = rows.join(table_, "nid")
+        rows = rows.join(_dealt(table_), "nid")
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "nid")
 
 
@@ -342,43 +361,54 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
     sigs = signed.where("n IS NOT NULL").select("id", F.xxhash64("id").alias("h"), "n", "keys", "sketch")
     # a number stands for a line until buckets are found; a line that several tasks signed is one
     member = sigs.select("h", F.explode("keys").alias("key"))
-    buckets = narrow(member.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count(F.lit(1)).alias("rows"))
-                     .where("lo <> hi"), "keys")
+    found = []
+    for at in range(1, BANDS + 1, AT_ONCE):  # some bands at a time: their keys are the largest shuffle
+        some = sigs.select("h", F.explode(F.slice("keys", at, AT_ONCE)).alias("key"))
+        found.append(written(some.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count(F.lit(1)).alias("rows"))
+                             .where("lo <> hi"), "keys"))
+    buckets = found[0]
+    for more in found[1:]:
+        buckets = buckets.union(more)
     # a bucket of two rows is its least and greatest number; only larger ones need their members
     two = buckets.where("rows = 2").select("key", F.explode(F.array("lo", "hi")).alias("h"))
     larger = buckets.where("rows > 2").select("key")
     shared = two.union(member.join(_few(larger, larger.count()), "key", "left_semi").select("key", "h")).distinct()
-    shared = narrow(shared, "members")
-    wanted = shared.select("h").distinct()
-    wanted = narrow(wanted, "wanted")
+    shared = written(shared, "members")
+    wanted = written(shared.select("h").distinct(), "wanted")
     # lines of one number are told apart by their whole key: both are members of its buckets
-    ids = sigs.select("id", "h").join(_few(wanted, wanted.count()), "h", "left_semi").distinct()
+    ids = sigs.select("id", "h").join(_dealt(wanted), "h", "left_semi").distinct()
     numbers = written(ids.withColumn("nid", F.monotonically_increasing_id()), "numbers")
-    n_ids = numbers.count()
-    numbered = _few(numbers, n_ids)
     by_bucket = shared
-    shared = narrow(shared.join(numbered.select("h", "nid"), "h").select("key", "nid"), "buckets")
-    meta = written(sigs.select("id", "n", "sketch").join(numbered.select("id", "nid"), "id").groupBy("nid", "n", "sketch").count().drop("count"), "meta")
-    dropped(buckets, wanted, by_bucket, signed)  # band keys and sketches of all lines are the largest table
-    release(lines.sparkSession)
-    # one shuffle of lines: dealt by id they are told apart and joined where they lie
-    own = lines.where(F.length("line") >= LEAST).select("id", "line")
-    own = own if n_ids <= BROADCAST_KEYS else own.mapInArrow(first_met, "id binary, line string").repartition("id")
-    texts = written(own.join(numbered.select("id", "nid"), "id").groupBy("id", "nid", "line").count().select("nid", "line"), "texts")
+    shared = written(shared.join(_dealt(numbers.select("h", "nid")), "h").select("key", "nid"), "buckets")
+    meta = written(sigs.select("id", "n", "sketch").join(_dealt(numbers.select("id", "nid")), "id").groupBy("nid", "n", "sketch").count().drop("count"), "meta")
+    dropped(*found, wanted, by_bucket, signed)  # band keys and sketches of all lines are the largest table
     release(lines.sparkSession)
 
+    def texts_of(ends: DataFrame) -> DataFrame:
+        """(nid, line) of the lines in ``ends`` (nid), read from the documents
+        again: no table of all texts, and few of them go through a shuffle."""
+        named = written(numbers.select("id", "nid").join(ends.distinct(), "nid", "left_semi"), "ends")
+        few = named.count()
+        own = lines.where(F.length("line") >= LEAST).select("id", "line")
+        # one shuffle of lines: dealt by id they are told apart and joined where they lie
+        own = own if few <= BROADCAST_KEYS else own.mapInArrow(first_met, "id binary, line string").repartition("id")
+        texts = written(own.join(_few(named, few), "id").groupBy("id", "nid", "line").count().select("nid", "line"), "texts")
+        dropped(named)
+        return texts
+
     hubs = shared.groupBy("key").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("size"))
-    shared_ = narrow(shared.join(hubs, "key"), "hubs")
+    shared_ = written(shared.join(_dealt(hubs), "key"), "hubs")
     dropped(shared)
     member_hub = shared_.where("nid <> hub")
 
     def settle(pairs: DataFrame) -> DataFrame:
         """Size and sketch, then the sets themselves: (a, b, linked)."""
-        wide = pairs.join(meta.toDF("a", "na", "sa"), "a").join(meta.toDF("b", "nb", "sb"), "b")
+        wide = pairs.join(_dealt(meta.toDF("a", "na", "sa")), "a").join(_dealt(meta.toDF("b", "nb", "sb")), "b")
         maybe = narrow(wide.mapInArrow(keep_alike, "a long, b long"), "alike")
+        texts = texts_of(maybe.select(F.col("a").alias("nid")).union(maybe.select("b")))
         full = maybe.join(texts.toDF("b", "lb"), "b").join(texts.toDF("a", "la"), "a").select("a", "b", "la", "lb")
         verdict = narrow(full.mapInArrow(verify, "a long, b long, linked boolean"), "verdicts")
-        dropped(maybe)
+        dropped(maybe, texts)
         release(lines.sparkSession)
         return verdict
 
@@ -403,12 +433,16 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
         open_rows = _open(may, "open")
         dropped(may)
     if not open_rows.isEmpty():
-        third = narrow(_blocks(open_rows, meta, texts).mapInArrow(block_links, "a long, b long").distinct(), "block-links")
+        texts = texts_of(open_rows.select("nid"))
+        mine = open_rows.select("nid").distinct()
+        ends = meta.join(_few(mine, open_rows.count()), "nid", "left_semi")
+        third = narrow(_blocks(open_rows, ends, texts).mapInArrow(block_links, "a long, b long").distinct(), "block-links")
+        dropped(texts)
         if not third.isEmpty():
             dropped(comp)
             comp = components(links.union(third))
     out = narrow(comp.withColumnRenamed("id", "nid").join(numbers, "nid").select("id", "component"), "fuzzy")
-    dropped(comp, first, second, open_rows, meta, texts, numbers, shared_, *([third] if third is not None else []))
+    dropped(comp, first, second, open_rows, meta, numbers, shared_, *([third] if third is not None else []))
     return out
 
 

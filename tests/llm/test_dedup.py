@@ -441,3 +441,33 @@ def test_only_members_that_may_link_get_their_texts(pairs, monkeypatch):
 def test_crowded_bucket_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK", 8)
     test_crowded_bucket_is_exact(spark, 40, monkeypatch)
+
+
+def test_texts_are_read_for_pairs_that_may_link_only(spark, monkeypatch):
+    """No scratch table holds the texts of lines whose sketches rule out a link."""
+    rng = random.Random(8)
+    near = " ".join(rng.choice(["salt", "rope", "lamp", "tide"]) + str(i) for i in range(30))
+    half = [near[:90] + "".join(rng.choice("bcdfghjk") for _ in range(120)) for _ in range(30)]
+    tables = []
+    plain = line_dedup.written
+
+    def written(df, kind):
+        out = plain(df, kind)
+        tables.append((kind, out.count() if kind in ("texts", "keys", "members") else 0))
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", written)
+    monkeypatch.setattr(line_dedup, "ROWS", 1)  # lines that share a few grams meet
+    docs = frame(spark, [(1, near), (2, near + "x"), *[(10 + i, x) for i, x in enumerate(half)]])
+    got = {r.doc_id: r.dropped for r in line_dedup.line_dedup(docs).collect()}
+    assert got[2] == [0] and not any(v for k, v in got.items() if k != 2)
+    assert sum(n for kind, n in tables if kind == "members") > 20
+    assert 2 <= sum(n for kind, n in tables if kind == "texts") <= 6
+    assert len([kind for kind, _ in tables if kind == "keys"]) > 1
+
+
+def test_lines_are_trimmed_as_by_btrim(spark):
+    texts = ["a", " a", "a ", "\ta b\x00", "\x0b\x0c\r", "", " 　a　 ", "a\x85", "é ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "line string")
+    got = rows.select(line_dedup.trimmed(F.col("line")).alias("x"), F.btrim("line", F.lit(line_dedup.BLANKS)).alias("y")).collect()
+    assert [r.x for r in got] == [r.y for r in got]
