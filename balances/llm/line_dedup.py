@@ -374,14 +374,17 @@ def fuzzy_components(signed: DataFrame, lines: DataFrame) -> DataFrame | None:
     larger = buckets.where("rows > 2").select("key")
     shared = two.union(member.join(_few(larger, larger.count()), "key", "left_semi").select("key", "h")).distinct()
     shared = written(shared, "members")
+    dropped(*found)
     wanted = written(shared.select("h").distinct(), "wanted")
     # lines of one number are told apart by their whole key: both are members of its buckets
     ids = sigs.select("id", "h").join(_dealt(wanted), "h", "left_semi").distinct()
     numbers = written(ids.withColumn("nid", F.monotonically_increasing_id()), "numbers")
+    dropped(wanted)
     by_bucket = shared
     shared = written(shared.join(_dealt(numbers.select("h", "nid")), "h").select("key", "nid"), "buckets")
+    dropped(by_bucket)
     meta = written(sigs.select("id", "n", "sketch").join(_dealt(numbers.select("id", "nid")), "id").groupBy("nid", "n", "sketch").count().drop("count"), "meta")
-    dropped(*found, wanted, by_bucket, signed)  # band keys and sketches of all lines are the largest table
+    dropped(signed)  # band keys and sketches of all lines are the largest table
     release(lines.sparkSession)
 
     def texts_of(ends: DataFrame) -> DataFrame:
